@@ -46,19 +46,19 @@ _SILVER_COLS = (
 _SILVER_SQL_COLS = ", ".join(_SILVER_COLS)
 
 
-@query("w4_sessionize_30m", o.with_(o.CLICK, o.CLEAN, o.silver(1800)) + f"SELECT {_SILVER_SQL_COLS} FROM silver")
+@query("w4_sessionize_30m", o.silver_chain(1800) + f"SELECT {_SILVER_SQL_COLS} FROM silver")
 def w4_sessionize_30m(spark, sf_dir):
     return m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False).select(*_SILVER_COLS)
 
 
-@query("w4_sessionize_12h", o.with_(o.CLICK, o.CLEAN, o.silver(43200)) + f"SELECT {_SILVER_SQL_COLS} FROM silver")
+@query("w4_sessionize_12h", o.silver_chain(43200) + f"SELECT {_SILVER_SQL_COLS} FROM silver")
 def w4_sessionize_12h(spark, sf_dir):
     return m.silver(spark, sf_dir, m.TIMEOUT_LONG, with_sequence=False).select(*_SILVER_COLS)
 
 
 @query(
     "w5_event_sequence",
-    o.with_(o.CLICK, o.CLEAN, o.silver(43200)) + "SELECT src_event_id, computed_session_id, event_seq FROM silver",
+    o.silver_chain(43200) + "SELECT src_event_id, computed_session_id, event_seq FROM silver",
 )
 def w5_event_sequence(spark, sf_dir):
     return m.silver(spark, sf_dir, m.TIMEOUT_LONG).select("src_event_id", "computed_session_id", "event_seq")
@@ -70,12 +70,12 @@ FROM (SELECT user_session, min(computed_session_id) = max(computed_session_id) A
       FROM silver WHERE user_session IS NOT NULL GROUP BY user_session)"""
 
 
-@query("a9_match_rate", o.with_(o.CLICK, o.CLEAN, o.silver(1800)) + _MATCH_SQL)
+@query("a9_match_rate", o.silver_chain(1800) + _MATCH_SQL)
 def a9_match_rate(spark, sf_dir):
     return ses.session_match_rate(m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False))
 
 
-@query("a9_match_rate_12h", o.with_(o.CLICK, o.CLEAN, o.silver(43200)) + _MATCH_SQL)
+@query("a9_match_rate_12h", o.silver_chain(43200) + _MATCH_SQL)
 def a9_match_rate_12h(spark, sf_dir):
     return ses.session_match_rate(m.silver(spark, sf_dir, m.TIMEOUT_LONG, with_sequence=False))
 
@@ -94,6 +94,355 @@ def a1_session_metrics_12h(spark, sf_dir):
     return m.metrics(spark, sf_dir, m.TIMEOUT_LONG)
 
 
+# ---------------------------------------------------------------------------------------------
+# Bronze split; P5-P8 staging; P10; P16, W6 deduplication
+
+_CLICK_COLS = ", ".join(
+    ["src_event_id", "event_timestamp", "event_type", "product_id", "category_id", "category_code", "brand",
+     "price", "user_id", "user_session"]
+)
+
+
+@query("p1_rejects", o.with_(o.CLICK) + f"SELECT *, {o.REASON} AS reject_reason FROM click WHERE {o.REASON} IS NOT NULL")
+def p1_rejects(spark, sf_dir):
+    return m.rejected_clicks(spark, sf_dir)
+
+
+@query("p2_clean", o.with_(o.CLICK, o.CLEAN) + "SELECT * FROM clean")
+def p2_clean(spark, sf_dir):
+    return m.clean_clicks(spark, sf_dir)
+
+
+@query("p5_staging", o.with_(o.CLICK, o.STG) + "SELECT * FROM stg")
+def p5_staging(spark, sf_dir):
+    return m.staged(spark, sf_dir)
+
+
+@query(
+    "p7_surrogate_key",
+    o.with_(o.CLICK, o.STG) + f"SELECT src_event_id, {o.SPEC_KEY} AS spec_event_id, event_id FROM stg",
+)
+def p7_surrogate_key(spark, sf_dir):
+    from clickweave.functions.columns import surrogate_key
+    from clickweave.operators.staging import SURROGATE_KEY_COLUMNS
+
+    st = m.staged(spark, sf_dir)
+    spec = surrogate_key(SURROGATE_KEY_COLUMNS, time_cols=("event_timestamp",))
+    return st.select("src_event_id", spec.alias("spec_event_id"), "event_id")
+
+
+@query(
+    "p10_category_levels",
+    o.with_(o.CLICK, o.STG)
+    + """SELECT src_event_id, category_code,
+       list_extract(string_split(category_code, '.'), 1) AS category_l1,
+       list_extract(string_split(category_code, '.'), 2) AS category_l2 FROM stg""",
+)
+def p10_category_levels(spark, sf_dir):
+    from clickweave.operators.star import with_category_levels
+
+    return with_category_levels(m.staged(spark, sf_dir)).select(
+        "src_event_id", "category_code", "category_l1", "category_l2"
+    )
+
+
+@query("p16_dedup", o.with_(o.CLICK, o.CLICK_DUPS) + "SELECT DISTINCT * FROM click_dups")
+def p16_dedup(spark, sf_dir):
+    from clickweave.operators.staging import drop_exact_duplicates
+
+    return drop_exact_duplicates(m.clicks(spark, sf_dir, with_duplicates=True))
+
+
+@query(
+    "w6_dedup_keep_first",
+    o.with_(o.CLICK, o.CLICK_DUPS)
+    + f"""SELECT {_CLICK_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, event_timestamp, event_type ORDER BY src_event_id) AS rn
+    FROM click_dups) WHERE rn = 1""",
+)
+def w6_dedup_keep_first(spark, sf_dir):
+    from clickweave.operators.staging import keep_first
+
+    return keep_first(
+        m.clicks(spark, sf_dir, with_duplicates=True), ["user_id", "event_timestamp", "event_type"], ["src_event_id"]
+    )
+
+
+# ---------------------------------------------------------------------------------------------
+# Star schema: P9, P15, J1, J2, A7, A8
+
+
+@query("p15_fct_events", o.silver_chain(1800, o.FCT) + "SELECT * FROM fct")
+def p15_fct_events(spark, sf_dir):
+    return m.fct(spark, sf_dir, m.TIMEOUT_SHORT)
+
+
+@query(
+    "j1_attach_sessions",
+    o.silver_chain(1800) + "SELECT s.*, v.computed_session_id FROM stg s LEFT JOIN silver v USING (event_id)",
+)
+def j1_attach_sessions(spark, sf_dir):
+    from clickweave.operators.star import attach_sessions
+
+    st = m.staged(spark, sf_dir)
+    return attach_sessions(st, m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False))
+
+
+_DIM_USERS_SQL = """dim_users AS (
+    SELECT user_id, min(event_timestamp) AS first_seen, max(event_timestamp) AS last_seen,
+           max(session_index) AS total_sessions, count(*) AS total_events
+    FROM silver GROUP BY user_id
+)"""
+_DIM_PRODUCTS_SQL = """dim_products AS (
+    SELECT product_id, category_code, brand, last_price, first_seen, last_seen, n_events,
+           list_extract(string_split(category_code, '.'), 1) AS category_l1,
+           list_extract(string_split(category_code, '.'), 2) AS category_l2
+    FROM (
+        SELECT product_id, category_code, brand, price AS last_price,
+               min(event_timestamp) OVER (PARTITION BY product_id) AS first_seen,
+               max(event_timestamp) OVER (PARTITION BY product_id) AS last_seen,
+               count(*) OVER (PARTITION BY product_id) AS n_events,
+               row_number() OVER (PARTITION BY product_id ORDER BY event_timestamp DESC, src_event_id DESC) AS rn
+        FROM silver) WHERE rn = 1
+)"""
+
+
+@query("a7_dim_users", o.silver_chain(1800, _DIM_USERS_SQL) + "SELECT * FROM dim_users")
+def a7_dim_users(spark, sf_dir):
+    from clickweave.operators.star import dim_users
+
+    return dim_users(m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False))
+
+
+@query("a8_dim_products", o.silver_chain(1800, _DIM_PRODUCTS_SQL) + "SELECT * FROM dim_products")
+def a8_dim_products(spark, sf_dir):
+    from clickweave.operators.star import dim_products
+
+    return dim_products(m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False))
+
+
+@query(
+    "j2_fact_events_fk",
+    o.silver_chain(1800, o.FCT, _DIM_USERS_SQL, _DIM_PRODUCTS_SQL)
+    + """SELECT f.event_id, f.product_id, f.user_id, f.computed_session_id,
+       p.category_l1 AS dim_category_l1, p.brand AS dim_brand,
+       u.total_sessions AS user_total_sessions, u.first_seen AS user_first_seen
+FROM fct f LEFT JOIN dim_products p USING (product_id) LEFT JOIN dim_users u USING (user_id)""",
+)
+def j2_fact_events_fk(spark, sf_dir):
+    from clickweave.operators.star import dim_products, dim_users, fact_events, fact_with_dimensions
+
+    sv = m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False)
+    out = fact_with_dimensions(fact_events(sv), dim_products(sv), dim_users(sv))
+    return out.select(
+        "event_id", "product_id", "user_id", "computed_session_id", "dim_category_l1", "dim_brand",
+        "user_total_sessions", "user_first_seen",
+    )
+
+
+# ---------------------------------------------------------------------------------------------
+# Session tables
+
+
+@query(
+    "a5_session_features",
+    o.gold(1800)
+    + """SELECT computed_session_id, session_duration_sec, total_events, view_count, cart_count, remove_count,
+       distinct_products, distinct_categories, avg_price_viewed, max_price_viewed,
+       CAST(is_purchased AS INTEGER) AS is_purchased FROM metrics""",
+)
+def a5_session_features(spark, sf_dir):
+    from clickweave.operators.metrics import session_features
+
+    return session_features(m.metrics(spark, sf_dir, m.TIMEOUT_SHORT))
+
+
+@query(
+    "a6_fact_sessions",
+    o.gold(1800)
+    + """SELECT computed_session_id, user_id, session_start, session_end, session_duration_sec, total_events,
+       view_count, cart_count, remove_count, purchase_count, is_purchased FROM metrics""",
+)
+def a6_fact_sessions(spark, sf_dir):
+    from clickweave.operators.metrics import fact_sessions
+
+    return fact_sessions(m.metrics(spark, sf_dir, m.TIMEOUT_SHORT))
+
+
+@query("p11_feature_store", o.gold(43200, o.FEATURE_STORE) + "SELECT * FROM features")
+def p11_feature_store(spark, sf_dir):
+    return m.features(spark, sf_dir, m.TIMEOUT_LONG)
+
+
+@query(
+    "l4_oot_split",
+    o.gold(43200, o.FEATURE_STORE)
+    + f"""SELECT computed_session_id, session_start,
+       CASE WHEN session_start < TIMESTAMP '{m.OOT_CUTOFF}' THEN 'train' ELSE 'oot' END AS data_split
+FROM features""",
+)
+def l4_oot_split(spark, sf_dir):
+    from clickweave.operators.metrics import oot_split
+
+    return oot_split(m.features(spark, sf_dir, m.TIMEOUT_LONG), m.OOT_CUTOFF).select(
+        "computed_session_id", "session_start", "data_split"
+    )
+
+
+# ---------------------------------------------------------------------------------------------
+# analytics
+
+
+@query(
+    "a11_event_frequency",
+    o.silver_chain(1800, o.FCT)
+    + """SELECT event_date, event_type, category_l1, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
+       round(sum(CASE WHEN event_type = 'purchase' THEN price END), 2) AS revenue
+FROM fct GROUP BY event_date, event_type, category_l1""",
+)
+def a11_event_frequency(spark, sf_dir):
+    from clickweave.operators.analytics import event_frequency
+
+    return event_frequency(m.fct(spark, sf_dir, m.TIMEOUT_SHORT))
+
+
+@query(
+    "a12_funnel",
+    o.silver_chain(43200)
+    + """, stages AS (
+    SELECT user_id, session_index, min(event_timestamp) AS session_start,
+           min(CASE WHEN event_type = 'view' THEN event_timestamp END) AS first_view,
+           min(CASE WHEN event_type = 'cart' THEN event_timestamp END) AS first_cart,
+           min(CASE WHEN event_type = 'purchase' THEN event_timestamp END) AS first_purchase
+    FROM silver GROUP BY user_id, session_index
+), reached AS (
+    SELECT CAST(session_start AS DATE) AS session_date, first_cart, first_purchase,
+           first_view IS NOT NULL AS r_view,
+           coalesce(first_view IS NOT NULL AND first_cart >= first_view, false) AS r_cart,
+           coalesce(first_view IS NOT NULL AND first_cart >= first_view AND first_purchase >= first_cart, false) AS r_buy
+    FROM stages
+), agg AS (
+    SELECT session_date, count(*) AS sessions,
+           CAST(count_if(r_view) AS BIGINT) AS view_sessions,
+           CAST(count_if(r_cart) AS BIGINT) AS view_cart_sessions,
+           CAST(count_if(r_buy) AS BIGINT) AS view_cart_purchase_sessions,
+           CAST(count_if(first_cart IS NOT NULL) AS BIGINT) AS any_cart_sessions,
+           CAST(count_if(first_purchase IS NOT NULL) AS BIGINT) AS any_purchase_sessions
+    FROM reached GROUP BY session_date
+)
+SELECT *, round(CAST(view_cart_sessions AS DOUBLE) / NULLIF(view_sessions, 0), 6) AS view_to_cart_rate,
+       round(CAST(view_cart_purchase_sessions AS DOUBLE) / NULLIF(view_cart_sessions, 0), 6) AS cart_to_purchase_rate,
+       round(CAST(view_cart_purchase_sessions AS DOUBLE) / NULLIF(sessions, 0), 6) AS session_conversion_rate
+FROM agg""",
+)
+def a12_funnel(spark, sf_dir):
+    from clickweave.operators.analytics import conversion_funnel
+
+    return conversion_funnel(m.silver(spark, sf_dir, m.TIMEOUT_LONG, with_sequence=False))
+
+
+@query(
+    "a13_rollup",
+    o.silver_chain(1800, o.FCT)
+    + """SELECT event_month, event_date, event_hour, count(*) AS n_events,
+       CAST(count_if(event_type = 'purchase') AS BIGINT) AS n_purchases,
+       round(sum(CASE WHEN event_type = 'purchase' THEN price END), 2) AS revenue,
+       CAST(grouping(event_month, event_date, event_hour) AS INTEGER) AS grouping_level
+FROM (SELECT strftime(event_timestamp, '%Y-%m') AS event_month, CAST(event_timestamp AS DATE) AS event_date,
+             CAST(hour(event_timestamp) AS INTEGER) AS event_hour, event_type, price FROM fct)
+GROUP BY ROLLUP (event_month, event_date, event_hour)""",
+)
+def a13_rollup(spark, sf_dir):
+    from clickweave.operators.analytics import time_rollup
+
+    return time_rollup(m.fct(spark, sf_dir, m.TIMEOUT_SHORT))
+
+
+# ---------------------------------------------------------------------------------------------
+# Incremental maintenance (DataFrame algebra over two loads of stg)
+
+_LOAD1_END = "2024-01-20"
+_LOAD2_START = "2024-01-15"
+_TGT_SQL = f"tgt AS (SELECT * FROM stg WHERE event_timestamp < TIMESTAMP '{_LOAD1_END}')"
+_UPD_SQL = (
+    f"upd AS (SELECT * REPLACE (price * 2 AS price), '2' AS load_batch FROM stg "
+    f"WHERE event_timestamp >= TIMESTAMP '{_LOAD2_START}')"
+)
+
+
+def _loads(spark, sf_dir):
+    st = m.staged(spark, sf_dir)
+    ts = F.col("event_timestamp")
+    target = st.filter(ts < F.lit(_LOAD1_END).cast("timestamp_ntz"))
+    updates = (
+        st.filter(ts >= F.lit(_LOAD2_START).cast("timestamp_ntz"))
+        .withColumn("price", F.col("price") * 2)
+        .withColumn("load_batch", F.lit("2"))
+    )
+    return st, target, updates
+
+
+@query(
+    "k4_upsert",
+    o.with_(o.CLICK, o.STG, _TGT_SQL, _UPD_SQL)
+    + """SELECT *, CAST(NULL AS VARCHAR) AS load_batch FROM tgt
+WHERE NOT EXISTS (SELECT 1 FROM upd WHERE upd.event_id = tgt.event_id)
+UNION ALL SELECT * FROM upd""",
+)
+def k4_upsert(spark, sf_dir):
+    from clickweave.operators.incremental import upsert
+
+    _, target, updates = _loads(spark, sf_dir)
+    return upsert(target, updates, "event_id")
+
+
+@query(
+    "k5_incremental",
+    o.with_(o.CLICK, o.STG, _TGT_SQL)
+    + "SELECT * FROM stg WHERE event_timestamp > (SELECT max(event_timestamp) FROM tgt)",
+)
+def k5_incremental(spark, sf_dir):
+    from clickweave.operators.incremental import incremental_filter
+
+    st, target, _ = _loads(spark, sf_dir)
+    return incremental_filter(st, target)
+
+
+@query(
+    "k5_incremental_lookback",
+    o.with_(o.CLICK, o.STG, _TGT_SQL)
+    + "SELECT * FROM stg WHERE event_timestamp > (SELECT max(event_timestamp) - INTERVAL 2 HOUR FROM tgt)",
+)
+def k5_incremental_lookback(spark, sf_dir):
+    from clickweave.operators.incremental import incremental_filter
+
+    st, target, _ = _loads(spark, sf_dir)
+    return incremental_filter(st, target, lookback="2 hours")
+
+
+@query(
+    "a10_high_water_mark",
+    o.with_(o.CLICK, o.STG, _TGT_SQL) + "SELECT max(event_timestamp) AS high_water_mark FROM tgt",
+)
+def a10_high_water_mark(spark, sf_dir):
+    from clickweave.operators.incremental import high_water_mark
+
+    _, target, _ = _loads(spark, sf_dir)
+    return high_water_mark(target)
+
+
+@query(
+    "k6_evolve",
+    o.with_(o.CLICK, o.STG, _TGT_SQL, _UPD_SQL)
+    + """SELECT *, CAST(NULL AS VARCHAR) AS load_batch FROM tgt UNION ALL SELECT * FROM upd""",
+)
+def k6_evolve(spark, sf_dir):
+    from clickweave.operators.incremental import evolve_union
+
+    _, target, updates = _loads(spark, sf_dir)
+    return evolve_union(target, updates)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickweave.operators.ingest import split_rejects
 from clickweave.operators.metrics import session_metrics
+from clickweave.operators.metrics import feature_store
 from clickweave.operators.sessions import sessionize
+from clickweave.operators.staging import stage_events
+from clickweave.operators.star import fact_events
 from clickweave.sources.driver_events import click_events
 
 TIMEOUT_SHORT = 1800
@@ -30,9 +33,36 @@ def rejected_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects
 
 
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stg_raw_events`` over the adapted click events (rejects removed, key added)."""
+    return stage_events(clicks(spark, sf_dir))
+
+
 def silver(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT, **kw) -> DataFrame:
-    return sessionize(clean_clicks(spark, sf_dir), timeout, **kw)
+    return sessionize(staged(spark, sf_dir), timeout, **kw)
+
+
+def fct(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
+    return fact_events(silver(spark, sf_dir, timeout, with_sequence=False))
 
 
 def metrics(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
     return session_metrics(silver(spark, sf_dir, timeout, with_sequence=False))
+
+
+def features(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
+    """``mart_ml_features``."""
+    return feature_store(metrics(spark, sf_dir, timeout))
+
+
+def model_input(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
+    """Feature store with the ML label as int and NULL price features imputed to 0."""
+    from pyspark.sql import functions as F
+
+    fs = features(spark, sf_dir, timeout)
+    return fs.select(
+        *[c for c in fs.columns if c not in ("avg_price_viewed", "max_price_viewed", "is_purchased")],
+        F.coalesce("avg_price_viewed", F.lit(0.0)).alias("avg_price_viewed"),
+        F.coalesce("max_price_viewed", F.lit(0.0)).alias("max_price_viewed"),
+        F.col("is_purchased").cast("int").alias("is_purchased"),
+    )

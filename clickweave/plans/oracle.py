@@ -53,10 +53,28 @@ REASON = """NULLIF(concat_ws(',',
 
 CLEAN = f"""clean AS (SELECT * FROM click WHERE {REASON} IS NULL)"""
 
+
+def surrogate_key(*parts: str) -> str:
+    texts = ", ".join(f"coalesce({p}, '_null_')" for p in parts)
+    return f"md5(concat_ws('-', {texts}))"
+
+
+_TS_TEXT = "strftime(event_timestamp, '%Y-%m-%d %H:%M:%S')"
+SPEC_KEY = surrogate_key("CAST(user_id AS VARCHAR)", _TS_TEXT, "lower(trim(event_type))")
+UNIQUE_KEY = surrogate_key("CAST(user_id AS VARCHAR)", _TS_TEXT, "lower(trim(event_type))", "CAST(src_event_id AS VARCHAR)")
+
+STG = f"""stg AS (
+    SELECT {UNIQUE_KEY} AS event_id,
+           event_timestamp, lower(trim(event_type)) AS event_type, product_id, category_id,
+           lower(trim(category_code)) AS category_code, lower(trim(brand)) AS brand,
+           CAST(price AS DOUBLE) AS price, user_id, user_session, src_event_id
+    FROM click WHERE user_id IS NOT NULL AND NOT coalesce(price < 0, false)
+)"""
+
 _ORDER = "ORDER BY event_timestamp, src_event_id"
 
 
-def silver(timeout: int, source: str = "clean") -> str:
+def silver(timeout: int, source: str = "stg") -> str:
     return f"""lagged AS (
     SELECT *, lag(event_timestamp) OVER (PARTITION BY user_id {_ORDER}) AS prev_ts
     FROM {source} WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL
@@ -98,8 +116,8 @@ METRICS = """metrics AS (
 
 FEATURE_STORE = """features AS (
     SELECT computed_session_id, user_id, session_start, session_end, session_duration_sec,
-           hour(session_start) AS hour_of_day_start,
-           dayofweek(session_start) + 1 AS day_of_week_start,
+           CAST(hour(session_start) AS INTEGER) AS hour_of_day_start,
+           CAST(dayofweek(session_start) + 1 AS INTEGER) AS day_of_week_start,
            total_events, view_count, cart_count, remove_count, distinct_products, distinct_categories,
            avg_price_viewed, max_price_viewed, is_purchased,
            strftime(session_start, '%Y-%m') AS data_partition
@@ -107,10 +125,24 @@ FEATURE_STORE = """features AS (
 )"""
 
 
+FCT = """fct AS (
+    SELECT event_id, event_timestamp, CAST(event_timestamp AS DATE) AS event_date, event_type, product_id,
+           list_extract(string_split(category_code, '.'), 1) AS category_l1,
+           list_extract(string_split(category_code, '.'), 2) AS category_l2,
+           brand, price, user_id, user_session, computed_session_id
+    FROM silver
+)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
 def gold(timeout: int, *extra: str) -> str:
-    """``WITH click, clean, silver(timeout), metrics[, extra…]``"""
-    return with_(CLICK, CLEAN, silver(timeout), METRICS, *extra)
+    """``WITH click, stg, silver(timeout), metrics[, extra…]``"""
+    return with_(CLICK, STG, silver(timeout), METRICS, *extra)
+
+
+def silver_chain(timeout: int, *extra: str) -> str:
+    """``WITH click, stg, silver(timeout)[, extra…]``"""
+    return with_(CLICK, STG, silver(timeout), *extra)
