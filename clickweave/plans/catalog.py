@@ -443,6 +443,153 @@ def k6_evolve(spark, sf_dir):
     return evolve_union(target, updates)
 
 
+# ---------------------------------------------------------------------------------------------
+# Data tests (summary rows: check_name, table_name, column_name, n_violations, passed)
+
+
+def _gold_tables(spark, sf_dir, timeout=m.TIMEOUT_SHORT):
+    from clickweave.operators.metrics import feature_store, session_metrics
+    from clickweave.operators.sessions import sessionize
+    from clickweave.operators.star import fact_events
+
+    st = m.staged(spark, sf_dir)
+    sv = sessionize(st, timeout, with_sequence=False)
+    return st, fact_events(sv), feature_store(session_metrics(sv))
+
+
+def _unique_sql(table: str, col: str, src: str) -> str:
+    return f"""SELECT 'unique' AS check_name, '{table}' AS table_name, '{col}' AS column_name,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS n_violations
+FROM (SELECT {col}, count(*) AS n FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)"""
+
+
+def _not_null_sql(table: str, cols: tuple[str, ...], src: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT 'not_null', '{table}', '{c}', CAST(count_if({c} IS NULL) AS BIGINT) FROM {src}" for c in cols
+    )
+
+
+_STG_NOT_NULL = ("event_id", "event_timestamp", "event_type", "user_id")
+_FCT_NOT_NULL = ("event_id", "event_timestamp", "user_id", "computed_session_id")
+_FEAT_NOT_NULL = ("computed_session_id", "is_purchased")
+_ACCEPTED = "('view', 'cart', 'remove_from_cart', 'purchase')"
+
+_Q1_SQL = "\nUNION ALL ".join(
+    [
+        _unique_sql("stg_raw_events", "event_id", "stg"),
+        _unique_sql("fct_events", "event_id", "fct"),
+        _unique_sql("mart_ml_features", "computed_session_id", "features"),
+    ]
+)
+_Q2_SQL = "\nUNION ALL ".join(
+    [
+        _not_null_sql("stg_raw_events", _STG_NOT_NULL, "stg"),
+        _not_null_sql("fct_events", _FCT_NOT_NULL, "fct"),
+        _not_null_sql("mart_ml_features", _FEAT_NOT_NULL, "features"),
+    ]
+)
+_Q3_SUMMARY_SQL = f"""SELECT 'accepted_values', 'stg_raw_events', 'event_type',
+       CAST(count_if(event_type IS NOT NULL AND event_type NOT IN {_ACCEPTED}) AS BIGINT) FROM stg"""
+_Q4_SQL = """SELECT 'relationships', 'fct_events', 'computed_session_id', CAST(count(*) AS BIGINT)
+FROM fct WHERE computed_session_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM features WHERE features.computed_session_id = fct.computed_session_id)"""
+_Q5_SQL = """SELECT 'non_negative_duration', 'mart_ml_features', 'session_duration_sec',
+       CAST(count_if(session_duration_sec < 0) AS BIGINT) FROM features"""
+_Q6_SUMMARY_SQL = """SELECT 'non_negative', 'bronze_events', 'price', CAST(count_if(price < 0) AS BIGINT) FROM click"""
+
+
+def _checks_sql(*parts: str) -> str:
+    body = "\nUNION ALL ".join(parts)
+    return (
+        o.gold(1800, o.FEATURE_STORE, o.FCT)
+        + f"SELECT *, n_violations = 0 AS passed FROM ({body}) AS t(check_name, table_name, column_name, n_violations)"
+    )
+
+
+@query("q1_unique", _checks_sql(_Q1_SQL))
+def q1_unique(spark, sf_dir):
+    from clickweave.operators import quality as q
+
+    st, fct, feats = _gold_tables(spark, sf_dir)
+    return q.run_checks(
+        [
+            q.check_unique(st, "event_id", "stg_raw_events"),
+            q.check_unique(fct, "event_id", "fct_events"),
+            q.check_unique(feats, "computed_session_id", "mart_ml_features"),
+        ]
+    )
+
+
+@query("q2_not_null", _checks_sql(_Q2_SQL))
+def q2_not_null(spark, sf_dir):
+    from clickweave.operators import quality as q
+
+    st, fct, feats = _gold_tables(spark, sf_dir)
+    return q.run_checks(
+        [
+            q.check_not_null(st, _STG_NOT_NULL, "stg_raw_events"),
+            q.check_not_null(fct, _FCT_NOT_NULL, "fct_events"),
+            q.check_not_null(feats, _FEAT_NOT_NULL, "mart_ml_features"),
+        ]
+    )
+
+
+@query(
+    "q3_accepted_values",
+    o.with_(o.CLICK, o.STG)
+    + f"""SELECT event_type, count(*) AS n_violations FROM stg
+WHERE event_type IS NOT NULL AND event_type NOT IN {_ACCEPTED} GROUP BY event_type""",
+)
+def q3_accepted_values(spark, sf_dir):
+    from clickweave.operators.quality import accepted_values_violations
+
+    return accepted_values_violations(m.staged(spark, sf_dir), "event_type")
+
+
+@query("q4_relationships", _checks_sql(_Q4_SQL))
+def q4_relationships(spark, sf_dir):
+    from clickweave.operators import quality as q
+
+    _, fct, feats = _gold_tables(spark, sf_dir)
+    return q.run_checks([q.check_relationship(fct, feats, "computed_session_id", "fct_events")])
+
+
+@query("q5_session_duration", _checks_sql(_Q5_SQL))
+def q5_session_duration(spark, sf_dir):
+    from clickweave.operators import quality as q
+
+    _, _, feats = _gold_tables(spark, sf_dir)
+    return q.run_checks([q.check_duration(feats, "mart_ml_features")])
+
+
+@query("q6_price", o.with_(o.CLICK) + "SELECT src_event_id, price FROM click WHERE price < 0")
+def q6_price(spark, sf_dir):
+    from clickweave.operators.quality import negative_price_violations
+
+    return negative_price_violations(m.clicks(spark, sf_dir)).select("src_event_id", "price")
+
+
+@query("q0_data_tests", _checks_sql(_Q1_SQL, _Q2_SQL, _Q3_SUMMARY_SQL, _Q4_SQL, _Q5_SQL, _Q6_SUMMARY_SQL))
+def q0_data_tests(spark, sf_dir):
+    from clickweave.operators import quality as q
+
+    st, fct, feats = _gold_tables(spark, sf_dir)
+    return q.run_checks(
+        [
+            q.check_unique(st, "event_id", "stg_raw_events"),
+            q.check_unique(fct, "event_id", "fct_events"),
+            q.check_unique(feats, "computed_session_id", "mart_ml_features"),
+            q.check_not_null(st, _STG_NOT_NULL, "stg_raw_events"),
+            q.check_not_null(fct, _FCT_NOT_NULL, "fct_events"),
+            q.check_not_null(feats, _FEAT_NOT_NULL, "mart_ml_features"),
+            q.check_accepted_values(st, "event_type", "stg_raw_events"),
+            q.check_relationship(fct, feats, "computed_session_id", "fct_events"),
+            q.check_duration(feats, "mart_ml_features"),
+            q.check_non_negative(m.clicks(spark, sf_dir), "price", "bronze_events"),
+        ]
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)
