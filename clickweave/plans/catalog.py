@@ -168,6 +168,51 @@ def w6_dedup_keep_first(spark, sf_dir):
     )
 
 
+_BRONZE_COLS = (
+    "event_timestamp", "event_type", "product_id", "category_id", "category_code", "brand", "price", "user_id",
+    "user_session", "event_date",
+)
+
+
+@query(
+    "s1_csv_ingest",
+    o.with_(o.CLICK, o.CLEAN)
+    + """SELECT CAST(date_trunc('second', event_timestamp) AS TIMESTAMP) AS event_timestamp, event_type, product_id,
+       category_id, category_code, brand, CAST(price AS FLOAT) AS price, CAST(user_id AS INTEGER) AS user_id,
+       user_session, CAST(event_timestamp AS DATE) AS event_date
+FROM clean""",
+)
+def s1_csv_ingest(spark, sf_dir):
+    """Driver events rendered as raw gzip CSV in the scratch folder, then the full bronze path:
+    PERMISSIVE read with the fixed schema, staged parse, reject split, time parse, event_date."""
+    from clickweave.plans.bronze import bronze_frames
+    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.sources.driver_events import write_raw_csv
+
+    ensure_checkpoint_dir(spark)
+    csv_dir = scratch_path(spark, "raw-csv")
+    write_raw_csv(m.clicks(spark, sf_dir), csv_dir)
+    return bronze_frames(spark, csv_dir).clean.select(*_BRONZE_COLS)
+
+
+@query(
+    "s1_csv_rejects",
+    o.with_(o.CLICK)
+    + f"""SELECT CAST(product_id AS INTEGER) AS product_id, CAST(price AS FLOAT) AS price,
+       CAST(user_id AS INTEGER) AS user_id, {o.REASON} AS reject_reason
+FROM click WHERE {o.REASON} IS NOT NULL""",
+)
+def s1_csv_rejects(spark, sf_dir):
+    from clickweave.plans.bronze import bronze_frames
+    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.sources.driver_events import write_raw_csv
+
+    ensure_checkpoint_dir(spark)
+    csv_dir = scratch_path(spark, "raw-csv")
+    write_raw_csv(m.clicks(spark, sf_dir), csv_dir)
+    return bronze_frames(spark, csv_dir).rejects.select("product_id", "price", "user_id", "reject_reason")
+
+
 # ---------------------------------------------------------------------------------------------
 # Star schema: P9, P15, J1, J2, A7, A8
 
