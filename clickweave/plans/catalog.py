@@ -635,6 +635,163 @@ def q0_data_tests(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------------------------------------
+# ML
+
+_AUC_TAIL = """, r AS (
+    SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS ar FROM sc
+), t AS (
+    SELECT CAST(count_if(y) AS BIGINT) AS n_pos, CAST(count_if(NOT y) AS BIGINT) AS n_neg,
+           sum(CASE WHEN y THEN ar ELSE 0 END) AS rs FROM r
+)
+SELECT n_pos, n_neg, round(CAST(rs - n_pos * (n_pos + 1) / 2.0 AS DOUBLE) / (CAST(n_pos AS DOUBLE) * n_neg), 9) AS roc_auc
+FROM t"""
+
+
+@query(
+    "l7_auc",
+    o.with_(o.CLICK, o.STG)
+    + """, sc AS (SELECT CAST(price AS DOUBLE) AS s, event_type = 'purchase' AS y FROM stg
+       WHERE price IS NOT NULL AND event_type IS NOT NULL)"""
+    + _AUC_TAIL,
+)
+def l7_auc(spark, sf_dir):
+    """Exact ROC-AUC of price as a purchase score over all staged events (DataFrame form)."""
+    from clickweave.operators.ml import roc_auc_frame
+
+    st = m.staged(spark, sf_dir).withColumn("is_purchase", F.col("event_type") == "purchase")
+    return roc_auc_frame(st, "price", "is_purchase")
+
+
+@query(
+    "l7_session_auc",
+    o.gold(43200, o.FEATURE_STORE)
+    + """, sc AS (SELECT CAST(view_count AS DOUBLE) AS s, is_purchased AS y FROM features)"""
+    + _AUC_TAIL,
+)
+def l7_session_auc(spark, sf_dir):
+    """Exact ROC-AUC of a one-feature session score (view count) against the purchase label."""
+    from clickweave.operators.ml import roc_auc_frame
+
+    return roc_auc_frame(m.features(spark, sf_dir, m.TIMEOUT_LONG), "view_count", "is_purchased")
+
+
+def _drift_sql() -> str:
+    from clickweave.sources.schema import FEATURE_COLUMNS
+
+    long = "\n    UNION ALL ".join(
+        f"SELECT data_split, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM fs" for c in FEATURE_COLUMNS
+    )
+    return o.gold(43200, o.FEATURE_STORE) + f""", fs AS (
+    SELECT *, CASE WHEN session_start < TIMESTAMP '{m.OOT_CUTOFF}' THEN 'train' ELSE 'oot' END AS data_split
+    FROM features
+), long AS (
+    {long}
+), ranges AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM long GROUP BY feature
+), binned AS (
+    SELECT data_split, feature,
+           CAST(CASE WHEN value IS NULL THEN -1 WHEN hi - lo <= 0 THEN 0
+                     ELSE least(floor((value - lo) / (hi - lo) * 10), 9) END AS INTEGER) AS bin
+    FROM long JOIN ranges USING (feature)
+), counts AS (
+    SELECT feature, bin, count_if(data_split = 'train') AS n_base, count_if(data_split = 'oot') AS n_cur
+    FROM binned GROUP BY feature, bin
+), totals AS (SELECT feature, sum(n_base) AS t_base, sum(n_cur) AS t_cur FROM counts GROUP BY feature)
+SELECT feature,
+       round(sum((n_cur / t_cur - n_base / t_base) * ln((n_cur / t_cur + 1e-6) / (n_base / t_base + 1e-6))), 6) AS psi,
+       CAST(sum(n_base) AS BIGINT) AS n_base, CAST(sum(n_cur) AS BIGINT) AS n_cur
+FROM counts JOIN totals USING (feature) GROUP BY feature"""
+
+
+@query("l9_drift", _drift_sql())
+def l9_drift(spark, sf_dir):
+    from clickweave.operators.metrics import oot_split
+    from clickweave.operators.ml import drift_psi
+
+    return drift_psi(oot_split(m.features(spark, sf_dir, m.TIMEOUT_LONG), m.OOT_CUTOFF))
+
+
+def _oot_frames(spark, sf_dir):
+    from clickweave.operators.ml import prepare, temporal_split
+
+    return temporal_split(prepare(m.features(spark, sf_dir, m.TIMEOUT_LONG)), m.OOT_CUTOFF)
+
+
+@query("l1_gbt_scores")
+def l1_gbt_scores(spark, sf_dir):
+    """L1 + L5 + L6: fit the GBT pipeline on the training period, score the out-of-time sessions."""
+    from clickweave.operators import ml
+
+    train, oot = _oot_frames(spark, sf_dir)
+    return ml.score(ml.fit(ml.build_gbt(), train), oot)
+
+
+@query("l2_rf_scores")
+def l2_rf_scores(spark, sf_dir):
+    from clickweave.operators import ml
+
+    train, oot = _oot_frames(spark, sf_dir)
+    return ml.score(ml.fit(ml.build_random_forest(), train), oot)
+
+
+@query("l3_random_split")
+def l3_random_split(spark, sf_dir):
+    from clickweave.operators import ml
+
+    train, _ = _oot_frames(spark, sf_dir)
+    tr, va = ml.random_split(train)
+    return tr.select("computed_session_id", F.lit("train").alias("split")).unionByName(
+        va.select("computed_session_id", F.lit("validation").alias("split"))
+    )
+
+
+@query("l3_hash_split")
+def l3_hash_split(spark, sf_dir):
+    from clickweave.operators import ml
+
+    train, _ = _oot_frames(spark, sf_dir)
+    tr, va = ml.hash_split(train)
+    return tr.select("computed_session_id", F.lit("train").alias("split")).unionByName(
+        va.select("computed_session_id", F.lit("validation").alias("split"))
+    )
+
+
+@query("l5_validation_auc")
+def l5_validation_auc(spark, sf_dir):
+    """Fit on 80 % of the training period, exact ROC/PR-AUC on the other 20 %."""
+    from clickweave.operators import ml
+
+    train, _ = _oot_frames(spark, sf_dir)
+    tr, va = ml.hash_split(train)
+    model = ml.fit(ml.build_gbt(), tr)
+    return ml.metrics_report(spark, ml.evaluate(ml.score(model, va)), [])
+
+
+@query("l8_feature_importance")
+def l8_feature_importance(spark, sf_dir):
+    from clickweave.operators import ml
+
+    train, _ = _oot_frames(spark, sf_dir)
+    return ml.importance_frame(spark, ml.fit(ml.build_gbt(), train))
+
+
+@query("k11_oot_report")
+def k11_oot_report(spark, sf_dir):
+    """E4 end to end: train, save (K10), load (S6), score out-of-time, evaluate (L7), importances
+    (L8), JSON report (K11) — the report is returned as read back from the written JSON."""
+    from clickweave.operators import ml
+    from clickweave.session import ensure_checkpoint_dir, scratch_path
+
+    ensure_checkpoint_dir(spark)
+    train, oot = _oot_frames(spark, sf_dir)
+    model_dir, report_dir = scratch_path(spark, "model"), scratch_path(spark, "report")
+    ml.save_model(ml.fit(ml.build_gbt(), train), model_dir)
+    model = ml.load_model(model_dir)
+    report = ml.metrics_report(spark, ml.evaluate(ml.score(model, oot)), ml.feature_importance(model))
+    ml.write_metrics(report, report_dir)
+    return spark.read.json(report_dir)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)
