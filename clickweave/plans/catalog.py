@@ -792,6 +792,44 @@ def k11_oot_report(spark, sf_dir):
     return spark.read.json(report_dir)
 
 
+# ---------------------------------------------------------------------------------------------
+# Gap sessions by session_window (the streaming operator, run here on the static table)
+
+
+@query(
+    "t1_session_window",
+    o.with_(o.CLICK, o.STG)
+    + """, lg AS (
+    SELECT *, lag(event_timestamp) OVER (PARTITION BY user_id ORDER BY event_timestamp, src_event_id) AS prev_ts
+    FROM stg WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL
+), fl AS (
+    SELECT *, CASE WHEN prev_ts IS NULL OR epoch_us(event_timestamp) - epoch_us(prev_ts) > 1800000000
+                   THEN 1 ELSE 0 END AS f FROM lg
+), ix AS (
+    SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY event_timestamp, src_event_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sidx FROM fl
+)
+SELECT CAST(user_id AS VARCHAR) || '@' || strftime(min(event_timestamp), '%Y-%m-%dT%H:%M:%S.%f') AS stream_session_id,
+       user_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end,
+       date_diff('second', min(event_timestamp), max(event_timestamp)) AS session_duration_sec,
+       count(*) AS total_events,
+       CAST(count_if(event_type = 'view') AS BIGINT) AS view_count,
+       CAST(count_if(event_type = 'cart') AS BIGINT) AS cart_count,
+       CAST(count_if(event_type = 'remove_from_cart') AS BIGINT) AS remove_count,
+       CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_count,
+       count(DISTINCT product_id) AS distinct_products,
+       count(DISTINCT category_code) AS distinct_categories,
+       round(avg(CASE WHEN event_type = 'view' THEN price END), 6) AS avg_price_viewed,
+       max(CASE WHEN event_type = 'view' THEN price END) AS max_price_viewed,
+       count_if(event_type = 'purchase') > 0 AS is_purchased
+FROM ix GROUP BY user_id, sidx""",
+)
+def t1_session_window(spark, sf_dir):
+    from clickweave.streaming.sessions import session_window_metrics
+
+    return session_window_metrics(m.staged(spark, sf_dir), "30 minutes")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)
