@@ -9,12 +9,16 @@ sequence numbers are deterministic.
 
 Scale: a window partitioned by ``user_id`` puts one user's whole history into one task, which a
 bot holding a large share of all rows turns into a straggler (or an OOM). ``sessionize`` therefore
-windows over ``(user_id, time chunk)`` and stitches chunk borders from a per-chunk summary:
+cuts each user's timeline into chunks of width ``W <= timeout``. Two events of one chunk are less
+than ``W`` apart, so a session can never start inside a chunk — only at a chunk's first event.
+Hence:
 
-1. one hash exchange of events on ``(user_id, chunk)``, then per-chunk ``lag``/running sums;
-2. a partial+final aggregate of that output to one row per chunk (no new exchange);
-3. a window per user over the chunk rows only (size ~ time span / chunk width, not events);
-4. a join of the chunk offsets back on ``(user_id, chunk)`` (the event side keeps its partitioning).
+1. a grouped aggregate per ``(user_id, chunk)`` — min/max second and count, combined map-side, so
+   the shuffle carries one row per chunk and map task, never the events;
+2. a window per user over those chunk rows only (at most time span / W rows per user, whatever the
+   user's event volume): chunk-start flag, session index, events before the chunk;
+3. one join of the chunk table back to the events on ``(user_id, chunk)``; the events keep that
+   hash partitioning, and the optional per-chunk window (``idle_seconds``, ``event_seq``) reuses it.
 
 The result is identical to the single-window definition (tested), for any chunk width.
 """
@@ -47,81 +51,54 @@ def sessionize(
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
     with_sequence: bool = True,
 ) -> DataFrame:
-    """Add ``idle_seconds``, ``session_flag``, ``session_index``, ``computed_session_id`` and (with
-    ``with_sequence``) ``event_seq`` (1-based position in the session, W5).
+    """Add ``session_index``, ``computed_session_id`` and, with ``with_sequence`` (default),
+    ``idle_seconds``, ``session_flag`` and ``event_seq`` (1-based position in the session, W5).
+    Without it no per-event window (and no sort of the events) is planned.
 
     Rows with a NULL user or NULL time cannot be placed in a session and are dropped (D10); count
     them with ``unsessionizable``.
     """
-    if chunk_seconds <= 0:
-        raise ValueError("chunk_seconds must be positive")
+    if chunk_seconds <= 0 or timeout_seconds < 0:
+        raise ValueError("chunk_seconds must be positive and timeout_seconds non-negative")
+    width = max(1, min(chunk_seconds, timeout_seconds)) if timeout_seconds > 0 else 1
     base = (
         df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
         .withColumn("_sec", epoch_seconds(ts_col))
-        .withColumn("_chunk", F.floor(F.col("_sec") / F.lit(chunk_seconds)))
+        .withColumn("_chunk", F.floor(F.col("_sec") / F.lit(width)))
     )
 
-    # 1. inside a chunk: previous event, flag of every non-first row, running flag count, the
-    #    row number of the latest session start at or before each row.
-    w = Window.partitionBy(user_col, "_chunk").orderBy(ts_col, order_col)
-    w_run = w.rowsBetween(_UNB, Window.currentRow)
-    step = (
-        base.withColumn("_prev", F.lag("_sec").over(w))
-        .withColumn("_rn", F.row_number().over(w))
-        .withColumn(
-            "_iflag",
-            F.when(F.col("_prev").isNotNull() & (F.col("_sec") - F.col("_prev") > timeout_seconds), 1).otherwise(0),
-        )
-        .withColumn("_icum", F.sum("_iflag").over(w_run))
-        .withColumn(
-            "_seg_rn",
-            F.max(F.when((F.col("_iflag") == 1) | (F.col("_rn") == 1), F.col("_rn"))).over(w_run),
-        )
-    )
-
-    # 2-3. one row per chunk, then a per-user window over chunks only.
+    # 1-2. one row per chunk, then a per-user window over chunks only.
     wu = Window.partitionBy(user_col).orderBy("_chunk")
-    before = wu.rowsBetween(_UNB, -1)
+    upto = wu.rowsBetween(_UNB, Window.currentRow)
     chunks = (
-        step.groupBy(user_col, "_chunk")
-        .agg(
-            F.min("_sec").alias("_c_min"),
-            F.max("_sec").alias("_c_max"),
-            F.count(F.lit(1)).alias("_c_n"),
-            F.sum("_iflag").alias("_c_iflags"),
-            F.max(F.when(F.col("_iflag") == 1, F.col("_rn"))).alias("_c_last_inner_rn"),
-        )
+        base.groupBy(user_col, "_chunk")
+        .agg(F.min("_sec").alias("_c_min"), F.max("_sec").alias("_c_max"), F.count(F.lit(1)).alias("_c_n"))
         .withColumn("_c_prev_max", F.lag("_c_max").over(wu))
-        .withColumn("_c_fflag", _flag(F.col("_c_min") - F.col("_c_prev_max"), timeout_seconds))
-        .withColumn("_c_idx0", F.coalesce(F.sum(F.col("_c_fflag") + F.col("_c_iflags")).over(before), F.lit(0)))
-        .withColumn("_c_rank0", F.coalesce(F.sum("_c_n").over(before), F.lit(0)))
-        .withColumn(
-            "_c_last_start",
-            F.when(F.col("_c_last_inner_rn").isNotNull(), F.col("_c_rank0") + F.col("_c_last_inner_rn")).when(
-                F.col("_c_fflag") == 1, F.col("_c_rank0") + 1
-            ),
-        )
-        .withColumn("_c_carry_start", F.max("_c_last_start").over(before))
-        .select(user_col, "_chunk", "_c_prev_max", "_c_fflag", "_c_idx0", "_c_rank0", "_c_carry_start")
+        .withColumn("_c_flag", _flag(F.col("_c_min") - F.col("_c_prev_max"), timeout_seconds))
+        .withColumn("_c_index", F.sum("_c_flag").over(upto))
+        .withColumn("_c_rank0", F.sum("_c_n").over(upto) - F.col("_c_n"))
+        .withColumn("_c_start_rank", F.max(F.when(F.col("_c_flag") == 1, F.col("_c_rank0") + 1)).over(upto))
+        .select(user_col, "_chunk", "_c_prev_max", "_c_flag", "_c_index", "_c_rank0", "_c_start_rank")
     )
 
-    # 4. stitch.
-    first = F.col("_rn") == 1
-    out = step.join(chunks, [user_col, "_chunk"], "inner")
-    out = (
-        out.withColumn(
-            "idle_seconds",
-            F.when(first, F.col("_sec") - F.col("_c_prev_max")).otherwise(F.col("_sec") - F.col("_prev")),
-        )
-        .withColumn("session_flag", F.when(first, F.col("_c_fflag")).otherwise(F.col("_iflag")))
-        .withColumn("session_index", (F.col("_c_idx0") + F.col("_c_fflag") + F.col("_icum")).cast("bigint"))
-        .withColumn("computed_session_id", session_id(user_col, "session_index"))
+    # 3. attach to the events.
+    out = base.join(chunks, [user_col, "_chunk"], "inner")
+    out = out.withColumn("session_index", F.col("_c_index").cast("bigint")).withColumn(
+        "computed_session_id", session_id(user_col, "session_index")
     )
     if with_sequence:
-        start_rank = F.when(
-            (F.col("_icum") > 0) | (F.col("_c_fflag") == 1), F.col("_c_rank0") + F.col("_seg_rn")
-        ).otherwise(F.col("_c_carry_start"))
-        out = out.withColumn("event_seq", (F.col("_c_rank0") + F.col("_rn") - start_rank + 1).cast("bigint"))
+        w = Window.partitionBy(user_col, "_chunk").orderBy(ts_col, order_col)
+        first = F.col("_rn") == 1
+        out = (
+            out.withColumn("_rn", F.row_number().over(w))
+            .withColumn("_prev", F.lag("_sec").over(w))
+            .withColumn(
+                "idle_seconds",
+                F.when(first, F.col("_sec") - F.col("_c_prev_max")).otherwise(F.col("_sec") - F.col("_prev")),
+            )
+            .withColumn("session_flag", F.when(first, F.col("_c_flag")).otherwise(F.lit(0)))
+            .withColumn("event_seq", (F.col("_c_rank0") + F.col("_rn") - F.col("_c_start_rank") + 1).cast("bigint"))
+        )
     return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
 
 

@@ -48,12 +48,12 @@ _SILVER_SQL_COLS = ", ".join(_SILVER_COLS)
 
 @query("w4_sessionize_30m", o.silver_chain(1800) + f"SELECT {_SILVER_SQL_COLS} FROM silver")
 def w4_sessionize_30m(spark, sf_dir):
-    return m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False).select(*_SILVER_COLS)
+    return m.silver(spark, sf_dir, m.TIMEOUT_SHORT).select(*_SILVER_COLS)
 
 
 @query("w4_sessionize_12h", o.silver_chain(43200) + f"SELECT {_SILVER_SQL_COLS} FROM silver")
 def w4_sessionize_12h(spark, sf_dir):
-    return m.silver(spark, sf_dir, m.TIMEOUT_LONG, with_sequence=False).select(*_SILVER_COLS)
+    return m.silver(spark, sf_dir, m.TIMEOUT_LONG).select(*_SILVER_COLS)
 
 
 @query(
