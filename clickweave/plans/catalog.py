@@ -830,6 +830,98 @@ def t1_session_window(spark, sf_dir):
     return session_window_metrics(m.staged(spark, sf_dir), "30 minutes")
 
 
+# ---------------------------------------------------------------------------------------------
+# H1, P14, S5, U1, K12, T2
+
+
+@query(
+    "h1_incremental_sessions",
+    o.silver_chain(1800) + f"SELECT {_SILVER_SQL_COLS} FROM silver",
+)
+def h1_incremental_sessions(spark, sf_dir):
+    """Two loads (before / from 2024-01-20): the second is sessionized against the per-user state of
+    the first (last time, last index). The union equals sessionizing everything at once."""
+    st = m.staged(spark, sf_dir)
+    cut = F.lit(_LOAD1_END).cast("timestamp_ntz")
+    first = ses.sessionize(st.filter(F.col("event_timestamp") < cut), m.TIMEOUT_SHORT)
+    second = ses.sessionize_incremental(
+        st.filter(F.col("event_timestamp") >= cut), ses.session_state(first), m.TIMEOUT_SHORT
+    )
+    return first.select(*_SILVER_COLS).unionByName(second.select(*_SILVER_COLS))
+
+
+@query(
+    "p14_year_month",
+    o.silver_chain(1800)
+    + """SELECT event_id, computed_session_id, CAST(year(event_timestamp) AS INTEGER) AS event_year,
+       CAST(month(event_timestamp) AS INTEGER) AS event_month FROM silver""",
+)
+def p14_year_month(spark, sf_dir):
+    sv = ses.with_year_month(m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False))
+    return sv.select("event_id", "computed_session_id", "event_year", "event_month")
+
+
+_S5_SQL = """SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users
+FROM bronze_events GROUP BY event_type"""
+
+
+@query("s5_bronze_view", o.with_(o.CLICK) + _S5_SQL.replace("bronze_events", "click"))
+def s5_bronze_view(spark, sf_dir):
+    """The click table exposed by name as a temp view and queried with Spark SQL."""
+    from clickweave.sources.tables import register
+
+    register(m.clicks(spark, sf_dir), "bronze_events")
+    return spark.sql(_S5_SQL)
+
+
+@query(
+    "u1_batch_union",
+    o.with_(o.CLICK, o.STG, _TGT_SQL)
+    + f"""SELECT * FROM tgt UNION ALL
+SELECT * FROM stg WHERE event_timestamp >= TIMESTAMP '{_LOAD2_START}'""",
+)
+def u1_batch_union(spark, sf_dir):
+    """Appending batches is a bag union (overlapping loads keep both copies)."""
+    st, target, _ = _loads(spark, sf_dir)
+    return target.unionByName(st.filter(F.col("event_timestamp") >= F.lit(_LOAD2_START).cast("timestamp_ntz")))
+
+
+@query("k12_scored_sessions")
+def k12_scored_sessions(spark, sf_dir):
+    """Out-of-time sessions scored by the trained model, written as the predictions table
+    (partitioned by data_partition) and read back."""
+    from clickweave.operators import ml
+    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.sinks.tables import write_predictions
+
+    ensure_checkpoint_dir(spark)
+    train, oot = _oot_frames(spark, sf_dir)
+    scored = ml.score(ml.fit(ml.build_gbt(), train), oot, keep=("computed_session_id", "data_partition"))
+    path = scratch_path(spark, "predictions")
+    write_predictions(scored, path)
+    return spark.read.parquet(path)
+
+
+@query("t2_stream_scores")
+def t2_stream_scores(spark, sf_dir):
+    """T1 + T2 as a real stream: staged events land as Parquet files in the scratch folder, a
+    file-source stream builds gap sessions with a watermark and appends scored closed sessions to
+    a Parquet sink (run to completion with an available-now trigger)."""
+    from clickweave.operators import ml
+    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.streaming.sessions import start_scoring_stream
+
+    ensure_checkpoint_dir(spark)
+    train, _ = _oot_frames(spark, sf_dir)
+    model = ml.fit(ml.build_gbt(), train)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
+    m.staged(spark, sf_dir).write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    q = start_scoring_stream(stream, model, sink, ckpt, watermark="2 hours", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)

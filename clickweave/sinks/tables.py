@@ -162,3 +162,8 @@ def write_silver(silver: DataFrame, path: str, *, mode: str = "overwrite") -> No
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("event_year", "event_month").parquet(path)
 
+
+
+def write_predictions(scored: DataFrame, path: str, partition_cols: Sequence[str] = ("data_partition",)) -> None:
+    """The scored-session table (``gold_session_predictions``), partitions replaced per run."""
+    replace_partitions(scored, path, [c for c in partition_cols if c in scored.columns])
