@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -124,20 +124,24 @@ def roc_auc_frame(df: DataFrame, score_col: str, label_col: str, *, buckets: int
     """L7 as a DataFrame: exact ROC-AUC (ties count one half) = Σ pos(s)·(neg(<s) + neg(s)/2) / (P·N).
 
     Distributed: rows are first reduced to one row per distinct score (map-side combined); the
-    scores are cut into ``buckets`` equal-width ranges; negatives below a score = the negatives of
-    all lower buckets (a prefix over at most ``buckets`` rows, broadcast — its size is the
-    parameter, not the data) + the lower scores inside its own bucket (a window per bucket).
-    Returns one row: ``n_pos``, ``n_neg``, ``roc_auc``."""
+    distinct scores are cut into about ``buckets`` ranges at approximate quantiles (computed once,
+    a list of at most ``buckets`` numbers, then a binary-search ``Bucketizer``; any monotone cut
+    keeps the result exact, quantiles keep the ranges balanced);
+    negatives below a score = the negatives of all lower buckets (a prefix over at most
+    ``buckets`` rows, broadcast — its size is the parameter, not the data) + the lower scores inside
+    its own bucket (a window per bucket). Returns one row: ``n_pos``, ``n_neg``, ``roc_auc``."""
     s = df.select(F.col(score_col).cast("double").alias("s"), F.col(label_col).cast("boolean").alias("y")).filter(
         F.col("s").isNotNull() & F.col("y").isNotNull()
     )
     per = s.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
-    rng = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    b = F.when(width <= 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("s") - F.col("lo")) / width * F.lit(buckets)), F.lit(buckets - 1))
-    )
-    per = per.crossJoin(F.broadcast(rng)).withColumn("b", b.cast("int")).drop("lo", "hi")
+    qs = [i / buckets for i in range(1, buckets)]
+    edges = per.agg(F.percentile_approx("s", qs, 10 * buckets).alias("e")).first()["e"] if qs else None
+    splits = [float("-inf"), *sorted({e for e in (edges or []) if e is not None}), float("inf")]
+    if len(splits) < 3:
+        per = per.withColumn("b", F.lit(0))
+    else:
+        per = Bucketizer(splits=splits, inputCol="s", outputCol="_b").transform(per)
+        per = per.withColumn("b", F.col("_b").cast("int")).drop("_b")
     offsets = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
     offsets = offsets.withColumn(
         "neg_before_bucket", F.coalesce(F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from clickweave.functions.columns import epoch_seconds, session_id
 
 DEFAULT_TIMEOUT_SECONDS = 1800
-DEFAULT_CHUNK_SECONDS = 3600
+DEFAULT_CHUNK_SECONDS = 900
 
 _UNB = Window.unboundedPreceding
 
