@@ -60,9 +60,11 @@ def parse_event_time(df: DataFrame, *, src_col: str = "event_time", pattern: str
     return df.withColumn("event_timestamp", utc_wall).drop(src_col)
 
 
-def rebalance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def rebalance(df: DataFrame, num_partitions: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Balance output files. With a number, a round-robin ``repartition(n)`` as in the
-    reference; without, a ``REBALANCE`` hint that AQE sizes from the measured data."""
+    reference; without, a ``REBALANCE`` hint that AQE sizes from the measured data. ``by`` (the
+    table's partition columns) keeps each output directory in few files; AQE still splits a hot
+    value (a big day) over several tasks."""
     if num_partitions:
         return df.repartition(num_partitions)
-    return df.hint("rebalance")
+    return df.hint("rebalance", *by) if by else df.hint("rebalance")

@@ -42,7 +42,7 @@ def bronze_frames(
     clean, rejects = split_rejects(staged, extra_rules=extra_rules, strict_reference_nulls=strict_reference_nulls)
     clean = clean.drop("event_time_text").withColumn("event_date", F.to_date("event_timestamp"))
     rejects = rejects.drop("event_timestamp")
-    return BronzeResult(rebalance(clean, num_partitions), rejects)
+    return BronzeResult(rebalance(clean, num_partitions, by=("event_date",)), rejects)
 
 
 def ingest(
