@@ -45,13 +45,10 @@ def incremental_filter(
     lookback: str | None = None,
 ) -> DataFrame:
     """Rows of ``incoming`` newer than the target's high-water mark (all rows when the
-    target is empty). The mark is a one-row global aggregate, so the cross join is a broadcast of
-    exactly one row. As specified the filter is strict ``>``; it misses rows at the mark and
+    target is empty). The mark is a scalar subquery (``DataFrame.scalar()``): one global aggregate
+    executed once, no join. As specified the filter is strict ``>``; it misses rows at the mark and
     late rows (D8). ``lookback`` (e.g. ``'2 hours'``) widens the window to ``> mark - lookback``;
     combine with ``upsert`` on a unique key to absorb the re-read rows."""
-    mark = high_water_mark(target, ts_col)
-    bound = F.col("high_water_mark")
-    if lookback:
-        bound = bound - F.expr(f"INTERVAL {lookback}")
-    joined = incoming.crossJoin(F.broadcast(mark))
-    return joined.filter(bound.isNull() | (F.col(ts_col) > bound)).drop("high_water_mark")
+    mark = target.select(F.max(ts_col)).scalar()
+    bound = mark - F.expr(f"INTERVAL {lookback}") if lookback else mark
+    return incoming.filter(mark.isNull() | (F.col(ts_col) > bound))

@@ -61,45 +61,50 @@ def sessionize(
     if chunk_seconds <= 0 or timeout_seconds < 0:
         raise ValueError("chunk_seconds must be positive and timeout_seconds non-negative")
     width = max(1, min(chunk_seconds, timeout_seconds)) if timeout_seconds > 0 else 1
-    base = (
-        df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
-        .withColumn("_sec", epoch_seconds(ts_col))
-        .withColumn("_chunk", F.floor(F.col("_sec") / F.lit(width)))
+    sec = epoch_seconds(ts_col)
+    base = df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).withColumns(
+        {"_sec": sec, "_chunk": F.floor(sec / F.lit(width))}
     )
 
     # 1-2. one row per chunk, then a per-user window over chunks only.
     wu = Window.partitionBy(user_col).orderBy("_chunk")
     upto = wu.rowsBetween(_UNB, Window.currentRow)
+    flag = _flag(F.col("_c_min") - F.lag("_c_max").over(wu), timeout_seconds)
     chunks = (
         base.groupBy(user_col, "_chunk")
         .agg(F.min("_sec").alias("_c_min"), F.max("_sec").alias("_c_max"), F.count(F.lit(1)).alias("_c_n"))
-        .withColumn("_c_prev_max", F.lag("_c_max").over(wu))
-        .withColumn("_c_flag", _flag(F.col("_c_min") - F.col("_c_prev_max"), timeout_seconds))
-        .withColumn("_c_index", F.sum("_c_flag").over(upto))
-        .withColumn("_c_rank0", F.sum("_c_n").over(upto) - F.col("_c_n"))
-        .withColumn("_c_start_rank", F.max(F.when(F.col("_c_flag") == 1, F.col("_c_rank0") + 1)).over(upto))
-        .select(user_col, "_chunk", "_c_prev_max", "_c_flag", "_c_index", "_c_rank0", "_c_start_rank")
+        .select(
+            user_col, "_chunk", "_c_n",
+            F.lag("_c_max").over(wu).alias("_c_prev_max"),
+            flag.alias("_c_flag"),
+            (F.sum("_c_n").over(upto) - F.col("_c_n")).alias("_c_rank0"),
+        )
+        .select(
+            user_col, "_chunk", "_c_prev_max", "_c_flag", "_c_rank0",
+            F.sum("_c_flag").over(upto).alias("_c_index"),
+            F.max(F.when(F.col("_c_flag") == 1, F.col("_c_rank0") + 1)).over(upto).alias("_c_start_rank"),
+        )
     )
 
     # 3. attach to the events.
     out = base.join(chunks, [user_col, "_chunk"], "inner")
-    out = out.withColumn("session_index", F.col("_c_index").cast("bigint")).withColumn(
-        "computed_session_id", session_id(user_col, "session_index")
-    )
+    index = F.col("_c_index").cast("bigint")
+    cols = {"session_index": index, "computed_session_id": session_id(user_col, index)}
     if with_sequence:
         w = Window.partitionBy(user_col, "_chunk").orderBy(ts_col, order_col)
-        first = F.col("_rn") == 1
-        out = (
-            out.withColumn("_rn", F.row_number().over(w))
-            .withColumn("_prev", F.lag("_sec").over(w))
-            .withColumn(
-                "idle_seconds",
-                F.when(first, F.col("_sec") - F.col("_c_prev_max")).otherwise(F.col("_sec") - F.col("_prev")),
-            )
-            .withColumn("session_flag", F.when(first, F.col("_c_flag")).otherwise(F.lit(0)))
-            .withColumn("event_seq", (F.col("_c_rank0") + F.col("_rn") - F.col("_c_start_rank") + 1).cast("bigint"))
+        rn = F.row_number().over(w)
+        first = rn == 1
+        cols.update(
+            {
+                "idle_seconds": F.when(first, F.col("_sec") - F.col("_c_prev_max")).otherwise(
+                    F.col("_sec") - F.lag("_sec").over(w)
+                ),
+                "session_flag": F.when(first, F.col("_c_flag")).otherwise(F.lit(0)),
+                "event_seq": (F.col("_c_rank0") + rn - F.col("_c_start_rank") + 1).cast("bigint"),
+            }
         )
-    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
+    out = out.withColumns(cols)
+    return out.select(*[c for c in out.columns if not (c.startswith("_") and c not in df.columns)])
 
 
 def sessionize_by_user(

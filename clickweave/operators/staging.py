@@ -46,24 +46,28 @@ def stage_events(
     same-type events of a user in one second collide, R5); rows with NULL user or negative price
     removed (null-safe)."""
     extra = [c for c in extra_key_cols if c in bronze.columns]
-    typed = bronze.select(
-        F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
-        normalized("event_type").alias("event_type"),
-        F.col("product_id").cast("int").alias("product_id"),
-        F.col("category_id").cast("string").alias("category_id"),
-        normalized("category_code").alias("category_code"),
-        normalized("brand").alias("brand"),
-        F.col("price").cast("double").alias("price"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.col("user_session").cast("string").alias("user_session"),
-        *[F.col(c) for c in (["src_event_id"] if "src_event_id" in bronze.columns else [])],
-    )
-    keyed = typed.withColumn(
-        "event_id", surrogate_key([*SURROGATE_KEY_COLUMNS, *extra], time_cols=("event_timestamp",))
-    )
+    typed = {
+        "event_timestamp": F.col("event_timestamp").cast("timestamp_ntz"),
+        "event_type": normalized("event_type"),
+        "product_id": F.col("product_id").cast("int"),
+        "category_id": F.col("category_id").cast("string"),
+        "category_code": normalized("category_code"),
+        "brand": normalized("brand"),
+        "price": F.col("price").cast("double"),
+        "user_id": F.col("user_id").cast("bigint"),
+        "user_session": F.col("user_session").cast("string"),
+    }
+    for c in extra:
+        typed[c] = F.col(c)
+    key_parts = [
+        F.date_format(typed[c], "yyyy-MM-dd HH:mm:ss") if c == "event_timestamp" else typed[c]
+        for c in (*SURROGATE_KEY_COLUMNS, *extra)
+    ]
+    typed["event_id"] = surrogate_key(key_parts)
+    out = bronze
     if drop_rejects:
-        keyed = keyed.filter(F.col("user_id").isNotNull() & ~F.coalesce(F.col("price") < 0, F.lit(False)))
-    return keyed.select(*[c for c in STAGED_COLUMNS if c in keyed.columns])
+        out = out.filter(F.col("user_id").isNotNull() & ~F.coalesce(F.col("price") < 0, F.lit(False)))
+    return out.select(*[typed[c].alias(c) for c in STAGED_COLUMNS if c in typed])
 
 
 def drop_exact_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

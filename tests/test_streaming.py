@@ -27,8 +27,8 @@ def _whole_second_events(spark):
 def _write_source(spark, df, path):
     """Events plus one sentinel event 30 days after the last, which moves the watermark past
     every real session so all of them are emitted in append mode."""
-    last = df.agg(F.max("event_timestamp").alias("_last"))
-    sentinel = df.limit(1).drop("event_timestamp").crossJoin(last).withColumnRenamed("_last", "event_timestamp")
+    last = df.select(F.max("event_timestamp")).scalar()
+    sentinel = df.limit(1).withColumn("event_timestamp", last)
     sentinel = sentinel.select(
         *[
             (F.lit(-1).cast("bigint").alias(c) if c == "user_id"
