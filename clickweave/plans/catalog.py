@@ -922,6 +922,38 @@ def t2_stream_scores(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+# ---------------------------------------------------------------------------------------------
+# H2: a hot user holding a third of all events (every event_id divisible by 3 is reassigned to
+# user 0) — the chunked sessionizer must give exactly the single-window answer.
+
+_HOT_STG = """hot AS (SELECT * REPLACE (CASE WHEN src_event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM stg)"""
+
+
+@query(
+    "h2_hot_user_sessions",
+    o.with_(o.CLICK, o.STG, _HOT_STG, o.silver(1800, source="hot"), o.METRICS) + "SELECT * FROM metrics",
+)
+def h2_hot_user_sessions(spark, sf_dir):
+    from clickweave.operators.metrics import session_metrics
+
+    st = m.staged(spark, sf_dir)
+    hot = st.withColumn("user_id", F.when(F.col("src_event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")))
+    return session_metrics(ses.sessionize(hot, m.TIMEOUT_SHORT, with_sequence=False))
+
+
+@query(
+    "h2_hot_user_sequence",
+    o.with_(o.CLICK, o.STG, _HOT_STG, o.silver(1800, source="hot"))
+    + "SELECT src_event_id, computed_session_id, idle_seconds, session_flag, event_seq FROM silver",
+)
+def h2_hot_user_sequence(spark, sf_dir):
+    st = m.staged(spark, sf_dir)
+    hot = st.withColumn("user_id", F.when(F.col("src_event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")))
+    return ses.sessionize(hot, m.TIMEOUT_SHORT).select(
+        "src_event_id", "computed_session_id", "idle_seconds", "session_flag", "event_seq"
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)
