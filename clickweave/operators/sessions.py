@@ -167,9 +167,15 @@ def with_year_month(df: DataFrame, ts_col: str = "event_timestamp") -> DataFrame
 
 
 def session_state(silver: DataFrame, *, user_col: str = "user_id", ts_col: str = "event_timestamp") -> DataFrame:
-    """H1 state: per user the last event time and the last session index (one row per user)."""
-    return silver.groupBy(user_col).agg(
-        F.max(ts_col).alias("last_event_timestamp"), F.max("session_index").alias("last_session_index")
+    """H1 state, one row per user: last event time, last session index and the number of events
+    in that last session (so a continued session's ``event_seq`` carries on)."""
+    per_session = silver.groupBy(user_col, "session_index").agg(
+        F.max(ts_col).alias("_last_ts"), F.count(F.lit(1)).alias("_n")
+    )
+    return per_session.groupBy(user_col).agg(
+        F.max("_last_ts").alias("last_event_timestamp"),
+        F.max("session_index").alias("last_session_index"),
+        F.max_by("_n", "session_index").alias("last_session_events"),
     )
 
 
@@ -191,11 +197,11 @@ def sessionize_incremental(
     after a user's ``last_event_timestamp`` are accepted; earlier (late) events need that user's
     recompute from history and are returned by ``late_events``.
     """
-    st = state.select(user_col, "last_event_timestamp", "last_session_index")
+    st = state.select(user_col, "last_event_timestamp", "last_session_index", "last_session_events")
     fresh = (
-        new_events.join(st, user_col, "left")
+        new_events.join(st.select(user_col, "last_event_timestamp"), user_col, "left")
         .filter(F.col("last_event_timestamp").isNull() | (F.col(ts_col) > F.col("last_event_timestamp")))
-        .drop("last_event_timestamp", "last_session_index")
+        .drop("last_event_timestamp")
     )
     local = sessionize(
         fresh, timeout_seconds, user_col=user_col, ts_col=ts_col, order_col=order_col,
@@ -208,22 +214,26 @@ def sessionize_incremental(
     carry = first_rows.join(st, user_col, "inner").select(
         user_col,
         "last_session_index",
+        "last_session_events",
         (F.col("_first_sec") - epoch_seconds("last_event_timestamp")).alias("_gap"),
     )
     out = local.join(carry, user_col, "left")
     cont = F.coalesce(F.col("_gap") <= F.lit(timeout_seconds), F.lit(False))
     base = F.coalesce(F.col("last_session_index"), F.lit(0))
     first_event = F.col("idle_seconds").isNull()
-    out = (
-        out.withColumn("session_index", F.when(cont, base + F.col("session_index") - 1)
-                       .otherwise(base + F.col("session_index")).cast("bigint"))
-        .withColumn("session_flag", F.when(first_event & cont, F.lit(0)).otherwise(F.col("session_flag")))
-        .withColumn("idle_seconds", F.when(first_event, F.col("_gap")).otherwise(F.col("idle_seconds")))
-        .withColumn("computed_session_id", session_id(user_col, "session_index"))
-    )
-    # event_seq of a continued session would need the stored session's length; recompute it with
-    # ``event_sequence`` over the merged silver table when needed.
-    return out.drop("last_session_index", "_gap", "event_seq")
+    continued = cont & (F.col("session_index") == 1)
+    new_index = F.when(cont, base + F.col("session_index") - 1).otherwise(base + F.col("session_index"))
+    out = out.withColumns(
+        {
+            "session_index": new_index.cast("bigint"),
+            "session_flag": F.when(first_event & cont, F.lit(0)).otherwise(F.col("session_flag")),
+            "idle_seconds": F.when(first_event, F.col("_gap")).otherwise(F.col("idle_seconds")),
+            "event_seq": F.when(continued, F.col("last_session_events") + F.col("event_seq"))
+            .otherwise(F.col("event_seq"))
+            .cast("bigint"),
+        }
+    ).withColumn("computed_session_id", session_id(user_col, "session_index"))
+    return out.drop("last_session_index", "last_session_events", "_gap")
 
 
 def late_events(

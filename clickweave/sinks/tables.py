@@ -114,7 +114,7 @@ def upsert_table(
     ensure_checkpoint_dir(spark)
     staging = scratch_path(spark, "upsert")
     merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)  # schema given: empty updates are fine
     replace_partitions(staged.select(*merged.columns), path, parts, name=name)
 
 

@@ -143,7 +143,7 @@ def test_incremental_equals_full_recompute(spark):
     inc = sessionize_incremental(new, session_state(first), 1800)
     assert late_events(new, session_state(first)).count() == 0
     full = sessionize(df, 1800)
-    cols = ["src_event_id", "session_flag", "session_index", "computed_session_id", "idle_seconds"]
+    cols = ["src_event_id", "session_flag", "session_index", "computed_session_id", "idle_seconds", "event_seq"]
     merged = first.select(*cols).unionByName(inc.select(*cols)).orderBy("src_event_id").collect()
     assert merged == full.select(*cols).orderBy("src_event_id").collect()
 
