@@ -167,18 +167,47 @@ def with_year_month(df: DataFrame, ts_col: str = "event_timestamp") -> DataFrame
 
 
 def session_state(silver: DataFrame, *, user_col: str = "user_id", ts_col: str = "event_timestamp") -> DataFrame:
-    """H1 state, one row per user: last event time, last session index and the number of events
-    in that last session (so a continued session's ``event_seq`` carries on)."""
+    """H1 state, one row per user: last event time, last session index, the number of events in
+    that last session (so a continued session's ``event_seq`` carries on) and its start time (so a
+    refresh knows how far back a continued session reaches)."""
     per_session = silver.groupBy(user_col, "session_index").agg(
-        F.max(ts_col).alias("_last_ts"), F.count(F.lit(1)).alias("_n")
+        F.min(ts_col).alias("_start"), F.max(ts_col).alias("_last_ts"), F.count(F.lit(1)).alias("_n")
     )
     return per_session.groupBy(user_col).agg(
         F.max("_last_ts").alias("last_event_timestamp"),
         F.max("session_index").alias("last_session_index"),
         F.max_by("_n", "session_index").alias("last_session_events"),
+        F.max_by("_start", "session_index").alias("last_session_start"),
     )
 
 
+def advance_state(
+    state: DataFrame, fresh: DataFrame, *, user_col: str = "user_id", ts_col: str = "event_timestamp"
+) -> DataFrame:
+    """The state after ``fresh`` (rows returned by ``sessionize_incremental``) — computed from the
+    batch and the old state only, never from the full history."""
+    per_session = fresh.groupBy(user_col, "session_index").agg(
+        F.min(ts_col).alias("_start"), F.max(ts_col).alias("_last_ts"), F.max("event_seq").alias("_n")
+    )
+    new = per_session.groupBy(user_col).agg(
+        F.max("_last_ts").alias("_ts"),
+        F.max("session_index").alias("_idx"),
+        F.max_by("_n", "session_index").alias("_n"),
+        F.max_by("_start", "session_index").alias("_start"),
+    )
+    old = state.select(user_col, "last_session_index", "last_session_start")
+    continued = F.col("_idx") == F.col("last_session_index")
+    updated = new.join(old, user_col, "left").select(
+        user_col,
+        F.col("_ts").alias("last_event_timestamp"),
+        F.col("_idx").alias("last_session_index"),
+        F.col("_n").alias("last_session_events"),
+        F.when(continued, F.col("last_session_start")).otherwise(F.col("_start")).alias("last_session_start"),
+    )
+    kept = state.join(new.select(user_col), user_col, "left_anti")
+    return kept.unionByName(updated)
+
+
 def sessionize_incremental(
     new_events: DataFrame,
     state: DataFrame,

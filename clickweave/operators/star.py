@@ -65,12 +65,14 @@ def dim_users(silver: DataFrame) -> DataFrame:
     )
 
 
-def dim_products(events: DataFrame) -> DataFrame:
+def dim_products(events: DataFrame, *, with_order_key: bool = False) -> DataFrame:
     """DIM_PRODUCTS: one row per product; attributes from its latest event by
-    ``(event_timestamp, src_event_id)`` (D6), plus first/last seen and event count."""
+    ``(event_timestamp, src_event_id)`` (D6), plus first/last seen and event count.
+    ``with_order_key`` keeps the winning row's ``latest_order`` struct, which lets a refresh merge
+    a new batch into the stored dimension without rereading history (``merge_dim_products``)."""
     order_cols = [c for c in ("event_timestamp", "src_event_id") if c in events.columns]
     latest = F.max_by(
-        F.struct("category_code", "brand", F.col("price").alias("last_price")),
+        F.struct("category_code", "brand", F.col("price").alias("last_price"), F.struct(*order_cols).alias("order")),
         F.struct(*order_cols),
     )
     agg = events.groupBy("product_id").agg(
@@ -87,6 +89,38 @@ def dim_products(events: DataFrame) -> DataFrame:
         "first_seen",
         "last_seen",
         "n_events",
+        *([F.col("_latest.order").alias("latest_order")] if with_order_key else []),
+    )
+    return with_category_levels(out)
+
+
+def merge_dim_users(old: DataFrame, batch: DataFrame) -> DataFrame:
+    """Fold a batch's DIM_USERS rows into the stored ones (all four columns are algebraic)."""
+    o, n = old.alias("o"), batch.alias("n")
+    return o.join(n, "user_id", "full_outer").select(
+        "user_id",
+        F.least("o.first_seen", "n.first_seen").alias("first_seen"),
+        F.greatest("o.last_seen", "n.last_seen").alias("last_seen"),
+        F.greatest("o.total_sessions", "n.total_sessions").alias("total_sessions"),
+        (F.coalesce("o.total_events", F.lit(0)) + F.coalesce("n.total_events", F.lit(0))).alias("total_events"),
+    )
+
+
+def merge_dim_products(old: DataFrame, batch: DataFrame) -> DataFrame:
+    """Fold a batch's DIM_PRODUCTS rows (``with_order_key=True``) into the stored ones: the row
+    with the later ``latest_order`` supplies the attributes; times and counts combine."""
+    o, n = old.alias("o"), batch.alias("n")
+    take_new = F.col("o.latest_order").isNull() | (F.col("n.latest_order") > F.col("o.latest_order"))
+    pick = lambda c: F.when(take_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
+    out = o.join(n, "product_id", "full_outer").select(
+        "product_id",
+        pick("category_code"),
+        pick("brand"),
+        pick("last_price"),
+        F.least("o.first_seen", "n.first_seen").alias("first_seen"),
+        F.greatest("o.last_seen", "n.last_seen").alias("last_seen"),
+        (F.coalesce("o.n_events", F.lit(0)) + F.coalesce("n.n_events", F.lit(0))).alias("n_events"),
+        pick("latest_order"),
     )
     return with_category_levels(out)
 

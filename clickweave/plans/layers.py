@@ -2,10 +2,16 @@
 
 Layout under ``root``: ``silver`` (by event_year/event_month, K9), ``fct_events`` (by event_date,
 K7 clustered on event_type), ``mart_ml_features`` (by data_partition), ``dim_users``,
-``dim_products``. Gold always reads the *written* silver table, which is the lineage cut between
-the layers. The refresh path does no full recompute: new events are sessionized against the
-stored per-user state (H1), appended to silver, and only the sessions, users and products they
-touch are recomputed and upserted (K4).
+``dim_products`` and ``session_state`` (one row per user, H1). Gold always reads *written* data,
+which is the lineage cut between layers.
+
+A refresh costs in proportion to the new batch, not to the history:
+
+* the batch is sessionized against the stored per-user state (H1) and staged once;
+* silver gets an append, ``fct_events`` an upsert of the batch's rows (K4);
+* features are recomputed only for sessions the batch touched, reading silver only from the
+  earliest start of a session the batch may continue (partition-pruned on year/month);
+* dimensions and state are merged algebraically with the batch's own aggregates.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from pyspark.sql import functions as F
 from clickweave.operators import quality as q
 from clickweave.operators.metrics import feature_store, session_metrics
 from clickweave.operators.sessions import (
+    advance_state,
     late_events,
     session_state,
     sessionize,
@@ -25,42 +32,27 @@ from clickweave.operators.sessions import (
     with_year_month,
 )
 from clickweave.operators.staging import stage_events
-from clickweave.operators.star import dim_products, dim_users, fact_events
+from clickweave.operators.star import dim_products, dim_users, fact_events, merge_dim_products, merge_dim_users
 from clickweave.sinks import tables
 
 SILVER_PARTITIONS = ("event_year", "event_month")
 
 
 def paths(root: str) -> dict[str, str]:
-    names = ("silver", "fct_events", "mart_ml_features", "dim_users", "dim_products")
+    names = ("silver", "fct_events", "mart_ml_features", "dim_users", "dim_products", "session_state")
     return {n: os.path.join(root, n) for n in names}
 
 
-def _gold(spark: SparkSession, silver: DataFrame, p: dict[str, str], *, full: bool, touched: DataFrame | None) -> None:
-    fct = fact_events(silver)
-    if full:
-        tables.write_clustered(fct, p["fct_events"], ["event_date"], ["event_type"])
-    else:
-        tables.upsert_table(spark, p["fct_events"], fct.join(touched.select("event_id"), "event_id", "left_semi"),
-                            "event_id", ["event_date"])
-    scope = silver if full else silver.join(touched.select("computed_session_id").distinct(), "computed_session_id", "left_semi")
-    feats = feature_store(session_metrics(scope))
-    if full:
-        tables.replace_partitions(feats, p["mart_ml_features"], ["data_partition"])
-    else:
-        tables.upsert_table(spark, p["mart_ml_features"], feats, "computed_session_id", ["data_partition"])
-    # Dimensions are small aggregates of silver; rebuilt from the written silver table.
-    dim_users(silver).write.mode("overwrite").parquet(p["dim_users"])
-    dim_products(silver).write.mode("overwrite").parquet(p["dim_products"])
-
-
 def build_layers(spark: SparkSession, bronze: DataFrame, root: str, *, timeout_seconds: int = 1800) -> DataFrame:
     """Full build from a bronze DataFrame; returns the data-test summary over the written tables."""
     p = paths(root)
-    silver = sessionize(stage_events(bronze), timeout_seconds)
-    tables.write_silver(silver, p["silver"])
-    written = spark.read.parquet(p["silver"])
-    _gold(spark, written, p, full=True, touched=None)
+    tables.write_silver(sessionize(stage_events(bronze), timeout_seconds), p["silver"])
+    silver = spark.read.parquet(p["silver"])
+    tables.write_clustered(fact_events(silver), p["fct_events"], ["event_date"], ["event_type"])
+    tables.replace_partitions(feature_store(session_metrics(silver)), p["mart_ml_features"], ["data_partition"])
+    dim_users(silver).write.mode("overwrite").parquet(p["dim_users"])
+    dim_products(silver, with_order_key=True).write.mode("overwrite").parquet(p["dim_products"])
+    session_state(silver).write.mode("overwrite").parquet(p["session_state"])
     return data_tests(spark, root)
 
 
@@ -68,15 +60,39 @@ def refresh_layers(spark: SparkSession, new_bronze: DataFrame, root: str, *, tim
     """Incremental refresh with a new bronze batch. Returns the late events that were not applied
     (at or before their user's stored last event; they need that user's recompute)."""
     p = paths(root)
-    stored = spark.read.parquet(p["silver"])
-    state = session_state(stored)
+    # snapshot (one row per user): the state table is replaced below while results still use it
+    state = tables.stage(spark, spark.read.parquet(p["session_state"]), "state-snapshot")
+    silver_cols = spark.read.parquet(p["silver"]).columns
     staged = stage_events(new_bronze)
     fresh = sessionize_incremental(staged, state, timeout_seconds)
-    fresh = with_year_month(fresh.select(*[c for c in stored.columns if c not in SILVER_PARTITIONS]))
+    fresh = with_year_month(fresh.select(*[c for c in silver_cols if c not in SILVER_PARTITIONS]))
+    fresh = tables.stage(spark, fresh, "fresh-silver")
+
     fresh.write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(p["silver"])
-    silver = spark.read.parquet(p["silver"])
-    touched = silver.join(fresh.select("event_id"), "event_id", "left_semi").select("event_id", "computed_session_id")
-    _gold(spark, silver, p, full=False, touched=touched)
+    tables.upsert_table(spark, p["fct_events"], fact_events(fresh), "event_id", ["event_date"])
+
+    # Sessions touched by the batch; a continued session began at most at its user's stored
+    # last_session_start, so silver is read from there on only (one scalar bound).
+    bound = (
+        fresh.select("user_id", "event_timestamp")
+        .join(state.select("user_id", "last_session_start"), "user_id", "left")
+        .agg(F.min(F.least("last_session_start", "event_timestamp")).alias("b"))
+        .first()["b"]
+    )
+    if bound is not None:
+        silver = spark.read.parquet(p["silver"])
+        ym = F.col("event_year") * 100 + F.col("event_month")
+        recent = silver.filter((ym >= bound.year * 100 + bound.month) & (F.col("event_timestamp") >= F.lit(bound)))
+        touched = fresh.select("computed_session_id").distinct()
+        scope = recent.join(touched, "computed_session_id", "left_semi")
+        feats = feature_store(session_metrics(scope))
+        tables.upsert_table(spark, p["mart_ml_features"], feats, "computed_session_id", ["data_partition"])
+
+    users = merge_dim_users(spark.read.parquet(p["dim_users"]), dim_users(fresh))
+    tables.replace_table(spark, users, p["dim_users"])
+    products = merge_dim_products(spark.read.parquet(p["dim_products"]), dim_products(fresh, with_order_key=True))
+    tables.replace_table(spark, products, p["dim_products"])
+    tables.replace_table(spark, advance_state(state, fresh), p["session_state"])
     return late_events(staged, state)
 
 

@@ -177,3 +177,22 @@ def write_silver(silver: DataFrame, path: str, *, mode: str = "overwrite") -> No
 def write_predictions(scored: DataFrame, path: str, partition_cols: Sequence[str] = ("data_partition",)) -> None:
     """The scored-session table (``gold_session_predictions``), partitions replaced per run."""
     replace_partitions(scored, path, [c for c in partition_cols if c in scored.columns])
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Overwrite an unpartitioned table with ``df`` even when ``df`` is computed from that same
+    table (merged dimensions, advanced state): write to the shared scratch folder first, then
+    replace from the staged copy."""
+    ensure_checkpoint_dir(spark)
+    staging = scratch_path(spark, "replace")
+    df.write.mode("overwrite").parquet(staging)
+    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
+
+
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and read it back (a lineage cut for a batch
+    that several sinks consume)."""
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

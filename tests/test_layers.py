@@ -34,6 +34,12 @@ def test_refresh_equals_full_build(spark, tmp_dir):
     assert _rows(spark.read.parquet(pf["mart_ml_features"]), gcols) == _rows(spark.read.parquet(pi["mart_ml_features"]), gcols)
     ucols = ["user_id", "first_seen", "last_seen", "total_sessions", "total_events"]
     assert _rows(spark.read.parquet(pf["dim_users"]), ucols) == _rows(spark.read.parquet(pi["dim_users"]), ucols)
+    pcols = ["product_id", "category_code", "brand", "last_price", "first_seen", "last_seen", "n_events", "category_l2"]
+    assert _rows(spark.read.parquet(pf["dim_products"]), pcols) == _rows(spark.read.parquet(pi["dim_products"]), pcols)
+    scols = ["user_id", "last_event_timestamp", "last_session_index", "last_session_events", "last_session_start"]
+    assert _rows(spark.read.parquet(pf["session_state"]), scols) == _rows(spark.read.parquet(pi["session_state"]), scols)
+    ev_cols = ["event_id", "session_index", "event_seq", "idle_seconds", "session_flag", "event_month"]
+    assert _rows(spark.read.parquet(pf["silver"]), ev_cols) == _rows(spark.read.parquet(pi["silver"]), ev_cols)
     # re-applying the same batch changes nothing (its events are no newer than the stored state)
     late2 = refresh_layers(spark, bronze.filter(ts >= F.lit(CUT).cast("timestamp_ntz")), inc_root)
     assert late2.count() > 0
