@@ -23,11 +23,24 @@ def _count_type(event_type: str) -> F.Column:
     return F.count_if(F.col("event_type") == F.lit(event_type))
 
 
-def session_metrics(silver: DataFrame, *, user_col: str = "user_id", ts_col: str = "event_timestamp") -> DataFrame:
+def session_metrics(
+    silver: DataFrame,
+    *,
+    user_col: str = "user_id",
+    ts_col: str = "event_timestamp",
+    approx_distinct: float | None = None,
+) -> DataFrame:
     """A1: one row per session with start, end, whole-second duration, counts per event type,
     distinct products and categories (NULLs not counted), average and maximum price over views
-    (NULL when the session has no priced view) and ``is_purchased``."""
+    (NULL when the session has no priced view) and ``is_purchased``.
+
+    ``approx_distinct`` (a relative standard deviation, e.g. 0.02) switches the two distinct counts
+    to HyperLogLog++ sketches (A4 option): no ``Expand``, fixed-size buffers per session."""
     is_view = F.col("event_type") == F.lit("view")
+    if approx_distinct:
+        distinct = lambda c: F.approx_count_distinct(c, approx_distinct)
+    else:
+        distinct = F.count_distinct
     agg = silver.groupBy(user_col, "session_index").agg(
         F.min(ts_col).alias("session_start"),
         F.max(ts_col).alias("session_end"),
@@ -37,8 +50,8 @@ def session_metrics(silver: DataFrame, *, user_col: str = "user_id", ts_col: str
         _count_type("cart").alias("cart_count"),
         _count_type("remove_from_cart").alias("remove_count"),
         _count_type("purchase").alias("purchase_count"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        F.count_distinct("category_code").alias("distinct_categories"),
+        distinct("product_id").alias("distinct_products"),
+        distinct("category_code").alias("distinct_categories"),
         F.avg(F.when(is_view, F.col("price").cast("double"))).alias("avg_price_viewed"),
         F.max(F.when(is_view, F.col("price").cast("double"))).alias("max_price_viewed"),
     )

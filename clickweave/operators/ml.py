@@ -234,3 +234,22 @@ def drift_psi(
         F.sum("n_base").cast("bigint").alias("n_base"),
         F.sum("n_cur").cast("bigint").alias("n_cur"),
     )
+
+
+def feature_summary(
+    features: DataFrame, by: str = "data_partition", feature_cols: Sequence[str] = FEATURE_COLUMNS
+) -> DataFrame:
+    """L9 companion: per period and feature, count, NULL count, mean, sample standard deviation,
+    min and max — one unpivot and one grouped aggregate."""
+    cols = list(feature_cols)
+    long = features.select(by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [by], cols, "feature", "value"
+    )
+    return long.groupBy(by, "feature").agg(
+        F.count("value").alias("n"),
+        F.count_if(F.col("value").isNull()).alias("n_null"),
+        F.round(F.avg("value"), 6).alias("mean"),
+        F.round(F.stddev_samp("value"), 6).alias("stddev"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+    )

@@ -711,6 +711,28 @@ def l9_drift(spark, sf_dir):
     return drift_psi(oot_split(m.features(spark, sf_dir, m.TIMEOUT_LONG), m.OOT_CUTOFF))
 
 
+def _summary_sql() -> str:
+    from clickweave.sources.schema import FEATURE_COLUMNS
+
+    long = "\n    UNION ALL ".join(
+        f"SELECT data_partition, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM features" for c in FEATURE_COLUMNS
+    )
+    return o.gold(43200, o.FEATURE_STORE) + f""", long AS (
+    {long}
+)
+SELECT data_partition, feature, count(value) AS n, CAST(count_if(value IS NULL) AS BIGINT) AS n_null,
+       round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev,
+       min(value) AS min_value, max(value) AS max_value
+FROM long GROUP BY data_partition, feature"""
+
+
+@query("l9_feature_summary", _summary_sql())
+def l9_feature_summary(spark, sf_dir):
+    from clickweave.operators.ml import feature_summary
+
+    return feature_summary(m.features(spark, sf_dir, m.TIMEOUT_LONG))
+
+
 def _oot_frames(spark, sf_dir):
     from clickweave.operators.ml import prepare, temporal_split
 

@@ -148,3 +148,15 @@ def test_multi_file_ingest_and_append(spark, tmp_dir):
     ingest(spark, [a, b], table, table_name=None, replace_batches=False)
     ingest(spark, [a, b], table, table_name=None, replace_batches=False)
     assert spark.read.parquet(table).count() == 4  # plain append is not idempotent (K2)
+
+
+def test_approx_distinct_option_close_to_exact(spark):
+    from clickweave.plans import medallion as m
+
+    from conftest import SF_SMALL
+
+    sv = m.silver(spark, SF_SMALL, 43200, with_sequence=False)
+    exact = {r.computed_session_id: r.distinct_products for r in session_metrics(sv).collect()}
+    approx = {r.computed_session_id: r.distinct_products for r in session_metrics(sv, approx_distinct=0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert sum(abs(exact[k] - approx[k]) for k in exact) <= 0.02 * sum(exact.values())

@@ -71,3 +71,28 @@ def test_scoring_stream_appends_scored_sessions(spark, tmp_dir):
     out = spark.read.parquet(sink)
     assert out.count() == train.count()
     assert out.filter((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
+
+
+def test_watermark_drops_late_events(spark, tmp_dir):
+    """An event older than the watermark (max event time - delay) in a later micro-batch is
+    dropped; the on-time session is emitted once."""
+    import datetime as dt
+
+    schema = "src_event_id long, user_id long, event_timestamp timestamp_ntz, event_type string, product_id int, category_code string, price double"
+    t0 = dt.datetime(2024, 1, 1)
+    src = os.path.join(tmp_dir, "wm")
+    batch1 = [(1, 1, t0, "view", 1, "a", 1.0), (2, 9, t0 + dt.timedelta(days=1), "view", 1, "a", 1.0)]
+    batch2 = [(3, 1, t0 + dt.timedelta(minutes=5), "view", 2, "a", 1.0)]  # 1 day behind the watermark
+    spark.createDataFrame(batch1, schema).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (
+        session_window_metrics(stream, "30 minutes", watermark="1 hour")
+        .writeStream.format("memory").queryName("wm_sessions").outputMode("append")
+        .option("checkpointLocation", os.path.join(tmp_dir, "wm_ckpt")).start()
+    )
+    q.processAllAvailable()
+    spark.createDataFrame(batch2, schema).write.mode("append").parquet(src)
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.table("wm_sessions").filter("user_id = 1").collect()
+    assert [(r.total_events, r.distinct_products) for r in rows] == [(1, 1)]
