@@ -22,12 +22,15 @@ NEGATIVE_PRICE_MOD = 97
 NULL_USER_MOD = 83
 NULL_SESSION_MOD = 71
 DUPLICATE_MOD = 50
+# Fixed input contract of the driver tables (the columns the adapter reads, with their types).
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+PART_SCHEMA = "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING"
 
 
 def click_events(spark: SparkSession, sf_dir: str, *, with_duplicates: bool = False) -> DataFrame:
     """Driver ``events`` joined to ``part`` and mapped to the click schema (see FIXTURES.md)."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    ev = read_table(spark, sf_dir, "events", EVENTS_SCHEMA)
+    part = read_table(spark, sf_dir, "part", PART_SCHEMA)
 
     et = F.col("event_type")
     mapped_type = et

@@ -11,9 +11,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """Read one driver table (``{sf_dir}/{name}.parquet``). With ``schema`` (a DDL string of the
+    columns wanted) no footer is read to infer one, and only those columns are scanned."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def read_layer(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame:
