@@ -17,10 +17,11 @@ from clickweave.operators import sessions as _sessions
 from clickweave.operators import star as _star
 from clickweave.sinks import tables as _tables
 from clickweave.sources import csv_events as _csv
-from clickweave.sources.schema import FEATURE_COLUMNS, RAW_EVENT_SCHEMA  # noqa: F401
+from clickweave.sources.schema import FEATURE_COLUMNS, RAW_EVENT_SCHEMA
 
 __all__ = [
     "RAW_EVENT_SCHEMA",
+    "FEATURE_COLUMNS",
     "read_raw_stream",
     "split_clean_and_dlq",
     "enrich_and_repartition",

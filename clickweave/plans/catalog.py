@@ -981,4 +981,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a1_session_metrics(spark, sf_dir)
 
 
-__all__ = ["QUERIES", "ORACLE", "flagship", "F"]
+__all__ = ["QUERIES", "ORACLE", "flagship"]

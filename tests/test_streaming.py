@@ -3,7 +3,6 @@ on whole-second data, and closed sessions are scored into an append-only sink.""
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from clickweave.operators import ml
