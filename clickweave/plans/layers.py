@@ -11,7 +11,9 @@ A refresh costs in proportion to the new batch, not to the history:
 * silver gets an append, ``fct_events`` an upsert of the batch's rows (K4);
 * features are recomputed only for sessions the batch touched, reading silver only from the
   earliest start of a session the batch may continue (partition-pruned on year/month);
-* dimensions and state are merged algebraically with the batch's own aggregates.
+* dimensions and state are merged algebraically with the batch's own aggregates;
+* users who received late events (older than their stored last event) are recomputed from their
+  own history only; re-delivered events are recognised by ``event_id`` and change nothing.
 """
 
 from __future__ import annotations
@@ -56,23 +58,68 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str, *, timeout_s
     return data_tests(spark, root)
 
 
+def _month_bound(col_ts: str, bound) -> F.Column:
+    ym = F.col("event_year") * 100 + F.col("event_month")
+    return (ym >= bound.year * 100 + bound.month) & (F.col(col_ts) >= F.lit(bound))
+
+
 def refresh_layers(spark: SparkSession, new_bronze: DataFrame, root: str, *, timeout_seconds: int = 1800) -> DataFrame:
-    """Incremental refresh with a new bronze batch. Returns the late events that were not applied
-    (at or before their user's stored last event; they need that user's recompute)."""
+    """Incremental refresh with a new bronze batch; returns the late events that forced a user
+    recompute (events at or before their user's stored last event that silver did not hold yet).
+
+    * users without new late events: the batch continues their stored state (H1), silver gets
+      an append, gold an upsert or algebraic merge;
+    * users with new late events: recomputed from their history plus the batch; their silver rows
+      are rewritten in the months they occupy and their gold rows replaced. Re-delivered events
+      (already in silver) are recognised by ``event_id`` and change nothing.
+    """
     p = paths(root)
     # snapshot (one row per user): the state table is replaced below while results still use it
     state = tables.stage(spark, spark.read.parquet(p["session_state"]), "state-snapshot")
-    silver_cols = spark.read.parquet(p["silver"]).columns
-    staged = stage_events(new_bronze)
-    fresh = sessionize_incremental(staged, state, timeout_seconds)
-    fresh = with_year_month(fresh.select(*[c for c in silver_cols if c not in SILVER_PARTITIONS]))
-    fresh = tables.stage(spark, fresh, "fresh-silver")
+    stored = spark.read.parquet(p["silver"])
+    silver_cols = [c for c in stored.columns if c not in SILVER_PARTITIONS]
+    staged = tables.stage(spark, stage_events(new_bronze), "staged-batch")
+
+    # Late events silver does not hold yet (lookup bounded to the months from the earliest one).
+    late = late_events(staged, state)
+    lb = late.agg(F.min("event_timestamp").alias("b")).first()["b"]
+    if lb is not None:
+        known = stored.filter(_month_bound("event_timestamp", lb)).select("event_id")
+        late_new = tables.stage(spark, late.join(known, "event_id", "left_anti"), "late-new")
+    else:
+        late_new = staged.limit(0)
+    redo_users = late_new.select("user_id").distinct()
+
+    normal = staged.join(redo_users, "user_id", "left_anti")
+    fresh = sessionize_incremental(normal, state, timeout_seconds)
+    fresh = tables.stage(spark, with_year_month(fresh.select(*silver_cols)), "fresh-silver")
+
+    redo = None
+    if not late_new.isEmpty():
+        hist = stored.join(redo_users, "user_id", "left_semi")
+        batch_new = tables.stage(
+            spark,
+            staged.join(redo_users, "user_id", "left_semi").join(hist.select("event_id"), "event_id", "left_anti"),
+            "late-users-batch",
+        )
+        events = hist.select(*staged.columns).unionByName(batch_new)
+        redo = tables.stage(
+            spark, with_year_month(sessionize(events, timeout_seconds).select(*silver_cols)), "redo-silver"
+        )
+        months = redo.select(*SILVER_PARTITIONS).distinct()
+        kept = stored.join(months, list(SILVER_PARTITIONS), "left_semi").join(redo_users, "user_id", "left_anti")
+        rewritten = tables.stage(spark, kept.select(*redo.columns).unionByName(redo), "silver-rewrite")
+        tables.replace_partitions(rewritten, p["silver"], SILVER_PARTITIONS)
+        new_for_products = fresh.select(*staged.columns).unionByName(batch_new)
+    else:
+        new_for_products = fresh.select(*staged.columns)
 
     fresh.write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(p["silver"])
-    tables.upsert_table(spark, p["fct_events"], fact_events(fresh), "event_id", ["event_date"])
+    changed = fresh if redo is None else fresh.unionByName(redo)
+    tables.upsert_table(spark, p["fct_events"], fact_events(changed), "event_id", ["event_date"])
 
-    # Sessions touched by the batch; a continued session began at most at its user's stored
-    # last_session_start, so silver is read from there on only (one scalar bound).
+    # Features: sessions the batch touched (read silver only from the earliest start of a
+    # session it may continue), plus the full rewrite of recomputed users' sessions.
     bound = (
         fresh.select("user_id", "event_timestamp")
         .join(state.select("user_id", "last_session_start"), "user_id", "left")
@@ -81,19 +128,30 @@ def refresh_layers(spark: SparkSession, new_bronze: DataFrame, root: str, *, tim
     )
     if bound is not None:
         silver = spark.read.parquet(p["silver"])
-        ym = F.col("event_year") * 100 + F.col("event_month")
-        recent = silver.filter((ym >= bound.year * 100 + bound.month) & (F.col("event_timestamp") >= F.lit(bound)))
-        touched = fresh.select("computed_session_id").distinct()
-        scope = recent.join(touched, "computed_session_id", "left_semi")
-        feats = feature_store(session_metrics(scope))
-        tables.upsert_table(spark, p["mart_ml_features"], feats, "computed_session_id", ["data_partition"])
-
-    users = merge_dim_users(spark.read.parquet(p["dim_users"]), dim_users(fresh))
-    tables.replace_table(spark, users, p["dim_users"])
-    products = merge_dim_products(spark.read.parquet(p["dim_products"]), dim_products(fresh, with_order_key=True))
+        recent = silver.filter(_month_bound("event_timestamp", bound))
+        scope = recent.join(fresh.select("computed_session_id").distinct(), "computed_session_id", "left_semi")
+        tables.upsert_table(spark, p["mart_ml_features"], feature_store(session_metrics(scope)),
+                            "computed_session_id", ["data_partition"])
+    if redo is not None:
+        feats = spark.read.parquet(p["mart_ml_features"])
+        new_feats = feature_store(session_metrics(redo))
+        parts = feats.join(redo_users, "user_id", "left_semi").select("data_partition").unionByName(
+            new_feats.select("data_partition")).distinct()
+        kept = feats.join(parts, "data_partition", "left_semi").join(redo_users, "user_id", "left_anti")
+        rewritten = tables.stage(spark, kept.select(*new_feats.columns).unionByName(new_feats), "features-rewrite")
+        tables.replace_partitions(rewritten, p["mart_ml_features"], ["data_partition"])
+
+    users = spark.read.parquet(p["dim_users"])
+    if redo is not None:
+        users = users.join(redo_users, "user_id", "left_anti").unionByName(dim_users(redo))
+    tables.replace_table(spark, merge_dim_users(users, dim_users(fresh)), p["dim_users"])
+    products = merge_dim_products(spark.read.parquet(p["dim_products"]), dim_products(new_for_products, with_order_key=True))
     tables.replace_table(spark, products, p["dim_products"])
-    tables.replace_table(spark, advance_state(state, fresh), p["session_state"])
-    return late_events(staged, state)
+    new_state = advance_state(state, fresh)
+    if redo is not None:
+        new_state = new_state.join(redo_users, "user_id", "left_anti").unionByName(session_state(redo))
+    tables.replace_table(spark, new_state, p["session_state"])
+    return late_new
 
 
 def data_tests(spark: SparkSession, root: str) -> DataFrame:
