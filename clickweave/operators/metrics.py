@@ -17,6 +17,25 @@ from clickweave.functions.columns import epoch_seconds, session_id
 from clickweave.sources.schema import FEATURE_COLUMNS, LABEL_COLUMN
 
 PRICE_DIGITS = 6
+FEATURE_STORE_COLUMNS = (
+    "computed_session_id",
+    "user_id",
+    "session_start",
+    "session_end",
+    "session_duration_sec",
+    "hour_of_day_start",
+    "day_of_week_start",
+    "total_events",
+    "view_count",
+    "cart_count",
+    "remove_count",
+    "distinct_products",
+    "distinct_categories",
+    "avg_price_viewed",
+    "max_price_viewed",
+    "is_purchased",
+    "data_partition",
+)
 
 
 def _count_type(event_type: str) -> F.Column:
@@ -109,25 +128,13 @@ def feature_store(metrics: DataFrame) -> DataFrame:
     """The ML feature store (``mart_ml_features``): metrics without ``purchase_count``
     plus hour of day and day of week of the session start (1 = Sunday, D5), boolean label and
     ``data_partition`` = ``yyyy-MM`` of the start."""
-    return metrics.select(
-        "computed_session_id",
-        "user_id",
-        "session_start",
-        "session_end",
-        "session_duration_sec",
-        F.hour("session_start").alias("hour_of_day_start"),
-        F.dayofweek("session_start").alias("day_of_week_start"),
-        "total_events",
-        "view_count",
-        "cart_count",
-        "remove_count",
-        "distinct_products",
-        "distinct_categories",
-        "avg_price_viewed",
-        "max_price_viewed",
-        F.col("is_purchased").cast("boolean").alias("is_purchased"),
-        F.date_format("session_start", "yyyy-MM").alias("data_partition"),
-    )
+    derived = {
+        "hour_of_day_start": F.hour("session_start"),
+        "day_of_week_start": F.dayofweek("session_start"),
+        "is_purchased": F.col("is_purchased").cast("boolean"),
+        "data_partition": F.date_format("session_start", "yyyy-MM"),
+    }
+    return metrics.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FEATURE_STORE_COLUMNS])
 
 
 def oot_split(

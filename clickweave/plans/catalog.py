@@ -976,6 +976,29 @@ def h2_hot_user_sequence(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------------------------------------
+# Layer build + incremental refresh (with late events) equals the full computation
+
+
+@query("e3_refresh_features", o.gold(1800, o.FEATURE_STORE) + "SELECT * FROM features")
+def e3_refresh_features(spark, sf_dir):
+    """Build the layers from events before 2024-01-18 minus every 7th event, then refresh with the
+    rest (later events plus the withheld, now late, ones); return the refreshed feature store."""
+    from clickweave.plans.layers import build_layers, paths, refresh_layers
+    from clickweave.session import ensure_checkpoint_dir, scratch_path
+
+    ensure_checkpoint_dir(spark)
+    root = scratch_path(spark, "layers")
+    bronze = m.clicks(spark, sf_dir)
+    before = F.col("event_timestamp") < F.lit("2024-01-18").cast("timestamp_ntz")
+    withheld = before & (F.col("src_event_id") % 7 == 0)
+    build_layers(spark, bronze.filter(before & ~withheld), root)
+    refresh_layers(spark, bronze.filter(~before | withheld), root)
+    from clickweave.operators.metrics import FEATURE_STORE_COLUMNS
+
+    return spark.read.parquet(paths(root)["mart_ml_features"]).select(*FEATURE_STORE_COLUMNS)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)
