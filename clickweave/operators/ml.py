@@ -15,6 +15,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,8 +95,16 @@ def temporal_split(df: DataFrame, cutoff: str, ts_col: str = "session_start") ->
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit (iterative Spark jobs; checkpoints go to the session's checkpoint folder)."""
-    return pipeline.fit(train)
+    """Fit (iterative Spark jobs; checkpoints go to the session's checkpoint folder).
+
+    The training frame (one row per session) is persisted for the duration of the fit, so the
+    scaler's statistics pass and the boosting rounds do not each recompute sessionization; a lost
+    block is recomputed from lineage. It is released when the fit returns."""
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("computed_session_id",)) -> DataFrame:
