@@ -50,7 +50,7 @@ def check_not_null(df: DataFrame, columns: Iterable[str], table: str) -> DataFra
 
 # Q3 accepted_values ------------------------------------------------------------------------------
 def accepted_values_violations(df: DataFrame, column: str, values: Sequence[str] = ACCEPTED_EVENT_TYPES) -> DataFrame:
-    """Values outside the accepted list (NULL is not tested, as in dbt), with counts."""
+    """Values outside the accepted list (NULL is not tested, as in declarative data tests), with counts."""
     bad = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
     return bad.groupBy(column).agg(F.count(F.lit(1)).alias("n_violations"))
 
