@@ -95,6 +95,35 @@ def check_non_negative(df: DataFrame, column: str, table: str) -> DataFrame:
     return _summary(df, "non_negative", table, column, F.count_if(F.col(column) < 0))
 
 
+# All row-level rules of one table in one scan --------------------------------------------------
+def check_table(
+    df: DataFrame,
+    table: str,
+    *,
+    not_null: Sequence[str] = (),
+    accepted_values: dict[str, Sequence[str]] | None = None,
+    non_negative: Sequence[str] = (),
+    min_value: dict[str, float] | None = None,
+) -> DataFrame:
+    """Q2, Q3, Q5, Q6 for one table from a single aggregate (one scan of the table however many
+    rules), unpivoted to the summary shape. ``min_value`` = {column: lowest allowed value}, e.g.
+    ``{"session_duration_sec": -60}`` for a clock-skew tolerance."""
+    rules: list[tuple[str, str, F.Column]] = []
+    rules += [("not_null", c, F.col(c).isNull()) for c in not_null]
+    for c, values in (accepted_values or {}).items():
+        rules.append(("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(list(values))))
+    rules += [("non_negative", c, F.col(c) < 0) for c in non_negative]
+    for c, low in (min_value or {}).items():
+        rules.append(("non_negative_duration" if c == "session_duration_sec" else "min_value", c, F.col(c) < low))
+    counts = df.agg(*[F.count_if(cond).alias(f"r{i}") for i, (_, _, cond) in enumerate(rules)])
+    pairs = ", ".join(f"'{name}', '{col}', r{i}" for i, (name, col, _) in enumerate(rules))
+    long = counts.selectExpr(f"stack({len(rules)}, {pairs}) AS (check_name, column_name, n_violations)")
+    return long.select(
+        "check_name", F.lit(table).alias("table_name"), "column_name",
+        F.col("n_violations").cast("bigint").alias("n_violations"),
+    )
+
+
 def run_checks(checks: Iterable[DataFrame]) -> DataFrame:
     """Union of summary rows; ``passed`` = no violation."""
     out = reduce(DataFrame.unionByName, list(checks))

@@ -616,7 +616,9 @@ def q6_price(spark, sf_dir):
 
 @query("q0_data_tests", _checks_sql(_Q1_SQL, _Q2_SQL, _Q3_SUMMARY_SQL, _Q4_SQL, _Q5_SQL, _Q6_SUMMARY_SQL))
 def q0_data_tests(spark, sf_dir):
+    """Every declared test; row-level rules of a table share one scan (``check_table``)."""
     from clickweave.operators import quality as q
+    from clickweave.sources.schema import ACCEPTED_EVENT_TYPES
 
     st, fct, feats = _gold_tables(spark, sf_dir)
     return q.run_checks(
@@ -624,13 +626,12 @@ def q0_data_tests(spark, sf_dir):
             q.check_unique(st, "event_id", "stg_raw_events"),
             q.check_unique(fct, "event_id", "fct_events"),
             q.check_unique(feats, "computed_session_id", "mart_ml_features"),
-            q.check_not_null(st, _STG_NOT_NULL, "stg_raw_events"),
-            q.check_not_null(fct, _FCT_NOT_NULL, "fct_events"),
-            q.check_not_null(feats, _FEAT_NOT_NULL, "mart_ml_features"),
-            q.check_accepted_values(st, "event_type", "stg_raw_events"),
+            q.check_table(st, "stg_raw_events", not_null=_STG_NOT_NULL,
+                          accepted_values={"event_type": ACCEPTED_EVENT_TYPES}),
+            q.check_table(fct, "fct_events", not_null=_FCT_NOT_NULL),
+            q.check_table(feats, "mart_ml_features", not_null=_FEAT_NOT_NULL, min_value={"session_duration_sec": 0}),
             q.check_relationship(fct, feats, "computed_session_id", "fct_events"),
-            q.check_duration(feats, "mart_ml_features"),
-            q.check_non_negative(m.clicks(spark, sf_dir), "price", "bronze_events"),
+            q.check_table(m.clicks(spark, sf_dir), "bronze_events", non_negative=("price",)),
         ]
     )
 

@@ -36,6 +36,7 @@ from clickweave.operators.sessions import (
 from clickweave.operators.staging import stage_events
 from clickweave.operators.star import dim_products, dim_users, fact_events, merge_dim_products, merge_dim_users
 from clickweave.sinks import tables
+from clickweave.sources.schema import ACCEPTED_EVENT_TYPES
 
 SILVER_PARTITIONS = ("event_year", "event_month")
 
@@ -162,11 +163,15 @@ def data_tests(spark: SparkSession, root: str) -> DataFrame:
     return q.run_checks(
         [
             q.check_unique(fct, "event_id", "fct_events"),
-            q.check_not_null(fct, ["event_id", "event_timestamp", "user_id", "computed_session_id"], "fct_events"),
-            q.check_accepted_values(fct, "event_type", "fct_events"),
+            q.check_table(
+                fct, "fct_events", not_null=("event_id", "event_timestamp", "user_id", "computed_session_id"),
+                accepted_values={"event_type": ACCEPTED_EVENT_TYPES},
+            ),
             q.check_relationship(fct, feats, "computed_session_id", "fct_events"),
             q.check_unique(feats, "computed_session_id", "mart_ml_features"),
-            q.check_not_null(feats, ["computed_session_id", "is_purchased"], "mart_ml_features"),
-            q.check_duration(feats, "mart_ml_features"),
+            q.check_table(
+                feats, "mart_ml_features", not_null=("computed_session_id", "is_purchased"),
+                min_value={"session_duration_sec": 0},
+            ),
         ]
     )

@@ -95,3 +95,18 @@ def test_attach_sessions_equals_carried_column(spark):
     joined = attach_sessions(m.staged(spark, SF_SMALL), sv).select("event_id", "computed_session_id")
     carried = fact_events(sv).select("event_id", "computed_session_id")
     assert joined.exceptAll(carried).count() == 0 and joined.count() == carried.count()
+
+
+def test_check_table_single_scan_rules(spark):
+    df = spark.createDataFrame(
+        [("a", "view", 5.0, 10), (None, "error", -1.0, -30), ("c", None, None, -90)],
+        "k string, event_type string, price double, session_duration_sec int",
+    )
+    out = {(r.check_name, r.column_name): r.n_violations for r in q.check_table(
+        df, "t", not_null=["k", "event_type"], accepted_values={"event_type": ["view", "cart"]},
+        non_negative=["price"], min_value={"session_duration_sec": -60},
+    ).collect()}
+    assert out == {
+        ("not_null", "k"): 1, ("not_null", "event_type"): 1, ("accepted_values", "event_type"): 1,
+        ("non_negative", "price"): 1, ("non_negative_duration", "session_duration_sec"): 1,
+    }
