@@ -163,7 +163,7 @@ def roc_auc_frame(df: DataFrame, score_col: str, label_col: str, *, buckets: int
     return tot.select(
         F.col("n_pos").cast("bigint").alias("n_pos"),
         F.col("n_neg").cast("bigint").alias("n_neg"),
-        F.round(F.col("num") / (F.col("n_pos").cast("double") * F.col("n_neg")), 9).alias("roc_auc"),
+        F.round(F.try_divide(F.col("num"), F.col("n_pos").cast("double") * F.col("n_neg")), 9).alias("roc_auc"),
     )
 
 
@@ -235,8 +235,8 @@ def drift_psi(
     )
     totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_cur").alias("t_cur"))
     j = counts.join(totals, "feature")
-    pb = F.col("n_base") / F.col("t_base")
-    pc = F.col("n_cur") / F.col("t_cur")
+    pb = F.try_divide(F.col("n_base").cast("double"), F.col("t_base"))
+    pc = F.try_divide(F.col("n_cur").cast("double"), F.col("t_cur"))
     term = (pc - pb) * F.log((pc + F.lit(eps)) / (pb + F.lit(eps)))
     return j.groupBy("feature").agg(
         F.round(F.sum(term), 6).alias("psi"),
