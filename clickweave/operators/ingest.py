@@ -14,6 +14,18 @@ from clickweave.functions.columns import reference_reject_predicate, reject_reas
 from clickweave.sources.schema import CORRUPT_COLUMN, RAW_TIME_PATTERN
 
 
+def strict_rules(time_text_col: str = "event_time_text") -> dict[str, F.Column]:
+    """D2's optional extra rules: the columns the raw schema declares required (the file reader does
+    not enforce ``nullable=False``, M1) and an event time that did not parse."""
+    rules = {
+        "null_event_type": F.col("event_type").isNull(),
+        "null_product_id": F.col("product_id").isNull(),
+        "null_event_time": F.col(time_text_col).isNull(),
+        "unparseable_time": F.col(time_text_col).isNotNull() & F.col("event_timestamp").isNull(),
+    }
+    return rules
+
+
 def with_reject_reason(
     df: DataFrame,
     *,

@@ -100,3 +100,12 @@ def test_ingest_creates_catalog_table(spark, hostile_csv, tmp_dir):
     table = os.path.join(tmp_dir, "bronze_cat")
     ingest(spark, hostile_csv, table, table_name="bronze_events_t")
     assert spark.table("default.bronze_events_t").count() == 4
+
+
+def test_strict_rules_reject_missing_required_and_bad_time(spark, hostile_csv):
+    from clickweave.operators.ingest import strict_rules
+
+    res = bronze_frames(spark, hostile_csv, extra_rules=strict_rules())
+    assert (res.rejects.count(), res.clean.count()) == (8, 2)
+    reasons = " ".join(r.reject_reason for r in res.rejects.collect())
+    assert "unparseable_time" in reasons and "null_event_type" in reasons and "null_product_id" in reasons
