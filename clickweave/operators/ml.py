@@ -215,13 +215,19 @@ def drift_psi(
 
     Bins are ``bins`` equal-width ranges over the feature's [min, max] across both periods (NULL
     gets its own bin -1); PSI = Σ (p_cur − p_base)·ln((p_cur + eps)/(p_base + eps)). One unpivot,
-    one grouped count per (feature, bin), a join to per-feature ranges (one row per feature)."""
+    one grouped count per (feature, value) that both the per-feature ranges (one row per feature,
+    broadcast) and the per-bin sums read."""
     cols = list(feature_cols)
     typed = features.filter(F.col(split_col).isin(base, current)).select(
         split_col, *[F.col(c).cast("double").alias(c) for c in cols]
     )
     long = typed.unpivot([split_col], cols, "feature", "value")
-    ranges = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    # one pass over the features: counts per (feature, value, period), combined map-side; the
+    # ranges and the binning both read this (its exchange is reused), not the features again
+    per_value = long.groupBy("feature", "value").agg(
+        F.count_if(F.col(split_col) == base).alias("n_base"), F.count_if(F.col(split_col) == current).alias("n_cur")
+    )
+    ranges = per_value.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = F.col("hi") - F.col("lo")
     bin_ = (
         F.when(F.col("value").isNull(), F.lit(-1))
@@ -229,10 +235,8 @@ def drift_psi(
         .otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / width * F.lit(bins)), F.lit(bins - 1)))
         .cast("int")
     )
-    binned = long.join(F.broadcast(ranges), "feature").withColumn("bin", bin_)
-    counts = binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col(split_col) == base).alias("n_base"), F.count_if(F.col(split_col) == current).alias("n_cur")
-    )
+    binned = per_value.join(F.broadcast(ranges), "feature").withColumn("bin", bin_)
+    counts = binned.groupBy("feature", "bin").agg(F.sum("n_base").alias("n_base"), F.sum("n_cur").alias("n_cur"))
     totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_cur").alias("t_cur"))
     j = counts.join(totals, "feature")
     pb = F.try_divide(F.col("n_base").cast("double"), F.col("t_base"))
