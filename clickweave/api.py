@@ -77,8 +77,7 @@ def write_to_dlq(df: DataFrame, dlq_dir: str, batch_tag: str) -> None:
 
 def calculate_session_boundaries(df: DataFrame, timeout_seconds: int = 1800) -> DataFrame:
     """Sessionization (W1-W5, ``operators.sessions.sessionize``; skew-safe chunking)."""
-    order = "src_event_id" if "src_event_id" in df.columns else "event_timestamp"
-    return _sessions.sessionize(df, timeout_seconds, order_col=order)
+    return _sessions.sessionize(df, timeout_seconds)
 
 
 def evaluate_session_match_rate(df: DataFrame) -> float | None:

@@ -41,6 +41,14 @@ def _flag(idle: Column, timeout_seconds: int) -> Column:
     return F.when(idle.isNull() | (idle > F.lit(timeout_seconds)), F.lit(1)).otherwise(F.lit(0))
 
 
+def _tie_breakers(df: DataFrame, ts_col: str, order_col: str | None) -> list[str]:
+    """Event order inside a user: time, then the first available tie-breaker column."""
+    for c in (order_col, "src_event_id", "event_id"):
+        if c and c in df.columns and c != ts_col:
+            return [ts_col, c]
+    return [ts_col]
+
+
 def sessionize(
     df: DataFrame,
     timeout_seconds: int = DEFAULT_TIMEOUT_SECONDS,
@@ -60,6 +68,7 @@ def sessionize(
     """
     if chunk_seconds <= 0 or timeout_seconds < 0:
         raise ValueError("chunk_seconds must be positive and timeout_seconds non-negative")
+    order = _tie_breakers(df, ts_col, order_col)
     width = max(1, min(chunk_seconds, timeout_seconds)) if timeout_seconds > 0 else 1
     sec = epoch_seconds(ts_col)
     base = df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).withColumns(
@@ -91,7 +100,7 @@ def sessionize(
     index = F.col("_c_index").cast("bigint")
     cols = {"session_index": index, "computed_session_id": session_id(user_col, index)}
     if with_sequence:
-        w = Window.partitionBy(user_col, "_chunk").orderBy(ts_col, order_col)
+        w = Window.partitionBy(user_col, "_chunk").orderBy(*order)
         rn = F.row_number().over(w)
         first = rn == 1
         cols.update(
@@ -117,7 +126,7 @@ def sessionize_by_user(
 ) -> DataFrame:
     """The reference's literal single-window form (W1-W5): one window per user. Same result as
     ``sessionize``; fine when no user is large. Kept as the executable definition for tests."""
-    w = Window.partitionBy(user_col).orderBy(ts_col, order_col)
+    w = Window.partitionBy(user_col).orderBy(*_tie_breakers(df, ts_col, order_col))
     prev = F.lag(ts_col).over(w)
     out = (
         df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
@@ -126,7 +135,7 @@ def sessionize_by_user(
         .withColumn("session_index", F.sum("session_flag").over(w.rowsBetween(_UNB, Window.currentRow)).cast("bigint"))
         .withColumn("computed_session_id", session_id(user_col, "session_index"))
     )
-    ws = Window.partitionBy(user_col, "session_index").orderBy(ts_col, order_col)
+    ws = Window.partitionBy(user_col, "session_index").orderBy(*_tie_breakers(df, ts_col, order_col))
     return out.withColumn("event_seq", F.row_number().over(ws).cast("bigint"))
 
 

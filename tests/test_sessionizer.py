@@ -167,3 +167,8 @@ def test_hot_user_work_is_split_into_small_chunks(spark):
     a = sessionize(hot, 1800).select(*cols).orderBy("src_event_id").collect()
     b = sessionize_by_user(hot, 1800).select(*cols).orderBy("src_event_id").collect()
     assert a == b
+
+
+def test_without_tie_breaker_column(spark):
+    df = frame(spark, [(1, 0), (1, 5000)]).drop("src_event_id")
+    assert [r.session_index for r in sessionize(df).orderBy("event_timestamp").collect()] == [1, 2]
