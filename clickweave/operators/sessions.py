@@ -278,6 +278,9 @@ def late_events(
     new_events: DataFrame, state: DataFrame, *, user_col: str = "user_id", ts_col: str = "event_timestamp"
 ) -> DataFrame:
     """New events at or before their user's stored last event time (need a full recompute)."""
-    return new_events.join(state, user_col, "inner").filter(
-        F.col(ts_col) <= F.col("last_event_timestamp")
-    ).drop("last_event_timestamp", "last_session_index")
+    last = state.select(user_col, F.col("last_event_timestamp").alias("_last_ts"))
+    return (
+        new_events.join(last, user_col, "inner")
+        .filter(F.col(ts_col) <= F.col("_last_ts"))
+        .select(*new_events.columns)
+    )

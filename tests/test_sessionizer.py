@@ -172,3 +172,10 @@ def test_hot_user_work_is_split_into_small_chunks(spark):
 def test_without_tie_breaker_column(spark):
     df = frame(spark, [(1, 0), (1, 5000)]).drop("src_event_id")
     assert [r.session_index for r in sessionize(df).orderBy("event_timestamp").collect()] == [1, 2]
+
+
+def test_late_events_keep_input_columns(spark):
+    df = _random_events(spark, n=300)
+    state = session_state(sessionize(df, 1800))
+    late = late_events(df, state)
+    assert late.columns == df.columns and late.count() == df.count()
