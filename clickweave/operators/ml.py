@@ -210,6 +210,7 @@ def drift_psi(
     *,
     bins: int = 10,
     eps: float = 1e-6,
+    binning: str = "equal_width",
 ) -> DataFrame:
     """Population-stability index per feature between the ``base`` and ``current`` periods.
 
@@ -221,6 +222,10 @@ def drift_psi(
     typed = features.filter(F.col(split_col).isin(base, current)).select(
         split_col, *[F.col(c).cast("double").alias(c) for c in cols]
     )
+    if binning == "quantile":
+        return _psi_from_bins(_quantile_bins(typed, split_col, base, cols, bins), split_col, base, current, eps)
+    if binning != "equal_width":
+        raise ValueError(f"unknown binning {binning!r}")
     long = typed.unpivot([split_col], cols, "feature", "value")
     # one pass over the features: counts per (feature, value, period), combined map-side; the
     # ranges and the binning both read this (its exchange is reused), not the features again
@@ -237,6 +242,11 @@ def drift_psi(
     )
     binned = per_value.join(F.broadcast(ranges), "feature").withColumn("bin", bin_)
     counts = binned.groupBy("feature", "bin").agg(F.sum("n_base").alias("n_base"), F.sum("n_cur").alias("n_cur"))
+    return _psi(counts, eps)
+
+
+def _psi(counts: DataFrame, eps: float) -> DataFrame:
+    """PSI per feature from per-(feature, bin) counts ``n_base``, ``n_cur``."""
     totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_cur").alias("t_cur"))
     j = counts.join(totals, "feature")
     pb = F.try_divide(F.col("n_base").cast("double"), F.col("t_base"))
@@ -249,6 +259,33 @@ def drift_psi(
     )
 
 
+def _quantile_bins(typed: DataFrame, split_col: str, base: str, cols: list[str], bins: int) -> DataFrame:
+    """Per-row bin index of every feature, with edges at the base period's approximate quantiles
+    (computed once: features x bins numbers) and one multi-column ``Bucketizer`` pass. NULL gets
+    the extra bucket ``bins`` (kept, not dropped)."""
+    qs = [i / bins for i in range(1, bins)]
+    row = typed.filter(F.col(split_col) == base).agg(
+        *[F.percentile_approx(c, qs, 10000).alias(c) for c in cols]
+    ).first()
+    splits = []
+    for c in cols:
+        inner = sorted({e for e in (row[c] or []) if e is not None})
+        splits.append([float("-inf"), *inner, float("inf")] if inner else [float("-inf"), 0.0, float("inf")])
+    nan_filled = typed.select(split_col, *[F.coalesce(F.col(c), F.lit(float("nan"))).alias(c) for c in cols])
+    bucketed = Bucketizer(
+        splitsArray=splits, inputCols=cols, outputCols=[f"_b_{c}" for c in cols], handleInvalid="keep"
+    ).transform(nan_filled)
+    return bucketed.select(split_col, *[F.col(f"_b_{c}").cast("int").alias(c) for c in cols])
+
+
+def _psi_from_bins(binned: DataFrame, split_col: str, base: str, current: str, eps: float) -> DataFrame:
+    long = binned.unpivot([split_col], list(binned.columns[1:]), "feature", "bin")
+    counts = long.groupBy("feature", "bin").agg(
+        F.count_if(F.col(split_col) == base).alias("n_base"), F.count_if(F.col(split_col) == current).alias("n_cur")
+    )
+    return _psi(counts, eps)
+
+
 def feature_summary(
     features: DataFrame, by: str = "data_partition", feature_cols: Sequence[str] = FEATURE_COLUMNS
 ) -> DataFrame:

@@ -84,3 +84,12 @@ def test_drift_zero_for_identical_periods(spark):
     assert all(abs(r.psi) < 1e-9 for r in ml.drift_psi(both).collect())
     real = ml.drift_psi(oot_split(feats, m.OOT_CUTOFF)).collect()
     assert len(real) == 9 and all(r.psi >= 0 for r in real)
+
+
+def test_quantile_drift(spark):
+    feats = m.features(spark, SF_SMALL, 43200)
+    both = feats.withColumn("data_split", F.lit("train")).unionByName(feats.withColumn("data_split", F.lit("oot")))
+    assert all(abs(r.psi) < 1e-9 for r in ml.drift_psi(both, binning="quantile").collect())
+    real = ml.drift_psi(oot_split(feats, m.OOT_CUTOFF), binning="quantile").collect()
+    assert len(real) == 9 and all(r.psi >= 0 for r in real)
+    assert sum(r.n_base for r in real) == 9 * oot_split(feats, m.OOT_CUTOFF).filter("data_split = 'train'").count()
