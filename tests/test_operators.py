@@ -157,6 +157,8 @@ def test_approx_distinct_option_close_to_exact(spark):
 
     sv = m.silver(spark, SF_SMALL, 43200, with_sequence=False)
     exact = {r.computed_session_id: r.distinct_products for r in session_metrics(sv).collect()}
-    approx = {r.computed_session_id: r.distinct_products for r in session_metrics(sv, approx_distinct=0.01).collect()}
+    approx = {r.computed_session_id: r.distinct_products for r in session_metrics(sv, distinct=0.01).collect()}
+    expand = {r.computed_session_id: r.distinct_products for r in session_metrics(sv, distinct="expand").collect()}
+    assert expand == exact
     assert exact.keys() == approx.keys()
     assert sum(abs(exact[k] - approx[k]) for k in exact) <= 0.02 * sum(exact.values())
