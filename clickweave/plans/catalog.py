@@ -277,7 +277,7 @@ FROM fct f LEFT JOIN dim_products p USING (product_id) LEFT JOIN dim_users u USI
 def j2_fact_events_fk(spark, sf_dir):
     from clickweave.operators.star import dim_products, dim_users, fact_events, fact_with_dimensions
 
-    sv = m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False)
+    sv = m.silver_table(spark, sf_dir, m.TIMEOUT_SHORT)  # one silver, three derived tables
     out = fact_with_dimensions(fact_events(sv), dim_products(sv), dim_users(sv))
     return out.select(
         "event_id", "product_id", "user_id", "computed_session_id", "dim_category_l1", "dim_brand",
@@ -493,13 +493,12 @@ def k6_evolve(spark, sf_dir):
 
 
 def _gold_tables(spark, sf_dir, timeout=m.TIMEOUT_SHORT):
+    """Staged events plus gold tables derived from one materialised silver (sessionized once)."""
     from clickweave.operators.metrics import feature_store, session_metrics
-    from clickweave.operators.sessions import sessionize
     from clickweave.operators.star import fact_events
 
-    st = m.staged(spark, sf_dir)
-    sv = sessionize(st, timeout, with_sequence=False)
-    return st, fact_events(sv), feature_store(session_metrics(sv))
+    sv = m.silver_table(spark, sf_dir, timeout)
+    return m.staged(spark, sf_dir), fact_events(sv), feature_store(session_metrics(sv))
 
 
 def _unique_sql(table: str, col: str, src: str) -> str:

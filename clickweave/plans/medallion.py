@@ -66,3 +66,11 @@ def model_input(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT)
         F.coalesce("max_price_viewed", F.lit(0.0)).alias("max_price_viewed"),
         F.col("is_purchased").cast("int").alias("is_purchased"),
     )
+
+
+def silver_table(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
+    """Silver sessionized once and written to the shared scratch folder, read back as a table —
+    the lineage cut a job makes before deriving several gold tables from the same silver."""
+    from clickweave.sinks.tables import stage
+
+    return stage(spark, silver(spark, sf_dir, timeout, with_sequence=False), "silver")
