@@ -16,12 +16,22 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _default_driver_memory(cap_mb: int = 16384) -> str:
+    """60 % of physical memory, at most ``cap_mb`` (local mode runs everything in the driver JVM)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            total_kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        return f"{max(1024, min(cap_mb, int(total_kb / 1024 * 0.6)))}m"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def local_session(
     cores: int | str = "*",
     *,
     shuffle_partitions: int = 8,
     app: str = "clickweave",
-    driver_memory: str = "8g",
+    driver_memory: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     builder = (
@@ -32,7 +42,7 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", driver_memory)
+        .config("spark.driver.memory", driver_memory or _default_driver_memory())
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in {"spark.sql.session.timeZone": "UTC", **(extra or {})}.items():
