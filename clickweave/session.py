@@ -54,10 +54,16 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a fresh local one only when none is set (tests,
-    local runs). On a cluster the setting names a shared folder and is left as it is."""
+    """Return the session's checkpoint folder. On a cluster it must name a shared folder
+    (``spark.checkpoint.dir``) and is used as it is; when unset there, this raises instead of
+    falling back to a machine-local folder. Only a local-mode session (tests, local runs) gets a
+    fresh temporary folder when none is set."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: name a shared folder (HDFS/S3) for staged tables and checkpoints"
+            )
         current = tempfile.mkdtemp(prefix="clickweave-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     spark.sparkContext.setCheckpointDir(current)
