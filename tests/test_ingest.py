@@ -29,7 +29,7 @@ ROWS = [
 
 @pytest.fixture()
 def hostile_csv(tmp_dir):
-    path = os.path.join(tmp_dir, "2019-Oct.csv.gz")
+    path = os.path.join(tmp_dir, "events-2019-10.csv.gz")
     with gzip.open(path, "wt") as fh:
         fh.write("\n".join([HEADER, *ROWS]) + "\n")
     return path
@@ -68,7 +68,7 @@ def test_unprojected_csv_read_is_unstable(spark, hostile_csv):
 def test_batch_tag_and_time(spark, hostile_csv):
     res = bronze_frames(spark, hostile_csv)
     rows = res.clean.orderBy("product_id").collect()
-    assert {r.batch for r in rows} == {"2019-Oct_csv_gz"}
+    assert {r.batch for r in rows} == {"events-2019-10_csv_gz"}
     good = [r for r in rows if r.product_id == 1][0]
     assert str(good.event_timestamp) == "2019-10-01 00:00:00"
     assert str(good.event_date) == "2019-10-01"
@@ -93,7 +93,7 @@ def test_ingest_is_batch_idempotent(spark, hostile_csv, tmp_dir):
     ingest(spark, hostile_csv, table, table_name=None, dlq_dir=dlq)
     ingest(spark, hostile_csv, table, table_name=None)
     assert spark.read.parquet(table).count() == 4
-    assert spark.read.parquet(dlq).filter(F.col("batch") == "2019-Oct_csv_gz").count() == 6
+    assert spark.read.parquet(dlq).filter(F.col("batch") == "events-2019-10_csv_gz").count() == 6
 
 
 def test_ingest_creates_catalog_table(spark, hostile_csv, tmp_dir):

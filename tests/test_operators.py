@@ -136,14 +136,14 @@ def _csv(path, lines):
 
 
 def test_multi_file_ingest_and_append(spark, tmp_dir):
-    a = os.path.join(tmp_dir, "2019-Oct.csv.gz")
-    b = os.path.join(tmp_dir, "2019-Nov.csv.gz")
+    a = os.path.join(tmp_dir, "events-2019-10.csv.gz")
+    b = os.path.join(tmp_dir, "events-2019-11.csv.gz")
     _csv(a, ["2019-10-01 00:00:00 UTC,view,1,1,x,y,1.0,1,s", "2019-10-02 00:00:00 UTC,view,1,1,x,y,-1.0,1,s"])
     _csv(b, ["2019-11-01 00:00:00 UTC,cart,2,1,x,y,2.0,2,s"])
     res = bronze_frames(spark, [a, b])
     tags = sorted((r.batch, r.n) for r in res.clean.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect())
-    assert tags == [("2019-Nov_csv_gz", 1), ("2019-Oct_csv_gz", 1)]
-    assert [r.batch for r in res.rejects.collect()] == ["2019-Oct_csv_gz"]
+    assert tags == [("events-2019-10_csv_gz", 1), ("events-2019-11_csv_gz", 1)]
+    assert [r.batch for r in res.rejects.collect()] == ["events-2019-10_csv_gz"]
     table = os.path.join(tmp_dir, "t")
     ingest(spark, [a, b], table, table_name=None, replace_batches=False)
     ingest(spark, [a, b], table, table_name=None, replace_batches=False)
