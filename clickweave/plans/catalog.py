@@ -64,6 +64,16 @@ def w5_event_sequence(spark, sf_dir):
     return m.silver(spark, sf_dir, m.TIMEOUT_LONG).select("src_event_id", "computed_session_id", "event_seq")
 
 
+@query(
+    "d10_unsessionizable",
+    o.with_(o.CLICK)
+    + "SELECT CAST(count_if(user_id IS NULL OR event_timestamp IS NULL) AS BIGINT) AS unsessionizable_rows FROM click",
+)
+def d10_unsessionizable(spark, sf_dir):
+    """Rows a sessionizer must leave out (NULL user or NULL time), counted on the raw clicks."""
+    return ses.unsessionizable(m.clicks(spark, sf_dir))
+
+
 _MATCH_SQL = """SELECT count(*) AS n_user_sessions, CAST(count_if(one) AS BIGINT) AS n_matched,
        round(avg(CAST(one AS DOUBLE)), 6) AS match_rate
 FROM (SELECT user_session, min(computed_session_id) = max(computed_session_id) AS one
