@@ -110,3 +110,20 @@ def test_check_table_single_scan_rules(spark):
         ("not_null", "k"): 1, ("not_null", "event_type"): 1, ("accepted_values", "event_type"): 1,
         ("non_negative", "price"): 1, ("non_negative_duration", "session_duration_sec"): 1,
     }
+
+
+def test_clustered_write_spreads_a_hot_key(spark, tmp_dir):
+    """90 % of rows share one (event_date, event_type): the row-hash range tiebreaker spreads them
+    over several range partitions (files) instead of one task."""
+    import glob
+
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("date").alias("event_date"),
+        F.when(F.col("id") % 10 == 0, F.lit("cart")).otherwise(F.lit("view")).alias("event_type"),
+        F.col("id").alias("event_id"),
+    )
+    path = os.path.join(tmp_dir, "hot")
+    tables.write_clustered(df, path, ["event_date"], ["event_type"], num_partitions=8)
+    hot_files = glob.glob(os.path.join(path, "event_date=2024-01-01", "*.parquet"))
+    assert len(hot_files) >= 4
+    assert spark.read.parquet(path).count() == 20000
