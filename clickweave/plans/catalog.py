@@ -744,9 +744,13 @@ def l9_feature_summary(spark, sf_dir):
 
 
 def _oot_frames(spark, sf_dir):
+    """Model input (one row per session) staged once, then split: training and scoring read the
+    staged table instead of each re-deriving sessions from the events."""
     from clickweave.operators.ml import prepare, temporal_split
+    from clickweave.sinks.tables import stage
 
-    return temporal_split(prepare(m.features(spark, sf_dir, m.TIMEOUT_LONG)), m.OOT_CUTOFF)
+    model_input = stage(spark, prepare(m.features(spark, sf_dir, m.TIMEOUT_LONG)), "model-input")
+    return temporal_split(model_input, m.OOT_CUTOFF)
 
 
 @query("l1_gbt_scores")
