@@ -717,8 +717,10 @@ FROM counts JOIN totals USING (feature) GROUP BY feature"""
 def l9_drift(spark, sf_dir):
     from clickweave.operators.metrics import oot_split
     from clickweave.operators.ml import drift_psi
+    from clickweave.sinks.tables import stage
 
-    return drift_psi(oot_split(m.features(spark, sf_dir, m.TIMEOUT_LONG), m.OOT_CUTOFF))
+    feats = stage(spark, m.features(spark, sf_dir, m.TIMEOUT_LONG), "features")  # read by several branches
+    return drift_psi(oot_split(feats, m.OOT_CUTOFF))
 
 
 def _summary_sql() -> str:
