@@ -28,3 +28,17 @@ def test_every_query_builds(spark):
     for name in lazy:
         df = entry.queries()[name](spark, SF_CHECK)
         assert df.columns, name
+
+
+def test_results_do_not_depend_on_shuffle_partitions(spark):
+    names = ["w5_event_sequence", "a1_session_metrics", "a8_dim_products", "l7_auc", "a12_funnel"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = {}
+    try:
+        for n_parts in ("3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n_parts)
+            out[n_parts] = {q: sorted(map(tuple, entry.queries()[q](spark, SF_CHECK).collect())) for q in names}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for q in names:
+        assert out["3"][q] == out["13"][q], q
