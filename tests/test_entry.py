@@ -42,3 +42,17 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     for q in names:
         assert out["3"][q] == out["13"][q], q
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["w4_sessionize_30m", "p11_feature_store", "a13_rollup", "s1_csv_ingest", "t1_session_window"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    out = {}
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            out[tz] = {q: sorted(map(str, entry.queries()[q](spark, SF_CHECK).collect())) for q in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for q in names:
+        assert out["UTC"][q] == out["America/New_York"][q], q
