@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
+from clickweave.llm.minhash import OP7_SQL, op7_minhash
 
 QUERIES = {
+    "op7_minhash": op7_minhash,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {
+    "op7_minhash": OP7_SQL,
     "op10_decontaminate": OP10_SQL,
 }
