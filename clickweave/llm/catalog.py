@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
+from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
 
 QUERIES = {
+    "op5_epsgrid": op5_epsgrid,
     "op7_minhash": op7_minhash,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {
+    "op5_epsgrid": OP5_SQL,
     "op7_minhash": OP7_SQL,
     "op10_decontaminate": OP10_SQL,
 }
