@@ -5,14 +5,17 @@ from __future__ import annotations
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
 from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
+from clickweave.llm.mix import OP6_SQL, op6_mix
 
 QUERIES = {
+    "op6_mix": op6_mix,
     "op5_epsgrid": op5_epsgrid,
     "op7_minhash": op7_minhash,
     "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE = {
+    "op6_mix": OP6_SQL,
     "op5_epsgrid": OP5_SQL,
     "op7_minhash": OP7_SQL,
     "op10_decontaminate": OP10_SQL,
