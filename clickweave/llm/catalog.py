@@ -6,8 +6,10 @@ from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
 from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
 from clickweave.llm.mix import OP6_SQL, op6_mix
+from clickweave.llm.shard import op4_hilbert
 
 QUERIES = {
+    "op4_hilbert": op4_hilbert,
     "op6_mix": op6_mix,
     "op5_epsgrid": op5_epsgrid,
     "op7_minhash": op7_minhash,
