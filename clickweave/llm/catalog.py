@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
 from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
+from clickweave.llm.html import op2_linedist
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
 from clickweave.llm.mix import OP6_SQL, op6_mix
 from clickweave.llm.records import op9_records
 from clickweave.llm.shard import op4_hilbert
 
 QUERIES = {
+    "op2_linedist": op2_linedist,
     "op9_records": op9_records,
     "op4_hilbert": op4_hilbert,
     "op6_mix": op6_mix,
