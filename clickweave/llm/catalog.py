@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from clickweave.llm.chat import OP3_SQL, op3_snapshots
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
 from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.html import op2_linedist
@@ -11,6 +12,7 @@ from clickweave.llm.records import op9_records
 from clickweave.llm.shard import op4_hilbert
 
 QUERIES = {
+    "op3_snapshots": op3_snapshots,
     "op2_linedist": op2_linedist,
     "op9_records": op9_records,
     "op4_hilbert": op4_hilbert,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_snapshots": OP3_SQL,
     "op6_mix": OP6_SQL,
     "op5_epsgrid": OP5_SQL,
     "op7_minhash": OP7_SQL,
