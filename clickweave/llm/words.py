@@ -45,26 +45,33 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _scan(raw: np.ndarray, starts: np.ndarray, sep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, first bytes, last bytes' places) of one piece; a text begins at each of ``starts``."""
-    n = len(raw)
-    if n == 0:
-        z = np.zeros(0, np.int64)
-        return z.astype(np.uint64), z, z
-    word = ~sep[raw]
-    cut = np.zeros(n + 1, bool)
-    cut[starts] = True
-    cut[n] = True
-    before, after = np.zeros(n, bool), np.zeros(n, bool)
-    before[1:] = word[:-1]
-    after[:-1] = word[1:]
-    first = np.flatnonzero(word & (~before | cut[:n]))
-    last = np.flatnonzero(word & (~after | cut[1:]))
-    p, inv = _power_tables(n)
-    sums = np.zeros(n + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=sums[1:])
-        return mix((sums[last + 1] - sums[first]) * inv[first]), first, last
+class Scan:
+    """The words of one piece; a text begins at each of ``starts``. ``first``, ``last``: places of
+    their first and last bytes."""
+
+    def __init__(self, raw: np.ndarray, starts: np.ndarray, sep: np.ndarray):
+        n, self.raw = len(raw), raw
+        word = ~sep[raw]
+        cut = np.zeros(n + 1, bool)
+        cut[starts] = True
+        cut[n] = True
+        before, after = np.zeros(n, bool), np.zeros(n, bool)
+        before[1:] = word[:-1]
+        after[:-1] = word[1:]
+        self.first = np.flatnonzero(word & (~before | cut[:n]))
+        self.last = np.flatnonzero(word & (~after | cut[1:]))
+        p, self._inverse = _power_tables(n + 1)
+        self._sums = np.zeros(n + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=self._sums[1:])
+
+    def span_hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the lower-cased bytes [begin, end)."""
+        with np.errstate(over="ignore"):
+            return mix((self._sums[end] - self._sums[begin]) * self._inverse[begin])
+
+    def hashes(self) -> np.ndarray:
+        return self.span_hashes(self.first, self.last + 1)
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,18 +92,29 @@ def groups(off: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def word_hashes(raw: np.ndarray, off: np.ndarray, sep: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For groups of rows [i, j): (i, j, hashes of their words in order, offsets of each row's words)."""
+def scans(raw: np.ndarray, off: np.ndarray, sep: np.ndarray) -> Iterator[tuple[int, int, list[Scan], np.ndarray]]:
+    """For groups of rows [i, j): (i, j, scans, where each row begins in the scan). A long row comes
+    alone, as scans of its pieces."""
     for i, j in groups(off):
         if j - i == 1 and off[j] - off[i] > PIECE:
-            hashes = np.concatenate([h for h, _, _ in long_pieces(raw[off[i] : off[j]], sep)])
+            yield i, j, long_pieces(raw[off[i] : off[j]], sep), np.zeros(1, np.int64)
+        else:
+            starts = off[i:j] - off[i]
+            yield i, j, [Scan(raw[off[i] : off[j]], starts, sep)], starts
+
+
+def word_hashes(raw: np.ndarray, off: np.ndarray, sep: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For groups of rows [i, j): (i, j, hashes of their words in order, offsets of each row's words)."""
+    for i, j, parts, starts in scans(raw, off, sep):
+        if j - i == 1:
+            hashes = np.concatenate([p.hashes() for p in parts])
             yield i, j, hashes, np.array([0, len(hashes)])
         else:
-            h, first, _ = _scan(raw[off[i] : off[j]], (off[i:j] - off[i])[: j - i], sep) if off[j] > off[i] else _scan(raw[:0], off[:0], sep)
-            yield i, j, h, np.searchsorted(first, off[i : j + 1] - off[i])
+            (part,) = parts
+            yield i, j, part.hashes(), np.append(np.searchsorted(part.first, starts), len(part.first))
 
 
-def long_pieces(text: np.ndarray, sep: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def long_pieces(text: np.ndarray, sep: np.ndarray) -> Iterator[Scan]:
     """The scans of one long text, cut at separators (a longer run without one stays whole)."""
     at = 0
     while at < len(text):
@@ -104,7 +122,7 @@ def long_pieces(text: np.ndarray, sep: np.ndarray) -> Iterator[tuple[np.ndarray,
         while end < len(text) and not sep[text[end - 1]]:
             gap = np.flatnonzero(sep[text[end : end + PIECE]])
             end = min(len(text), end + int(gap[0]) + 1 if len(gap) else end + PIECE)
-        yield _scan(text[at:end], np.zeros(1, np.int64), sep)
+        yield Scan(text[at:end], np.zeros(1, np.int64), sep)
         at = end
 
 
