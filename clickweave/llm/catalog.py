@@ -8,11 +8,13 @@ from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.html import op2_linedist
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
 from clickweave.llm.mix import OP6_SQL, op6_mix
+from clickweave.llm.pii import op8_semicrf
 from clickweave.llm.quality import op1_ordinal
 from clickweave.llm.records import op9_records
 from clickweave.llm.shard import op4_hilbert
 
 QUERIES = {
+    "op8_semicrf": op8_semicrf,
     "op1_ordinal": op1_ordinal,
     "op3_snapshots": op3_snapshots,
     "op2_linedist": op2_linedist,
