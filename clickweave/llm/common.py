@@ -6,8 +6,12 @@ executor costs at most the stage that was running.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +21,32 @@ from clickweave.session import ensure_checkpoint_dir, scratch_path
 BROADCAST_ROWS = 500_000
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let the Python workers import this package, wherever they run: once a session, a zip of its
+    sources goes to the shared scratch folder and from there to the executors."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in (root / "__init__.py", root / "session.py", *sorted((root / "llm").glob("*.py"))):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    ensure_checkpoint_dir(spark)
+    uri = scratch_path(spark, "llm-code") + ".zip"
+    store, path = fs.FileSystem.from_uri(uri)
+    with store.open_output_stream(path) as out:
+        out.write(packed.getbuffer())
+    spark.sparkContext.addPyFile(uri)
+    _shipped.add(app)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared scratch folder."""
+    ship_code(spark)
     ensure_checkpoint_dir(spark)
     return scratch_path(spark, f"llm-{name}")
 
@@ -32,6 +60,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -102,35 +131,37 @@ def running_total(
     )
 
 
+#: Ways a node's links are split in ``components``, so that no task joins a whole hub.
+SALTS = 8
+
+
+def _lowest(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with ``m``, the value ``low`` (u, m) has for u."""
+    many = low.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(many, ["u", "_salt"]).drop("_salt")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", *, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over ``links``, for every node that has one.
 
     Alternates large-star and small-star steps: every node's neighbours are hooked to its smallest
-    one, until the links form stars. Each round is staged; hubs are split by the skew-join rule,
-    because both join sides are plain staged tables. Links never leave the executors.
+    one, until the links form stars. Each round is staged; the links of a hub are dealt over
+    ``SALTS`` keys where they are joined. Links never leave the executors.
     """
-    spark = links.sparkSession
     edges = stage(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
     )
-    mark = None
     for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
-        large = stage(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = (
-            large.join(low, "u")
-            .where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        edges = stage(small, "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        ends = F.explode(F.array(*[F.struct(F.col(c).alias("node"), F.lit(i).alias("child")) for c, i in (("u", 1), ("v", 0))]))
+        roles = edges.select(ends.alias("e")).groupBy("e.node").agg(F.sum("e.child").alias("up"), F.min("e.child").alias("root"))
+        if roles.where("up > 1 OR (up = 1 AND root = 0)").isEmpty():  # stars only
             break
-        mark = now
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = _lowest(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = _lowest(large, low).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = stage(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -62,6 +62,17 @@ def frame(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
     return b"".join((head, _CRC.pack(masked(head)), payload, _CRC.pack(masked(payload))))
 
 
+def index_entry(offset: int, framed: int, doc_id: int | None) -> bytes:
+    return _ENTRY.pack(offset, framed - 16, doc_id or 0)
+
+
+def index_entries(raw: bytes) -> list[tuple[int, int, int]]:
+    return list(_ENTRY.iter_unpack(raw))
+
+
+ENTRY_BYTES = _ENTRY.size
+
+
 def _payload(payload: bytes, crc: bytes) -> tuple[int | None, np.ndarray]:
     if _CRC.unpack(crc)[0] != masked(payload):
         raise ValueError("record checksum does not match")
@@ -169,7 +180,7 @@ def write_records(documents: DataFrame, tokenizer_path: str, folder: str | None
                 for k, doc_id in enumerate(b.column(0).slice(i, j - i).to_pylist()):
                     raw = frame(doc_id, ids[off[k] : off[k + 1]], encoder.width)
                     out.write(raw)
-                    entries.write(_ENTRY.pack(at, len(raw) - 16, doc_id or 0))
+                    entries.write(index_entry(at, len(raw), doc_id))
                     at += len(raw)
                 data.write(out.getbuffer())
                 index.write(entries.getbuffer())
@@ -227,8 +238,8 @@ def read_index(manifest: DataFrame) -> DataFrame:
             for file, index in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 store, path = _open(index)
                 with store.open_input_stream(path) as stream:
-                    while raw := stream.read(_ENTRY.size << 14):
-                        at, n, doc = zip(*_ENTRY.iter_unpack(raw), strict=True)
+                    while raw := stream.read(ENTRY_BYTES << 14):
+                        at, n, doc = zip(*index_entries(raw), strict=True)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([file] * len(at)), pa.array(at, pa.int64()), pa.array(n, pa.int64()), pa.array(doc, pa.int64())], names=["file", "offset", "length", "doc_id"]
                         )
