@@ -21,9 +21,23 @@ def epoch_seconds(ts: str | Column) -> Column:
     return F.unix_timestamp(col(ts))
 
 
-def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Difference of whole seconds, ``end - start``; equals ``date_diff('second', start, end)``."""
-    return epoch_seconds(end) - epoch_seconds(start)
+def utc_wall_clock(instant: Column) -> Column:
+    """The UTC wall clock (``timestamp_ntz``) of an instant, by microseconds since the epoch: no
+    local zone is involved, so hours that a zone repeats or skips stay apart."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
+def utc_instant(wall: str | Column) -> Column:
+    """The instant of a UTC wall clock, the inverse of ``utc_wall_clock``."""
+    micros = F.floor(F.date_part(F.lit("SECOND"), col(wall)) * 1_000_000).cast("bigint") % 1_000_000
+    # whole seconds are cut towards zero, so one before 1970 with a fraction is a second too late
+    early = (micros > 0) & (col(wall) < wall_clock_literal("1970-01-01"))
+    return F.timestamp_micros((epoch_seconds(wall) - early.cast("int")) * 1_000_000 + micros)
+
+
+def wall_clock_literal(text: str) -> Column:
+    """A ``timestamp_ntz`` constant from ISO text; unlike a Python datetime it has no zone."""
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def reject_reasons(

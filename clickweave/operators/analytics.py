@@ -6,16 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RATE_DIGITS = 6
-MONEY_DIGITS = 2
-
 
 def event_frequency(fct: DataFrame, by: tuple[str, ...] = ("event_date", "event_type", "category_l1")) -> DataFrame:
     """Events, distinct users and purchase revenue per ``by`` group."""
     return fct.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_events"),
         F.count_distinct("user_id").alias("n_users"),
-        F.round(F.sum(F.when(F.col("event_type") == "purchase", F.col("price"))), MONEY_DIGITS).alias("revenue"),
+        F.sum(F.when(F.col("event_type") == "purchase", F.col("price"))).alias("revenue"),
     )
 
 
@@ -58,7 +55,7 @@ def conversion_funnel(silver: DataFrame, by: tuple[str, ...] = ("session_date",)
         F.count_if(F.col("first_cart").isNotNull()).alias("any_cart_sessions"),
         F.count_if(F.col("first_purchase").isNotNull()).alias("any_purchase_sessions"),
     )
-    rate = lambda a, b: F.round(F.col(a).cast("double") / F.nullif(F.col(b), F.lit(0)), RATE_DIGITS)
+    rate = lambda a, b: F.col(a).cast("double") / F.nullif(F.col(b), F.lit(0))
     return agg.select(
         *by,
         "sessions",
@@ -76,17 +73,18 @@ def conversion_funnel(silver: DataFrame, by: tuple[str, ...] = ("session_date",)
 def time_rollup(fct: DataFrame, ts_col: str = "event_timestamp") -> DataFrame:
     """Hour -> day -> month rollup of events, purchases and revenue, with subtotal rows per
     day and month and a grand total; ``grouping_level`` is Spark's ``grouping_id()`` (bit set =
-    column rolled up)."""
-    base = fct.select(
-        F.date_format(ts_col, "yyyy-MM").alias("event_month"),
-        F.to_date(ts_col).alias("event_date"),
-        F.hour(ts_col).alias("event_hour"),
-        "event_type",
-        "price",
+    column rolled up). Events are first counted per hour; only those rows are expanded into the
+    four levels."""
+    bought = F.col("event_type") == "purchase"
+    hours = fct.groupBy(F.to_date(ts_col).alias("event_date"), F.hour(ts_col).alias("event_hour")).agg(
+        F.count(F.lit(1)).alias("_events"),
+        F.count_if(bought).alias("_purchases"),
+        F.sum(F.when(bought, F.col("price"))).alias("_revenue"),
     )
-    return base.rollup("event_month", "event_date", "event_hour").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(F.col("event_type") == "purchase").alias("n_purchases"),
-        F.round(F.sum(F.when(F.col("event_type") == "purchase", F.col("price"))), MONEY_DIGITS).alias("revenue"),
+    hours = hours.withColumn("event_month", F.date_format("event_date", "yyyy-MM"))
+    return hours.rollup("event_month", "event_date", "event_hour").agg(
+        F.sum("_events").alias("n_events"),
+        F.sum("_purchases").alias("n_purchases"),
+        F.sum("_revenue").alias("revenue"),
         F.grouping_id().cast("int").alias("grouping_level"),
     )

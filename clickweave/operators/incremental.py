@@ -17,13 +17,34 @@ def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def null_safe(left: str, right: str, columns: Sequence[str]) -> list:
+    """Join conditions on ``columns`` of two aliased frames in which NULL equals NULL."""
+    return [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in columns]
+
+
+def latest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """One row per key (NULL is a key): the one with the largest ``order_by``, by default event
+    time and source id where the frame has them; ties go to the largest row."""
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
+    order = list(order_by) if order_by is not None else [c for c in ("event_timestamp", "src_event_id") if c in rest]
+    order = [*order, *[c for c in rest if c not in order]]
+    best = df.groupBy(*key).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*[F.col(c) if c in key else F.col(f"_best.`{c}`").alias(c) for c in df.columns])
+
+
+def upsert(
+    target: DataFrame, updates: DataFrame, key: str | Sequence[str], *, order_by: Sequence[str] | None = None
+) -> DataFrame:
     """``updates`` replace target rows with the same key; other target rows stay.
-    new ∪ (old ⟕anti new on key), with schema evolution. Idempotent: applying the same updates
-    twice gives the same table."""
+    new ∪ (old ⟕anti new on key, NULL-safe), with schema evolution. Several updates of one key are
+    reduced to the latest, so the key stays unique; applying the same updates twice gives the
+    same table."""
     keys = [key] if isinstance(key, str) else list(key)
-    kept = target.join(updates.select(*keys).distinct(), keys, "left_anti")
-    return evolve_union(kept, updates).select(*_union_columns(target, updates))
+    one = latest_per_key(updates, keys, order_by)
+    kept = target.alias("t").join(updates.select(*keys).distinct().alias("u"), null_safe("t", "u", keys), "left_anti")
+    return evolve_union(kept, one).select(*_union_columns(target, one))
 
 
 def _union_columns(a: DataFrame, b: DataFrame) -> list[str]:

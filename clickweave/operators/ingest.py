@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.functions.columns import reference_reject_predicate, reject_reasons
+from clickweave.functions.columns import reference_reject_predicate, reject_reasons, utc_wall_clock
 from clickweave.sources.schema import CORRUPT_COLUMN, RAW_TIME_PATTERN
 
 
@@ -68,8 +68,7 @@ def parse_event_time(df: DataFrame, *, src_col: str = "event_time", pattern: str
     ``event_timestamp``; unparseable text gives NULL (``try_to_timestamp``), never an error. The
     result does not depend on the session time zone."""
     instant = F.try_to_timestamp(F.col(src_col), F.lit(pattern))
-    utc_wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-    return df.withColumn("event_timestamp", utc_wall).drop(src_col)
+    return df.withColumn("event_timestamp", utc_wall_clock(instant)).drop(src_col)
 
 
 def rebalance(df: DataFrame, num_partitions: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from clickweave.functions.columns import epoch_seconds, session_id
 from clickweave.sources.schema import FEATURE_COLUMNS, LABEL_COLUMN
 
-PRICE_DIGITS = 6
 FEATURE_STORE_COLUMNS = (
     "computed_session_id",
     "user_id",
@@ -50,13 +49,21 @@ def session_metrics(
     user_col: str = "user_id",
     ts_col: str = "event_timestamp",
     distinct: str | float = "set",
+    pre_purchase_only: bool = False,
 ) -> DataFrame:
     """A1: one row per session with start, end, whole-second duration, counts per event type,
     distinct products and categories (NULLs not counted), average and maximum price over views
     (NULL when the session has no priced view) and ``is_purchased``.
 
     ``distinct``: ``"set"`` (exact, default), ``"expand"`` (exact, ``count(DISTINCT)``) or a relative
-    standard deviation such as 0.02 for HyperLogLog++ sketches (A4 option, fixed-size buffers)."""
+    standard deviation such as 0.02 for HyperLogLog++ sketches (A4 option, fixed-size buffers).
+    ``pre_purchase_only``: purchases count for the label alone; the number of events, the distinct
+    counts and the duration leave them out, so that the features do not give the label away."""
+    if pre_purchase_only:
+        other = F.col("event_type") != F.lit("purchase")
+        seen = lambda c: F.when(other, F.col(c))
+    else:
+        seen = F.col
     is_view = F.col("event_type") == F.lit("view")
     if distinct == "set":
         count_distinct = lambda c: F.size(F.collect_set(c)).cast("bigint")
@@ -69,14 +76,14 @@ def session_metrics(
     agg = silver.groupBy(user_col, "session_index").agg(
         F.min(ts_col).alias("session_start"),
         F.max(ts_col).alias("session_end"),
-        (F.max(epoch_seconds(ts_col)) - F.min(epoch_seconds(ts_col))).alias("session_duration_sec"),
-        F.count(F.lit(1)).alias("total_events"),
+        F.coalesce(F.max(epoch_seconds(seen(ts_col))) - F.min(epoch_seconds(seen(ts_col))), F.lit(0)).alias("session_duration_sec"),
+        F.count(seen(ts_col)).alias("total_events"),
         _count_type("view").alias("view_count"),
         _count_type("cart").alias("cart_count"),
         _count_type("remove_from_cart").alias("remove_count"),
         _count_type("purchase").alias("purchase_count"),
-        count_distinct("product_id").alias("distinct_products"),
-        count_distinct("category_code").alias("distinct_categories"),
+        count_distinct(seen("product_id")).alias("distinct_products"),
+        count_distinct(seen("category_code")).alias("distinct_categories"),
         F.avg(F.when(is_view, F.col("price").cast("double"))).alias("avg_price_viewed"),
         F.max(F.when(is_view, F.col("price").cast("double"))).alias("max_price_viewed"),
     )
@@ -93,7 +100,7 @@ def session_metrics(
         "purchase_count",
         "distinct_products",
         "distinct_categories",
-        F.round("avg_price_viewed", PRICE_DIGITS).alias("avg_price_viewed"),
+        "avg_price_viewed",
         "max_price_viewed",
         (F.col("purchase_count") > 0).alias("is_purchased"),
     )

@@ -19,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickweave.session import stage
 from clickweave.sources.schema import FEATURE_COLUMNS, LABEL_COLUMN
 
 # Fixed values (must equal the reference's configuration): model hyper-parameters and split.
@@ -88,9 +89,14 @@ def hash_split(
     return df.filter(~is_val), df.filter(is_val)
 
 
-def temporal_split(df: DataFrame, cutoff: str, ts_col: str = "session_start") -> tuple[DataFrame, DataFrame]:
-    """L4: train before ``cutoff``, out-of-time at or after it."""
+def temporal_split(
+    df: DataFrame, cutoff: str, ts_col: str = "session_start", *, start_date: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """L4: train before ``cutoff``, out-of-time at or after it; rows before ``start_date`` are left
+    out."""
     cut = F.lit(cutoff).cast("timestamp_ntz")
+    if start_date is not None:
+        df = df.filter(F.col(ts_col) >= F.lit(start_date).cast("timestamp_ntz"))
     return df.filter(F.col(ts_col) < cut), df.filter(F.col(ts_col) >= cut)
 
 
@@ -120,8 +126,10 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("computed_
 
 
 def evaluate(predictions: DataFrame, label: str = LABEL_COLUMN, score_col: str = "score") -> dict:
-    """ROC-AUC and PR-AUC with Spark's evaluator, exact (``numBins=0``: no down-sampling)."""
+    """ROC-AUC and PR-AUC with Spark's evaluator, exact (``numBins=0``: no down-sampling). The
+    scores are staged, so the model runs once for both."""
     df = predictions.select(F.col(score_col).cast("double").alias("score"), F.col(label).cast("double").alias("label"))
+    df = stage(df.sparkSession, df, "predictions")
     out = {}
     for key, metric in (("roc_auc", "areaUnderROC"), ("pr_auc", "areaUnderPR")):
         ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName=metric, numBins=0)
@@ -138,11 +146,10 @@ def roc_auc_frame(df: DataFrame, score_col: str, label_col: str, *, buckets: int
     keeps the result exact, quantiles keep the ranges balanced);
     negatives below a score = the negatives of all lower buckets (a prefix over at most
     ``buckets`` rows, broadcast — its size is the parameter, not the data) + the lower scores inside
-    its own bucket (a window per bucket). Returns one row: ``n_pos``, ``n_neg``, ``roc_auc``."""
-    s = df.select(F.col(score_col).cast("double").alias("s"), F.col(label_col).cast("boolean").alias("y")).filter(
-        F.col("s").isNotNull() & F.col("y").isNotNull()
-    )
-    per = s.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
+    its own bucket (a window per bucket). Returns one row: ``n_pos``, ``n_neg``, ``n_unscored``
+    (rows without a score or label, which take no part), ``roc_auc``."""
+    per_all = score_counts(df, score_col, label_col)
+    per = per_all.filter(F.col("s").isNotNull() & (F.col("pos") + F.col("neg") > 0))
     qs = [i / buckets for i in range(1, buckets)]
     edges = per.agg(F.percentile_approx("s", qs, 10 * buckets).alias("e")).first()["e"] if qs else None
     splits = [float("-inf"), *sorted({e for e in (edges or []) if e is not None}), float("inf")]
@@ -163,7 +170,47 @@ def roc_auc_frame(df: DataFrame, score_col: str, label_col: str, *, buckets: int
     return tot.select(
         F.col("n_pos").cast("bigint").alias("n_pos"),
         F.col("n_neg").cast("bigint").alias("n_neg"),
-        F.round(F.try_divide(F.col("num"), F.col("n_pos").cast("double") * F.col("n_neg")), 9).alias("roc_auc"),
+        F.lit(_unscored(per_all)).cast("bigint").alias("n_unscored"),
+        F.try_divide(F.col("num"), F.col("n_pos").cast("double") * F.col("n_neg")).alias("roc_auc"),
+    )
+
+
+def score_counts(df: DataFrame, score_col: str, label_col: str) -> DataFrame:
+    """Positives, negatives and unlabelled rows per distinct score, staged: what both curves read."""
+    s = df.select(F.col(score_col).cast("double").alias("s"), F.col(label_col).cast("boolean").alias("y"))
+    per = s.groupBy("s").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"), F.count_if(F.col("y").isNull()).alias("none"))
+    return stage(df.sparkSession, per, "scores")
+
+
+def _unscored(per: DataFrame) -> int:
+    missing = F.when(F.col("s").isNull(), F.col("pos") + F.col("neg") + F.col("none")).otherwise(F.col("none"))
+    return per.agg(F.coalesce(F.sum(missing), F.lit(0))).first()[0]
+
+
+def pr_auc_frame(df: DataFrame, score_col: str, label_col: str) -> DataFrame:
+    """L7 as a DataFrame: area under the precision-recall curve, by the trapezoid rule over one
+    point per distinct score from the highest down, starting at recall 0 with the precision of the
+    first point (as Spark's evaluator). The running counts are distributed: score ranges, then one
+    row of totals per range. One row: ``n_pos``, ``n_neg``, ``pr_auc``."""
+    per = score_counts(df, score_col, label_col).filter(F.col("s").isNotNull() & (F.col("pos") + F.col("neg") > 0))
+    ranged = per.repartitionByRange(F.col("s").desc()).withColumn("_range", F.spark_partition_id())
+    ranged = stage(df.sparkSession, ranged, "score-ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    offsets = ranged.groupBy("_range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.min("s").alias("low")).select(
+        "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("p", "n")]
+    )
+    upto = Window.partitionBy("_range").orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = ranged.join(F.broadcast(offsets), "_range").select(
+        "pos", "neg", (F.col("p0") + F.sum("pos").over(upto)).alias("tp"), (F.col("n0") + F.sum("neg").over(upto)).alias("fp")
+    )
+    # the point before this one has the counts less this score's own
+    tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    earlier = F.when(tp0 + fp0 == 0, precision).otherwise(tp0 / (tp0 + fp0))
+    area = at.agg(F.sum(F.col("pos") * (precision + earlier) / 2).alias("area"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    return area.select(
+        F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg"),
+        F.try_divide("area", F.col("n_pos").cast("double")).alias("pr_auc"),
     )
 
 
@@ -210,12 +257,13 @@ def drift_psi(
     *,
     bins: int = 10,
     eps: float = 1e-6,
-    binning: str = "equal_width",
+    binning: str = "quantile",
 ) -> DataFrame:
     """Population-stability index per feature between the ``base`` and ``current`` periods.
 
-    Bins are ``bins`` equal-width ranges over the feature's [min, max] across both periods (NULL
-    gets its own bin -1); PSI = Σ (p_cur − p_base)·ln((p_cur + eps)/(p_base + eps)). One unpivot,
+    Bins are cut at the base period's quantiles (the default: a long-tailed feature keeps its bins
+    filled) or, with ``equal_width``, are ``bins`` equal ranges over the feature's [min, max] across
+    both periods; NULL has a bin of its own. PSI = Σ (p_cur − p_base)·ln((p_cur + eps)/(p_base + eps)). One unpivot,
     one grouped count per (feature, value) that both the per-feature ranges (one row per feature,
     broadcast) and the per-bin sums read."""
     cols = list(feature_cols)
@@ -253,7 +301,7 @@ def _psi(counts: DataFrame, eps: float) -> DataFrame:
     pc = F.try_divide(F.col("n_cur").cast("double"), F.col("t_cur"))
     term = (pc - pb) * F.log((pc + F.lit(eps)) / (pb + F.lit(eps)))
     return j.groupBy("feature").agg(
-        F.round(F.sum(term), 6).alias("psi"),
+        F.sum(term).alias("psi"),
         F.sum("n_base").cast("bigint").alias("n_base"),
         F.sum("n_cur").cast("bigint").alias("n_cur"),
     )
@@ -298,8 +346,8 @@ def feature_summary(
     return long.groupBy(by, "feature").agg(
         F.count("value").alias("n"),
         F.count_if(F.col("value").isNull()).alias("n_null"),
-        F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_samp("value"), 6).alias("stddev"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("stddev"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
     )

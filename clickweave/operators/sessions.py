@@ -58,6 +58,7 @@ def sessionize(
     order_col: str = "src_event_id",
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
     with_sequence: bool = True,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``session_index``, ``computed_session_id`` and, with ``with_sequence`` (default),
     ``idle_seconds``, ``session_flag`` and ``event_seq`` (1-based position in the session, W5).
@@ -65,11 +66,16 @@ def sessionize(
 
     Rows with a NULL user or NULL time cannot be placed in a session and are dropped (D10); count
     them with ``unsessionizable``.
+
+    ``state`` (one row per user: ``last_event_timestamp``, ``last_session_index``,
+    ``last_session_events``) continues earlier sessions: a user's first session here carries on the
+    stored one if the gap is within the timeout, else takes the next index. It is joined to the
+    chunk rows, so events still move on (user, chunk) only.
     """
     if chunk_seconds <= 0 or timeout_seconds < 0:
         raise ValueError("chunk_seconds must be positive and timeout_seconds non-negative")
     order = _tie_breakers(df, ts_col, order_col)
-    width = max(1, min(chunk_seconds, timeout_seconds)) if timeout_seconds > 0 else 1
+    width = _chunk_width(timeout_seconds, chunk_seconds)
     sec = epoch_seconds(ts_col)
     base = df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).withColumns(
         {"_sec": sec, "_chunk": F.floor(sec / F.lit(width))}
@@ -86,14 +92,17 @@ def sessionize(
             user_col, "_chunk", "_c_n",
             F.lag("_c_max").over(wu).alias("_c_prev_max"),
             flag.alias("_c_flag"),
+            F.col("_c_min").alias("_c_first"),
             (F.sum("_c_n").over(upto) - F.col("_c_n")).alias("_c_rank0"),
         )
         .select(
             user_col, "_chunk", "_c_prev_max", "_c_flag", "_c_rank0",
             F.sum("_c_flag").over(upto).alias("_c_index"),
             F.max(F.when(F.col("_c_flag") == 1, F.col("_c_rank0") + 1)).over(upto).alias("_c_start_rank"),
+            F.first("_c_first").over(upto).alias("_c_first"),
         )
     )
+    chunks = _continued(chunks, state, user_col, timeout_seconds)
 
     # 3. attach to the events.
     out = base.join(chunks, [user_col, "_chunk"], "inner")
@@ -109,13 +118,43 @@ def sessionize(
                     F.col("_sec") - F.lag("_sec").over(w)
                 ),
                 "session_flag": F.when(first, F.col("_c_flag")).otherwise(F.lit(0)),
-                "event_seq": (F.col("_c_rank0") + rn - F.col("_c_start_rank") + 1).cast("bigint"),
+                "event_seq": (F.col("_c_rank0") + rn - F.col("_c_start_rank") + 1 + F.col("_c_carried")).cast("bigint"),
             }
         )
     out = out.withColumns(cols)
     return out.select(*[c for c in out.columns if not (c.startswith("_") and c not in df.columns)])
 
 
+def _chunk_width(timeout_seconds: int, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> int:
+    return max(1, min(chunk_seconds, timeout_seconds)) if timeout_seconds > 0 else 1
+
+
+def _continued(chunks: DataFrame, state: DataFrame | None, user_col: str, timeout_seconds: int) -> DataFrame:
+    """Chunk rows numbered on from the users' stored state. ``_c_carried``: events that the stored
+    part of the session already holds. ``_c_first`` is the user's first second here."""
+    if state is None:
+        return chunks.withColumn("_c_carried", F.lit(0)).drop("_c_first")
+    st = state.select(
+        F.col(user_col), epoch_seconds("last_event_timestamp").alias("_s_last"),
+        F.col("last_session_index").alias("_s_index"), F.col("last_session_events").alias("_s_events"),
+    )
+    gap = F.col("_c_first") - F.col("_s_last")
+    on = F.coalesce(gap <= F.lit(timeout_seconds), F.lit(False))
+    first_chunk = F.col("_c_rank0") == 0
+    return (
+        chunks.join(st, user_col, "left")
+        .withColumns(
+            {
+                "_c_carried": F.when(on & (F.col("_c_index") == 1), F.col("_s_events")).otherwise(F.lit(0)),
+                "_c_prev_max": F.when(first_chunk, F.col("_s_last")).otherwise(F.col("_c_prev_max")),
+                "_c_flag": F.when(first_chunk & on, F.lit(0)).otherwise(F.col("_c_flag")),
+                "_c_index": F.col("_c_index") + F.coalesce("_s_index", F.lit(0)) - on.cast("int"),
+            }
+        )
+        .drop("_c_first", "_s_last", "_s_index", "_s_events")
+    )
+
+
 def sessionize_by_user(
     df: DataFrame,
     timeout_seconds: int = DEFAULT_TIMEOUT_SECONDS,
@@ -161,7 +200,7 @@ def session_match_rate(
     return per_source.agg(
         F.count(F.lit(1)).alias("n_user_sessions"),
         F.count_if("_one").alias("n_matched"),
-        F.round(F.avg(F.col("_one").cast("double")), 6).alias("match_rate"),
+        F.avg(F.col("_one").cast("double")).alias("match_rate"),
     )
 
 
@@ -217,6 +256,26 @@ def advance_state(
     return kept.unionByName(updated)
 
 
+def split_late(
+    new_events: DataFrame,
+    state: DataFrame,
+    *,
+    user_col: str = "user_id",
+    ts_col: str = "event_timestamp",
+    timeout_seconds: int = DEFAULT_TIMEOUT_SECONDS,
+) -> tuple[DataFrame, DataFrame]:
+    """(fresh, late): events after their user's ``last_event_timestamp`` (or without stored state, or
+    without user or time) and those at or before it. The state meets the events by chunk, so a
+    hot user's events are not joined in one task."""
+    sec = F.floor(epoch_seconds(ts_col) / F.lit(_chunk_width(timeout_seconds)))
+    base = new_events.withColumn("_chunk", sec)
+    chunks = base.filter(F.col(user_col).isNotNull()).groupBy(user_col, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    last = chunks.join(state.select(user_col, F.col("last_event_timestamp").alias("_last")), user_col)
+    tagged = base.join(last.select(user_col, "_chunk", "_last"), [user_col, "_chunk"], "left")
+    late = F.coalesce(F.col(ts_col) <= F.col("_last"), F.lit(False))
+    return tagged.filter(~late).select(*new_events.columns), tagged.filter(late).select(*new_events.columns)
+
+
 def sessionize_incremental(
     new_events: DataFrame,
     state: DataFrame,
@@ -226,61 +285,24 @@ def sessionize_incremental(
     ts_col: str = "event_timestamp",
     order_col: str = "src_event_id",
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-) -> DataFrame:
-    """H1: sessionize a new batch so that indexes continue each user's history.
-
-    ``state`` is ``session_state`` of everything already sessionized. The batch is sessionized on
-    its own; then, per user, the first new session either continues the user's last known session
-    (gap to ``last_event_timestamp`` within the timeout) or opens the next one. Only events strictly
-    after a user's ``last_event_timestamp`` are accepted; earlier (late) events need that user's
-    recompute from history and are returned by ``late_events``.
+) -> tuple[DataFrame, DataFrame]:
+    """H1: sessionize a new batch so that indexes continue each user's history; returns
+    ``(sessionized, late)``.
+
+    ``state`` is ``session_state`` of everything already sessionized. Events strictly after a user's
+    ``last_event_timestamp`` continue the last known session (gap within the timeout) or open the
+    next one. Earlier (late) events need their user's recompute from history and come back as they
+    are.
     """
-    st = state.select(user_col, "last_event_timestamp", "last_session_index", "last_session_events")
-    fresh = (
-        new_events.join(st.select(user_col, "last_event_timestamp"), user_col, "left")
-        .filter(F.col("last_event_timestamp").isNull() | (F.col(ts_col) > F.col("last_event_timestamp")))
-        .drop("last_event_timestamp")
+    fresh, late = split_late(new_events, state, user_col=user_col, ts_col=ts_col, timeout_seconds=timeout_seconds)
+    out = sessionize(
+        fresh, timeout_seconds, user_col=user_col, ts_col=ts_col, order_col=order_col, chunk_seconds=chunk_seconds, state=state
     )
-    local = sessionize(
-        fresh, timeout_seconds, user_col=user_col, ts_col=ts_col, order_col=order_col,
-        chunk_seconds=chunk_seconds,
-    )
-    # One row per user with stored history: does the batch's first session continue the last one?
-    first_rows = local.filter(F.col("idle_seconds").isNull()).select(
-        user_col, epoch_seconds(ts_col).alias("_first_sec")
-    )
-    carry = first_rows.join(st, user_col, "inner").select(
-        user_col,
-        "last_session_index",
-        "last_session_events",
-        (F.col("_first_sec") - epoch_seconds("last_event_timestamp")).alias("_gap"),
-    )
-    out = local.join(carry, user_col, "left")
-    cont = F.coalesce(F.col("_gap") <= F.lit(timeout_seconds), F.lit(False))
-    base = F.coalesce(F.col("last_session_index"), F.lit(0))
-    first_event = F.col("idle_seconds").isNull()
-    continued = cont & (F.col("session_index") == 1)
-    new_index = F.when(cont, base + F.col("session_index") - 1).otherwise(base + F.col("session_index"))
-    out = out.withColumns(
-        {
-            "session_index": new_index.cast("bigint"),
-            "session_flag": F.when(first_event & cont, F.lit(0)).otherwise(F.col("session_flag")),
-            "idle_seconds": F.when(first_event, F.col("_gap")).otherwise(F.col("idle_seconds")),
-            "event_seq": F.when(continued, F.col("last_session_events") + F.col("event_seq"))
-            .otherwise(F.col("event_seq"))
-            .cast("bigint"),
-        }
-    ).withColumn("computed_session_id", session_id(user_col, "session_index"))
-    return out.drop("last_session_index", "last_session_events", "_gap")
+    return out, late
 
 
 def late_events(
     new_events: DataFrame, state: DataFrame, *, user_col: str = "user_id", ts_col: str = "event_timestamp"
 ) -> DataFrame:
     """New events at or before their user's stored last event time (need a full recompute)."""
-    last = state.select(user_col, F.col("last_event_timestamp").alias("_last_ts"))
-    return (
-        new_events.join(last, user_col, "inner")
-        .filter(F.col(ts_col) <= F.col("_last_ts"))
-        .select(*new_events.columns)
-    )
+    return split_late(new_events, state, user_col=user_col, ts_col=ts_col)[1]

@@ -20,9 +20,23 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Digits to which a query's computed averages, sums and ratios are rounded, here and in the SQL
+#: beside it, so that two engines' order of additions does not show. Operators do not round.
+ROUNDED = {
+    "avg_price_viewed": 6, "revenue": 2, "match_rate": 6, "view_to_cart_rate": 6, "cart_to_purchase_rate": 6,
+    "session_conversion_rate": 6, "roc_auc": 9, "pr_auc": 9, "psi": 6, "mean": 6, "stddev": 6,
+}
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = fn(spark, sf_dir)
+            digits = {c: ROUNDED[c] for c, kind in df.dtypes if kind == "double" and c in ROUNDED}
+            return df.withColumns({c: F.round(c, d) for c, d in digits.items()}) if digits else df
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -94,12 +108,12 @@ def a9_match_rate_12h(spark, sf_dir):
 # A1: session metrics
 
 
-@query("a1_session_metrics", o.gold(1800) + "SELECT * FROM metrics")
+@query("a1_session_metrics", o.gold(1800) + o.rounded("metrics"))
 def a1_session_metrics(spark, sf_dir):
     return m.metrics(spark, sf_dir, m.TIMEOUT_SHORT)
 
 
-@query("a1_session_metrics_12h", o.gold(43200) + "SELECT * FROM metrics")
+@query("a1_session_metrics_12h", o.gold(43200) + o.rounded("metrics"))
 def a1_session_metrics_12h(spark, sf_dir):
     return m.metrics(spark, sf_dir, m.TIMEOUT_LONG)
 
@@ -303,7 +317,7 @@ def j2_fact_events_fk(spark, sf_dir):
     "a5_session_features",
     o.gold(1800)
     + """SELECT computed_session_id, session_duration_sec, total_events, view_count, cart_count, remove_count,
-       distinct_products, distinct_categories, avg_price_viewed, max_price_viewed,
+       distinct_products, distinct_categories, round(avg_price_viewed, 6) AS avg_price_viewed, max_price_viewed,
        CAST(is_purchased AS INTEGER) AS is_purchased FROM metrics""",
 )
 def a5_session_features(spark, sf_dir):
@@ -324,7 +338,7 @@ def a6_fact_sessions(spark, sf_dir):
     return fact_sessions(m.metrics(spark, sf_dir, m.TIMEOUT_SHORT))
 
 
-@query("p11_feature_store", o.gold(43200, o.FEATURE_STORE) + "SELECT * FROM features")
+@query("p11_feature_store", o.gold(43200, o.FEATURE_STORE) + o.rounded("features"))
 def p11_feature_store(spark, sf_dir):
     return m.features(spark, sf_dir, m.TIMEOUT_LONG)
 
@@ -505,10 +519,12 @@ def k6_evolve(spark, sf_dir):
 def _gold_tables(spark, sf_dir, timeout=m.TIMEOUT_SHORT):
     """Staged events plus gold tables derived from one materialised silver (sessionized once)."""
     from clickweave.operators.metrics import feature_store, session_metrics
+    from clickweave.sinks.tables import stage
     from clickweave.operators.star import fact_events
 
-    sv = m.silver_table(spark, sf_dir, timeout)
-    return m.staged(spark, sf_dir), fact_events(sv), feature_store(session_metrics(sv))
+    st = stage(spark, m.staged(spark, sf_dir), "staged")
+    sv = stage(spark, ses.sessionize(st, timeout, with_sequence=False), "silver")
+    return st, fact_events(sv), stage(spark, feature_store(session_metrics(sv)), "features")
 
 
 def _unique_sql(table: str, col: str, src: str) -> str:
@@ -542,8 +558,11 @@ _Q2_SQL = "\nUNION ALL ".join(
         _not_null_sql("mart_ml_features", _FEAT_NOT_NULL, "features"),
     ]
 )
-_Q3_SUMMARY_SQL = f"""SELECT 'accepted_values', 'stg_raw_events', 'event_type',
-       CAST(count_if(event_type IS NOT NULL AND event_type NOT IN {_ACCEPTED}) AS BIGINT) FROM stg"""
+_Q3_SUMMARY_SQL = "\nUNION ALL ".join(
+    f"""SELECT 'accepted_values' AS check_name, '{table}' AS table_name, 'event_type' AS column_name,
+       CAST(count_if(event_type IS NOT NULL AND event_type NOT IN {_ACCEPTED}) AS BIGINT) AS n_violations FROM {src}"""
+    for table, src in (("stg_raw_events", "stg"), ("fct_events", "fct"))
+)
 _Q4_SQL = """SELECT 'relationships', 'fct_events', 'computed_session_id', CAST(count(*) AS BIGINT)
 FROM fct WHERE computed_session_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM features WHERE features.computed_session_id = fct.computed_session_id)"""
@@ -600,6 +619,16 @@ def q3_accepted_values(spark, sf_dir):
     return accepted_values_violations(m.staged(spark, sf_dir), "event_type")
 
 
+@query("q3_fct_accepted_values", _checks_sql(_Q3_SUMMARY_SQL))
+def q3_fct_accepted_values(spark, sf_dir):
+    from clickweave.operators import quality as q
+
+    st, fct, _ = _gold_tables(spark, sf_dir)
+    return q.run_checks(
+        [q.check_accepted_values(st, "event_type", "stg_raw_events"), q.check_accepted_values(fct, "event_type", "fct_events")]
+    )
+
+
 @query("q4_relationships", _checks_sql(_Q4_SQL))
 def q4_relationships(spark, sf_dir):
     from clickweave.operators import quality as q
@@ -637,7 +666,7 @@ def q0_data_tests(spark, sf_dir):
             q.check_unique(feats, "computed_session_id", "mart_ml_features"),
             q.check_table(st, "stg_raw_events", not_null=_STG_NOT_NULL,
                           accepted_values={"event_type": ACCEPTED_EVENT_TYPES}),
-            q.check_table(fct, "fct_events", not_null=_FCT_NOT_NULL),
+            q.check_table(fct, "fct_events", not_null=_FCT_NOT_NULL, accepted_values={"event_type": ACCEPTED_EVENT_TYPES}),
             q.check_table(feats, "mart_ml_features", not_null=_FEAT_NOT_NULL, min_value={"session_duration_sec": 0}),
             q.check_relationship(fct, feats, "computed_session_id", "fct_events"),
             q.check_table(m.clicks(spark, sf_dir), "bronze_events", non_negative=("price",)),
@@ -648,21 +677,21 @@ def q0_data_tests(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 # ML
 
-_AUC_TAIL = """, r AS (
+_AUC_TAIL = """, sc AS (SELECT * FROM sc0 WHERE s IS NOT NULL AND y IS NOT NULL), r AS (
     SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS ar FROM sc
 ), t AS (
     SELECT CAST(count_if(y) AS BIGINT) AS n_pos, CAST(count_if(NOT y) AS BIGINT) AS n_neg,
            sum(CASE WHEN y THEN ar ELSE 0 END) AS rs FROM r
 )
-SELECT n_pos, n_neg, round(CAST(rs - n_pos * (n_pos + 1) / 2.0 AS DOUBLE) / (CAST(n_pos AS DOUBLE) * n_neg), 9) AS roc_auc
+SELECT n_pos, n_neg, (SELECT count(*) FROM sc0 WHERE s IS NULL OR y IS NULL) AS n_unscored,
+       round(CAST(rs - n_pos * (n_pos + 1) / 2.0 AS DOUBLE) / (CAST(n_pos AS DOUBLE) * n_neg), 9) AS roc_auc
 FROM t"""
 
 
 @query(
     "l7_auc",
     o.with_(o.CLICK, o.STG)
-    + """, sc AS (SELECT CAST(price AS DOUBLE) AS s, event_type = 'purchase' AS y FROM stg
-       WHERE price IS NOT NULL AND event_type IS NOT NULL)"""
+    + """, sc0 AS (SELECT CAST(price AS DOUBLE) AS s, event_type = 'purchase' AS y FROM stg)"""
     + _AUC_TAIL,
 )
 def l7_auc(spark, sf_dir):
@@ -676,7 +705,7 @@ def l7_auc(spark, sf_dir):
 @query(
     "l7_session_auc",
     o.gold(43200, o.FEATURE_STORE)
-    + """, sc AS (SELECT CAST(view_count AS DOUBLE) AS s, is_purchased AS y FROM features)"""
+    + """, sc0 AS (SELECT CAST(view_count AS DOUBLE) AS s, is_purchased AS y FROM features)"""
     + _AUC_TAIL,
 )
 def l7_session_auc(spark, sf_dir):
@@ -686,6 +715,26 @@ def l7_session_auc(spark, sf_dir):
     return roc_auc_frame(m.features(spark, sf_dir, m.TIMEOUT_LONG), "view_count", "is_purchased")
 
 
+@query(
+    "l7_pr_auc",
+    o.gold(43200, o.FEATURE_STORE)
+    + """, g AS (SELECT view_count AS s, count_if(is_purchased) AS pos, count_if(NOT is_purchased) AS neg FROM features GROUP BY 1
+), c AS (
+    SELECT pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM g
+    WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING)
+)
+SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
+       round(sum(pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg = 0 THEN tp / (tp + fp)
+                 ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2.0) / sum(pos), 9) AS pr_auc
+FROM c""",
+)
+def l7_pr_auc(spark, sf_dir):
+    """Area under the precision-recall curve of a one-feature session score."""
+    from clickweave.operators.ml import pr_auc_frame
+
+    return pr_auc_frame(m.features(spark, sf_dir, m.TIMEOUT_LONG), "view_count", "is_purchased")
+
+
 def _drift_sql() -> str:
     from clickweave.sources.schema import FEATURE_COLUMNS
 
@@ -720,6 +769,47 @@ def l9_drift(spark, sf_dir):
     from clickweave.sinks.tables import stage
 
     feats = stage(spark, m.features(spark, sf_dir, m.TIMEOUT_LONG), "features")  # read by several branches
+    return drift_psi(oot_split(feats, m.OOT_CUTOFF), binning="equal_width")
+
+
+def _quantile_drift_sql() -> str:
+    from clickweave.sources.schema import FEATURE_COLUMNS
+
+    long = "\n    UNION ALL ".join(
+        f"SELECT data_split, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM fs" for c in FEATURE_COLUMNS
+    )
+    return o.gold(43200, o.FEATURE_STORE) + f""", fs AS (
+    SELECT *, CASE WHEN session_start < TIMESTAMP '{m.OOT_CUTOFF}' THEN 'train' ELSE 'oot' END AS data_split
+    FROM features
+), long AS (
+    {long}
+), ranked AS (
+    SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS r, count(*) OVER (PARTITION BY feature) AS n
+    FROM long WHERE data_split = 'train' AND value IS NOT NULL
+), edges AS (
+    SELECT feature, list_distinct(list(value)) AS e FROM ranked
+    WHERE r IN (SELECT unnest([CAST(ceil(q * n / 10.0) AS BIGINT) FOR q IN range(1, 10)])) GROUP BY feature
+), binned AS (
+    SELECT data_split, feature, CASE WHEN value IS NULL THEN -1 ELSE len(list_filter(e, lambda x: x <= value)) END AS bin
+    FROM long JOIN edges USING (feature)
+), counts AS (
+    SELECT feature, bin, count_if(data_split = 'train') AS n_base, count_if(data_split = 'oot') AS n_cur
+    FROM binned GROUP BY feature, bin
+), totals AS (SELECT feature, sum(n_base) AS t_base, sum(n_cur) AS t_cur FROM counts GROUP BY feature)
+SELECT feature,
+       round(sum((n_cur / t_cur - n_base / t_base) * ln((n_cur / t_cur + 1e-6) / (n_base / t_base + 1e-6))), 6) AS psi,
+       CAST(sum(n_base) AS BIGINT) AS n_base, CAST(sum(n_cur) AS BIGINT) AS n_cur
+FROM counts JOIN totals USING (feature) GROUP BY feature"""
+
+
+@query("l9_drift_quantile", _quantile_drift_sql())
+def l9_drift_quantile(spark, sf_dir):
+    """L9 in its default form: bins at the base period's quantiles."""
+    from clickweave.operators.metrics import oot_split
+    from clickweave.operators.ml import drift_psi
+    from clickweave.sinks.tables import stage
+
+    feats = stage(spark, m.features(spark, sf_dir, m.TIMEOUT_LONG), "features")
     return drift_psi(oot_split(feats, m.OOT_CUTOFF))
 
 
@@ -745,89 +835,170 @@ def l9_feature_summary(spark, sf_dir):
     return feature_summary(m.features(spark, sf_dir, m.TIMEOUT_LONG))
 
 
-def _oot_frames(spark, sf_dir):
-    """Model input (one row per session) staged once, then split: training and scoring read the
-    staged table instead of each re-deriving sessions from the events."""
-    from clickweave.operators.ml import prepare, temporal_split
+def _model_input(spark, sf_dir, timeout=m.TIMEOUT_LONG):
+    """Model input (one row per session), staged once: training and scoring read the staged table
+    instead of each re-deriving sessions from the events."""
+    from clickweave.operators.ml import prepare
     from clickweave.sinks.tables import stage
 
-    model_input = stage(spark, prepare(m.features(spark, sf_dir, m.TIMEOUT_LONG)), "model-input")
-    return temporal_split(model_input, m.OOT_CUTOFF)
+    return stage(spark, prepare(m.features(spark, sf_dir, timeout)), "model-input")
+
+
+def _oot_frames(spark, sf_dir, timeout=m.TIMEOUT_LONG):
+    from clickweave.operators.ml import temporal_split
+
+    return temporal_split(_model_input(spark, sf_dir, timeout), m.OOT_CUTOFF)
+
 
+# A fitted model's scores cannot be restated in SQL; these queries return what can: the rows scored,
+# their labels, and whether scores and reports keep the properties they must have.
 
-@query("l1_gbt_scores")
+_CHECKED = ("computed_session_id", "is_purchased", "score_in_range", "prediction_agrees")
+_CHECKED_SQL = "SELECT computed_session_id, CAST(is_purchased AS INTEGER) AS is_purchased, true AS score_in_range, true AS prediction_agrees FROM features"
+_OOT_SQL = f" WHERE session_start >= TIMESTAMP '{m.OOT_CUTOFF}'"
+
+
+def _checked(scored: DataFrame) -> DataFrame:
+    """Scored rows with ``score_in_range`` and ``prediction_agrees`` in place of the score."""
+    return scored.withColumns(
+        {
+            "score_in_range": F.col("score").between(0.0, 1.0),
+            "prediction_agrees": F.col("prediction") == (F.col("score") > 0.5).cast("int"),
+        }
+    ).drop("score", "prediction")
+
+
+@query("l1_gbt_scores", o.gold(43200, o.FEATURE_STORE) + _CHECKED_SQL + _OOT_SQL)
 def l1_gbt_scores(spark, sf_dir):
     """L1 + L5 + L6: fit the GBT pipeline on the training period, score the out-of-time sessions."""
     from clickweave.operators import ml
 
     train, oot = _oot_frames(spark, sf_dir)
-    return ml.score(ml.fit(ml.build_gbt(), train), oot)
+    return _checked(ml.score(ml.fit(ml.build_gbt(), train), oot)).select(*_CHECKED)
 
 
-@query("l2_rf_scores")
+@query("l2_rf_scores", o.gold(43200, o.FEATURE_STORE) + _CHECKED_SQL + _OOT_SQL)
 def l2_rf_scores(spark, sf_dir):
     from clickweave.operators import ml
 
     train, oot = _oot_frames(spark, sf_dir)
-    return ml.score(ml.fit(ml.build_random_forest(), train), oot)
+    return _checked(ml.score(ml.fit(ml.build_random_forest(), train), oot)).select(*_CHECKED)
+
 
+_SPLIT_SQL = "SELECT computed_session_id, CAST(1 AS BIGINT) AS n_sides, true AS share_near_target FROM features"
+
+
+def _split_sides(train: DataFrame, validation: DataFrame, ratio: float) -> DataFrame:
+    """Each key with the number of sides it is on, and whether the sides have their shares (within
+    a quarter of the target)."""
+    from clickweave.sinks.tables import stage
+
+    both = train.select("computed_session_id", F.lit(0).alias("v")).unionByName(
+        validation.select("computed_session_id", F.lit(1).alias("v"))
+    )
+    both = stage(both.sparkSession, both, "split")
+    share = both.agg(F.avg("v")).first()[0] or 0.0
+    near = abs(share - ratio) <= ratio / 4
+    return both.groupBy("computed_session_id").agg(F.count(F.lit(1)).alias("n_sides")).withColumn("share_near_target", F.lit(near))
 
-@query("l3_random_split")
+
+@query("l3_random_split", o.gold(43200, o.FEATURE_STORE) + _SPLIT_SQL)
 def l3_random_split(spark, sf_dir):
     from clickweave.operators import ml
 
-    train, _ = _oot_frames(spark, sf_dir)
-    tr, va = ml.random_split(train)
-    return tr.select("computed_session_id", F.lit("train").alias("split")).unionByName(
-        va.select("computed_session_id", F.lit("validation").alias("split"))
-    )
+    return _split_sides(*ml.random_split(_model_input(spark, sf_dir)), ml.VAL_RATIO)
 
 
-@query("l3_hash_split")
+@query("l3_hash_split", o.gold(43200, o.FEATURE_STORE) + _SPLIT_SQL)
 def l3_hash_split(spark, sf_dir):
     from clickweave.operators import ml
 
-    train, _ = _oot_frames(spark, sf_dir)
-    tr, va = ml.hash_split(train)
-    return tr.select("computed_session_id", F.lit("train").alias("split")).unionByName(
-        va.select("computed_session_id", F.lit("validation").alias("split"))
+    return _split_sides(*ml.hash_split(_model_input(spark, sf_dir)), ml.VAL_RATIO)
+
+
+_REPORT_SQL = "SELECT CAST(9 AS BIGINT) AS n_features, true AS auc_in_range, true AS auc_recomputed, true AS importances_sum_to_one, true AS ranked"
+
+
+def _report_checks(spark, report: DataFrame, scored: DataFrame) -> DataFrame:
+    """One row: a report's figures against the same metrics by their DataFrame form."""
+    from clickweave.operators import ml
+    from clickweave.sinks.tables import stage
+
+    scored = stage(spark, scored, "scored")
+    roc = ml.roc_auc_frame(scored, "score", "is_purchased").first()["roc_auc"]
+    pr = ml.pr_auc_frame(scored, "score", "is_purchased").first()["pr_auc"]
+    imp = F.col("feature_importance")
+    same = lambda c, v: F.coalesce(F.abs(F.col(c) - F.lit(v)) < 1e-6, F.lit(False))
+    weights = F.transform(imp, lambda x: x["importance"])
+    return report.select(
+        F.size(imp).cast("bigint").alias("n_features"),
+        (F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1)).alias("auc_in_range"),
+        (same("roc_auc", roc) & same("pr_auc", pr)).alias("auc_recomputed"),
+        (F.abs(F.aggregate(weights, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6).alias("importances_sum_to_one"),
+        (F.reverse(F.array_sort(weights)) == weights).alias("ranked"),
     )
 
 
-@query("l5_validation_auc")
+@query("l5_validation_auc", _REPORT_SQL)
 def l5_validation_auc(spark, sf_dir):
-    """Fit on 80 % of the training period, exact ROC/PR-AUC on the other 20 %."""
+    """The training job; fit on 80 % of the training period, exact ROC/PR-AUC on the other 20 %."""
     from clickweave.operators import ml
+    from clickweave.plans.training import train
+    from clickweave.session import scratch_path
 
-    train, _ = _oot_frames(spark, sf_dir)
-    tr, va = ml.hash_split(train)
-    model = ml.fit(ml.build_gbt(), tr)
-    return ml.metrics_report(spark, ml.evaluate(ml.score(model, va)), [])
+    period, _ = _oot_frames(spark, sf_dir)
+    model_dir = scratch_path(spark, "model")
+    report = train(spark, period, model_dir)
+    _, validation = ml.hash_split(period)
+    return _report_checks(spark, report, ml.score(ml.load_model(model_dir), validation))
 
 
-@query("l8_feature_importance")
+@query(
+    "l8_feature_importance",
+    "SELECT unnest(['session_duration_sec', 'total_events', 'view_count', 'cart_count', 'remove_count', 'distinct_products', "
+    "'distinct_categories', 'avg_price_viewed', 'max_price_viewed']) AS feature, true AS importance_in_range, true AS rank_is_place",
+)
 def l8_feature_importance(spark, sf_dir):
+    from pyspark.sql import Window
+
     from clickweave.operators import ml
 
-    train, _ = _oot_frames(spark, sf_dir)
-    return ml.importance_frame(spark, ml.fit(ml.build_gbt(), train))
+    period, _ = _oot_frames(spark, sf_dir)
+    imp = ml.importance_frame(spark, ml.fit(ml.build_gbt(), period))
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # nine rows
+    return imp.select("feature", F.col("importance").between(0, 1).alias("importance_in_range"), (F.col("rank") == place).alias("rank_is_place"))
 
 
-@query("k11_oot_report")
+@query("k11_oot_report", _REPORT_SQL)
 def k11_oot_report(spark, sf_dir):
-    """E4 end to end: train, save (K10), load (S6), score out-of-time, evaluate (L7), importances
-    (L8), JSON report (K11) — the report is returned as read back from the written JSON."""
+    """E4 end to end: the training job saves a model (K10), the evaluation job loads it (S6), scores
+    the out-of-time period, evaluates (L7) and writes the JSON report (K11), read back here."""
     from clickweave.operators import ml
-    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.plans.training import evaluate, train
+    from clickweave.session import scratch_path
 
-    ensure_checkpoint_dir(spark)
-    train, oot = _oot_frames(spark, sf_dir)
+    period, oot = _oot_frames(spark, sf_dir)
     model_dir, report_dir = scratch_path(spark, "model"), scratch_path(spark, "report")
-    ml.save_model(ml.fit(ml.build_gbt(), train), model_dir)
-    model = ml.load_model(model_dir)
-    report = ml.metrics_report(spark, ml.evaluate(ml.score(model, oot)), ml.feature_importance(model))
-    ml.write_metrics(report, report_dir)
-    return spark.read.json(report_dir)
+    train(spark, period, model_dir)
+    report = evaluate(spark, oot, model_dir, report_dir)
+    return _report_checks(spark, report, ml.score(ml.load_model(model_dir), oot))
+
+
+@query(
+    "k10_saved_model",
+    o.gold(43200, o.FEATURE_STORE) + "SELECT computed_session_id, true AS same_score FROM features" + _OOT_SQL,
+)
+def k10_saved_model(spark, sf_dir):
+    """K10 + S6: a model read back from its folder scores as the fitted one does."""
+    from clickweave.operators import ml
+    from clickweave.session import scratch_path
+
+    period, oot = _oot_frames(spark, sf_dir)
+    model, path = ml.fit(ml.build_gbt(max_iter=3), period), scratch_path(spark, "model")
+    ml.save_model(model, path)
+    again = ml.score(ml.load_model(path), oot).select("computed_session_id", F.col("score").alias("again"))
+    both = ml.score(model, oot).join(again, "computed_session_id")
+    return both.select("computed_session_id", (F.col("score") == F.col("again")).alias("same_score"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -882,7 +1053,7 @@ def h1_incremental_sessions(spark, sf_dir):
     st = m.staged(spark, sf_dir)
     cut = F.lit(_LOAD1_END).cast("timestamp_ntz")
     first = ses.sessionize(st.filter(F.col("event_timestamp") < cut), m.TIMEOUT_SHORT)
-    second = ses.sessionize_incremental(
+    second, _ = ses.sessionize_incremental(
         st.filter(F.col("event_timestamp") >= cut), ses.session_state(first), m.TIMEOUT_SHORT
     )
     return first.select(*_SILVER_COLS).unionByName(second.select(*_SILVER_COLS))
@@ -924,40 +1095,64 @@ def u1_batch_union(spark, sf_dir):
     return target.unionByName(st.filter(F.col("event_timestamp") >= F.lit(_LOAD2_START).cast("timestamp_ntz")))
 
 
-@query("k12_scored_sessions")
+@query(
+    "k12_scored_sessions",
+    o.gold(43200, o.FEATURE_STORE)
+    + "SELECT computed_session_id, data_partition, CAST(is_purchased AS INTEGER) AS is_purchased, true AS score_in_range, "
+    "true AS prediction_agrees FROM features" + _OOT_SQL,
+)
 def k12_scored_sessions(spark, sf_dir):
     """Out-of-time sessions scored by the trained model, written as the predictions table
     (partitioned by data_partition) and read back."""
     from clickweave.operators import ml
-    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.session import scratch_path
     from clickweave.sinks.tables import write_predictions
 
-    ensure_checkpoint_dir(spark)
     train, oot = _oot_frames(spark, sf_dir)
     scored = ml.score(ml.fit(ml.build_gbt(), train), oot, keep=("computed_session_id", "data_partition"))
     path = scratch_path(spark, "predictions")
     write_predictions(scored, path)
-    return spark.read.parquet(path)
+    return _checked(spark.read.parquet(path)).withColumn("data_partition", F.col("data_partition").cast("string"))
+
+
+_GAP_SESSIONS = """, lg AS (
+    SELECT *, lag(event_timestamp) OVER (PARTITION BY user_id ORDER BY event_timestamp, src_event_id) AS prev_ts
+    FROM stg WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL
+), ix AS (
+    SELECT *, sum(CASE WHEN prev_ts IS NULL OR epoch_us(event_timestamp) - epoch_us(prev_ts) > 1800000000 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id ORDER BY event_timestamp, src_event_id ROWS UNBOUNDED PRECEDING) AS sidx FROM lg
+)"""
 
 
-@query("t2_stream_scores")
+@query(
+    "t2_stream_scores",
+    o.with_(o.CLICK, o.STG)
+    + _GAP_SESSIONS
+    + """SELECT CAST(user_id AS VARCHAR) || '@' || strftime(min(event_timestamp), '%Y-%m-%dT%H:%M:%S.%f') AS stream_session_id,
+       user_id, min(event_timestamp) AS session_start, CAST(count_if(event_type = 'purchase') > 0 AS INTEGER) AS is_purchased,
+       true AS score_in_range, true AS prediction_agrees
+FROM ix GROUP BY user_id, sidx
+HAVING max(event_timestamp) + INTERVAL 30 MINUTE <= (SELECT max(event_timestamp) - INTERVAL 2 HOUR FROM stg)""",
+)
 def t2_stream_scores(spark, sf_dir):
     """T1 + T2 as a real stream: staged events land as Parquet files in the scratch folder, a
-    file-source stream builds gap sessions with a watermark and appends scored closed sessions to
-    a Parquet sink (run to completion with an available-now trigger)."""
+    file-source stream builds gap sessions with a watermark and appends scored sessions to a
+    Parquet sink (run to completion with an available-now trigger). A session is closed, and
+    emitted, once the watermark (last event less two hours) has passed its end plus the gap; those
+    still open at the end of the input stay in the stream's state for the next run. The model is
+    trained on sessions of the same 30-minute timeout."""
     from clickweave.operators import ml
-    from clickweave.session import ensure_checkpoint_dir, scratch_path
+    from clickweave.session import scratch_path
     from clickweave.streaming.sessions import start_scoring_stream
 
-    ensure_checkpoint_dir(spark)
-    train, _ = _oot_frames(spark, sf_dir)
+    train, _ = _oot_frames(spark, sf_dir, m.TIMEOUT_SHORT)
     model = ml.fit(ml.build_gbt(), train)
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
     m.staged(spark, sf_dir).write.parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     q = start_scoring_stream(stream, model, sink, ckpt, watermark="2 hours", available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return _checked(spark.read.parquet(sink))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -969,7 +1164,7 @@ _HOT_STG = """hot AS (SELECT * REPLACE (CASE WHEN src_event_id % 3 = 0 THEN 0 EL
 
 @query(
     "h2_hot_user_sessions",
-    o.with_(o.CLICK, o.STG, _HOT_STG, o.silver(1800, source="hot"), o.METRICS) + "SELECT * FROM metrics",
+    o.with_(o.CLICK, o.STG, _HOT_STG, o.silver(1800, source="hot"), o.METRICS) + o.rounded("metrics"),
 )
 def h2_hot_user_sessions(spark, sf_dir):
     from clickweave.operators.metrics import session_metrics
@@ -996,7 +1191,7 @@ def h2_hot_user_sequence(spark, sf_dir):
 # Layer build + incremental refresh (with late events) equals the full computation
 
 
-@query("e3_refresh_features", o.gold(1800, o.FEATURE_STORE) + "SELECT * FROM features")
+@query("e3_refresh_features", o.gold(1800, o.FEATURE_STORE) + o.rounded("features"))
 def e3_refresh_features(spark, sf_dir):
     """Build the layers from events before 2024-01-18 minus every 7th event, then refresh with the
     rest (later events plus the withheld, now late, ones); return the refreshed feature store."""
@@ -1015,6 +1210,192 @@ def e3_refresh_features(spark, sf_dir):
     return spark.read.parquet(paths(root)["mart_ml_features"]).select(*FEATURE_STORE_COLUMNS)
 
 
+# ---------------------------------------------------------------------------------------------
+# Table jobs, read back after writing: K1-K4, K7, K9, S3, E2
+
+_WRITTEN = ("event_id", "event_timestamp", "event_type", "product_id", "price", "user_id", "event_date")
+_DATED_SQL = "dated AS (SELECT *, CAST(event_timestamp AS DATE) AS event_date FROM stg)"
+_WRITTEN_SQL = ", ".join(_WRITTEN)
+
+
+def _dated(spark, sf_dir):
+    return m.staged(spark, sf_dir).withColumn("event_date", F.to_date("event_timestamp")).select(*_WRITTEN)
+
+
+@query(
+    "k1_ensure_append",
+    o.with_(o.CLICK, o.STG, _DATED_SQL) + f"SELECT {_WRITTEN_SQL} FROM dated UNION ALL SELECT {_WRITTEN_SQL} FROM dated WHERE event_type = 'cart'",
+)
+def k1_ensure_append(spark, sf_dir):
+    """K1 + O3 + K2: create an empty catalog table, twice (the second is a no-op), then append two
+    batches; read by name."""
+    import uuid
+
+    from clickweave.session import scratch_path
+    from clickweave.sinks import tables
+
+    df, path = _dated(spark, sf_dir), scratch_path(spark, "appended")
+    name = f"appended_{uuid.uuid4().hex[:10]}"
+    for _ in range(2):
+        qualified = tables.ensure_table(spark, name, df, path)
+    tables.append(df, path, name=name)
+    tables.append(df.filter(F.col("event_type") == "cart"), path, name=name)
+    return spark.table(qualified).select(*_WRITTEN)
+
+
+def _two_files(spark, sf_dir):
+    """Two folders, each with raw CSV files of the same layout: users by parity."""
+    from clickweave.session import scratch_path
+    from clickweave.sources.driver_events import write_raw_csv
+
+    clicks, out = m.clicks(spark, sf_dir), []
+    for parity in (0, 1):
+        path = scratch_path(spark, "raw-csv")
+        write_raw_csv(clicks.filter(F.coalesce(F.col("user_id"), F.lit(0)) % 2 == parity), path)
+        out.append(path)
+    return out
+
+
+@query(
+    "k3_quarantine",
+    o.with_(o.CLICK)
+    + f"""SELECT CAST(product_id AS INTEGER) AS product_id, CAST(price AS FLOAT) AS price,
+       CAST(user_id AS INTEGER) AS user_id, {o.REASON} AS reject_reason
+FROM click WHERE {o.REASON} IS NOT NULL""",
+)
+def k3_quarantine(spark, sf_dir):
+    """K3: rejects of two ingested batches, read back after each batch was ingested twice."""
+    from clickweave.plans.bronze import ingest
+    from clickweave.session import scratch_path
+
+    table, dlq = scratch_path(spark, "bronze"), scratch_path(spark, "quarantine")
+    for source in _two_files(spark, sf_dir):
+        for _ in range(2):
+            ingest(spark, source, table, table_name=None, dlq_dir=dlq).release()
+    return spark.read.parquet(dlq).select("product_id", "price", "user_id", "reject_reason")
+
+
+@query(
+    "s3_batches",
+    o.with_(o.CLICK, o.CLEAN)
+    + """SELECT coalesce(user_id, 0) % 2 AS parity, count(*) AS n_events, count(DISTINCT CAST(event_timestamp AS DATE)) AS n_days,
+       CAST(1 AS BIGINT) AS sources_kept_apart FROM clean GROUP BY 1""",
+)
+def s3_batches(spark, sf_dir):
+    """S3: files of two folders ingested by one job; each keeps its own batch (a batch holds users of
+    one parity only), and ingesting all of them again changes nothing."""
+    from clickweave.plans.bronze import ingest
+    from clickweave.session import scratch_path
+
+    table, sources = scratch_path(spark, "bronze"), _two_files(spark, sf_dir)
+    for _ in range(2):
+        ingest(spark, sources, table, table_name=None).release()
+    parity = F.coalesce(F.col("user_id"), F.lit(0)).cast("bigint") % 2
+    bronze = spark.read.parquet(table).withColumn("parity", parity)
+    mixed = bronze.groupBy("batch", "batch_source").agg(F.min("parity").alias("lo"), F.max("parity").alias("hi"))
+    apart = mixed.agg(F.max(F.col("hi") - F.col("lo"))).first()[0] == 0
+    return bronze.groupBy("parity").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_date").alias("n_days"), F.lit(int(apart)).cast("bigint").alias("sources_kept_apart")
+    )
+
+
+@query(
+    "k4_upsert_table",
+    o.with_(o.CLICK, o.STG, _TGT_SQL, _UPD_SQL)
+    + """SELECT event_id, event_timestamp, event_type, product_id, price, user_id FROM tgt
+WHERE NOT EXISTS (SELECT 1 FROM upd WHERE upd.event_id = tgt.event_id)
+UNION ALL SELECT event_id, event_timestamp, event_type, product_id, price, user_id FROM upd""",
+)
+def k4_upsert_table(spark, sf_dir):
+    """K4 on disk, partitioned by a nullable column: the second load holds every update twice and is
+    merged twice."""
+    from clickweave.session import scratch_path
+    from clickweave.sinks import tables
+
+    _, target, updates = _loads(spark, sf_dir)
+    part = F.when(F.col("src_event_id") % 5 > 0, F.to_date("event_timestamp")).alias("part")
+    cols = ["event_id", "event_timestamp", "event_type", "product_id", "price", "user_id", "src_event_id"]
+    path = scratch_path(spark, "upserted")
+    updates = updates.unionByName(updates)
+    tables.upsert_table(spark, path, target.select(*cols, part), "event_id", ["part"])
+    for _ in range(2):
+        tables.upsert_table(spark, path, updates.select(*cols, part), "event_id", ["part"])
+    return spark.read.parquet(path).select(*cols[:-1])
+
+
+@query(
+    "k9_rebuild",
+    o.silver_chain(1800).replace("FROM click WHERE", "FROM click WHERE event_timestamp >= TIMESTAMP '2024-01-20' AND")
+    + "SELECT event_id, computed_session_id, CAST(year(event_timestamp) AS INTEGER) AS event_year, CAST(month(event_timestamp) AS INTEGER) AS event_month FROM silver",
+)
+def k9_rebuild(spark, sf_dir):
+    """K9: a full build over an earlier, larger one leaves nothing of it."""
+    from clickweave.plans.layers import build_layers, paths
+    from clickweave.session import scratch_path
+
+    root, bronze = scratch_path(spark, "layers"), m.clicks(spark, sf_dir)
+    build_layers(spark, bronze.withColumn("event_timestamp", F.expr("event_timestamp - INTERVAL 40 DAYS")), root)
+    build_layers(spark, bronze.filter(F.col("event_timestamp") >= F.lit("2024-01-20").cast("timestamp_ntz")), root)
+    return spark.read.parquet(paths(root)["silver"]).select("event_id", "computed_session_id", "event_year", "event_month")
+
+
+@query("k7_clustered", o.gold(1800, o.FEATURE_STORE) + "SELECT is_purchased, data_partition, count(*) AS n_sessions, true AS clustered FROM features GROUP BY 1, 2")
+def k7_clustered(spark, sf_dir):
+    """K7: the written mart, by (is_purchased, data_partition); ``clustered``: within a file, sessions
+    of one label precede those of the other."""
+    from clickweave.plans.layers import build_layers, paths
+    from clickweave.session import scratch_path
+
+    root = scratch_path(spark, "layers")
+    build_layers(spark, m.clicks(spark, sf_dir), root)
+    mart = spark.read.parquet(paths(root)["mart_ml_features"]).withColumns(
+        {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    )
+    per_file = mart.groupBy("_file").agg(
+        F.max(F.when(~F.col("is_purchased"), F.col("_row"))).alias("last_no"), F.min(F.when(F.col("is_purchased"), F.col("_row"))).alias("first_yes")
+    )
+    bad = per_file.filter(F.col("last_no") > F.col("first_yes")).count()
+    return mart.groupBy("is_purchased", F.col("data_partition").cast("string").alias("data_partition")).agg(
+        F.count(F.lit(1)).alias("n_sessions"), F.lit(bad == 0).alias("clustered")
+    )
+
+
+@query(
+    "k5_session_start",
+    o.gold(43200, o.FEATURE_STORE)
+    + f"SELECT computed_session_id, session_start FROM features WHERE session_start > (SELECT max(session_start) FROM features WHERE session_start < TIMESTAMP '{_LOAD1_END}')",
+)
+def k5_session_start(spark, sf_dir):
+    """K5 on the mart's own time column: sessions that start after the last one loaded."""
+    from clickweave.operators.incremental import incremental_filter
+
+    feats = m.features(spark, sf_dir, m.TIMEOUT_LONG).select("computed_session_id", "session_start")
+    return incremental_filter(feats, feats.filter(F.col("session_start") < F.lit(_LOAD1_END).cast("timestamp_ntz")), "session_start")
+
+
+@query(
+    "e2_build_layers",
+    o.gold(1800, o.FEATURE_STORE, o.FCT)
+    + """SELECT (SELECT count(*) FROM fct) AS n_events, (SELECT count(DISTINCT event_id) FROM fct) AS n_event_ids,
+       (SELECT count(*) FROM features) AS n_sessions, (SELECT count(*) FROM stg WHERE src_event_id % 50 = 0) AS repeated,
+       CAST(0 AS BIGINT) AS unsessionizable, true AS tests_passed""",
+)
+def e2_build_layers(spark, sf_dir):
+    """E2 on clicks with exact duplicates: one row per event id in the written tables, the repeated
+    and left-out rows counted in the run log, all data tests passed."""
+    from clickweave.plans.layers import build_layers, paths
+    from clickweave.session import scratch_path
+
+    root = scratch_path(spark, "layers")
+    tests = build_layers(spark, m.clicks(spark, sf_dir, with_duplicates=True), root)
+    passed = tests.filter("NOT passed").isEmpty()
+    p = paths(root)
+    fct, mart = spark.read.parquet(p["fct_events"]), spark.read.parquet(p["mart_ml_features"])
+    counts = fct.agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_event_ids"))
+    log = spark.read.parquet(p["run_log"]).select("repeated", "unsessionizable")  # one row
+    return counts.withColumn("n_sessions", F.lit(mart.count()).cast("bigint")).join(F.broadcast(log)).withColumn("tests_passed", F.lit(passed))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session metrics at the 30-minute timeout."""
     return a1_session_metrics(spark, sf_dir)

@@ -55,19 +55,6 @@ def features(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) ->
     return feature_store(metrics(spark, sf_dir, timeout))
 
 
-def model_input(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
-    """Feature store with the ML label as int and NULL price features imputed to 0."""
-    from pyspark.sql import functions as F
-
-    fs = features(spark, sf_dir, timeout)
-    return fs.select(
-        *[c for c in fs.columns if c not in ("avg_price_viewed", "max_price_viewed", "is_purchased")],
-        F.coalesce("avg_price_viewed", F.lit(0.0)).alias("avg_price_viewed"),
-        F.coalesce("max_price_viewed", F.lit(0.0)).alias("max_price_viewed"),
-        F.col("is_purchased").cast("int").alias("is_purchased"),
-    )
-
-
 def silver_table(spark: SparkSession, sf_dir: str, timeout: int = TIMEOUT_SHORT) -> DataFrame:
     """Silver sessionized once and written to the shared scratch folder, read back as a table —
     the lineage cut a job makes before deriving several gold tables from the same silver."""

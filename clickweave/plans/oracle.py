@@ -27,7 +27,7 @@ CLICK = f"""click AS (
            e.ts AS event_timestamp,
            CASE e.event_type WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'remove_from_cart'
                 ELSE e.event_type END AS event_type,
-           p.p_partkey::INTEGER AS product_id,
+           CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS product_id,
            p.p_type AS category_id,
            CASE WHEN p.p_partkey % 10 = 0 THEN NULL
                 WHEN p.p_partkey % 10 = 1 THEN lower(p.p_type)
@@ -40,7 +40,7 @@ CLICK = f"""click AS (
            CASE WHEN e.event_id % {NULL_SESSION_MOD} = 0 THEN NULL
                 ELSE CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y%m%d') END AS user_session
     FROM events e
-    JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS INTEGER)
+    LEFT JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS INTEGER)
 )"""
 
 CLICK_DUPS = f"""click_dups AS (
@@ -108,7 +108,7 @@ METRICS = """metrics AS (
            CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_count,
            count(DISTINCT product_id) AS distinct_products,
            count(DISTINCT category_code) AS distinct_categories,
-           round(avg(CASE WHEN event_type = 'view' THEN CAST(price AS DOUBLE) END), 6) AS avg_price_viewed,
+           avg(CASE WHEN event_type = 'view' THEN CAST(price AS DOUBLE) END) AS avg_price_viewed,
            max(CASE WHEN event_type = 'view' THEN CAST(price AS DOUBLE) END) AS max_price_viewed,
            count_if(event_type = 'purchase') > 0 AS is_purchased
     FROM silver GROUP BY user_id, session_index
@@ -146,3 +146,8 @@ def gold(timeout: int, *extra: str) -> str:
 def silver_chain(timeout: int, *extra: str) -> str:
     """``WITH click, stg, silver(timeout)[, extra…]``"""
     return with_(CLICK, STG, silver(timeout), *extra)
+
+
+def rounded(table: str) -> str:
+    """All columns of ``metrics`` or ``features``, the average rounded for comparison."""
+    return f"SELECT * REPLACE (round(avg_price_viewed, 6) AS avg_price_viewed) FROM {table}"

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -54,25 +54,47 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder. On a cluster it must name a shared folder
-    (``spark.checkpoint.dir``) and is used as it is; when unset there, this raises instead of
-    falling back to a machine-local folder. Only a local-mode session (tests, local runs) gets a
-    fresh temporary folder when none is set."""
+    """The session's shared scratch folder (``spark.checkpoint.dir``), used as it is. When it is
+    unset, a cluster session raises instead of falling back to a machine-local folder; only a
+    local-mode session (tests, local runs) gets a fresh temporary folder, once."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set: name a shared folder (HDFS/S3) for staged tables and checkpoints"
-            )
-        current = tempfile.mkdtemp(prefix="clickweave-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+    if current:
+        return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} is not set: name a shared folder (HDFS/S3) for staged tables and checkpoints"
+        )
+    current = tempfile.mkdtemp(prefix="clickweave-ckpt-")
+    spark.conf.set(CHECKPOINT_CONF, current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder for staged intermediate tables."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError(f"{CHECKPOINT_CONF} is not set; name a shared folder for intermediate tables")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the JVM for any scheme (s3a, hdfs, file)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and read it back: a lineage cut for a batch
+    that several steps consume. ``release`` removes it when the job ends."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(spark: SparkSession, *staged: DataFrame | str | None) -> None:
+    """Delete staged copies (frames returned by ``stage``, or scratch paths) that no later step
+    reads."""
+    for item in staged:
+        path = item if isinstance(item, str) else getattr(item, "_scratch", None)
+        if path:
+            fs, jpath = hadoop_path(spark, path)
+            fs.delete(jpath, True)

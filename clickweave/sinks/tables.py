@@ -13,11 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.operators.incremental import upsert
+from clickweave.operators.incremental import latest_per_key, null_safe, upsert
 from clickweave.operators.sessions import with_year_month
-from clickweave.session import ensure_checkpoint_dir, scratch_path
+from clickweave.session import hadoop_path, release, stage
 
 DEFAULT_NAMESPACE = "default"
+#: Directory name of a NULL partition value (Spark's and Hive's).
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+#: Identity of an ingested file: its name as a tag, and a digest of its full path.
+BATCH_COLUMNS = ("batch", "batch_source")
 
 
 def qualified(name: str, namespace: str = DEFAULT_NAMESPACE) -> str:
@@ -26,9 +30,7 @@ def qualified(name: str, namespace: str = DEFAULT_NAMESPACE) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm  # Hadoop FileSystem check, works for any scheme (s3a, hdfs, file)
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = hadoop_path(spark, path)
     return fs.exists(hpath)
 
 
@@ -76,16 +78,65 @@ def replace_partitions(
     refresh(df.sparkSession, name)
 
 
-def write_rejects(rejects: DataFrame, dlq_dir: str, batch_tag: str | None = None) -> None:
-    """K3: quarantine rows to ``dlq_dir/batch=<tag>/`` as snappy Parquet, appended. Without a
-    ``batch_tag`` the rows' own ``batch`` column partitions the output (one write for all files)."""
+def partition_values(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> DataFrame | None:
+    """The partitions of the table at ``path`` as rows of strings, from directory names alone; None
+    if there is no table."""
+    fs, hpath = hadoop_path(spark, path)
+    if not fs.exists(hpath):
+        return None
+    _, pattern = hadoop_path(spark, "/".join([path, *[f"{c}=*" for c in partition_cols]]))
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    rows = []
+    for status in fs.globStatus(pattern):
+        names = status.getPath().toString().split("/")[-len(partition_cols) :]
+        values = [n.split("=", 1)[1] for n in names]
+        rows.append([None if v == HIVE_NULL else unescape(v) for v in values])
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in partition_cols))
+
+
+def drop_partitions(spark: SparkSession, path: str, gone: DataFrame, partition_cols: Sequence[str]) -> int:
+    """Delete the partition directories whose values are the rows of ``gone`` (as few rows as
+    partitions); returns how many there were."""
+    fs, _ = hadoop_path(spark, path)
+    n = 0
+    for row in gone.select(*[F.col(c).cast("string") for c in partition_cols]).distinct().toLocalIterator():
+        jvm = spark.sparkContext._jvm
+        names = [
+            f"{c}={jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(v) if v else HIVE_NULL}"
+            for c, v in zip(partition_cols, row, strict=True)
+        ]
+        _, part = hadoop_path(spark, "/".join([path, *names]))
+        n += bool(fs.delete(part, True))
+    return n
+
+
+def swap_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], touched: DataFrame, **layout) -> None:
+    """Make the ``touched`` partitions (rows of partition values) hold exactly the rows of ``df``: the
+    partitions of ``df`` are replaced, touched ones without rows are removed. Running it again
+    gives the same table. ``layout``: arguments of ``write_clustered``."""
+    parts = list(partition_cols)
+    if layout:
+        write_clustered(df, path, parts, dynamic=True, **layout)
+    else:
+        replace_partitions(df, path, parts)
+    new = df.select(*parts).distinct()
+    empty = touched.select(*parts).distinct().alias("t").join(new.alias("n"), null_safe("t", "n", parts), "left_anti")
+    drop_partitions(df.sparkSession, path, empty, parts)
+
+
+def write_rejects(
+    rejects: DataFrame, dlq_dir: str, batch_tag: str | None = None, *, batches: DataFrame | None = None
+) -> None:
+    """K3: quarantine rows to ``dlq_dir/batch=<tag>/`` as snappy Parquet. Without a ``batch_tag`` the
+    rows' own batch columns partition the output (one write for all files). With ``batches`` (the
+    batch columns of everything ingested) those batches' earlier rejects are replaced, also by
+    nothing; without, rows are appended."""
     out = rejects if batch_tag is None else rejects.withColumn("batch", F.lit(batch_tag))
-    (
-        out.write.mode("append")
-        .option("compression", "snappy")
-        .partitionBy("batch")
-        .parquet(dlq_dir)
-    )
+    parts = [c for c in BATCH_COLUMNS if c in out.columns]
+    if batches is not None:
+        swap_partitions(out, dlq_dir, parts, batches)
+        return
+    out.write.mode("append").option("compression", "snappy").partitionBy(*parts).parquet(dlq_dir)
 
 
 def upsert_table(
@@ -97,25 +148,30 @@ def upsert_table(
     *,
     name: str | None = None,
 ) -> None:
-    """K4 on disk: merge ``updates`` into the Parquet table at ``path`` by ``key``.
+    """K4 on disk: merge ``updates`` into the Parquet table at ``path`` by ``key`` (one row per key
+    stays, NULL keys and NULL partitions included).
 
     Only partitions touched by the updates are read and rewritten. The merged partitions are first
     written to the shared scratch folder (the lineage cut: the target's files are about to be
     replaced, so the merge must not read them lazily while writing), then swapped in with a dynamic
     partition overwrite. Assumes a key never changes partition (true for event-time partitions)."""
-    parts = list(partition_cols)
+    parts, keys = list(partition_cols), [key] if isinstance(key, str) else list(key)
     if not _exists(spark, path):
-        replace_partitions(updates, path, parts, name=name)
+        replace_partitions(latest_per_key(updates, keys), path, parts, name=name)
         return
+    merged = stage(spark, merged_partitions(spark, path, updates, keys, parts), "upsert")
+    replace_partitions(merged, path, parts, name=name)
+    release(spark, merged)
+
+
+def merged_partitions(
+    spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str], partition_cols: Sequence[str]
+) -> DataFrame:
+    """The touched partitions of the table at ``path`` after ``updates``."""
     target = spark.read.option("mergeSchema", "true").parquet(path)
-    touched = updates.select(*parts).distinct()
-    affected = target.join(touched, parts, "left_semi")
-    merged = upsert(affected, updates, key)
-    ensure_checkpoint_dir(spark)
-    staging = scratch_path(spark, "upsert")
-    merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    staged = spark.read.schema(merged.schema).parquet(staging)  # schema given: empty updates are fine
-    replace_partitions(staged.select(*merged.columns), path, parts, name=name)
+    touched = updates.select(*partition_cols).distinct()
+    affected = target.alias("t").join(touched.alias("p"), null_safe("t", "p", partition_cols), "left_semi")
+    return upsert(affected, updates, key)
 
 
 def write_clustered(
@@ -126,10 +182,12 @@ def write_clustered(
     *,
     num_partitions: int | None = None,
     mode: str = "overwrite",
+    dynamic: bool = False,
 ) -> None:
     """K7: clustered layout: directory partitions on the low-cardinality column(s), rows range-
     partitioned and sorted inside each file on the clustering columns (tight min/max stats per
-    file, so Parquet row-group skipping works for the clustered predicates). A deterministic row
+    file, so Parquet row-group skipping works for the clustered predicates). ``dynamic`` replaces
+    only the partitions that ``df`` has rows of. A deterministic row
     hash ends the range key, so one hot (date, type) value is spread over several range
     partitions instead of landing in one task; files stay ordered by the clustering columns."""
     keys = list(partition_cols) + [c for c in cluster_cols if c not in partition_cols]
@@ -142,7 +200,8 @@ def write_clustered(
         else with_spread.repartitionByRange(*range_keys)
     )
     out = ranged.sortWithinPartitions(*keys).drop("_spread")
-    out.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    writer.partitionBy(*partition_cols).parquet(path)
 
 
 def materialize(df: DataFrame, how: str, *, name: str | None = None, path: str | None = None,
@@ -165,15 +224,13 @@ def materialize(df: DataFrame, how: str, *, name: str | None = None, path: str |
 
 
 def write_silver(silver: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """K9: silver events partitioned by ``event_year``, ``event_month`` (dynamic overwrite)."""
+    """K9: silver events partitioned by ``event_year``, ``event_month``. ``overwrite`` replaces the
+    whole table: months that the new data lacks are gone."""
     out = with_year_month(silver).hint("rebalance", "event_year", "event_month")
-    writer = out.write.mode(mode)
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     writer.partitionBy("event_year", "event_month").parquet(path)
 
 
-
 def write_predictions(scored: DataFrame, path: str, partition_cols: Sequence[str] = ("data_partition",)) -> None:
     """The scored-session table (``gold_session_predictions``), partitions replaced per run."""
     replace_partitions(scored, path, [c for c in partition_cols if c in scored.columns])
@@ -183,16 +240,6 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Overwrite an unpartitioned table with ``df`` even when ``df`` is computed from that same
     table (merged dimensions, advanced state): write to the shared scratch folder first, then
     replace from the staged copy."""
-    ensure_checkpoint_dir(spark)
-    staging = scratch_path(spark, "replace")
-    df.write.mode("overwrite").parquet(staging)
-    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
-
-
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back (a lineage cut for a batch
-    that several sinks consume)."""
-    ensure_checkpoint_dir(spark)
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = stage(spark, df, "replace")
+    staged.write.mode("overwrite").parquet(path)
+    release(spark, staged)

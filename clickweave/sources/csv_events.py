@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.operators.ingest import parse_event_time
-from clickweave.session import ensure_checkpoint_dir, scratch_path
+from clickweave.session import stage
 from clickweave.sources.schema import CORRUPT_COLUMN, RAW_EVENT_SCHEMA
 
 
@@ -29,7 +29,8 @@ def read_raw_events(
 ) -> DataFrame:
     """S1 + S3: read one or many CSV(.gz) files with a header, the fixed schema and PERMISSIVE
     mode; malformed lines are kept with their text in ``_corrupt_record``. All files are read by
-    one job; ``batch`` is each file's name with ``.`` replaced by ``_`` (the reference's batch tag)."""
+    one job; ``batch`` is each file's name with ``.`` replaced by ``_`` (the reference's batch tag),
+    ``batch_source`` a digest of its full path, so that files of one name in two folders differ."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = (
         spark.read.format("csv")
@@ -40,15 +41,16 @@ def read_raw_events(
         .load(paths)
     )
     if with_batch:
-        df = df.withColumn("batch", F.regexp_replace(F.col("_metadata.file_name"), r"\.", "_"))
+        source = F.substring(F.md5(F.col("_metadata.file_path")), 1, 12)
+        df = df.withColumns({"batch": F.regexp_replace(F.col("_metadata.file_name"), r"\.", "_"), "batch_source": source})
     return df
 
 
 def with_source_event_id(df: DataFrame) -> DataFrame:
-    """A content id for raw rows (``src_event_id``): xxhash64 over the batch tag and every raw field.
-    Stable across re-reads and re-ingests of the same file; used only as an ordering tie-breaker
-    and to make the surrogate key unique (exact duplicate lines share it, and are identical)."""
-    cols = [c for c in df.columns if c != CORRUPT_COLUMN]
+    """A content id for raw rows (``src_event_id``): xxhash64 over every raw field, without the
+    batch, so that one line delivered in two files has one id. Used as an ordering tie-breaker and
+    in the surrogate key, by which repeated lines are recognised."""
+    cols = [c for c in df.columns if c not in (CORRUPT_COLUMN, "batch", "batch_source")]
     return df.withColumn("src_event_id", F.xxhash64(*[F.col(c) for c in cols]))
 
 
@@ -56,9 +58,9 @@ def stage_raw(spark: SparkSession, raw: DataFrame, path: str | None = None) -> D
     """Parse every column once (event time too: ``event_timestamp`` next to the text), add
     ``src_event_id``, write to Parquet under the shared scratch folder (or ``path``) and return a
     reader over the staged copy."""
-    ensure_checkpoint_dir(spark)
-    target = path or scratch_path(spark, "staged-raw")
     parsed = with_source_event_id(raw).withColumn("event_time_text", F.col("event_time"))
     parsed = parse_event_time(parsed)
-    parsed.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    if path is None:
+        return stage(spark, parsed, "staged-raw")
+    parsed.write.mode("overwrite").parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)

@@ -40,7 +40,7 @@ def click_events(spark: SparkSession, sf_dir: str, *, with_duplicates: bool = Fa
 
     k = F.get_json_object("props", "$.k").cast("int")
     ev = ev.withColumn("k", k)
-    joined = ev.join(part, ev["k"] == part["p_partkey"], "inner")
+    joined = ev.join(part, ev["k"] == part["p_partkey"], "left")  # an unknown product keeps its event
 
     eid = F.col("event_id")
     kind = F.col("k") % 10

@@ -30,22 +30,6 @@ RAW_EVENT_SCHEMA = StructType(
 ACCEPTED_EVENT_TYPES = ("view", "cart", "remove_from_cart", "purchase")
 RAW_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss z"
 
-# Columns every downstream operator expects after ingest or adaptation ("click schema").
-# ``src_event_id`` is an optional source-side event id used as a tie-breaker; when the input has
-# none, ``sources.csv_events`` derives one.
-CLICK_COLUMNS = (
-    "src_event_id",
-    "event_timestamp",
-    "event_type",
-    "product_id",
-    "category_id",
-    "category_code",
-    "brand",
-    "price",
-    "user_id",
-    "user_session",
-)
-
 # The nine model features, in the order the reference's model configuration lists them.
 FEATURE_COLUMNS = (
     "session_duration_sec",

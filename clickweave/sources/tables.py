@@ -18,15 +18,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None =
     return reader.parquet(table_path(sf_dir, name))
 
 
-def read_layer(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame:
-    """Read a bronze / silver / gold Parquet layer written by ``clickweave.sinks``.
-    Partition directories (``event_date=…``) become columns and prune on filters."""
-    reader = spark.read
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    return reader.parquet(path)
-
-
 def register(df: DataFrame, name: str) -> DataFrame:
     """Expose a DataFrame by name for SQL users, e.g. ``bronze_events``."""
     df.createOrReplaceTempView(name)

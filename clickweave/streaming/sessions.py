@@ -18,17 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickweave.functions.columns import epoch_seconds
+from clickweave.functions.columns import epoch_seconds, utc_instant
 from clickweave.operators.ml import prepare, score
 from clickweave.sources.schema import FEATURE_COLUMNS, LABEL_COLUMN
 
 
-def utc_instant(ts_col: str) -> F.Column:
-    """The instant of a UTC wall-clock ``timestamp_ntz`` (watermarks need ``TIMESTAMP``); the
-    result does not depend on the session time zone."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ts_col)).cast("timestamp")
-
-
 def session_window_metrics(
     events: DataFrame,
     gap: str = "30 minutes",
@@ -73,7 +67,7 @@ def session_window_metrics(
         "purchase_count",
         "distinct_products",
         "distinct_categories",
-        F.round("avg_price_viewed", 6).alias("avg_price_viewed"),
+        "avg_price_viewed",
         "max_price_viewed",
         (F.col("purchase_count") > 0).alias(LABEL_COLUMN),
     )

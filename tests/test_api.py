@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from clickweave import api
+from clickweave.operators.ml import prepare as ml_prepare
 from clickweave.plans import medallion as m
 from clickweave.sources.csv_events import stage_raw
 
@@ -36,7 +37,7 @@ def test_processing_and_ml_names(spark, tmp_dir):
     assert api.build_dim_products(silver).count() > 0 and api.build_dim_users(silver).count() > 0
     assert api.build_fact_events(silver).count() == silver.count()
     assert api.build_fact_sessions(silver).count() == api.build_session_features(silver).count()
-    feats = m.model_input(spark, SF_SMALL)
+    feats = ml_prepare(m.features(spark, SF_SMALL))
     train, val = api.split_data(feats)
     model = api.build_pipeline().fit(train)
     metrics = api.evaluate(model.transform(val))

@@ -140,8 +140,8 @@ def test_incremental_equals_full_recompute(spark):
     old = df.filter(F.col("event_timestamp") <= F.lit(cut))
     new = df.filter(F.col("event_timestamp") > F.lit(cut))
     first = sessionize(old, 1800)
-    inc = sessionize_incremental(new, session_state(first), 1800)
-    assert late_events(new, session_state(first)).count() == 0
+    inc, late = sessionize_incremental(new, session_state(first), 1800)
+    assert late.count() == 0 and late_events(new, session_state(first)).count() == 0
     full = sessionize(df, 1800)
     cols = ["src_event_id", "session_flag", "session_index", "computed_session_id", "idle_seconds", "event_seq"]
     merged = first.select(*cols).unionByName(inc.select(*cols)).orderBy("src_event_id").collect()
