@@ -48,10 +48,7 @@ def test_against_brute_force(spark):
         for r in render(df, part=part).collect():
             got.setdefault((r["conv_id"], r["n_turns"], r["copies"]), {})[r["part"]] = r["text"]
         rows = sorted(((*k, "".join(v[i] for i in range(len(v)))) for k, v in got.items()), key=repr)
-        want = [r for r in _brute(ROWS)]
-        # a null id is a conversation of its own
-        want.append((None, 2, 1, "<|user|>\nhi<|end|>\n<|assistant|>\nwithout id<|end|>\n"))
-        assert rows == sorted(want, key=repr)
+        assert rows == _brute(ROWS) and any(r[0] is None for r in rows)
 
 
 def test_empty(spark):
