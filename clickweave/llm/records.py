@@ -15,8 +15,8 @@ Files are written by tasks under a folder all executors share, in ascending doc_
 within files, each under a name of its own attempt. The manifest (a staged table, one row per file)
 names the files of the attempts that were committed; files of lost attempts are never read.
 
-Texts are encoded word by word: the tokenizer's rules never join text across white space, so the ids
-of a text are the ids of its words in order. Each worker keeps the ids of words it has met.
+Texts are encoded piece by piece: the tokenizer's rules never join text across white space, so the ids
+of a text are the ids of its pieces in order. Each worker keeps the ids of pieces it has met.
 
 Defined results: a null or empty text is the end id alone; documents of equal doc_id are ordered by a
 text hash, equal rows are separate records; null doc_ids come first; an empty table writes no file;
@@ -30,10 +30,10 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -46,9 +46,12 @@ END_ID = 1
 _HEAD, _CRC, _OWN, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB"), struct.Struct("<QQq")
 _MASK = 0xA282EAD8
 MANIFEST = "part int, file string, index string, records bigint, tokens bigint, bytes bigint"
-#: Words (and their ids) that a worker keeps.
-CACHE_WORDS, CACHE_IDS = 600_000, 6_000_000
-_GAP, _JOINED = "\x00", 1000
+#: Pieces that a worker keeps (about 30 bytes each).
+CACHE_PIECES = 2_000_000
+_GAP, _JOINED, _TAIL = "\x00", 1000, ".,;:!?%$&#*|\""
+_IS_TAIL = np.isin(np.arange(256), [ord(c) for c in _TAIL])
+_ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+_AS_IS = np.arange(256, dtype=np.uint8)
 
 
 def masked(data: bytes) -> int:
@@ -95,62 +98,125 @@ def read_record(stream) -> tuple[int | None, np.ndarray] | None:
 
 
 class WordEncoder:
-    """Token ids of texts, word by word, with a bounded cache of words."""
+    """Token ids of texts, piece by piece, with a bounded cache of pieces.
+
+    A piece is a run without white space, less the punctuation at its end where that follows an ASCII
+    letter or digit, or that punctuation: the tokenizer never joins text across either cut. ASCII
+    letters are folded to lower case, as the tokenizer does (not beside combining marks, with
+    which they might compose first). Pieces are found, hashed and looked up a batch at a time; only
+    pieces not met before are encoded."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         (self.gap,) = self.tokenizer.encode(_GAP, add_special_tokens=False).ids
         self._reset()
 
     def _reset(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.n_ids, self.ends = np.empty(1 << 16, np.uint32), 0, [0]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words many at a time: set apart by a control character between spaces, whose one
-        id no other text gives."""
-        plain = [w for w in words if _GAP not in w]
-        texts = [f" {_GAP} ".join(plain[i : i + _JOINED]) for i in range(0, len(plain), _JOINED)]
-        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            gaps = np.flatnonzero(ids == self.gap)
-            ends = np.concatenate([gaps, [len(ids)]]) - np.arange(len(gaps) + 1)
-            self._keep(plain[k * _JOINED : (k + 1) * _JOINED], ids[ids != self.gap], ends)
-        for w in words:
-            if _GAP in w:
-                ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-                self._keep([w], ids, np.array([len(ids)]))
-
-    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        while self.n_ids + len(ids) > len(self.ids):
+        """Known pieces: sorted runs of (hashes, places); place p has ids [ends[p], ends[p + 1])."""
+        self.runs = [(np.empty(0, np.uint64), np.empty(0, np.int64)) for _ in range(2)]
+        self.ids, self.ends, self.n = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+
+    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of sorted ``hashes``, -1 where not known."""
+        out = np.full(len(hashes), -1, np.int64)
+        for keys, places in self.runs:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                out = np.where(keys[at] == hashes, places[at], out)
+        return out
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        found = self._encode_pieces(pieces)
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
+        used = self.ends[self.n]
+        while used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-        first = len(self.ends) - 1
-        self.place.update(zip(words, range(first, first + len(words)), strict=True))
-        self.ends += (ends + self.n_ids).tolist()
-        self.n_ids += len(ids)
+        while self.n + len(found) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
+        self.ids[used : used + len(flat)] = flat
+        self.ends[self.n + 1 : self.n + 1 + len(found)] = used + np.cumsum(count)
+        run = (np.concatenate([self.runs[1][0], hashes]), np.concatenate([self.runs[1][1], np.arange(self.n, self.n + len(found))]))
+        self.n += len(found)
+        if 4 * len(run[0]) > len(self.runs[0][0]):  # merged now and then, so that each piece moves few times
+            run = tuple(np.concatenate([x, y]) for x, y in zip(self.runs[0], run, strict=True))
+            order = np.argsort(run[0])
+            self.runs = [(run[0][order], run[1][order]), (run[0][:0], run[1][:0])]
+        else:
+            order = np.argsort(run[0])
+            self.runs[1] = (run[0][order], run[1][order])
+
+    def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
+        """Lower-case ASCII words go to the model itself; others are encoded many at a time, set apart by
+        a control character between spaces, whose one id no other text gives."""
+        out: list = [None] * len(pieces)
+        rest = []
+        for i, p in enumerate(pieces):
+            if p.isascii() and p.isalpha():
+                out[i] = [t.id for t in self.model.tokenize(p.lower())]
+            elif _GAP in p:
+                out[i] = self.tokenizer.encode(p, add_special_tokens=False).ids
+            else:
+                rest.append(i)
+        parts = [rest[k : k + _JOINED] for k in range(0, len(rest), _JOINED)]
+        texts = [f" {_GAP} ".join([pieces[i] for i in part]) for part in parts]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = e.ids
+            bounds = [-1, *[k for k, x in enumerate(ids) if x == self.gap], len(ids)]
+            for k, i in enumerate(part):
+                out[i] = ids[bounds[k] + 1 : bounds[k + 1]]
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with END_ID after each, offsets per text)."""
-        if len(self.place) > CACHE_WORDS or self.n_ids > CACHE_IDS:
+        if self.n > CACHE_PIECES:
             self._reset()
-        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        coded = split.flatten().dictionary_encode()
-        unique = coded.dictionary.to_pylist()
-        self._learn([w for w in unique if w not in self.place])
-        at = np.fromiter((self.place[w] for w in unique), np.int64, len(unique))
-        ends = np.array(self.ends, np.int64)
-        at = at[coded.indices.to_numpy()]
-        count = ends[at + 1] - ends[at]
-        ids = self.ids[W._ranges(ends[at], count)] if count.sum() else np.empty(0, np.uint32)
-        off = split.offsets.to_numpy()
-        per = np.concatenate([[0], np.cumsum(count)])[off - off[0]]
+        raw, off = W.text_bytes(texts)
+        folds = not ((raw == 0xCC) | (raw == 0xCD)).any()  # lead bytes of the combining marks
+        scan = W.Scan(raw, off[:-1], W.SPACE, W.LOWER if folds else _AS_IS)
+        begin, end = scan.first, scan.last + 1
+        kept = np.where(_IS_TAIL[raw], -1, np.arange(len(raw)))
+        core = np.maximum.accumulate(kept)[scan.last] + 1 if len(raw) else end
+        cut = (core > begin) & (core < end)
+        cut[cut] = _ALNUM[raw[core[cut] - 1]]
+        place = np.arange(len(begin)) + np.concatenate([[0], np.cumsum(cut)[:-1]]).astype(np.int64) if len(begin) else begin
+        starts, stops = np.empty(len(begin) + int(cut.sum()), np.int64), np.empty(len(begin) + int(cut.sum()), np.int64)
+        starts[place], stops[place] = begin, np.where(cut, core, end)
+        starts[place[cut] + 1], stops[place[cut] + 1] = core[cut], end[cut]
+        hashes = scan.span_hashes(starts, stops)
+        if not folds:
+            hashes = W.mix(hashes)  # apart from folded ones
+        unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        known = self._lookup(unique)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            data = raw.tobytes()
+            at = first[new]
+            self._learn(unique[new], [data[a:b].decode() for a, b in zip(starts[at].tolist(), stops[at].tolist(), strict=True)])
+            known = self._lookup(unique)
+        slot = known[back]
+        count = self.ends[slot + 1] - self.ends[slot]
+        ids = self.ids[W._ranges(self.ends[slot], count)] if len(slot) else np.empty(0, np.uint32)
+        per = np.concatenate([[0], np.cumsum(count)])[np.append(np.searchsorted(starts, off[:-1]), len(starts))]
         return np.insert(ids, per[1:], END_ID), per + np.arange(len(per))
 
 
+_held: dict[int, WordEncoder] = {}
+
+
+def worker_encoder(tokenizer_json: str) -> WordEncoder:
+    """The encoder of this worker process, kept from task to task with the words it has met."""
+    key = zlib.crc32(tokenizer_json.encode())
+    if key not in _held:
+        _held.clear()
+        _held[key] = WordEncoder(tokenizer_json)
+    return _held[key]
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
@@ -170,9 +236,9 @@ def write_records(documents: DataFrame, tokenizer_path: str, folder: str | None
         records = tokens = at = 0
         for b in batches:
             _, text_off = W.text_bytes(b.column(1))
-            for i, j in W.groups(text_off, 8 * W.PIECE):
+            for i, j in W.groups(text_off, 2 * W.PIECE):
                 if encoder is None:
-                    encoder = WordEncoder(model.value)
+                    encoder = worker_encoder(model.value)
                     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
                     data, index = store.open_output_stream(f"{path}.rec"), store.open_output_stream(f"{path}.idx")
                 ids, off = encoder.encode(b.column(1).slice(i, j - i))
@@ -198,8 +264,8 @@ def write_records(documents: DataFrame, tokenizer_path: str, folder: str | None
     return stage(rows.mapInArrow(run, MANIFEST), "manifest")
 
 
-def read_records(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every record, read back from the files; start
+def read_records(manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32[, ids]) of every record, read back from the files; start
     counts the ids of all records before it. Checksums are verified."""
     files = running_total(manifest.select("part", "file", "tokens"), [], ["part"], {"first": F.col("tokens")}, name="files")
 
@@ -213,21 +279,22 @@ def read_records(manifest: DataFrame) -> DataFrame:
                     while (record := read_record(stream)) is not None:
                         doc_id, ids = record
                         raw = ids.astype("<u4").tobytes()
-                        rows.append((doc_id, first, len(ids), zlib.crc32(raw), raw))
-                        first, held = first + len(ids), held + len(raw)
-                        if held > 1 << 23:
+                        rows.append((doc_id, first, len(ids), zlib.crc32(raw), *[raw] * with_ids))
+                        first, held = first + len(ids), held + 64 + len(raw) * with_ids
+                        if held > 1 << 22:
                             yield _rows(rows)
                             rows, held = [], 0
                 if rows:
                     yield _rows(rows)
 
     spread = files.repartitionByRange(shuffle_parts(manifest.sparkSession), "part").select("file", "first")
-    return spread.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    return spread.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+    kinds, names = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), ("doc_id", "start", "n_tokens", "ids_crc32", "ids")
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=False)]
+    return pa.RecordBatch.from_arrays(columns, names=list(names[: len(columns)]))
 
 
 def read_index(manifest: DataFrame) -> DataFrame:
@@ -272,7 +339,7 @@ def encoded(documents: DataFrame) -> DataFrame:
     import public_tokenizers
 
     manifest = write_records(documents, public_tokenizers.path("word_bpe_49k.json"))
-    return read_records(manifest).drop("ids")
+    return read_records(manifest, with_ids=False)
 
 
 def op9_records(spark, sf_dir):

@@ -49,7 +49,7 @@ class Scan:
     """The words of one piece; a text begins at each of ``starts``. ``first``, ``last``: places of
     their first and last bytes."""
 
-    def __init__(self, raw: np.ndarray, starts: np.ndarray, sep: np.ndarray):
+    def __init__(self, raw: np.ndarray, starts: np.ndarray, sep: np.ndarray, fold: np.ndarray = LOWER):
         n, self.raw = len(raw), raw
         word = ~sep[raw]
         cut = np.zeros(n + 1, bool)
@@ -63,10 +63,10 @@ class Scan:
         p, self._inverse = _power_tables(n + 1)
         self._sums = np.zeros(n + 1, np.uint64)
         with np.errstate(over="ignore"):
-            np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=self._sums[1:])
+            np.cumsum((fold[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=self._sums[1:])
 
     def span_hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of the lower-cased bytes [begin, end)."""
+        """Hashes of the folded (lower-cased) bytes [begin, end)."""
         with np.errstate(over="ignore"):
             return mix((self._sums[end] - self._sums[begin]) * self._inverse[begin])
 
