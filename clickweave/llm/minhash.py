@@ -10,7 +10,9 @@ threshold. Steps:
 3. first pass: each bucket pairs its members with its smallest member (linear in the bucket);
 4. second pass: buckets whose members still lie in different components compare all members of
    different components. Members are dealt into hash blocks; a task sees two blocks of a bucket,
-   never a whole one, and emits only pairs that survive the pruning;
+   never a whole one, members of a bucket's commonest component do not meet each other, and only
+   pairs that survive the pruning are emitted: first each member's likeliest partner in each other
+   component, then, for members that this did not connect, all that are left;
 5. sequential verification: signatures are compared ``BATCH`` values at a time; a pair is pruned
    once the posterior probability (uniform prior) that its similarity reaches the threshold is
    below ``MISS``;
@@ -42,7 +44,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
 BATCH, MISS = 16, 1e-6
 #: Members of a bucket that meet in a task of the second pass: two blocks of about so many.
-BLOCK = 256
+BLOCK = 1024
 _SETS = "fp binary, doc_id bigint, th bigint, n_shingles bigint, sig binary, bands array<bigint>"
 
 
@@ -193,43 +195,60 @@ def _length_bound(na: str, nb: str, percent: int):
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
-def _second_pass(members: DataFrame, tried: DataFrame, reps: DataFrame, percent: int, least: list[int]) -> DataFrame:
-    """Pairs (a, b) of buckets' members in different components that the sequential test leaves.
-    ``members``: key, band, fp, n_shingles, component."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    sizes = stage(sizes.where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open-buckets")
-    dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "fp",
-        "n_shingles", "component",
-    )
-    dealt = dealt.join(reps.select("fp", "sig"), "fp")
-    size = "key bigint, lo int, hi int, block int, band int, fp binary, n_shingles bigint, component binary, sig binary"
-    cols = [c.split()[0] for c in size.split(", ")]
+def _second_pass(
+    members: DataFrame, tried: DataFrame, reps: DataFrame, percent: int, least: list[int], best: bool
+) -> DataFrame:
+    """Pairs (a, b) of buckets' members in different components that the sequential test leaves;
+    with ``best`` only, for each member and block, the likeliest one into each other component.
+    ``members``: key, band, fp, n_shingles, component.
+
+    In each bucket the members of its commonest component (home) need not meet each other; the
+    others (strays) meet the home members and each other, block against block."""
+    per = members.groupBy("key", "component").agg(F.count("*").alias("c"))
+    sizes = per.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "component")).alias("top")).where("n > top.c")
+    blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    sizes = sizes.select("key", F.col("top.component").alias("home"), blocks(F.col("top.c")).alias("p"), blocks(F.col("n") - F.col("top.c")).alias("q"))
+    dealt = members.join(stage(sizes, "open-buckets"), "key").withColumn("stray", F.col("component") != F.col("home"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("fp"), F.when(F.col("stray"), F.col("q")).otherwise(F.col("p"))).cast("int"))
+    meet = lambda i, kind, j: F.struct(i.alias("i"), F.lit(kind).alias("strays"), j.alias("j"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    own = F.col("block")
+    meetings = F.when(
+        F.col("stray"),
+        F.concat(
+            F.transform(upto("p"), lambda j: meet(own, False, j)),
+            F.transform(upto("q"), lambda k: meet(F.least(own, k), True, F.greatest(own, k))),
+        ),
+    ).otherwise(F.transform(upto("q"), lambda i: meet(i, False, own)))
+    dealt = dealt.select("key", F.inline(meetings), "stray", "block", "band", "fp", "n_shingles", "component").join(reps.select("fp", "sig"), "fp")
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         sig, n = _sig_rows(t.column("sig").combine_chunks()), t.column("n_shingles").to_numpy()
-        block, comp = t.column("block").to_numpy(), t.column("component").to_pylist()
-        lo, hi, band, fp = t.column("lo")[0].as_py(), t.column("hi")[0].as_py(), t.column("band")[0].as_py(), t.column("fp").to_pylist()
+        block, stray = t.column("block").to_numpy(), t.column("stray").to_numpy()
+        (i, strays, j), band = (t.column(c)[0].as_py() for c in ("i", "strays", "j")), t.column("band")[0].as_py()
+        comp, fp = t.column("component").to_pylist(), t.column("fp").to_pylist()
         names = {c: k for k, c in enumerate(dict.fromkeys(comp))}
         comp = np.array([names[c] for c in comp])
-        left, out = np.flatnonzero(block == lo), []
-        right = left if lo == hi else np.flatnonzero(block == hi)
-        for i in left:
-            js = right[right > i] if lo == hi else right
-            js = js[(comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
-            if not len(js):
+        left = np.flatnonzero(stray & (block == i))
+        right = np.flatnonzero((stray == strays) & (block == j))
+        out: list[tuple[bytes, bytes]] = []
+        for x in left:
+            ys = right[right > x] if strays and i == j else right
+            ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(n[ys], n[x]) >= percent * np.maximum(n[ys], n[x]))]
+            if not len(ys):
                 continue
-            js = js[_passes(np.broadcast_to(sig[i], (len(js), sig.shape[1])), sig[js], least)]
-            if band and len(js):  # the first band they share pairs them
-                same = (sig[js, : band * ROWS] == sig[i, : band * ROWS]).reshape(len(js), band, ROWS).all(axis=2).any(axis=1)
-                js = js[~same]
-            out += [(min(fp[i], fp[j]), max(fp[i], fp[j])) for j in js]
+            ys = ys[_passes(np.broadcast_to(sig[x], (len(ys), sig.shape[1])), sig[ys], least)]
+            if band and len(ys):  # the first band they share pairs them
+                same = (sig[ys, : band * ROWS] == sig[x, : band * ROWS]).reshape(len(ys), band, ROWS).all(axis=2).any(axis=1)
+                ys = ys[~same]
+            if best and len(ys) > 1:
+                ys = ys[np.argsort(-(sig[ys] == sig[x]).sum(axis=1), kind="stable")]
+                ys = ys[np.unique(comp[ys], return_index=True)[1]]
+            out += [(min(fp[x], fp[y]), max(fp[x], fp[y])) for y in ys]
         return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
-    found = dealt.select(*cols).groupBy("key", "lo", "hi").applyInArrow(run, "a binary, b binary")
+    found = dealt.groupBy("key", "i", "strays", "j").applyInArrow(run, "a binary, b binary")
     return found.join(tried, ["a", "b"], "left_anti").distinct()
 
 
@@ -254,13 +273,15 @@ def _groups(documents: DataFrame, size: int, threshold: float, miss: float) -> D
     links = stage(_confirmed(documents, pairs, reps, size, percent), "links")
     comp = stage(components(links), "components")
 
-    open_ = members.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
-        "key", "band", "fp", "n_shingles", F.coalesce("component", "fp").alias("component")
-    )
-    more = stage(_second_pass(stage(open_, "open"), stars, reps, percent, least), "more-pairs")
-    if not more.isEmpty():
-        extra = stage(_confirmed(documents, more, reps, size, percent), "more-links")
-        comp = stage(components(links.unionByName(extra)), "components")
+    for best in (True, False):
+        open_ = members.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
+            "key", "band", "fp", "n_shingles", F.coalesce("component", "fp").alias("component")
+        )
+        more = stage(_second_pass(stage(open_, "open"), stars, reps, percent, least, best), "more-pairs")
+        if more.isEmpty():
+            break
+        links = stage(links.unionByName(_confirmed(documents, more, reps, size, percent)), "links")
+        comp, stars = stage(components(links), "components"), stars.unionByName(more)
 
     named = docs.select("doc_id", "th", "n_shingles", "fp").join(comp.toDF("fp", "component"), "fp", "left")
     named = stage(named.select("doc_id", "th", "n_shingles", F.coalesce("component", "fp").alias("component")), "named")
