@@ -11,8 +11,8 @@ threshold. Steps:
 4. second pass: buckets whose members still lie in different components compare all members of
    different components. Members are dealt into hash blocks; a task sees two blocks of a bucket,
    never a whole one, members of a bucket's commonest component do not meet each other, and only
-   pairs that survive the pruning are emitted: first each member's likeliest partner in each other
-   component, then, for members that this did not connect, all that are left;
+   pairs that survive the pruning are emitted: first each member's likeliest partner not yet tried
+   in each other component, then, for members that this did not connect, all that are left;
 5. sequential verification: signatures are compared ``BATCH`` values at a time; a pair is pruned
    once the posterior probability (uniform prior) that its similarity reaches the threshold is
    below ``MISS``;
@@ -199,8 +199,8 @@ def _second_pass(
     members: DataFrame, tried: DataFrame, reps: DataFrame, percent: int, least: list[int], best: bool
 ) -> DataFrame:
     """Pairs (a, b) of buckets' members in different components that the sequential test leaves;
-    with ``best`` only, for each member and block, the likeliest one into each other component.
-    ``members``: key, band, fp, n_shingles, component.
+    with ``best`` only, for each member and block, the likeliest untried one into each other
+    component. ``members``: key, band, fp, n_shingles, component; ``tried``: pairs (a, b), a < b.
 
     In each bucket the members of its commonest component (home) need not meet each other; the
     others (strays) meet the home members and each other, block against block."""
@@ -221,6 +221,9 @@ def _second_pass(
         ),
     ).otherwise(F.transform(upto("q"), lambda i: meet(i, False, own)))
     dealt = dealt.select("key", F.inline(meetings), "stray", "block", "band", "fp", "n_shingles", "component").join(reps.select("fp", "sig"), "fp")
+    if best:  # with at most one centre a band
+        centres = tried.groupBy(F.col("b").alias("fp")).agg(F.collect_set("a").alias("centres"))
+        dealt = dealt.join(centres, "fp", "left")
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
@@ -228,6 +231,7 @@ def _second_pass(
         block, stray = t.column("block").to_numpy(), t.column("stray").to_numpy()
         (i, strays, j), band = (t.column(c)[0].as_py() for c in ("i", "strays", "j")), t.column("band")[0].as_py()
         comp, fp = t.column("component").to_pylist(), t.column("fp").to_pylist()
+        done = [frozenset(c or ()) for c in t.column("centres").to_pylist()] if best else []
         names = {c: k for k, c in enumerate(dict.fromkeys(comp))}
         comp = np.array([names[c] for c in comp])
         left = np.flatnonzero(stray & (block == i))
@@ -242,6 +246,8 @@ def _second_pass(
             if band and len(ys):  # the first band they share pairs them
                 same = (sig[ys, : band * ROWS] == sig[x, : band * ROWS]).reshape(len(ys), band, ROWS).all(axis=2).any(axis=1)
                 ys = ys[~same]
+            if best:
+                ys = ys[[fp[y] not in done[x] and fp[x] not in done[y] for y in ys]] if len(ys) else ys
             if best and len(ys) > 1:
                 ys = ys[np.argsort(-(sig[ys] == sig[x]).sum(axis=1), kind="stable")]
                 ys = ys[np.unique(comp[ys], return_index=True)[1]]
@@ -278,7 +284,7 @@ def _groups(documents: DataFrame, size: int, threshold: float, miss: float) -> D
             "key", "band", "fp", "n_shingles", F.coalesce("component", "fp").alias("component")
         )
         more = stage(_second_pass(stage(open_, "open"), stars, reps, percent, least, best), "more-pairs")
-        if more.isEmpty():
+        if more.isEmpty():  # in the first round too: no pair is left untried
             break
         links = stage(links.unionByName(_confirmed(documents, more, reps, size, percent)), "links")
         comp, stars = stage(components(links), "components"), stars.unionByName(more)

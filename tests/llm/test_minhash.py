@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from clickweave.llm import minhash as M
 
@@ -88,3 +89,16 @@ def test_signatures_estimate_similarity():
     x = rng.integers(0, 2**63, 400, dtype=np.uint64)
     sig = M.signatures(np.concatenate([x[:300], x[100:]]), np.array([0, 300, 600]))
     assert abs((sig[0] == sig[1]).mean() - 0.5) < 0.15
+
+
+def test_a_rejected_likeliest_partner_hides_no_other(spark, documents):
+    """B looks most like A, the centre of every bucket they share, but only C is similar enough; B
+    and C meet in no first pass."""
+    rng = random.Random(28)
+    w = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(130)]
+    core, b, c, extra = w[:100], w[100:112], w[112:125], w[125:127]
+    docs = [(0, " ".join(core + c[1:] + extra)), (1, " ".join(core + b)), (2, " ".join(core + c))]
+    sig = [np.array(s) for s in M._sig_rows(pa.array([r["sig"] for r in M.shingle_sets(documents([(i, t, "s") for i, t in docs]), 1).orderBy("doc_id").collect()]))]
+    assert (sig[1] == sig[0]).sum() > (sig[1] == sig[2]).sum()
+    got = sorted(map(tuple, M.near_duplicates(documents([(i, t, "s") for i, t in docs]), size=1).collect()))
+    assert got == _brute(docs, 1) and {r[2] for r in got} == {0}
