@@ -38,7 +38,9 @@ _LONGEST_TAG = 1 << 20
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden|aria-label|aria-modal|itemprop)(?![\w-])\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^A-Za-z0-9]+")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_NUMBER = re.compile(r"\d+(?:x\d+)?$")
 _SPACE = re.compile(r"\s+")
 
 _RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
@@ -50,49 +52,70 @@ _BLOCK = frozenset(
 )
 _DIVIDES = frozenset("nav footer header aside".split())
 _SECTION = frozenset("article main body".split())
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Of ``_DROP``, what pages also wrap their article in.
+_WRAPS = frozenset("header form fieldset".split())
 #: Elements whose start ends an open element of the same set.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form status tablist toolbar".split())
-#: Words of a class or id that mark an element as something else than the article.
+#: Words of a class or id that mark an element as something else than the article, if its other
+#: words, split at punctuation and capitals, are marks or ``_PLACES`` too.
 _MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox adunit banner banners sponsor sponsored sponsors "
     "promo promos promoted promotion nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toc sidebar sidebars aside "
     "widget widgets related recommended recommendations footer footnav masthead topbar toolbar header cookie cookies consent gdpr notice "
     "notices popup modal overlay alert newsletter subscribe subscription signup login share sharing social comment comments commentlist "
-    "respond disqus discussion replies reply reviews hidden skip skiplink copyright".split()
+    "respond disqus replies reply reviews hidden skip skiplink copyright".split()
 )
-#: Marks that do not drop an article, a main element or the body itself.
-_KEPT = frozenset("article main body html".split())
+_PLACES = frozenset(
+    "site main global top bottom left right primary secondary upper lower mobile desktop sticky fixed wrapper wrap container outer inner "
+    "box block area bar panel unit slot zone list item items link links button buttons icon icons form policy thread".split()
+)
+#: Marks that do not drop an article, a main element, the body itself, a heading, or code.
+_KEPT = frozenset("article main body html pre code".split()) | _HEADING
+
+
+def _is_mark(token: str) -> bool:
+    """Whether a class or id is a mark, or a compound of marks and places."""
+    found = False
+    for part in filter(None, _SPLIT.split(token)):
+        whole = _NUMBER.sub("", part).lower()
+        words = [whole] if not whole or whole in _MARKS or whole in _PLACES else [_NUMBER.sub("", w).lower() for w in _CAMEL.split(part)]
+        if any(w and w not in _MARKS and w not in _PLACES for w in words):
+            return False
+        found = found or any(w in _MARKS for w in words)
+    return found
 
 
-def _marked(name: str, attrs: str) -> bool:
+def _marked(name: str, attrs: str) -> int:
+    """0: not marked; 1: by its role, class or id; 2: hidden."""
     if not attrs.strip():
-        return False
+        return 0
+    mark = 0
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key == "hidden":
             if m.start() == 0 or attrs[m.start() - 1].isspace():
-                return True
+                return 2
         elif key == "aria-hidden":
             if value.lower() == "true":
-                return True
+                return 2
         elif key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return 2
         elif key == "role":
             if value.lower() in _ROLES:
-                return True
+                mark = 1
         elif key in ("class", "id") and name not in _KEPT:
-            for token in value.split():
-                parts = [p.lower() for p in _SPLIT.split(token) if p]
-                if any(p in _MARKS for p in parts):
-                    return True
-    return False
+            if any(map(_is_mark, value.split())):
+                mark = 1
+    return mark
 
 
 def lines(html: str) -> tuple[list[str], list[int], list[int]]:
     """(texts, plain, owner): a line per block; ``plain``: characters outside links; ``owner``:
-    number of the article or main element that holds the line, 0 for none. Empty lines separate."""
+    number of the article or main element that holds the line, 0 for none, negative for an article in
+    an element that is else dropped. Empty lines separate."""
     texts: list[str] = []
     plain: list[int] = []
     owner: list[int] = []
@@ -100,6 +123,7 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
     linked = 0
     stack: list[str] = []
     dropped = -1  # depth at which a dropped element stands
+    wraps, back = False, None  # whether it may hold the article; that article's depth, and its own
     links, sections, articles = 0, [0], 0
 
     def flush() -> None:
@@ -121,7 +145,7 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
 
     def pop(depth: int) -> None:
         """Close the open elements from ``depth`` on."""
-        nonlocal dropped, links
+        nonlocal dropped, links, back
         while len(stack) > depth:
             name = stack.pop()
             if 0 <= dropped:
@@ -138,6 +162,8 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
                 gap()
                 if name != "body" and len(sections) > 1:
                     sections.pop()
+            if back and len(stack) == back[0]:
+                dropped, back = back[1], None
 
     at, n = 0, len(html)
     while at < n:
@@ -207,16 +233,22 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
                 buf.append(" ")
         if name in _VOID or attrs.rstrip().endswith("/") and name not in _BLOCK:
             continue
+        if 0 <= dropped and wraps and name in ("article", "main") and not _marked(name, attrs):
+            dropped, back = -1, (len(stack), dropped)
         if dropped < 0:
-            if name in _DROP or _marked(name, attrs):
+            mark = _marked(name, attrs)
+            if mark == 1 and ("pre" in stack[-8:] or "code" in stack[-8:]):
+                mark = 0
+            if name in _DROP or mark:
                 dropped = len(stack)
+                wraps = mark < 2 and not back and (name not in _DROP or name in _WRAPS)
                 if name in _DIVIDES and not sections[-1]:
                     gap()
             elif name in _SECTION:
                 gap()
                 if name != "body":
                     articles += 1
-                    sections.append(sections[-1] or articles)
+                    sections.append(sections[-1] or (-articles if back and name == "article" else articles))
             elif name == "a":
                 links += 1
         stack.append(name)
@@ -252,15 +284,18 @@ def main_text(html: str | None) -> str:
     if not found:
         return ""
     size = lambda s: sum(plain[s[0] : s[1]])
-    inside = [s for s in found if owner[s[0]]]
-    if inside:
-        per: dict[int, list] = {}
-        for s in inside:
-            per.setdefault(owner[s[0]], []).append(s)
-        kept = max(per.values(), key=lambda group: (max(s[2] for s in group) >= SURGE, sum(map(size, group))))
-    else:
-        best = max(found, key=size)
-        kept = [s for s in found if s is best or (s[2] >= SURGE and 5 * size(s) >= size(best))]
+    worth = lambda group: (max(s[2] for s in group) >= SURGE, sum(map(size, group)))
+    per: dict[int, list] = {}
+    for s in found:
+        per.setdefault(owner[s[0]], []).append(s)
+    outside = per.pop(0, [])
+    sure = [group for k, group in per.items() if k > 0]
+    kept = max(sure, key=worth, default=None)
+    if kept is None and outside:
+        best = max(outside, key=size)
+        kept = [s for s in outside if s is best or (s[2] >= SURGE and 5 * size(s) >= size(best))]
+    if not sure or not worth(kept)[0]:
+        kept = max([*([kept] if kept else []), *(group for k, group in per.items() if k < 0)], key=worth)
     return "\n".join(t for a, b, _ in kept for t in texts[a:b] if t)
 
 

@@ -39,6 +39,20 @@ def test_edges():
     assert main_text("<p>x</b></div></p>") == "x"
 
 
+def test_marks_are_whole_words_and_hide_no_article():
+    for wrap in ("class='content-sidebar-wrap'", "class=no-sidebar", "class=has-toc", "class=sidebar", "id=Widget", "role=form"):
+        assert main_text(page(f"<div {wrap}><p>Aside</p><main><p>{LONG}</p></main><p>Aside</p></div>")) == LONG
+        assert main_text(page(f"<div {wrap}><article><p>{LONG}</p></article><p>Aside</p></div>")) == LONG
+    assert main_text(page(f"<form><main><p>{LONG}</p></main></form>")) == LONG
+    for part in ("<section id=discussion>x</section>", "<h2 id=related-work>x</h2>", "<div class=hljs-comment>x</div>", "<h2 class=header>x</h2>", "<pre><span class='token comment'>x</span></pre>"):
+        assert main_text(page(f"<article><p>{LONG}</p>{part}</article>")) == f"{LONG}\nx"
+    for mark in ("Sidebar", "Comments", "navBar", "siteFooter", "left-sidebar", "ad-300x250", "Comment_List", "cookieNotice", "ad2"):
+        assert main_text(page(f"<article><p>{LONG}</p><div class={mark}>x</div></article>")) == LONG
+    comments = f"<div id=comments><article class=comment><p>{LONG}</p></article></div>"
+    assert main_text(page(f"<div><p>{LONG}</p><p>{LONG} more</p></div>{comments}")) == f"{LONG}\n{LONG} more"
+    assert main_text(page(f"<main hidden><p>{LONG}</p></main><p>x</p>")) == "x"
+
+
 def test_rows(spark):
     html = page(f"<article><p>{LONG}</p></article>")
     rows = [(1, "u", html), (1, "u", html), (2, None, None), (None, "v", "")]
