@@ -2,16 +2,16 @@
 
 1. Strip markup: one linear scan over the html gives a line per block element. Markup of scripts,
    styles, forms and the like, and of elements that by their name, role, class or id are menus,
-   headers, footers, sidebars, notices, adverts or comments, gives no text. Where a sectioning
-   element begins or ends, and where a menu, header, footer or sidebar stood outside an article,
-   ``WINDOW`` empty lines are set.
+   headers, footers, sidebars, notices, adverts or comments, gives no text (and parts none: text
+   before and after an inline advert is one). Where a sectioning element (article, main, body)
+   begins or ends, ``WINDOW`` empty lines are set.
 2. Line blocks: the text lengths (links count nothing) of each ``WINDOW`` consecutive lines are
    summed.
 3. Surge and dive: a stretch of text runs from the line where the sums leave zero to the line
    where they return to it, and counts if a sum in it surges to ``SURGE`` characters or more.
 4. Kept is the text between: of the stretches in article or main elements if there are any with a
-   surge (all of the same element), else the longest stretch and every surging one of at least a
-   fifth of its length. Short lines inside a stretch stay.
+   surge (all of the same element), else every surging stretch, or the longest if none surges.
+   Short lines inside a stretch stay.
 
 Defined results: null or empty html, and a page without text, give an empty text; unclosed and stray
 tags are tolerated as in browsers; very long pages are scanned once; repeated rows each get their
@@ -50,7 +50,6 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr ul caption".split()
 )
-_DIVIDES = frozenset("nav footer header aside".split())
 _SECTION = frozenset("article main body".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Of ``_DROP``, what pages also wrap their article in.
@@ -151,8 +150,6 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
             if 0 <= dropped:
                 if len(stack) <= dropped:
                     dropped = -1
-                    if name in _DIVIDES and not sections[-1]:
-                        gap()
                 continue
             if name == "a":
                 links = max(0, links - 1)
@@ -242,8 +239,6 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
             if name in _DROP or mark:
                 dropped = len(stack)
                 wraps = mark < 2 and not back and (name not in _DROP or name in _WRAPS)
-                if name in _DIVIDES and not sections[-1]:
-                    gap()
             elif name in _SECTION:
                 gap()
                 if name != "body":
@@ -293,7 +288,7 @@ def main_text(html: str | None) -> str:
     kept = max(sure, key=worth, default=None)
     if kept is None and outside:
         best = max(outside, key=size)
-        kept = [s for s in outside if s is best or (s[2] >= SURGE and 5 * size(s) >= size(best))]
+        kept = [s for s in outside if s is best or s[2] >= SURGE]
     if not sure or not worth(kept)[0]:
         kept = max([*([kept] if kept else []), *(group for k, group in per.items() if k < 0)], key=worth)
     return "\n".join(t for a, b, _ in kept for t in texts[a:b] if t)

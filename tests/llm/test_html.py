@@ -53,6 +53,14 @@ def test_marks_are_whole_words_and_hide_no_article():
     assert main_text(page(f"<main hidden><p>{LONG}</p></main><p>x</p>")) == "x"
 
 
+def test_dropped_elements_cut_no_text():
+    long = " ".join([LONG] * 50)
+    for tag in ("aside", "header", "footer", "nav"):
+        assert main_text(page(f"<div><p>{long}</p><{tag}>advert</{tag}><p>{LONG}</p><{tag}>x</{tag}><p>The end.</p></div>")) == f"{long}\n{LONG}\nThe end."
+    sections = "".join(f"<section><header>x</header><p>Short section {i}.</p></section>" for i in range(9))
+    assert main_text(page(f"<p>{LONG}</p>{sections}")).split("\n")[1:] == [f"Short section {i}." for i in range(9)]
+
+
 def test_rows(spark):
     html = page(f"<article><p>{LONG}</p></article>")
     rows = [(1, "u", html), (1, "u", html), (2, None, None), (None, "v", "")]
