@@ -5,13 +5,15 @@
    headers, footers, sidebars, notices, adverts or comments, gives no text (and parts none: text
    before and after an inline advert is one). Where a sectioning element (article, main, body)
    begins or ends, ``WINDOW`` empty lines are set.
-2. Line blocks: the text lengths (links count nothing) of each ``WINDOW`` consecutive lines are
-   summed.
-3. Surge and dive: a stretch of text runs from the line where the sums leave zero to the line
-   where they return to it, and counts if a sum in it surges to ``SURGE`` characters or more.
-4. Kept is the text between: of the stretches in article or main elements if there are any with a
-   surge (all of the same element), else every surging stretch, or the longest if none surges.
-   Short lines inside a stretch stay.
+2. Line blocks: the weights of each ``WINDOW`` consecutive lines are summed. A line weighs its
+   characters outside links, and nothing if most of it is links (a linked heading: one).
+3. Surge and dive: a stretch runs from the line where the sums leave zero to the one after which
+   they are zero again, that is, over ``WINDOW - 1`` lines of links at most, and surges if a sum in
+   it reaches ``SURGE``. A heading right before the links that end a stretch goes with them.
+4. Kept is every surging stretch, or the longest if none surges, with its short lines. Tags go
+   before the sums where a page has an article or main element: all lines of it are kept, of several
+   the longest one that surges, and nothing else. An article inside a marked element counts only
+   against text outside of articles.
 
 Defined results: null or empty html, and a page without text, give an empty text; unclosed and stray
 tags are tolerated as in browsers; very long pages are scanned once; repeated rows each get their
@@ -111,19 +113,20 @@ def _marked(name: str, attrs: str) -> int:
     return mark
 
 
-def lines(html: str) -> tuple[list[str], list[int], list[int]]:
-    """(texts, plain, owner): a line per block; ``plain``: characters outside links; ``owner``:
+def lines(html: str) -> tuple[list[str], list[int], list[int], list[bool]]:
+    """(texts, plain, owner, heads): a line per block; ``plain``: characters outside links; ``owner``:
     number of the article or main element that holds the line, 0 for none, negative for an article in
-    an element that is else dropped. Empty lines separate."""
+    an element that is else dropped; ``heads``: whether it is a heading. Empty lines separate."""
     texts: list[str] = []
     plain: list[int] = []
     owner: list[int] = []
+    heads: list[bool] = []
     buf: list[str] = []
     linked = 0
     stack: list[str] = []
     dropped = -1  # depth at which a dropped element stands
     wraps, back = False, None  # whether it may hold the article; that article's depth, and its own
-    links, sections, articles = 0, [0], 0
+    links, headings, sections, articles = 0, 0, [0], 0
 
     def flush() -> None:
         nonlocal linked
@@ -132,6 +135,7 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
             texts.append(text)
             plain.append(max(0, len(text) - linked))
             owner.append(sections[-1])
+            heads.append(headings > 0)
         buf.clear()
         linked = 0
 
@@ -141,10 +145,11 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
             texts.extend([""] * WINDOW)
             plain.extend([0] * WINDOW)
             owner.extend([sections[-1]] * WINDOW)
+            heads.extend([False] * WINDOW)
 
     def pop(depth: int) -> None:
         """Close the open elements from ``depth`` on."""
-        nonlocal dropped, links, back
+        nonlocal dropped, links, headings, back
         while len(stack) > depth:
             name = stack.pop()
             if 0 <= dropped:
@@ -155,6 +160,8 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
                 links = max(0, links - 1)
             if name in _BLOCK:
                 flush()
+            if name in _HEADING:
+                headings -= 1
             if name in _SECTION:
                 gap()
                 if name != "body" and len(sections) > 1:
@@ -246,52 +253,53 @@ def lines(html: str) -> tuple[list[str], list[int], list[int]]:
                     sections.append(sections[-1] or (-articles if back and name == "article" else articles))
             elif name == "a":
                 links += 1
+            elif name in _HEADING:
+                headings += 1
         stack.append(name)
     flush()
-    return texts, plain, owner
-
-
-def stretches(texts: list[str], plain: list[int]) -> list[tuple[int, int, int]]:
-    """(first line, end, highest line-block sum) of each stretch between a surge and a dive."""
-    if not texts:
-        return []
-    lengths = np.array([len(t) for t in texts])
-    blocks = np.convolve(lengths, np.ones(WINDOW, int))[WINDOW - 1 :]  # block i: lines i .. i + WINDOW - 1
-    weight = np.convolve(np.array(plain), np.ones(WINDOW, int))[WINDOW - 1 :]
-    out, i, n = [], 0, len(texts)
-    while i < n:
-        if not lengths[i]:
-            i += 1
-            continue
-        j = i
-        while j < n and blocks[j]:
-            j += 1
-        out.append((i, j, int(weight[i:j].max())))
-        i = j
+    return texts, plain, owner, heads
+
+
+def _weights(texts: list[str], plain: list[int], heads: list[bool]) -> list[int]:
+    return [p if 2 * p >= len(t) else int(h) for t, p, h in zip(texts, plain, heads, strict=True)]
+
+
+def _surges(weights: list[int]) -> bool:
+    return bool(np.convolve(weights, np.ones(WINDOW, int)).max() >= SURGE)
+
+
+def stretches(texts: list[str], weights: list[int], heads: list[bool]) -> list[tuple[int, int]]:
+    """(first line, end) of each stretch over which the line-block sums stay above zero."""
+    heavy = np.flatnonzero(weights)
+    out = []
+    for part in np.split(heavy, np.flatnonzero(np.diff(heavy) > WINDOW) + 1):
+        if len(part):
+            i, j = int(part[0]), int(part[-1]) + 1
+            if j - i > 1 and heads[j - 1] and j < len(texts) and texts[j]:
+                j -= 1
+            out.append((i, j))
     return out
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    texts, plain, owner = lines(html)
-    found = stretches(texts, plain)
-    if not found:
-        return ""
-    size = lambda s: sum(plain[s[0] : s[1]])
-    worth = lambda group: (max(s[2] for s in group) >= SURGE, sum(map(size, group)))
-    per: dict[int, list] = {}
-    for s in found:
-        per.setdefault(owner[s[0]], []).append(s)
-    outside = per.pop(0, [])
-    sure = [group for k, group in per.items() if k > 0]
-    kept = max(sure, key=worth, default=None)
-    if kept is None and outside:
-        best = max(outside, key=size)
-        kept = [s for s in outside if s is best or s[2] >= SURGE]
-    if not sure or not worth(kept)[0]:
-        kept = max([*([kept] if kept else []), *(group for k, group in per.items() if k < 0)], key=worth)
-    return "\n".join(t for a, b, _ in kept for t in texts[a:b] if t)
+    texts, plain, owner, heads = lines(html)
+    weights = _weights(texts, plain, heads)
+    worth = lambda at: (_surges([weights[i] for i in at]), sum(plain[i] for i in at))
+    per: dict[int, list[int]] = {}
+    for i, k in enumerate(owner):
+        if texts[i]:
+            per.setdefault(k, []).append(i)
+    kept = max((at for k, at in per.items() if k > 0), key=worth, default=[])
+    if not kept or not worth(kept)[0]:
+        free = [w if not k else 0 for w, k in zip(weights, owner, strict=True)]
+        found = [range(*x) for x in stretches(texts, free, heads)]
+        found = [x for x in found if _surges([weights[i] for i in x])] or sorted(found, key=lambda x: sum(plain[i] for i in x))[-1:]
+        outside = [i for x in found for i in x] or per.get(0, [])  # a page of nothing but links
+        others = [at for at in (kept or outside, *(at for k, at in per.items() if k < 0)) if at]
+        kept = max(others, key=worth, default=[])
+    return "\n".join(texts[i] for i in kept if texts[i])
 
 
 def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:

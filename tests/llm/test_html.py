@@ -61,6 +61,16 @@ def test_dropped_elements_cut_no_text():
     assert main_text(page(f"<p>{LONG}</p>{sections}")).split("\n")[1:] == [f"Short section {i}." for i in range(9)]
 
 
+def test_plain_pages_are_cut_by_their_line_blocks():
+    menu = "".join(f"<div><a href=/{i}>Menu entry number {i} of the whole site</a></div>" for i in range(8))
+    body = f"<div><h2><a href=/this>Title</a></h2><p>{LONG}</p><p>Short.</p><p><a href=/x>A link</a></p><p>{LONG}</p><p>Last.</p></div>"
+    html = page(f"<div>Logo</div>{menu}{body}<div><h3>Related</h3>{menu}</div><div>Copyright</div>")
+    assert main_text(html) == f"Title\n{LONG}\nShort.\nA link\n{LONG}\nLast."
+    rows = "".join(f"<tr><td><a href=/{i}>Menu entry {i}</a></td></tr>" for i in range(8))
+    assert main_text(page(f"<table>{rows}<tr><td>{LONG}</td></tr><tr><td>Tail</td></tr>{rows}</table>")) == f"{LONG}\nTail"
+    assert main_text(page("<p><a href=/>Only</a></p><p><a href=/>links</a></p>")) == "Only\nlinks"
+
+
 def test_rows(spark):
     html = page(f"<article><p>{LONG}</p></article>")
     rows = [(1, "u", html), (1, "u", html), (2, None, None), (None, "v", "")]
