@@ -103,7 +103,8 @@ class WordEncoder:
     A piece is a run without white space, less the punctuation at its end where that follows an ASCII
     letter or digit, or that punctuation: the tokenizer never joins text across either cut. ASCII
     letters are folded to lower case, as the tokenizer does (not beside combining marks, with
-    which they might compose first). Pieces are found, hashed and looked up a batch at a time; only
+    which they might compose first, nor where the text of an added token stands in any case: those
+    are matched before folding). Pieces are found, hashed and looked up a batch at a time; only
     pieces not met before are encoded."""
 
     def __init__(self, tokenizer_json: str):
@@ -112,6 +113,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        contents = (t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = {W.LOWER[np.frombuffer(t.encode(), np.uint8)].tobytes() for t in contents if t != t.lower() or t != t.upper()}
         (self.gap,) = self.tokenizer.encode(_GAP, add_special_tokens=False).ids
         self._reset()
 
@@ -150,6 +153,16 @@ class WordEncoder:
             order = np.argsort(run[0])
             self.runs[1] = (run[0][order], run[1][order])
 
+    def _with_added(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces in which the text of an added token begins, in any case."""
+        data, hits = W.LOWER[raw].tobytes(), []
+        for content in self.added:
+            at = data.find(content)
+            while at >= 0:
+                hits.append(at)
+                at = data.find(content, at + 1)
+        return np.unique(np.searchsorted(starts, np.array(hits, np.int64), side="right") - 1)
+
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Lower-case ASCII words go to the model itself; others are encoded many at a time, set apart by
         a control character between spaces, whose one id no other text gives."""
@@ -190,6 +203,8 @@ class WordEncoder:
         hashes = scan.span_hashes(starts, stops)
         if not folds:
             hashes = W.mix(hashes)  # apart from folded ones
+        elif len(exact := self._with_added(raw, starts)):
+            hashes[exact] = W.mix(W.Scan(raw, off[:-1], W.SPACE, _AS_IS).span_hashes(starts[exact], stops[exact]))
         unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         known = self._lookup(unique)
         new = np.flatnonzero(known < 0)

@@ -22,6 +22,18 @@ def test_words_encode_as_whole_texts():
             assert ids[off[k] : off[k + 1]].tolist() == [*whole.encode(t or "", add_special_tokens=False).ids, 1]
 
 
+def test_added_tokens_are_told_from_other_spellings():
+    whole = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|> a", "b <|EndOfText|>", "c<|endoftext|>.", "C<|ENDOFTEXT|>.", "<|EndOfText|>", "<|endoftext|>"]
+    for order in (texts, texts[::-1]):
+        for batches in ([order], [[t] for t in order]):
+            encoder = R.WordEncoder(open(PATH).read())
+            for batch in batches:
+                ids, off = encoder.encode(pa.array(batch))
+                for k, t in enumerate(batch):
+                    assert ids[off[k] : off[k + 1]].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 1]
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(R, "CACHE_PIECES", 5)
     encoder = R.WordEncoder(open(PATH).read())
