@@ -10,7 +10,7 @@ from clickweave.operators.ml import prepare as ml_prepare
 from clickweave.plans import medallion as m
 from clickweave.sources.csv_events import stage_raw
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 from test_ingest import HEADER, ROWS
 
 

@@ -5,7 +5,7 @@ import re
 import __spark_entry__ as entry
 from clickweave.plans import catalog
 
-from conftest import SF_CHECK
+from testdata import SF_CHECK
 
 
 def test_entry_flagship(spark):

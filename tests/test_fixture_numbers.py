@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickweave.operators.sessions import session_match_rate
 from clickweave.plans import medallion as m
 
-from conftest import SF_CHECK
+from testdata import SF_CHECK
 
 # Fixed values (from FIXTURES.md, sf0.01): timeout -> sessions, sum distinct_products, purchased
 # sessions, sum duration_sec, max duration_sec, sessions without a priced view, match rate.

@@ -16,7 +16,7 @@ from clickweave.plans.bronze import ingest
 from clickweave.plans.layers import build_layers, paths, recover, refresh_layers
 from clickweave.sinks import tables
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 from test_ingest import HEADER
 from test_layers import _assert_same_layers
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickweave.plans import medallion as m
 from clickweave.plans.layers import build_layers, paths, refresh_layers
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 CUT = "2024-01-18"
 

@@ -10,7 +10,7 @@ from clickweave.operators import ml
 from clickweave.operators.metrics import oot_split
 from clickweave.plans import medallion as m
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def _brute_auc(rows):

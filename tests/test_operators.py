@@ -153,7 +153,7 @@ def test_multi_file_ingest_and_append(spark, tmp_dir):
 def test_approx_distinct_option_close_to_exact(spark):
     from clickweave.plans import medallion as m
 
-    from conftest import SF_SMALL
+    from testdata import SF_SMALL
 
     sv = m.silver(spark, SF_SMALL, 43200, with_sequence=False)
     exact = {r.computed_session_id: r.distinct_products for r in session_metrics(sv).collect()}

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from clickweave.plans import catalog
 
-from conftest import SF_CHECK
+from testdata import SF_CHECK
 
 #: Queries with an oracle that are plans, not jobs that write tables or fit models first.
 _JOBS = ("s1_", "s3_", "k1_", "k3_", "k4_upsert_table", "k7", "k9", "k10", "k11", "k12", "t2", "e2", "e3", "l1", "l2", "l5", "l8")

@@ -155,7 +155,7 @@ def test_hot_user_work_is_split_into_small_chunks(spark):
     from clickweave.operators.sessions import DEFAULT_CHUNK_SECONDS
     from clickweave.plans import medallion as m
 
-    from conftest import SF_CHECK
+    from testdata import SF_CHECK
 
     st = m.staged(spark, SF_CHECK)
     hot = st.withColumn("user_id", F.when(F.col("src_event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")))

@@ -11,7 +11,7 @@ from clickweave.operators.sessions import sessionize
 from clickweave.plans import medallion as m
 from clickweave.streaming.sessions import session_window_metrics, start_scoring_stream
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 KEY = ["user_id", "session_start", "total_events", "purchase_count", "distinct_products"]
 

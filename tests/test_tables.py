@@ -11,7 +11,7 @@ from clickweave.operators.star import attach_sessions, fact_events
 from clickweave.plans import medallion as m
 from clickweave.sinks import tables
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def test_upsert_fixture_c4(spark):
