@@ -8,6 +8,7 @@ from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.html import op2_linedist
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
 from clickweave.llm.mix import OP6_SQL, op6_mix
+from clickweave.llm.naming import OP11_SQL, op11_naming
 from clickweave.llm.pii import op8_semicrf
 from clickweave.llm.quality import op1_ordinal
 from clickweave.llm.records import op9_records
@@ -24,6 +25,7 @@ QUERIES = {
     "op5_epsgrid": op5_epsgrid,
     "op7_minhash": op7_minhash,
     "op10_decontaminate": op10_decontaminate,
+    "op11_naming": op11_naming,
 }
 
 ORACLE = {
@@ -32,4 +34,5 @@ ORACLE = {
     "op5_epsgrid": OP5_SQL,
     "op7_minhash": OP7_SQL,
     "op10_decontaminate": OP10_SQL,
+    "op11_naming": OP11_SQL,
 }

@@ -15,6 +15,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickweave import session
 from clickweave.session import ensure_checkpoint_dir, scratch_path
 
 #: Rows of a small key table that a task may hold as a broadcast (counted before it is used).
@@ -52,11 +53,20 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: lineage ends here."""
+    """Write ``df`` to the shared scratch folder and read it back: lineage ends here. ``release``
+    frees it once nothing reads it."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables (as ``stage`` returned them) that nothing reads any more."""
+    for df in staged:
+        session.release(df.sparkSession, df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,6 +141,28 @@ def running_total(
     )
 
 
+def lookup(rows: DataFrame, values: DataFrame, keys: Sequence[str], count: str, *, name: str = "lookup") -> DataFrame:
+    """``rows`` with the other columns of ``values``, which has each of the rows' ``keys`` once (no
+    nulls) and in ``count`` the number of rows that hold it; rows without one go.
+
+    Keys of more than a share of all rows are joined where their rows lie: each has over
+    1 / (2 p) of the rows, p the shuffle partitions, so at most 2 p of them are broadcast. The
+    others are shuffled. ``rows`` and ``values`` should be staged.
+    """
+    spark = rows.sparkSession
+    total = values.agg(F.sum(count)).first()[0] or 0
+    bound = max(1000, int(total) // (2 * shuffle_parts(spark)))
+    value = values.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    match = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    drop = [f"_k{i}" for i in range(len(keys))]
+    hot = stage(value.where(F.col(count) > bound), f"{name}-hot")
+    cold = rows.join(value.where(F.col(count) <= bound), match)
+    if hot.isEmpty():
+        return cold.drop(count, *drop)
+    rest = rows.join(F.broadcast(hot.select(*drop)), match, "left_anti").join(value.where(F.col(count) <= bound), match)
+    return rest.unionByName(rows.join(F.broadcast(hot), match)).drop(count, *drop)
+
+
 #: Ways a node's links are split in ``components``, so that no task joins a whole hub.
 SALTS = 8
 
