@@ -6,6 +6,7 @@ from clickweave.llm.chat import OP3_SQL, op3_snapshots
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
 from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
 from clickweave.llm.html import op2_linedist
+from clickweave.llm.merkle import OP12_SQL, op12_butterfly
 from clickweave.llm.minhash import OP7_SQL, op7_minhash
 from clickweave.llm.mix import OP6_SQL, op6_mix
 from clickweave.llm.naming import OP11_SQL, op11_naming
@@ -26,6 +27,7 @@ QUERIES = {
     "op7_minhash": op7_minhash,
     "op10_decontaminate": op10_decontaminate,
     "op11_naming": op11_naming,
+    "op12_butterfly": op12_butterfly,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op7_minhash": OP7_SQL,
     "op10_decontaminate": OP10_SQL,
     "op11_naming": OP11_SQL,
+    "op12_butterfly": OP12_SQL,
 }
