@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from clickweave.llm.align import op13_pointer_jumping
 from clickweave.llm.chat import OP3_SQL, op3_snapshots
 from clickweave.llm.decontaminate import OP10_SQL, op10_decontaminate
 from clickweave.llm.epsgrid import OP5_SQL, op5_epsgrid
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_naming": op11_naming,
     "op12_butterfly": op12_butterfly,
+    "op13_pointer_jumping": op13_pointer_jumping,
 }
 
 ORACLE = {
