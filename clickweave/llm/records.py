@@ -51,7 +51,13 @@ CACHE_PIECES = 2_000_000
 _GAP, _JOINED, _TAIL = "\x00", 1000, ".,;:!?%$&#*|\""
 _IS_TAIL = np.isin(np.arange(256), [ord(c) for c in _TAIL])
 _ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
-_AS_IS = np.arange(256, dtype=np.uint8)
+
+
+def _room(x: np.ndarray, size: int) -> np.ndarray:
+    """``x`` or a longer array that begins with it."""
+    while size > len(x):
+        x = np.concatenate([x, np.empty_like(x)])
+    return x
 
 
 def masked(data: bytes) -> int:
@@ -105,7 +111,7 @@ class WordEncoder:
     letters are folded to lower case, as the tokenizer does (not beside combining marks, with
     which they might compose first, nor where the text of an added token stands in any case: those
     are matched before folding). Pieces are found, hashed and looked up a batch at a time; only
-    pieces not met before are encoded."""
+    pieces not met before are encoded. A piece is known only if its bytes are those that were kept."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -119,9 +125,12 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        """Known pieces: sorted runs of (hashes, places); place p has ids [ends[p], ends[p + 1])."""
+        """Known pieces: sorted runs of (hashes, places). Place p has the ids [ends[p], ends[p + 1]) and
+        the bytes [cuts[p], cuts[p + 1]) of ``text``, ``heads[p]`` being the first eight."""
         self.runs = [(np.empty(0, np.uint64), np.empty(0, np.int64)) for _ in range(2)]
-        self.ids, self.ends, self.n = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+        self.ids, self.ends = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.text, self.cuts, self.heads = np.empty(1 << 16, np.uint8), np.zeros(1 << 14, np.int64), np.empty(1 << 14, np.uint64)
+        self.n = 0
 
     def _lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Places of sorted ``hashes``, -1 where not known."""
@@ -132,19 +141,27 @@ class WordEncoder:
                 out = np.where(keys[at] == hashes, places[at], out)
         return out
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        found = self._encode_pieces(pieces)
+    def _add(self, raw: np.ndarray, view: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Encode these pieces and keep their ids and bytes; their places."""
+        data, size = raw.tobytes(), stops - starts
+        found = self._encode_pieces([data[a:b].decode() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)])
         count = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
-        used = self.ends[self.n]
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while self.n + len(found) + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
-        self.ids[used : used + len(flat)] = flat
-        self.ends[self.n + 1 : self.n + 1 + len(found)] = used + np.cumsum(count)
-        run = (np.concatenate([self.runs[1][0], hashes]), np.concatenate([self.runs[1][1], np.arange(self.n, self.n + len(found))]))
-        self.n += len(found)
+        n, more = self.n, len(found)
+        self.ids = _room(self.ids, self.ends[n] + len(flat))
+        self.text = _room(self.text, self.cuts[n] + int(size.sum()))
+        self.ends, self.cuts, self.heads = (_room(x, n + more + 1) for x in (self.ends, self.cuts, self.heads))
+        self.ids[self.ends[n] : self.ends[n] + len(flat)] = flat
+        self.text[self.cuts[n] : self.cuts[n] + int(size.sum())] = view[W._ranges(starts, size)]
+        self.ends[n + 1 : n + 1 + more] = self.ends[n] + np.cumsum(count)
+        self.cuts[n + 1 : n + 1 + more] = self.cuts[n] + np.cumsum(size)
+        self.heads[n : n + more] = W.heads(view, starts, size)
+        self.n += more
+        return np.arange(n, n + more)
+
+    def _learn(self, hashes: np.ndarray, places: np.ndarray) -> None:
+        """Make pieces of these sorted hashes known."""
+        run = (np.concatenate([self.runs[1][0], hashes]), np.concatenate([self.runs[1][1], places]))
         if 4 * len(run[0]) > len(self.runs[0][0]):  # merged now and then, so that each piece moves few times
             run = tuple(np.concatenate([x, y]) for x, y in zip(self.runs[0], run, strict=True))
             order = np.argsort(run[0])
@@ -153,6 +170,16 @@ class WordEncoder:
             order = np.argsort(run[0])
             self.runs[1] = (run[0][order], run[1][order])
 
+    def _others(self, view: np.ndarray, starts: np.ndarray, stops: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces whose bytes are not those of their place."""
+        size = stops - starts
+        differ = (size != self.cuts[slot + 1] - self.cuts[slot]) | (W.heads(view, starts, size) != self.heads[slot])
+        long = np.flatnonzero(~differ & (size > 8))
+        rest = size[long] - 8
+        same = view[W._ranges(starts[long] + 8, rest)] == self.text[W._ranges(self.cuts[slot[long]] + 8, rest)]
+        differ[long[np.searchsorted(np.cumsum(rest), np.flatnonzero(~same), side="right")]] = True
+        return np.flatnonzero(differ)
+
     def _with_added(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Numbers of the pieces in which the text of an added token begins, in any case."""
         data, hits = W.LOWER[raw].tobytes(), []
@@ -190,7 +217,7 @@ class WordEncoder:
             self._reset()
         raw, off = W.text_bytes(texts)
         folds = not ((raw == 0xCC) | (raw == 0xCD)).any()  # lead bytes of the combining marks
-        scan = W.Scan(raw, off[:-1], W.SPACE, W.LOWER if folds else _AS_IS)
+        scan = W.Scan(raw, off[:-1], W.SPACE)
         begin, end = scan.first, scan.last + 1
         kept = np.where(_IS_TAIL[raw], -1, np.arange(len(raw)))
         core = np.maximum.accumulate(kept)[scan.last] + 1 if len(raw) else end
@@ -200,20 +227,20 @@ class WordEncoder:
         starts, stops = np.empty(len(begin) + int(cut.sum()), np.int64), np.empty(len(begin) + int(cut.sum()), np.int64)
         starts[place], stops[place] = begin, np.where(cut, core, end)
         starts[place[cut] + 1], stops[place[cut] + 1] = core[cut], end[cut]
-        hashes = scan.span_hashes(starts, stops)
-        if not folds:
-            hashes = W.mix(hashes)  # apart from folded ones
-        elif len(exact := self._with_added(raw, starts)):
-            hashes[exact] = W.mix(W.Scan(raw, off[:-1], W.SPACE, _AS_IS).span_hashes(starts[exact], stops[exact]))
+        view = W.padded(W.LOWER[raw] if folds else raw)
+        if folds and len(exact := self._with_added(raw, starts)):
+            own = W._ranges(starts[exact], stops[exact] - starts[exact])
+            view[own] = raw[own]
+        hashes = W.span_hashes(view, starts, stops)
         unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         known = self._lookup(unique)
         new = np.flatnonzero(known < 0)
         if len(new):
-            data = raw.tobytes()
-            at = first[new]
-            self._learn(unique[new], [data[a:b].decode() for a, b in zip(starts[at].tolist(), stops[at].tolist(), strict=True)])
-            known = self._lookup(unique)
+            known[new] = self._add(raw, view, starts[first[new]], stops[first[new]])
+            self._learn(unique[new], known[new])
         slot = known[back]
+        if len(others := self._others(view, starts, stops, slot)):  # pieces that share a hash with another one
+            slot[others] = self._add(raw, view, starts[others], stops[others])
         count = self.ends[slot + 1] - self.ends[slot]
         ids = self.ids[W._ranges(self.ends[slot], count)] if len(slot) else np.empty(0, np.uint32)
         per = np.concatenate([[0], np.cumsum(count)])[np.append(np.searchsorted(starts, off[:-1]), len(starts))]

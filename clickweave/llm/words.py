@@ -7,6 +7,7 @@ a word.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,10 @@ PUNCT[:128] = [not chr(i).isalnum() for i in range(128)]
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: What a load of eight bytes keeps of a span of 0 .. 8 bytes.
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Spans of more bytes are hashed one by one.
+_LONG = 1 << 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,20 +40,41 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, b in enumerate((int(BASE), pow(int(BASE), -1, 1 << 64))):
-            step = np.full(n, b, np.uint64)
-            step[0] = 1
-            _powers[i] = np.multiply.accumulate(step)
-    return _powers[0], _powers[1]
+def padded(raw: np.ndarray) -> np.ndarray:
+    """``raw`` with eight zeros after it, for ``heads``."""
+    return np.concatenate([raw, np.zeros(8, np.uint8)])
+
+
+def heads(view: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The first eight bytes of spans of ``view`` (padded), as numbers; zeros after shorter ones."""
+    load = np.ndarray((len(view) - 7,), "<u8", view, strides=(1,))
+    return load[begin] & _KEEP[np.minimum(size, 8)]
+
+
+def span_hashes(view: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes [begin, end) of ``view`` (padded): eight at a time are scrambled into the
+    hash, so that no sums of powers cancel; a span of up to eight has a hash of its own among those of its
+    length."""
+    size = end - begin
+    with np.errstate(over="ignore"):
+        h = mix(size.astype(np.uint64) * BASE)
+        h = mix(h ^ heads(view, begin, size))
+        at = np.flatnonzero((size > 8) & (size <= _LONG))
+        done = 8
+        while len(at):
+            h[at] = mix((h[at] + MIX1) ^ heads(view, begin[at] + done, size[at] - done))
+            done += 8
+            at = at[size[at] > done]
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(view[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 class Scan:
     """The words of one piece; a text begins at each of ``starts``. ``first``, ``last``: places of
     their first and last bytes."""
 
-    def __init__(self, raw: np.ndarray, starts: np.ndarray, sep: np.ndarray, fold: np.ndarray = LOWER):
+    def __init__(self, raw: np.ndarray, starts: np.ndarray, sep: np.ndarray):
         n, self.raw = len(raw), raw
         word = ~sep[raw]
         cut = np.zeros(n + 1, bool)
@@ -60,15 +85,13 @@ class Scan:
         after[:-1] = word[1:]
         self.first = np.flatnonzero(word & (~before | cut[:n]))
         self.last = np.flatnonzero(word & (~after | cut[1:]))
-        p, self._inverse = _power_tables(n + 1)
-        self._sums = np.zeros(n + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum((fold[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=self._sums[1:])
+        self._view = None
 
     def span_hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of the folded (lower-cased) bytes [begin, end)."""
-        with np.errstate(over="ignore"):
-            return mix((self._sums[end] - self._sums[begin]) * self._inverse[begin])
+        """Hashes of the lower-cased (A-Z) bytes [begin, end)."""
+        if self._view is None:
+            self._view = padded(LOWER[self.raw])
+        return span_hashes(self._view, begin, end)
 
     def hashes(self) -> np.ndarray:
         return self.span_hashes(self.first, self.last + 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickweave.llm import records as R
+from clickweave.llm import words as W
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = ["don't! can's. x'. '. 12.5, a1! É!! ÉA\u0301. H\u0331. h\u0331 ½. ²! x²! ١. foo… Bar”. A.B. U.S.!! ...", "plain H. h. HELLO, hello,", "Hello  World, it's <|endoftext|> a test", "", None, "É İ Σας\x00 \x00 x\x0by\x1cz", "née é ́", "word " * 3000, "x" * 5000, " \n "]
@@ -42,6 +43,26 @@ def test_cache_is_bounded(monkeypatch):
         assert encoder.n <= 10
 
 
+def _thue_morse(n):
+    """Two words of ``n`` letters that every sum of powers modulo 2^64 confuses."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_share_a_hash_keep_their_ids(monkeypatch):
+    whole = Tokenizer.from_file(PATH)
+    texts = [w for n in (512, 1024, 2048, 4096) for w in _thue_morse(n)] + ["abcdefgh", "abcdefghi", "abcdefghj", "b", "a"]
+    ways = [W.span_hashes, lambda view, begin, end: (end - begin).astype(np.uint64) % np.uint64(3)]  # the second one: a poor hash
+    for way in ways:
+        monkeypatch.setattr(W, "span_hashes", way)
+        for batches in ([texts], [[t] for t in texts], [[" ".join(texts)], texts[::-1]]):
+            encoder = R.WordEncoder(open(PATH).read())
+            for batch in batches:
+                ids, off = encoder.encode(pa.array(batch))
+                for k, t in enumerate(batch):
+                    assert ids[off[k] : off[k + 1]].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 1]
+
+
 def test_frames():
     raw = R.frame(-7, np.array([1, 65535], np.uint32), 2) + R.frame(None, np.array([70_000], np.uint32), 4)
     stream = io.BytesIO(raw)

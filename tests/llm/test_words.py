@@ -55,3 +55,22 @@ def test_shingles_by_brute_force():
         for s, h in zip(want, hashes, strict=True):
             assert seen.setdefault(s, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_no_two_words_of_a_kind_that_sums_of_powers_confuse():
+    for n in (8, 64, 512, 1024, 2048, 4096, 1 << 16):
+        bits = [bin(i).count("1") & 1 for i in range(n)]
+        a, b = ("".join(x[i] for i in bits) for x in ("ab", "ba"))
+        ((x,), (y,), (z,)) = _hashed([a, b, a.upper()])
+        assert x != y and x == z
+
+
+def test_span_hashes_depend_on_all_bytes_and_the_length():
+    rng = np.random.default_rng(3)
+    raw = rng.integers(0, 3, 5000).astype(np.uint8)
+    begin = rng.integers(0, 3900, 4000)
+    end = begin + np.concatenate([rng.integers(0, 40, 3900), rng.integers(1000, 1100, 100)])
+    seen = {}
+    for a, b, h in zip(begin, end, W.span_hashes(W.padded(raw), begin, end).tolist(), strict=True):
+        assert seen.setdefault(raw[a:b].tobytes(), h) == h
+    assert len(set(seen.values())) == len(seen)
