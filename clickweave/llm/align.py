@@ -7,10 +7,10 @@ both end at the same byte the A token is the end of the chain and the B token po
 all successors at once (``succ = succ[succ]``) until nothing changes takes every token to the terminal
 token of its component, which labels its group.
 
-Neither vocabulary joins text across the place before a space that follows a printable ASCII character:
-A's splitting pattern starts a new piece there, and no piece of B holds a space after another character
-(checked when the vocabulary is loaded). Texts are cut at those places; each worker keeps the aligned
-groups of the stretches it has met, compared by their bytes, and encodes only new ones.
+Neither vocabulary joins text across the place before a space or line end that follows another character:
+A's splitting pattern starts a new piece there, and no piece of B holds a space after another character, or a
+line end beside one (checked when the vocabulary is loaded). Texts are cut at those places; each worker keeps
+the aligned groups of the stretches it has met, compared by their bytes, and encodes only new ones.
 
 Every document's distinct linked pairs of ids go to the counts: a pair's count is the number of documents
 that hold it, and an A id's best pairs are those of its highest count. Pairs that a large part
@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm import words as W
-from clickweave.llm.common import lookup, release, ship_code, stage, table
+from clickweave.llm.common import BROADCAST_ROWS, lookup, release, ship_code, stage, table
 
 #: Bytes of stretches and groups that a worker keeps before it starts afresh.
 CACHE_BYTES = 64 << 20
@@ -43,7 +44,10 @@ BATCH = 1 << 20
 #: An id pair is one number: A's id times this plus B's id.
 PAIR = 1 << 32
 _SPACE_MARK = "▁"
-_CUT = re.compile(rb"(?<=[\x21-\x7e])(?= )")
+#: Behind a character that is no white space (of the ranges of UTF-8 that hold none), before a space or line end.
+_CUT = re.compile(
+    rb"(?:(?<=[\x21-\x7e])|(?<=[\xc3-\xdf][\x80-\xbf])|(?<=[\xe4-\xed][\x80-\xbf][\x80-\xbf]))(?=[ \n])"
+)
 _ROW = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<int>"
 
 
@@ -76,6 +80,31 @@ def components(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     return jump(succ)
 
 
+def _last(x: np.ndarray) -> np.ndarray:
+    """Which of sorted numbers are the last of their kind."""
+    return np.append(x[1:] != x[:-1], True)[: len(x)]
+
+
+class _Spans:
+    """The bytes of every id of a vocabulary."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def tile(self, ids: np.ndarray, count: np.ndarray, text: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Which of the stretches of ``size`` bytes of ``text`` their ``count`` of ``ids`` give back."""
+        upto = np.concatenate([[0], np.cumsum(self.size[ids])])[np.concatenate([[0], np.cumsum(count)])]
+        fits = np.diff(upto) == size
+        own = np.repeat(fits, count)
+        made = self.data[W._ranges(self.begin[ids[own]], self.size[ids[own]])]
+        asked = text[np.repeat(fits, size)]
+        wrong = np.searchsorted(np.cumsum(size[fits]), np.flatnonzero(made != asked), side="right")
+        fits[np.flatnonzero(fits)[wrong]] = False
+        return fits
+
+
 class Aligner:
     """Groups, links and digests of texts under two vocabularies, stretch by stretch."""
 
@@ -87,16 +116,16 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         alphabet = byte_alphabet()
-        self.bytes_a = {i: bytes(alphabet[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.size_a = np.zeros(max(self.bytes_a) + 2, np.int64)
-        for i, t in self.bytes_a.items():
-            self.size_a[i] = len(t)
+        by_a = {i: bytes(alphabet[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        marked = re.compile(f"[^{_SPACE_MARK}]{_SPACE_MARK}")
-        if any(marked.search(p) for p in pieces):
-            raise ValueError("a piece joins text across a space")
-        self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(_SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
-        self.size_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        joined = re.compile(f"[^{_SPACE_MARK}]{_SPACE_MARK}|.\n|\n.", re.DOTALL)
+        if any(joined.search(p) for p in pieces):
+            raise ValueError("a piece joins text across a space or line end")
+        by_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(_SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
+        self.bytes_a, self.bytes_b = _Spans([by_a.get(i, b"") for i in range(max(by_a) + 1)]), _Spans(by_b)
+        # a token as it is written into groups: A's before another one or the bar, then B's before another one or the end
+        self.words = [f"{i}{sep}".encode() for n, seps in ((len(self.bytes_a.size), ",|"), (len(by_b), ",;")) for sep in seps for i in range(n)]
+        self.word_size = np.fromiter(map(len, self.words), np.int64, len(self.words))
         self.lone_space = self.b.piece_to_id(_SPACE_MARK)
         self._reset()
 
@@ -107,46 +136,47 @@ class Aligner:
         self.stats, self.links, self.ends = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def _ids(self, stretches: list[bytes]) -> tuple[list, list]:
+        """Ids of stretches, each of which begins with a space or, after other text, with a line end. B puts a
+        space before every text: it stands for the first one, or is taken away again."""
         texts = [s.decode() for s in stretches]
         a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return a, [x or [self.lone_space] for x in b]
+        b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        return a, [(y if t[0] == " " else y[1:]) or [self.lone_space] for y, t in zip(b, texts, strict=True)]
 
     def _learn(self, new: list[bytes]) -> None:
         """Align stretches not met before, all at once."""
-        ids_a, ids_b = self._ids(new)
-        whole = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == s == b"".join(map(self.bytes_b.__getitem__, y))
-            for s, x, y in zip(new, ids_a, ids_b, strict=True)
-        ]
-        ids_a = [x if ok else [] for x, ok in zip(ids_a, whole, strict=True)]
-        ids_b = [x if ok else [] for x, ok in zip(ids_b, whole, strict=True)]
-        a, b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (ids_a, ids_b))
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ids = self._ids(new)
+        count = [np.fromiter(map(len, x), np.int64, len(new)) for x in ids]
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in zip(ids, count, strict=True))
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        text = np.frombuffer(b"".join(new), np.uint8)
+        whole = self.bytes_a.tile(a, count[0], text, size) & self.bytes_b.tile(b, count[1], text, size)
+        if not whole.all():  # a stretch that a side does not give back is left out: its texts have no tokens
+            a, b = a[np.repeat(whole, count[0])], b[np.repeat(whole, count[1])]
+            count = [np.where(whole, n, 0) for n in count]
+        ends_a, ends_b = np.cumsum(self.bytes_a.size[a]), np.cumsum(self.bytes_b.size[b])
         label = components(ends_a, ends_b)
         # every piece of bytes between two ends belongs to one token of A and one of B: a link
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[_last(ends)]
         links = a[np.searchsorted(ends_a, ends)] * PAIR + b[np.searchsorted(ends_b, ends)]
-        terminal = np.unique(label)  # group numbers in order
-        in_a, in_b = np.searchsorted(terminal, label[: len(a)]), np.searchsorted(terminal, label[len(a) :])
-        cut_a, cut_b = (np.searchsorted(x, np.arange(len(terminal) + 1)).tolist() for x in (in_a, in_b))
-        say_a, say_b = [str(x) for x in a.tolist()], [str(x) for x in b.tolist()]
-        said = [
-            f"{','.join(say_a[cut_a[g] : cut_a[g + 1]])}|{','.join(say_b[cut_b[g] : cut_b[g + 1]])}" for g in range(len(terminal))
-        ]
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(new)) for ids in (ids_a, ids_b))
-        last = np.concatenate([[0], ends_a])[np.cumsum(n_a)]  # where each stretch ends
-        upto_group = np.searchsorted(ends_a[terminal], last, side="right")
-        upto_link = np.searchsorted(ends, last, side="right")
-        n_groups, n_links = (np.diff(np.concatenate([[0], x])) for x in (upto_group, upto_link))
-        at = 0
-        for s, n in zip(new, n_groups.tolist(), strict=True):
-            self.place[s] = len(self.groups)
-            self.groups.append(";".join(said[at : at + n]).encode())
-            self.held += 400 + len(s) + len(self.groups[-1])
-            at += n
-        self.held += 8 * len(links)
-        stats = np.stack([n_a, n_b, n_groups, np.where(whole, n_links, -1)], axis=1)
+        in_a, in_b = label[: len(a)], label[len(a) :]
+        # the tokens group by group, A's before B's, each with what follows it
+        both = np.concatenate([2 * in_a, 2 * in_b + 1])
+        last = _last(in_a), _last(in_b)
+        n_a, n_b = len(self.bytes_a.size), len(self.bytes_b.size)
+        said = np.concatenate([a + n_a * last[0], 2 * n_a + b + n_b * last[1]])[np.argsort(both, kind="stable")]
+        written = b"".join(map(self.words.__getitem__, said.tolist()))
+        upto = np.concatenate([[0], np.cumsum(self.word_size[said])])[np.cumsum(count[0] + count[1])]
+        closes = np.flatnonzero(last[0])
+        of_stretch = np.concatenate([[0], ends_a])[np.cumsum(count[0])]  # where each stretch ends
+        n_groups = np.diff(np.searchsorted(ends_a[closes], of_stretch, side="right"), prepend=0)
+        n_links = np.diff(np.searchsorted(ends, of_stretch, side="right"), prepend=0)
+        self.place.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
+        upto = upto.tolist()
+        self.groups += [written[i:j] for i, j in zip([0, *upto], upto, strict=False)]
+        self.held += 300 * len(new) + len(text) + len(written) + 8 * len(links)
+        stats = np.stack([*count, n_groups, np.where(whole, n_links, -1)], axis=1)
         self.stats = np.concatenate([self.stats, stats])
         self.links = np.concatenate([self.links, links])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n_links)])
@@ -167,7 +197,7 @@ class Aligner:
             if not len(at) or (stats[:, 3] < 0).any():
                 out.append(nothing)
                 continue
-            digest = hashlib.sha256(b";".join([self.groups[i] for i in at.tolist()])).hexdigest()
+            digest = hashlib.sha256(b"".join([self.groups[i] for i in at.tolist()])[:-1]).hexdigest()
             pairs, times = np.unique(self.links[W._ranges(self.ends[at], stats[:, 3])], return_counts=True)
             out.append((*stats.sum(axis=0).tolist(), digest, pairs, times))
         return out
@@ -233,7 +263,10 @@ def cross_aligned(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
     rows = aligned(documents, a_path, b_path)
     counts = pair_counts(rows)
     links = rows.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("row", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
-    held = lookup(links, counts.withColumn("n", F.col("count")), ["pair"], "n")
+    if counts.count() <= BROADCAST_ROWS:  # few pairs: no shuffle of the links
+        held = links.join(F.broadcast(counts), "pair")
+    else:
+        held = lookup(links, counts.withColumn("n", F.col("count")), ["pair"], "n")
     sums = held.groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum")
     )

@@ -66,7 +66,7 @@ def _brute(texts, encode):
 def _texts():
     rng = random.Random(5)
     odd = ["", None, " ", "  ", "a ", " a", "a  ", "\n", "a\n b", "a \n  b", "x\t y", "<|endoftext|>", "a <|endoftext|> b", "<s> </s><unk>", "<0x0A> x",
-           "a▁b", "▁", "a  b", "　 x", "a\u0000b", "it's 've  'll", "é ́ x", "\U0001f600 中文 при", "a\u0085 b", "=" * 300, "    indent", "a.  B", "﻿x"]
+           "a▁b", "▁", "a  b", "　 x", "a\u0000b", "it's 've  'll", "é ́ x", "\U0001f600 中文 при", "a\u0085 b", "=" * 300, "    indent", "a.  B", "﻿x", "a\nb\n\nc", "\n", "x\n", "é\né \n", "中\n中 中", "\na"]
     alphabet = ["the", "word", " ", " ", "  ", "\n", "é", "中", "\t", "Ab", "12", "'s", ".", " ", " ", "-", "<", "|", "endoftext", "ß", "\r\n", "(", "​", "ing"]
     made = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))) for _ in range(150)]
     return odd + made + made[:20] + ["the word " * 400]
@@ -78,8 +78,9 @@ def test_against_brute_force(spark, documents, sides, monkeypatch):
     rows = list(enumerate(texts)) + [(len(texts), texts[-2]), (None, texts[-1])]
     want[-1] = (None, *want[-1][1:])
     df = documents([(i, t, "s") for i, t in rows])
-    for held in (G.CACHE_BYTES, 10):  # also with a cache that is emptied all the time
+    for held, few in ((G.CACHE_BYTES, G.BROADCAST_ROWS), (10, 3)):  # also with a cache that is emptied all the time, and shuffled counts
         monkeypatch.setattr(G, "CACHE_BYTES", held)
+        monkeypatch.setattr(G, "BROADCAST_ROWS", few)
         G._held.clear()
         got = G.cross_aligned(df, A, B)
         assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
