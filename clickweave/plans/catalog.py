@@ -25,6 +25,7 @@ ORACLE: dict[str, str] = {}
 ROUNDED = {
     "avg_price_viewed": 6, "revenue": 2, "match_rate": 6, "view_to_cart_rate": 6, "cart_to_purchase_rate": 6,
     "session_conversion_rate": 6, "roc_auc": 9, "pr_auc": 9, "psi": 6, "mean": 6, "stddev": 6,
+    "rate_base": 6, "rate_cur": 6, "shift": 6, "z": 6, "rate_shift": 6, "max_shift": 6, "ks": 9, "critical": 9,
 }
 
 
@@ -850,8 +851,9 @@ def _oot_frames(spark, sf_dir, timeout=m.TIMEOUT_LONG):
     return temporal_split(_model_input(spark, sf_dir, timeout), m.OOT_CUTOFF)
 
 
-# A fitted model's scores cannot be restated in SQL; these queries return what can: the rows scored,
-# their labels, and whether scores and reports keep the properties they must have.
+# A fitted model's scores cannot be restated in SQL. The queries return them; beside each, a query of
+# checks returns what SQL can restate: the rows scored, their labels, and whether scores and reports
+# keep the properties they must have.
 
 _CHECKED = ("computed_session_id", "is_purchased", "score_in_range", "prediction_agrees")
 _CHECKED_SQL = "SELECT computed_session_id, CAST(is_purchased AS INTEGER) AS is_purchased, true AS score_in_range, true AS prediction_agrees FROM features"
@@ -868,52 +870,79 @@ def _checked(scored: DataFrame) -> DataFrame:
     ).drop("score", "prediction")
 
 
-@query("l1_gbt_scores", o.gold(43200, o.FEATURE_STORE) + _CHECKED_SQL + _OOT_SQL)
+@query("l1_gbt_scores")
 def l1_gbt_scores(spark, sf_dir):
     """L1 + L5 + L6: fit the GBT pipeline on the training period, score the out-of-time sessions."""
     from clickweave.operators import ml
 
     train, oot = _oot_frames(spark, sf_dir)
-    return _checked(ml.score(ml.fit(ml.build_gbt(), train), oot)).select(*_CHECKED)
+    return ml.score(ml.fit(ml.build_gbt(), train), oot)
 
 
-@query("l2_rf_scores", o.gold(43200, o.FEATURE_STORE) + _CHECKED_SQL + _OOT_SQL)
+@query("l2_rf_scores")
 def l2_rf_scores(spark, sf_dir):
     from clickweave.operators import ml
 
     train, oot = _oot_frames(spark, sf_dir)
-    return _checked(ml.score(ml.fit(ml.build_random_forest(), train), oot)).select(*_CHECKED)
+    return ml.score(ml.fit(ml.build_random_forest(), train), oot)
+
+
+@query("l1_gbt_checks", o.gold(43200, o.FEATURE_STORE) + _CHECKED_SQL + _OOT_SQL)
+def l1_gbt_checks(spark, sf_dir):
+    return _checked(l1_gbt_scores(spark, sf_dir)).select(*_CHECKED)
+
+
+@query("l2_rf_checks", o.gold(43200, o.FEATURE_STORE) + _CHECKED_SQL + _OOT_SQL)
+def l2_rf_checks(spark, sf_dir):
+    return _checked(l2_rf_scores(spark, sf_dir)).select(*_CHECKED)
 
 
 _SPLIT_SQL = "SELECT computed_session_id, CAST(1 AS BIGINT) AS n_sides, true AS share_near_target FROM features"
 
 
-def _split_sides(train: DataFrame, validation: DataFrame, ratio: float) -> DataFrame:
+def _sides(train: DataFrame, validation: DataFrame) -> DataFrame:
+    """Each key with the side it is on."""
+    side = lambda df, name: df.select("computed_session_id", F.lit(name).alias("side"))
+    return side(train, "train").unionByName(side(validation, "validation"))
+
+
+def _split_checks(sides: DataFrame, ratio: float) -> DataFrame:
     """Each key with the number of sides it is on, and whether the sides have their shares (within
     a quarter of the target)."""
     from clickweave.sinks.tables import stage
 
-    both = train.select("computed_session_id", F.lit(0).alias("v")).unionByName(
-        validation.select("computed_session_id", F.lit(1).alias("v"))
-    )
-    both = stage(both.sparkSession, both, "split")
-    share = both.agg(F.avg("v")).first()[0] or 0.0
+    sides = stage(sides.sparkSession, sides, "split")
+    share = sides.agg(F.avg((F.col("side") == "validation").cast("int"))).first()[0] or 0.0
     near = abs(share - ratio) <= ratio / 4
-    return both.groupBy("computed_session_id").agg(F.count(F.lit(1)).alias("n_sides")).withColumn("share_near_target", F.lit(near))
+    return sides.groupBy("computed_session_id").agg(F.count(F.lit(1)).alias("n_sides")).withColumn("share_near_target", F.lit(near))
 
 
-@query("l3_random_split", o.gold(43200, o.FEATURE_STORE) + _SPLIT_SQL)
+@query("l3_random_split")
 def l3_random_split(spark, sf_dir):
     from clickweave.operators import ml
 
-    return _split_sides(*ml.random_split(_model_input(spark, sf_dir)), ml.VAL_RATIO)
+    return _sides(*ml.random_split(_model_input(spark, sf_dir)))
 
 
-@query("l3_hash_split", o.gold(43200, o.FEATURE_STORE) + _SPLIT_SQL)
+@query("l3_hash_split")
 def l3_hash_split(spark, sf_dir):
     from clickweave.operators import ml
 
-    return _split_sides(*ml.hash_split(_model_input(spark, sf_dir)), ml.VAL_RATIO)
+    return _sides(*ml.hash_split(_model_input(spark, sf_dir)))
+
+
+@query("l3_random_split_checks", o.gold(43200, o.FEATURE_STORE) + _SPLIT_SQL)
+def l3_random_split_checks(spark, sf_dir):
+    from clickweave.operators import ml
+
+    return _split_checks(l3_random_split(spark, sf_dir), ml.VAL_RATIO)
+
+
+@query("l3_hash_split_checks", o.gold(43200, o.FEATURE_STORE) + _SPLIT_SQL)
+def l3_hash_split_checks(spark, sf_dir):
+    from clickweave.operators import ml
+
+    return _split_checks(l3_hash_split(spark, sf_dir), ml.VAL_RATIO)
 
 
 _REPORT_SQL = "SELECT CAST(9 AS BIGINT) AS n_features, true AS auc_in_range, true AS auc_recomputed, true AS importances_sum_to_one, true AS ranked"
@@ -939,9 +968,9 @@ def _report_checks(spark, report: DataFrame, scored: DataFrame) -> DataFrame:
     )
 
 
-@query("l5_validation_auc", _REPORT_SQL)
-def l5_validation_auc(spark, sf_dir):
-    """The training job; fit on 80 % of the training period, exact ROC/PR-AUC on the other 20 %."""
+def _validation(spark, sf_dir):
+    """(report, scored validation rows): the training job; fit on 80 % of the training period, exact
+    ROC/PR-AUC on the other 20 %."""
     from clickweave.operators import ml
     from clickweave.plans.training import train
     from clickweave.session import scratch_path
@@ -950,29 +979,50 @@ def l5_validation_auc(spark, sf_dir):
     model_dir = scratch_path(spark, "model")
     report = train(spark, period, model_dir)
     _, validation = ml.hash_split(period)
-    return _report_checks(spark, report, ml.score(ml.load_model(model_dir), validation))
+    return report, ml.score(ml.load_model(model_dir), validation)
+
+
+@query("l5_validation_auc")
+def l5_validation_auc(spark, sf_dir):
+    """The report of the training job."""
+    return _validation(spark, sf_dir)[0]
+
+
+@query("l5_validation_checks", _REPORT_SQL)
+def l5_validation_checks(spark, sf_dir):
+    return _report_checks(spark, *_validation(spark, sf_dir))
+
+
+def _importances(spark, sf_dir):
+    from clickweave.operators import ml
+
+    period, _ = _oot_frames(spark, sf_dir)
+    return ml.importance_frame(spark, ml.fit(ml.build_gbt(), period))
+
+
+@query("l8_feature_importance")
+def l8_feature_importance(spark, sf_dir):
+    """L8 + O1: feature, importance and rank of the model of the training period."""
+    return _importances(spark, sf_dir)
 
 
 @query(
-    "l8_feature_importance",
+    "l8_importance_checks",
     "SELECT unnest(['session_duration_sec', 'total_events', 'view_count', 'cart_count', 'remove_count', 'distinct_products', "
     "'distinct_categories', 'avg_price_viewed', 'max_price_viewed']) AS feature, true AS importance_in_range, true AS rank_is_place",
 )
-def l8_feature_importance(spark, sf_dir):
+def l8_importance_checks(spark, sf_dir):
     from pyspark.sql import Window
 
-    from clickweave.operators import ml
-
-    period, _ = _oot_frames(spark, sf_dir)
-    imp = ml.importance_frame(spark, ml.fit(ml.build_gbt(), period))
+    imp = _importances(spark, sf_dir)
     place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # nine rows
     return imp.select("feature", F.col("importance").between(0, 1).alias("importance_in_range"), (F.col("rank") == place).alias("rank_is_place"))
 
 
-@query("k11_oot_report", _REPORT_SQL)
-def k11_oot_report(spark, sf_dir):
-    """E4 end to end: the training job saves a model (K10), the evaluation job loads it (S6), scores
-    the out-of-time period, evaluates (L7) and writes the JSON report (K11), read back here."""
+def _oot_report(spark, sf_dir):
+    """(report, scored rows) of E4 end to end: the training job saves a model (K10), the evaluation job
+    loads it (S6), scores the out-of-time period, evaluates (L7) and writes the JSON report (K11),
+    read back here."""
     from clickweave.operators import ml
     from clickweave.plans.training import evaluate, train
     from clickweave.session import scratch_path
@@ -981,7 +1031,18 @@ def k11_oot_report(spark, sf_dir):
     model_dir, report_dir = scratch_path(spark, "model"), scratch_path(spark, "report")
     train(spark, period, model_dir)
     report = evaluate(spark, oot, model_dir, report_dir)
-    return _report_checks(spark, report, ml.score(ml.load_model(model_dir), oot))
+    return report, ml.score(ml.load_model(model_dir), oot)
+
+
+@query("k11_oot_report")
+def k11_oot_report(spark, sf_dir):
+    """The JSON report of the out-of-time evaluation."""
+    return _oot_report(spark, sf_dir)[0]
+
+
+@query("k11_oot_checks", _REPORT_SQL)
+def k11_oot_checks(spark, sf_dir):
+    return _report_checks(spark, *_oot_report(spark, sf_dir))
 
 
 @query(
@@ -1095,12 +1156,7 @@ def u1_batch_union(spark, sf_dir):
     return target.unionByName(st.filter(F.col("event_timestamp") >= F.lit(_LOAD2_START).cast("timestamp_ntz")))
 
 
-@query(
-    "k12_scored_sessions",
-    o.gold(43200, o.FEATURE_STORE)
-    + "SELECT computed_session_id, data_partition, CAST(is_purchased AS INTEGER) AS is_purchased, true AS score_in_range, "
-    "true AS prediction_agrees FROM features" + _OOT_SQL,
-)
+@query("k12_scored_sessions")
 def k12_scored_sessions(spark, sf_dir):
     """Out-of-time sessions scored by the trained model, written as the predictions table
     (partitioned by data_partition) and read back."""
@@ -1112,7 +1168,17 @@ def k12_scored_sessions(spark, sf_dir):
     scored = ml.score(ml.fit(ml.build_gbt(), train), oot, keep=("computed_session_id", "data_partition"))
     path = scratch_path(spark, "predictions")
     write_predictions(scored, path)
-    return _checked(spark.read.parquet(path)).withColumn("data_partition", F.col("data_partition").cast("string"))
+    return spark.read.parquet(path).withColumn("data_partition", F.col("data_partition").cast("string"))
+
+
+@query(
+    "k12_scored_checks",
+    o.gold(43200, o.FEATURE_STORE)
+    + "SELECT computed_session_id, data_partition, CAST(is_purchased AS INTEGER) AS is_purchased, true AS score_in_range, "
+    "true AS prediction_agrees FROM features" + _OOT_SQL,
+)
+def k12_scored_checks(spark, sf_dir):
+    return _checked(k12_scored_sessions(spark, sf_dir))
 
 
 _GAP_SESSIONS = """, lg AS (
@@ -1124,16 +1190,7 @@ _GAP_SESSIONS = """, lg AS (
 )"""
 
 
-@query(
-    "t2_stream_scores",
-    o.with_(o.CLICK, o.STG)
-    + _GAP_SESSIONS
-    + """SELECT CAST(user_id AS VARCHAR) || '@' || strftime(min(event_timestamp), '%Y-%m-%dT%H:%M:%S.%f') AS stream_session_id,
-       user_id, min(event_timestamp) AS session_start, CAST(count_if(event_type = 'purchase') > 0 AS INTEGER) AS is_purchased,
-       true AS score_in_range, true AS prediction_agrees
-FROM ix GROUP BY user_id, sidx
-HAVING max(event_timestamp) + INTERVAL 30 MINUTE <= (SELECT max(event_timestamp) - INTERVAL 2 HOUR FROM stg)""",
-)
+@query("t2_stream_scores")
 def t2_stream_scores(spark, sf_dir):
     """T1 + T2 as a real stream: staged events land as Parquet files in the scratch folder, a
     file-source stream builds gap sessions with a watermark and appends scored sessions to a
@@ -1152,7 +1209,21 @@ def t2_stream_scores(spark, sf_dir):
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     q = start_scoring_stream(stream, model, sink, ckpt, watermark="2 hours", available_now=True)
     q.awaitTermination()
-    return _checked(spark.read.parquet(sink))
+    return spark.read.parquet(sink)
+
+
+@query(
+    "t2_stream_checks",
+    o.with_(o.CLICK, o.STG)
+    + _GAP_SESSIONS
+    + """SELECT CAST(user_id AS VARCHAR) || '@' || strftime(min(event_timestamp), '%Y-%m-%dT%H:%M:%S.%f') AS stream_session_id,
+       user_id, min(event_timestamp) AS session_start, CAST(count_if(event_type = 'purchase') > 0 AS INTEGER) AS is_purchased,
+       true AS score_in_range, true AS prediction_agrees
+FROM ix GROUP BY user_id, sidx
+HAVING max(event_timestamp) + INTERVAL 30 MINUTE <= (SELECT max(event_timestamp) - INTERVAL 2 HOUR FROM stg)""",
+)
+def t2_stream_checks(spark, sf_dir):
+    return _checked(t2_stream_scores(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -1378,23 +1449,29 @@ def k5_session_start(spark, sf_dir):
     o.gold(1800, o.FEATURE_STORE, o.FCT)
     + """SELECT (SELECT count(*) FROM fct) AS n_events, (SELECT count(DISTINCT event_id) FROM fct) AS n_event_ids,
        (SELECT count(*) FROM features) AS n_sessions, (SELECT count(*) FROM stg WHERE src_event_id % 50 = 0) AS repeated,
-       CAST(0 AS BIGINT) AS unsessionizable, true AS tests_passed""",
+       CAST(0 AS BIGINT) AS unsessionizable, true AS tests_passed,
+       (SELECT count(*) FROM fct WHERE event_type NOT IN ('view', 'cart', 'remove_from_cart', 'purchase')) AS foreign_types""",
 )
 def e2_build_layers(spark, sf_dir):
     """E2 on clicks with exact duplicates: one row per event id in the written tables, the repeated
-    and left-out rows counted in the run log, all data tests passed (but for accepted_values: the
-    driver's events hold a type outside the list, which q0 and q3 count)."""
+    and left-out rows counted in the run log, all data tests passed but accepted_values of the events'
+    type, which has exactly the rows of the foreign type that the driver's events hold."""
     from clickweave.plans.layers import build_layers, paths
     from clickweave.session import scratch_path
+    from clickweave.sinks.tables import stage
 
     root = scratch_path(spark, "layers")
     tests = build_layers(spark, m.clicks(spark, sf_dir, with_duplicates=True), root)
-    passed = tests.filter("NOT passed AND check_name <> 'accepted_values'").isEmpty()
+    foreign = (F.col("check_name") == "accepted_values") & (F.col("table_name") == "fct_events") & (F.col("column_name") == "event_type")
+    tests = stage(spark, tests.withColumn("foreign", foreign), "data-tests")  # a row a test
+    passed = tests.filter("NOT passed AND NOT foreign").isEmpty()
+    foreign_types = tests.filter("foreign").first()["n_violations"]
     p = paths(root)
     fct, mart = spark.read.parquet(p["fct_events"]), spark.read.parquet(p["mart_ml_features"])
     counts = fct.agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_event_ids"))
     log = spark.read.parquet(p["run_log"]).select("repeated", "unsessionizable")  # one row
-    return counts.withColumn("n_sessions", F.lit(mart.count()).cast("bigint")).join(F.broadcast(log)).withColumn("tests_passed", F.lit(passed))
+    out = counts.withColumn("n_sessions", F.lit(mart.count()).cast("bigint")).join(F.broadcast(log))
+    return out.withColumns({"tests_passed": F.lit(passed), "foreign_types": F.lit(foreign_types).cast("bigint")})
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1403,3 +1480,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["QUERIES", "ORACLE", "flagship"]
+
+
+from clickweave.plans import catalog_mechanisms as _mechanisms  # noqa: E402,F401  (registers its queries)

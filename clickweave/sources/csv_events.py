@@ -26,14 +26,24 @@ def read_raw_events(
     *,
     schema=RAW_EVENT_SCHEMA,
     with_batch: bool = True,
+    stream: bool = False,
+    max_files: int | None = None,
 ) -> DataFrame:
     """S1 + S3: read one or many CSV(.gz) files with a header, the fixed schema and PERMISSIVE
     mode; malformed lines are kept with their text in ``_corrupt_record``. All files are read by
     one job; ``batch`` is each file's name with ``.`` replaced by ``_`` (the reference's batch tag),
-    ``batch_source`` a digest of its full path, so that files of one name in two folders differ."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    ``batch_source`` a digest of its full path, so that files of one name in two folders differ.
+    ``stream``: a stream of the files under one folder, also of those that are added later, at most
+    ``max_files`` in a micro-batch."""
+    if stream:
+        if not isinstance(paths, str):
+            raise ValueError("a stream reads one folder")
+        reader = spark.readStream.option("recursiveFileLookup", "true")
+        reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+    else:
+        reader, paths = spark.read, [paths] if isinstance(paths, str) else list(paths)
     df = (
-        spark.read.format("csv")
+        reader.format("csv")
         .option("header", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
