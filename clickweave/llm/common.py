@@ -163,6 +163,23 @@ def lookup(rows: DataFrame, values: DataFrame, keys: Sequence[str], count: str,
     return rest.unionByName(rows.join(F.broadcast(hot), match)).drop(count, *drop)
 
 
+def without(documents: DataFrame, keys: dict[str, Column], drop: DataFrame, once: DataFrame) -> DataFrame:
+    """The rows and columns of ``documents`` less those whose ``keys`` (name: value) are in ``drop``, and
+    all but one of each of the keys in ``once``. Columns of any name pass."""
+    names = list(keys)
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()])
+    on = [F.col(f"d.{k}").eqNullSafe(F.col(f"x.{k}")) for k in names]
+    left = rows.alias("d").join(bounded_broadcast(stage(drop.select(*names).distinct(), "drop")).alias("x"), on, "left_anti")
+    once = stage(once.select(*names).distinct(), "once")
+    if once.isEmpty():
+        return left.select("row.*")
+    once = bounded_broadcast(once)
+    twice = left.alias("d").join(once.alias("x"), on, "left_semi").withColumn("place", F.xxhash64("row.*"))
+    least = twice.groupBy(*names).agg(F.min("place").alias("place"))  # the same row at every run
+    twice = twice.alias("d").join(least.alias("x"), [*on, F.col("d.place") == F.col("x.place")], "left_semi").dropDuplicates(names)
+    return left.alias("d").join(once.alias("x"), on, "left_anti").select("row").unionByName(twice.select("row")).select("row.*")
+
+
 #: Ways a node's links are split in ``components``, so that no task joins a whole hub.
 SALTS = 8
 

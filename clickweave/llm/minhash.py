@@ -8,19 +8,21 @@ threshold. Steps:
 2. banding: sets that agree on all ``ROWS`` values of a band share a bucket. At similarity 0.8 a
    pair misses all 32 bands of 4 with probability (1 - 0.8^4)^32 = 5e-8;
 3. first pass: each bucket pairs its members with its smallest member (linear in the bucket);
-4. second pass: buckets whose members still lie in different components compare all members of
-   different components. Members are dealt into hash blocks; a task sees two blocks of a bucket,
-   never a whole one, members of a bucket's commonest component do not meet each other, and only
-   pairs that survive the pruning are emitted: first each member's likeliest partner not yet tried
-   in each other component, then, for members that this did not connect, all that are left;
-5. sequential verification: signatures are compared ``BATCH`` values at a time; a pair is pruned
+4. sequential verification: signatures are compared ``BATCH`` values at a time; a pair is pruned
    once the posterior probability (uniform prior) that its similarity reaches the threshold is
    below ``MISS``;
-6. exact verification: survivors are confirmed on their full shingle sets;
+5. exact verification: survivors are confirmed on the shingle sets of the whole texts, compared word
+   by word (not by hashes), in tasks that hold a centre and a chunk of its partners; components;
+6. second pass: buckets whose members still lie in different components compare all members of
+   different components. Members are dealt into hash blocks bounded in rows and bytes; a task sees
+   two blocks of a bucket, never a whole one, and members of a bucket's commonest component do not meet each
+   other. First the signatures alone tell which members have a likely partner there; only those bring their
+   texts, are confirmed where they meet, and each task gives out no more links than join its components:
+   a forest, however many pairs it has confirmed;
 7. components over the confirmed links.
 
-A pair of the second pass that is already connected cannot change the result, so leaving it out
-loses nothing.
+A pair that is already connected cannot change the result, so leaving it out loses nothing. Documents
+whose sets have equal 128-bit fingerprints are one set from the start.
 
 Defined results: null or empty texts have no shingles and link with nothing (their own component);
 texts of fewer words than a shingle are one shingle; repeated rows are members of one group; a null
@@ -34,18 +36,19 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm import words as W
-from clickweave.llm.common import bounded_broadcast, components, stage, table
+from clickweave.llm.common import bounded_broadcast, components, lookup, release, ship_code, stage, table, without
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
 BATCH, MISS = 16, 1e-6
-#: Members of a bucket that meet in a task of the second pass: two blocks of about so many.
-BLOCK = 1024
-_SETS = "fp binary, doc_id bigint, th bigint, n_shingles bigint, sig binary, bands array<bigint>"
+#: Members that meet in a task: two blocks of about so many at most, and of so many bytes of text.
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
+_SETS = "fp binary, doc_id bigint, th bigint, n_bytes bigint, n_shingles bigint, sig binary, bands array<bigint>"
+_ASCII_LOWER = bytes(W.LOWER)
 
 
 def min_matches(threshold: float = THRESHOLD, batch: int = BATCH, total: int = BANDS * ROWS, miss: float = MISS) -> list[int]:
@@ -110,7 +113,7 @@ def _list(values: np.ndarray, off: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 
 def shingle_sets(documents: DataFrame, size: int) -> DataFrame:
-    """(fp, doc_id, th, n_shingles, sig, bands) per document; th is a hash of the text."""
+    """(fp, doc_id, th, n_bytes, n_shingles, sig, bands) per document; th is a hash of the text."""
 
     def run(batches):
         mult = W.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -126,27 +129,66 @@ def shingle_sets(documents: DataFrame, size: int) -> DataFrame:
                     sigs[r] = sig[k].tobytes()
                     at[r + 1] = BANDS
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fps, pa.binary()), b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(np.diff(off), pa.int64()),
-                     pa.array(sigs, pa.binary()), _list(bands.reshape(-1), np.cumsum(at), pa.int64())],
-                    names=["fp", "doc_id", "th", "n_shingles", "sig", "bands"],
+                    [pa.array(fps, pa.binary()), b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), b.column(3).slice(i, j - i),
+                     pa.array(np.diff(off), pa.int64()), pa.array(sigs, pa.binary()), _list(bands.reshape(-1), np.cumsum(at), pa.int64())],
+                    names=["fp", "doc_id", "th", "n_bytes", "n_shingles", "sig", "bands"],
                 )
 
-    return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, _SETS)
+    size_of = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text"), size_of).mapInArrow(run, _SETS)
 
 
-def _full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(fp, elems): the whole sets of the fingerprints in ``wanted`` (fp, doc_id)."""
-    ids = bounded_broadcast(stage(wanted.select("doc_id").distinct(), "set-ids"))
+def _texts(documents: DataFrame, reps: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, text): a whole text for each of the sets ``wanted`` (fp). Staged."""
+    which = reps.join(wanted.distinct(), "fp", "left_semi").select(F.col("fp"), F.col("doc_id").alias("d"), F.col("th").alias("h"))
+    which = bounded_broadcast(stage(which, "wanted"))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    docs = docs.join(ids.withColumnRenamed("doc_id", "w"), F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
-
-    def run(batches):
-        for b in batches:
-            for _, _, s, off in _shingle_rows(b.column(1), size):
-                yield pa.RecordBatch.from_arrays([pa.array(_fingerprints(s, off), pa.binary()), _list(s, off, pa.int64())], names=["fp", "elems"])
-
-    sets = docs.mapInArrow(run, "fp binary, elems array<bigint>").where("fp IS NOT NULL")
-    return stage(sets.join(wanted.select(F.col("fp").alias("f")), F.col("fp") == F.col("f"), "left_semi").dropDuplicates(["fp"]), "sets")
+    docs = docs.join(which, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h")))
+    return stage(docs.groupBy("fp").agg(F.first("text").alias("text")), "texts")
+
+
+def exact_sets(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, offsets per text) of the distinct shingles of each text. Equal numbers are equal runs of
+    words: words are numbered by their bytes, runs by the numbers of their words."""
+    known: dict[bytes, int] = {}
+    words: list[int] = []
+    count = []
+    for t in texts:
+        own = t.encode().translate(_ASCII_LOWER).split()  # at the bytes of [\x20\x09-\x0D]
+        words += [known.setdefault(w, len(known) + 1) for w in own]
+        if 0 < len(own) < size:  # a shorter text is one run, told by the zeros after it
+            words += [0] * (size - len(own))
+        count.append(max(len(own), size) if own else 0)
+    word = np.array(words, np.int64)
+    run = word
+    for k in range(1, size):
+        run = np.unique(run[:-1] * (len(known) + 1) + word[k:], return_inverse=True)[1] if len(run) > 1 else run[:0]
+    count = np.array(count, np.int64)
+    runs = np.maximum(0, count - size + 1)
+    begin = np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64) if len(count) else count
+    own = run[W._ranges(begin, runs)]
+    both = np.unique(np.repeat(np.arange(len(count)), runs) * (int(run.max(initial=0)) + 1) + own)
+    row, name = np.divmod(both, int(run.max(initial=0)) + 1)
+    return name, np.searchsorted(row, np.arange(len(count) + 1))
+
+
+class _Verifier:
+    """Tells which texts of a task are similar enough, on their full sets."""
+
+    def __init__(self, texts: list[str], size: int, percent: int):
+        self.names, self.off = exact_sets(texts, size)
+        self.n, self.percent = np.diff(self.off), percent
+        self.mark = np.zeros(int(self.names.max(initial=0)) + 1, bool)
+
+    def similar(self, x: int, ys: np.ndarray) -> np.ndarray:
+        """Those of ``ys`` that are linked with x."""
+        own = self.names[self.off[x] : self.off[x + 1]]
+        self.mark[own] = True
+        held = np.concatenate([[0], np.cumsum(self.mark[self.names[W._ranges(self.off[ys], self.n[ys])]])])
+        self.mark[own] = False
+        at = np.concatenate([[0], np.cumsum(self.n[ys])])
+        both = held[at[1:]] - held[at[:-1]]
+        return ys[100 * both >= self.percent * (self.n[x] + self.n[ys] - both)]
 
 
 def _passes(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
@@ -168,10 +210,10 @@ def _sig_rows(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(len(col), BANDS * ROWS)
 
 
-def _prune(pairs: DataFrame, reps: DataFrame, least: list[int]) -> DataFrame:
-    """The pairs (a, b) that the sequential test leaves."""
-    one = reps.select("fp", "sig")
-    both = pairs.join(one.toDF("a", "sig_a"), "a").join(one.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+def _prune(stars: DataFrame, reps: DataFrame, least: list[int]) -> DataFrame:
+    """The pairs (a, b) that the sequential test leaves. Staged."""
+    centres = stars.groupBy("a").agg(F.count("*").alias("n")).join(reps.select(F.col("fp").alias("a"), F.col("sig").alias("sig_a")), "a")
+    both = lookup(stars, stage(centres, "centres"), ["a"], "n").join(reps.select(F.col("fp").alias("b"), F.col("sig").alias("sig_b")), "b")
 
     def run(batches):
         for x in batches:
@@ -179,123 +221,168 @@ def _prune(pairs: DataFrame, reps: DataFrame, least: list[int]) -> DataFrame:
                 ok = _passes(_sig_rows(x.column(2)), _sig_rows(x.column(3)), least)
                 yield x.select([0, 1]).filter(pa.array(ok))
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return stage(both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary"), "pairs")
 
 
-def _confirmed(documents: DataFrame, pairs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    sets = _full_sets(documents, stage(involved.join(reps.select("fp", "doc_id"), "fp"), "involved"), size)
-    both = pairs.join(sets.toDF("b", "eb"), "b").join(sets.toDF("a", "ea"), "a")
-    both = both.select("a", "b", F.size("ea").alias("na"), F.size("eb").alias("nb"), F.size(F.array_intersect("ea", "eb")).alias("n"))
-    return both.where(100 * F.col("n") >= percent * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
+def _pair_table(pairs: list[tuple[bytes, bytes]]) -> pa.Table:
+    return pa.table({"a": pa.array([a for a, _ in pairs], pa.binary()), "b": pa.array([b for _, b in pairs], pa.binary())})
+
+
+def _confirmed_stars(documents: DataFrame, stars: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``stars`` whose full sets are similar enough. A task holds one centre a and
+    a chunk of its partners. Staged."""
+    sized = stage(stars.join(reps.select(F.col("fp").alias("b"), "n_bytes"), "b"), "star-sizes")
+    per = sized.groupBy("a").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
+    per = stage(per.select("a", "n", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("chunks")), "star-chunks")
+    ends = lookup(sized, per, ["a"], "n").select("a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.col("b").alias("fp"))
+    centres = per.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("a").alias("fp"))
+    ends = stage(ends.unionByName(centres), "star-ends")
+    texts = _texts(documents, reps, ends.select("fp"))
+
+    def run(t: pa.Table) -> pa.Table:
+        fp, a = t.column("fp").to_pylist(), t.column("a")[0].as_py()
+        centre = fp.index(a)
+        others = np.array([i for i in range(len(fp)) if i != centre], np.int64)
+        near = _Verifier(t.column("text").to_pylist(), size, percent).similar(centre, others)
+        return _pair_table([(a, fp[y]) for y in near])
+
+    links = stage(ends.join(texts, "fp").groupBy("a", "chunk").applyInArrow(run, "a binary, b binary"), "links")
+    release(sized, per, ends, texts)
+    return links
 
 
 def _length_bound(na: str, nb: str, percent: int):
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
-def _second_pass(
-    members: DataFrame, tried: DataFrame, reps: DataFrame, percent: int, least: list[int], best: bool
-) -> DataFrame:
-    """Pairs (a, b) of buckets' members in different components that the sequential test leaves;
-    with ``best`` only, for each member and block, the likeliest untried one into each other
-    component. ``members``: key, band, fp, n_shingles, component; ``tried``: pairs (a, b), a < b.
+def _meetings(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, once for each task (key, i, strays, j)
+    that they take part in. ``members``: key, band, fp, n_shingles, n_bytes, component.
 
     In each bucket the members of its commonest component (home) need not meet each other; the
     others (strays) meet the home members and each other, block against block."""
-    per = members.groupBy("key", "component").agg(F.count("*").alias("c"))
-    sizes = per.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "component")).alias("top")).where("n > top.c")
-    blocks = lambda c: F.ceil(c / BLOCK).cast("int")
-    sizes = sizes.select("key", F.col("top.component").alias("home"), blocks(F.col("top.c")).alias("p"), blocks(F.col("n") - F.col("top.c")).alias("q"))
-    dealt = members.join(stage(sizes, "open-buckets"), "key").withColumn("stray", F.col("component") != F.col("home"))
+    per = members.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n_bytes").alias("s"))
+    sizes = per.groupBy("key").agg(F.sum("c").alias("n"), F.sum("s").alias("all"), F.max(F.struct("c", "component", "s")).alias("top")).where("n > top.c")
+    blocks = lambda c, s: F.greatest(F.ceil(c / BLOCK), F.ceil(s / BLOCK_BYTES)).cast("int")
+    sizes = sizes.select(
+        "key", F.col("top.component").alias("home"), blocks(F.col("top.c"), F.col("top.s")).alias("p"),
+        blocks(F.col("n") - F.col("top.c"), F.col("all") - F.col("top.s")).alias("q"), "n",
+    )
+    open_ = stage(sizes, "open-buckets")
+    dealt = lookup(members, open_, ["key"], "n").withColumn("stray", F.col("component") != F.col("home"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("fp"), F.when(F.col("stray"), F.col("q")).otherwise(F.col("p"))).cast("int"))
     meet = lambda i, kind, j: F.struct(i.alias("i"), F.lit(kind).alias("strays"), j.alias("j"))
     upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     own = F.col("block")
-    meetings = F.when(
+    tasks = F.when(
         F.col("stray"),
         F.concat(
             F.transform(upto("p"), lambda j: meet(own, False, j)),
             F.transform(upto("q"), lambda k: meet(F.least(own, k), True, F.greatest(own, k))),
         ),
     ).otherwise(F.transform(upto("q"), lambda i: meet(i, False, own)))
-    dealt = dealt.select("key", F.inline(meetings), "stray", "block", "band", "fp", "n_shingles", "component").join(reps.select("fp", "sig"), "fp")
-    if best:  # with at most one centre a band
-        centres = tried.groupBy(F.col("b").alias("fp")).agg(F.collect_set("a").alias("centres"))
-        dealt = dealt.join(centres, "fp", "left")
+    return dealt.select("key", F.inline(tasks), "stray", "block", "band", "fp", "n_shingles", "component").join(reps.select("fp", "sig"), "fp")
 
-    def run(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
-        sig, n = _sig_rows(t.column("sig").combine_chunks()), t.column("n_shingles").to_numpy()
+
+class _Meeting:
+    """The members of one task and the pairs among them that signatures leave."""
+
+    def __init__(self, t: pa.Table, percent: int, least: list[int]):
+        self.sig, self.n = _sig_rows(t.column("sig").combine_chunks()), t.column("n_shingles").to_numpy()
         block, stray = t.column("block").to_numpy(), t.column("stray").to_numpy()
-        (i, strays, j), band = (t.column(c)[0].as_py() for c in ("i", "strays", "j")), t.column("band")[0].as_py()
-        comp, fp = t.column("component").to_pylist(), t.column("fp").to_pylist()
-        done = [frozenset(c or ()) for c in t.column("centres").to_pylist()] if best else []
-        names = {c: k for k, c in enumerate(dict.fromkeys(comp))}
-        comp = np.array([names[c] for c in comp])
-        left = np.flatnonzero(stray & (block == i))
-        right = np.flatnonzero((stray == strays) & (block == j))
-        out: list[tuple[bytes, bytes]] = []
-        for x in left:
-            ys = right[right > x] if strays and i == j else right
-            ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(n[ys], n[x]) >= percent * np.maximum(n[ys], n[x]))]
-            if not len(ys):
-                continue
-            ys = ys[_passes(np.broadcast_to(sig[x], (len(ys), sig.shape[1])), sig[ys], least)]
-            if band and len(ys):  # the first band they share pairs them
-                same = (sig[ys, : band * ROWS] == sig[x, : band * ROWS]).reshape(len(ys), band, ROWS).all(axis=2).any(axis=1)
-                ys = ys[~same]
-            if best:
-                ys = ys[[fp[y] not in done[x] and fp[x] not in done[y] for y in ys]] if len(ys) else ys
-            if best and len(ys) > 1:
-                ys = ys[np.argsort(-(sig[ys] == sig[x]).sum(axis=1), kind="stable")]
-                ys = ys[np.unique(comp[ys], return_index=True)[1]]
-            out += [(min(fp[x], fp[y]), max(fp[x], fp[y])) for y in ys]
-        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
-
-    found = dealt.groupBy("key", "i", "strays", "j").applyInArrow(run, "a binary, b binary")
-    return found.join(tried, ["a", "b"], "left_anti").distinct()
+        (i, strays, j), self.band = (t.column(c)[0].as_py() for c in ("i", "strays", "j")), t.column("band")[0].as_py()
+        names: dict = {}
+        self.component = np.array([names.setdefault(c, len(names)) for c in t.column("component").to_pylist()])
+        self.left = np.flatnonzero(stray & (block == i))
+        self.right = np.flatnonzero((stray == strays) & (block == j))
+        self.ordered = strays and i == j  # a block against itself
+        self.percent, self.least = percent, least
+
+    def partners(self, x: int) -> np.ndarray:
+        """Members of other components (as they are now) that may be linked with x."""
+        ys = self.right[self.right > x] if self.ordered else self.right
+        n, sig = self.n, self.sig
+        ys = ys[(self.component[ys] != self.component[x]) & (100 * np.minimum(n[ys], n[x]) >= self.percent * np.maximum(n[ys], n[x]))]
+        if len(ys):
+            ys = ys[_passes(np.broadcast_to(sig[x], (len(ys), sig.shape[1])), sig[ys], self.least)]
+        if self.band and len(ys):  # the first band they share pairs them
+            upto = self.band * ROWS
+            ys = ys[~(sig[ys, :upto] == sig[x, :upto]).reshape(len(ys), self.band, ROWS).all(axis=2).any(axis=1)]
+        return ys
+
+
+def _second_pass(documents: DataFrame, members: DataFrame, reps: DataFrame, size: int, percent: int, least: list[int]) -> DataFrame:
+    """Confirmed links that join the components of buckets' members: of each task a forest. Staged."""
+    tasks = ["key", "i", "strays", "j"]
+    meetings = _meetings(members, reps)
+
+    def likely(t: pa.Table) -> pa.Table:
+        meeting, hit = _Meeting(t, percent, least), np.zeros(len(t), bool)
+        for x in meeting.left:
+            ys = meeting.partners(x)
+            hit[ys] = True
+            hit[x] |= len(ys) > 0
+        return t.filter(pa.array(hit))
+
+    some = stage(meetings.groupBy(*tasks).applyInArrow(likely, meetings.schema), "likely")
+    texts = _texts(documents, reps, some.select("fp"))
+
+    def forest(t: pa.Table) -> pa.Table:
+        meeting, fp = _Meeting(t, percent, least), t.column("fp").to_pylist()
+        verifier = _Verifier(t.column("text").to_pylist(), size, percent)
+        out = []
+        for x in meeting.left:
+            ys = meeting.partners(x)
+            for y in verifier.similar(x, ys) if len(ys) else ys:
+                a, b = meeting.component[x], meeting.component[y]
+                if a != b:
+                    meeting.component[meeting.component == b] = a
+                    out.append((min(fp[x], fp[y]), max(fp[x], fp[y])))
+        return _pair_table(out)
+
+    links = stage(some.join(texts, "fp").groupBy(*tasks).applyInArrow(forest, "a binary, b binary"), "forest")
+    release(some, texts)
+    return links
 
 
 def _groups(documents: DataFrame, size: int, threshold: float, miss: float) -> DataFrame:
     """One row per document: doc_id, th, n_shingles, component (a fingerprint), component_id, kept."""
+    ship_code(documents.sparkSession)
     percent, least = round(100 * threshold), min_matches(threshold, miss=miss)
     docs = stage(shingle_sets(documents, size), "signatures")
-    first = docs.where("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    reps = docs.where("fp IS NOT NULL").join(
-        first.select(F.col("fp").alias("f"), F.col("doc_id").alias("d")), F.col("fp").eqNullSafe(F.col("f")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi"
+    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "th"))
+    held = docs.where("fp IS NOT NULL").groupBy("fp").agg(
+        F.count("*").alias("n"), least_row.alias("least"), *[F.first(c).alias(c) for c in ("n_bytes", "n_shingles", "sig", "bands")]
     )
-    reps = stage(reps.dropDuplicates(["fp"]), "sets")
+    reps = stage(held.select("fp", "n", "least.doc_id", "least.th", "n_bytes", "n_shingles", "sig", "bands"), "sets")
 
-    entries = reps.select("fp", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    entries = reps.select("fp", "n_shingles", "n_bytes", F.posexplode("bands").alias("band", "key"))
     buckets = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"))
-    buckets = stage(buckets.where("n > 1").select("key", "a"), "buckets")
-    members = stage(entries.join(buckets, "key"), "members")
+    buckets = stage(buckets.where("n > 1"), "buckets")
+    members = stage(lookup(entries, buckets, ["key"], "n"), "members")
     sizes = reps.select(F.col("fp").alias("a"), F.col("n_shingles").alias("na"))
     stars = members.where("fp <> a").select("a", F.col("fp").alias("b"), "n_shingles").distinct().join(sizes, "a")
     stars = stage(stars.where(_length_bound("na", "n_shingles", percent)).select("a", "b"), "stars")
-    pairs = stage(_prune(stars, reps, least), "pairs")
-    links = stage(_confirmed(documents, pairs, reps, size, percent), "links")
+    pairs = _prune(stars, reps, least)
+    links = _confirmed_stars(documents, pairs, reps, size, percent)
     comp = stage(components(links), "components")
 
-    for best in (True, False):
-        open_ = members.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
-            "key", "band", "fp", "n_shingles", F.coalesce("component", "fp").alias("component")
-        )
-        more = stage(_second_pass(stage(open_, "open"), stars, reps, percent, least, best), "more-pairs")
-        if more.isEmpty():  # in the first round too: no pair is left untried
-            break
-        links = stage(links.unionByName(_confirmed(documents, more, reps, size, percent)), "links")
-        comp, stars = stage(components(links), "components"), stars.unionByName(more)
-
-    named = docs.select("doc_id", "th", "n_shingles", "fp").join(comp.toDF("fp", "component"), "fp", "left")
-    named = stage(named.select("doc_id", "th", "n_shingles", F.coalesce("component", "fp").alias("component")), "named")
-    lowest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("low"))
-    out = named.join(stage(lowest, "lowest"), "component", "left").withColumn(
-        "component_id", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("low"))
+    open_ = members.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
+        "key", "band", "fp", "n_shingles", "n_bytes", F.coalesce("component", "fp").alias("component")
     )
-    return out.drop("low").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    open_ = stage(open_, "open")
+    more = _second_pass(documents, open_, reps, size, percent, least)
+    if not more.isEmpty():
+        comp = stage(components(links.unionByName(more)), "components")
+
+    sets = reps.select("fp", "n", "doc_id").join(comp.toDF("fp", "component"), "fp", "left")
+    sets = stage(sets.withColumn("component", F.coalesce("component", "fp")), "named")
+    lowest = stage(sets.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("sets")), "lowest")
+    named = stage(lookup(sets.drop("doc_id"), lowest, ["component"], "sets"), "groups")
+    out = lookup(docs.select("doc_id", "th", "n_shingles", "fp").where("fp IS NOT NULL"), named, ["fp"], "n").drop("fp")
+    alone = docs.where("fp IS NULL").select("doc_id", "th", "n_shingles", F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id"))
+    release(members, buckets, stars, pairs, open_, links, more, comp, reps, sets, lowest)
+    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def near_duplicates(
@@ -312,20 +399,14 @@ def deduplicated(
     """The rows and columns of ``documents`` less all but one document of each group (documents
     without words are no group: all stay). Where the kept doc_id occurs several times in its group,
     one of its rows stays."""
-    found = stage(_groups(documents, size, threshold, miss), "near-duplicates")
-    key = F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.doc_id")) & (F.xxhash64("d.text") == F.col("x.th"))
-    drop = found.where("NOT kept").select("doc_id", "th").distinct()
-    left = documents.alias("d").join(bounded_broadcast(stage(drop, "drop")).alias("x"), key, "left_anti")
-    again = found.where("kept AND component IS NOT NULL").groupBy("component", "doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    again = found.join(again.select(F.col("component").alias("c")), F.col("component") == F.col("c"), "left_semi")
-    again = stage(again.where("kept").select("doc_id", "th", "component").distinct(), "again")
-    if again.isEmpty():
-        return left
-    again = bounded_broadcast(again)
-    twice = left.alias("d").join(again.alias("x"), key).select("d.*", F.col("x.component").alias("_group"))
-    one = Window.partitionBy("_group").orderBy(F.xxhash64(*documents.columns))
-    twice = twice.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n", "_group")
-    return left.alias("d").join(again.alias("x"), key, "left_anti").unionByName(twice)
+    found = stage(_groups(documents, size, threshold, miss).where("component IS NOT NULL"), "near-duplicates")
+    rows = stage(found.groupBy("component", "doc_id", "th").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "rows")
+    first = rows.groupBy("component").agg(F.min(F.when(F.col("kept"), F.col("th"))).alias("first"), F.count("*").alias("rows"))
+    rows = lookup(rows, stage(first, "first"), ["component"], "rows")
+    rows = rows.withColumn("stays", F.col("kept") & (F.col("th") == F.col("first")))  # of one id with several texts the first
+    rows = stage(rows.select("doc_id", "th", "stays", "n"), "decided")
+    keys = {"doc_id": F.col("doc_id").cast("long"), "th": F.xxhash64("text")}
+    return without(documents, keys, rows.where("NOT stays"), rows.where("stays AND n > 1"))
 
 
 def op7_minhash(spark, sf_dir):

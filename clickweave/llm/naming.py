@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import bounded_broadcast, lookup, release, stage, table
+from clickweave.llm.common import lookup, release, stage, table, without
 
 #: Bytes of a block.
 BLOCK = 2048
@@ -128,25 +128,10 @@ def deduplicated(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     """The rows and columns of ``documents`` less all but one of each group of equal texts."""
     found = exact_duplicates(documents, doc_id=doc_id, text=text, block=block)
     key = ["doc_id", "n_chars", "text_sha256"]
-    found = found.groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    found = stage(found, "decided")
-    cols = documents.columns
-    docs = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
-        F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"), F.sha2(normalised(F.col(text)).cast("binary"), 256).alias("text_sha256"),
-    )
-    on = [F.col(f"d.{k}").eqNullSafe(F.col(f"x.{k}")) for k in key]
-    drop = bounded_broadcast(stage(found.where("NOT kept").select(*key), "drop"))
-    left = docs.alias("d").join(drop.alias("x"), on, "left_anti")
-    again = stage(found.where("kept AND n > 1").select(*key), "again")
-    if not again.isEmpty():  # rows that are alike in all that decides: one of them stays
-        again = bounded_broadcast(again)
-        twice = left.alias("d").join(again.alias("x"), on, "left_semi").withColumn("place", F.xxhash64("row.*"))
-        least = twice.groupBy(*key).agg(F.min("place").alias("place"))
-        twice = twice.alias("d").join(least.alias("x"), [*on, F.col("d.place") == F.col("x.place")], "left_semi")
-        twice = twice.drop("place").dropDuplicates(key)
-        left = left.alias("d").join(again.alias("x"), on, "left_anti").unionByName(twice)
-    return left.select("row.*")
+    found = stage(found.groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "decided")
+    values = F.col(doc_id).cast("long"), F.coalesce(F.length(text), F.lit(0)).cast("long"), F.sha2(normalised(F.col(text)).cast("binary"), 256)
+    # rows that are alike in all that decides: one of them stays
+    return without(documents, dict(zip(key, values, strict=True)), found.where("NOT kept"), found.where("kept AND n > 1"))
 
 
 def op11_naming(spark, sf_dir):

@@ -63,7 +63,7 @@ def test_against_brute_force(spark, documents, monkeypatch):
 
 def test_one_of_each_group_stays(spark, documents):
     docs = _case()
-    df = documents([(i, t, "s") for i, t in docs])
+    df = documents([(i, t, "s") for i, t in docs]).selectExpr("*", "1 AS _group", "2 AS _n", "3 AS place", "4 AS row", "5 AS `a.b`")
     got = M.deduplicated(df)
     assert got.columns == df.columns
     brute = _brute(docs, 5)
@@ -94,7 +94,7 @@ def test_signatures_estimate_similarity():
 def test_a_rejected_likeliest_partner_hides_no_other(spark, documents):
     """B looks most like A, the centre of every bucket they share, but only C is similar enough; B
     and C meet in no first pass."""
-    rng = random.Random(28)
+    rng = random.Random(60)
     w = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(130)]
     core, b, c, extra = w[:100], w[100:112], w[112:125], w[125:127]
     docs = [(0, " ".join(core + c[1:] + extra)), (1, " ".join(core + b)), (2, " ".join(core + c))]
@@ -102,3 +102,60 @@ def test_a_rejected_likeliest_partner_hides_no_other(spark, documents):
     assert (sig[1] == sig[0]).sum() > (sig[1] == sig[2]).sum()
     got = sorted(map(tuple, M.near_duplicates(documents([(i, t, "s") for i, t in docs]), size=1).collect()))
     assert got == _brute(docs, 1) and {r[2] for r in got} == {0}
+
+
+def _thue_morse(n):
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_sums_of_powers_confuse(spark, documents):
+    texts = [f"{w} one two three {w} four" for n in (512, 1024, 4096) for w in _thue_morse(n)]
+    docs = list(enumerate(texts + texts[:1]))
+    got = sorted(map(tuple, M.near_duplicates(documents([(i, t, "s") for i, t in docs])).collect()))
+    assert got == _brute(docs, 5) and len({r[2] for r in got}) == 6
+
+
+def test_exact_sets_by_brute_force():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("aAbcé") for _ in range(rng.randint(0, 9))) for _ in range(80)] + ["", " ", "a\x00 a", "a", "A  a"]
+    for size in (1, 2, 5):
+        names, off = M.exact_sets(texts, size)
+        seen = {}
+        for i, t in enumerate(texts):
+            want, got = _sets(t, size), names[off[i] : off[i + 1]].tolist()
+            assert len(got) == len(want) == len(set(got))
+            seen[i] = (want, set(got))
+        for i in seen:
+            for j in seen:
+                assert len(seen[i][0] & seen[j][0]) == len(seen[i][1] & seen[j][1])
+
+
+def _below(n, seed=3):
+    """``n`` near copies of one text, most of them somewhat less similar than the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(400)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for k in rng.sample(range(len(w)), 11):
+            w[k] = f"x{i}-{k}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_rows_given_out_grow_with_the_members_not_their_pairs(spark, documents, monkeypatch):
+    """Twice the near copies below the threshold: what tasks give out doubles, though pairs quadruple."""
+    counts = {}
+    for n in (60, 120):
+        docs = _below(n)
+        rows = []
+        real = M.stage
+        monkeypatch.setattr(M, "stage", lambda df, name, real=real, rows=rows: (lambda out: rows.append((name, out.count())) or out)(real(df, name)))
+        got = sorted(map(tuple, M.near_duplicates(documents([(i, t, "s") for i, t in docs])).collect()), key=repr)
+        monkeypatch.setattr(M, "stage", real)
+        assert got == _brute(docs, 5)
+        counts[n] = dict(rows)
+        assert counts[n]["forest"] <= n * M.BANDS and counts[n]["likely"] <= n * M.BANDS
+    for name in ("likely", "forest", "links", "star-ends"):
+        assert counts[120][name] <= 2.6 * max(40, counts[60][name]), name
