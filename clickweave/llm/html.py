@@ -10,10 +10,11 @@
 3. Surge and dive: a stretch runs from the line where the sums leave zero to the one after which
    they are zero again, that is, over ``WINDOW - 1`` lines of links at most, and surges if a sum in
    it reaches ``SURGE``. A heading right before the links that end a stretch goes with them.
-4. Kept is every surging stretch, or the longest if none surges, with its short lines. Tags go
-   before the sums where a page has an article or main element: all lines of it are kept, of several
-   the longest one that surges, and nothing else. An article inside a marked element counts only
-   against text outside of articles.
+4. Kept is every surging stretch, or the longest if none surges, with its short lines. Tags only change
+   weights: on a page with an article or main element (of several the longest that surges) each line of
+   it weighs ``SURGE`` and the lines outside nothing. An article inside a marked element counts only
+   against text outside of articles, and not at all inside comments or another article. A short line that
+   claims copyright weighs nothing.
 
 Defined results: null or empty html, and a page without text, give an empty text; unclosed and stray
 tags are tolerated as in browsers; very long pages are scanned once; repeated rows each get their
@@ -72,24 +73,43 @@ _PLACES = frozenset(
     "site main global top bottom left right primary secondary upper lower mobile desktop sticky fixed wrapper wrap container outer inner "
     "box block area bar panel unit slot zone list item items link links button buttons icon icons form policy thread".split()
 )
+#: Marks of what readers or other pages add: they also mark compounds with ``_PARTS``, mark an article, and hide
+#: the articles inside.
+_ADDED = frozenset(
+    "comment comments commentlist respond disqus replies reply related recommended recommendations newsletter sponsored".split()
+)
+_PARTS = frozenset(
+    "section sections body content contents text post posts article articles story stories reader readers user users entry entries "
+    "author meta count thread feed stream tree root holder region module row col column grid group inline page header footer title".split()
+)
+_NOTICE = re.compile(r"^\W*(?:©|\(c\)|copyright\b)|all rights reserved", re.I)
+_NOTICE_CHARS = 300
 #: Marks that do not drop an article, a main element, the body itself, a heading, or code.
 _KEPT = frozenset("article main body html pre code".split()) | _HEADING
 
 
-def _is_mark(token: str) -> bool:
-    """Whether a class or id is a mark, or a compound of marks and places."""
-    found = False
+def _words(token: str) -> Iterator[str]:
     for part in filter(None, _SPLIT.split(token)):
         whole = _NUMBER.sub("", part).lower()
-        words = [whole] if not whole or whole in _MARKS or whole in _PLACES else [_NUMBER.sub("", w).lower() for w in _CAMEL.split(part)]
-        if any(w and w not in _MARKS and w not in _PLACES for w in words):
-            return False
-        found = found or any(w in _MARKS for w in words)
-    return found
+        if not whole or whole in _MARKS or whole in _PLACES or whole in _PARTS:
+            yield whole
+        else:
+            yield from (_NUMBER.sub("", w).lower() for w in _CAMEL.split(part))
+
+
+def _is_mark(token: str) -> int:
+    """0: a class or id that marks nothing; 1: a mark, or a compound of marks and places; 2: one of what
+    is added to the article."""
+    words = [w for w in _words(token) if w]
+    marks = [w for w in words if w in _MARKS]
+    rest = [w for w in words if w not in _MARKS and w not in _PLACES]
+    if not _ADDED.isdisjoint(marks) and all(w in _PARTS for w in rest):
+        return 2
+    return int(bool(marks) and not rest)
 
 
 def _marked(name: str, attrs: str) -> int:
-    """0: not marked; 1: by its role, class or id; 2: hidden."""
+    """0: not marked; 1: by its role, class or id; 2: hidden, or added to the article."""
     if not attrs.strip():
         return 0
     mark = 0
@@ -106,10 +126,10 @@ def _marked(name: str, attrs: str) -> int:
                 return 2
         elif key == "role":
             if value.lower() in _ROLES:
-                mark = 1
-        elif key in ("class", "id") and name not in _KEPT:
-            if any(map(_is_mark, value.split())):
-                mark = 1
+                mark = max(mark, 1)
+        elif key in ("class", "id") and (name not in _KEPT or name == "article"):
+            found = max(map(_is_mark, value.split()), default=0)
+            mark = max(mark, found if name != "article" or found == 2 else 0)
     return mark
 
 
@@ -237,11 +257,11 @@ def lines(html: str) -> tuple[list[str], list[int], list[int], list[bool]]:
                 buf.append(" ")
         if name in _VOID or attrs.rstrip().endswith("/") and name not in _BLOCK:
             continue
-        if 0 <= dropped and wraps and name in ("article", "main") and not _marked(name, attrs):
+        if 0 <= dropped and wraps and not sections[-1] and name in ("article", "main") and not _marked(name, attrs):
             dropped, back = -1, (len(stack), dropped)
         if dropped < 0:
             mark = _marked(name, attrs)
-            if mark == 1 and ("pre" in stack[-8:] or "code" in stack[-8:]):
+            if mark and name == "span" and ("pre" in stack[-8:] or "code" in stack[-8:]):
                 mark = 0
             if name in _DROP or mark:
                 dropped = len(stack)
@@ -261,7 +281,10 @@ def lines(html: str) -> tuple[list[str], list[int], list[int], list[bool]]:
 
 
 def _weights(texts: list[str], plain: list[int], heads: list[bool]) -> list[int]:
-    return [p if 2 * p >= len(t) else int(h) for t, p, h in zip(texts, plain, heads, strict=True)]
+    """Characters outside links; of lines that are mostly links nothing (a heading: one)."""
+    return [
+        0 if len(t) <= _NOTICE_CHARS and _NOTICE.search(t) else p if 2 * p >= len(t) else int(h) for t, p, h in zip(texts, plain, heads, strict=True)
+    ]
 
 
 def _surges(weights: list[int]) -> bool:
@@ -281,24 +304,37 @@ def stretches(texts: list[str], weights: list[int], heads: list[bool]) -> list[t
     return out
 
 
-def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    texts, plain, owner, heads = lines(html)
+def tagged(texts: list[str], plain: list[int], owner: list[int], heads: list[bool]) -> list[int]:
+    """The weights of the lines as tags change them."""
     weights = _weights(texts, plain, heads)
     worth = lambda at: (_surges([weights[i] for i in at]), sum(plain[i] for i in at))
     per: dict[int, list[int]] = {}
     for i, k in enumerate(owner):
         if texts[i]:
             per.setdefault(k, []).append(i)
-    kept = max((at for k, at in per.items() if k > 0), key=worth, default=[])
-    if not kept or not worth(kept)[0]:
+    best = max((at for k, at in per.items() if k > 0), key=worth, default=[])
+    if not best or not worth(best)[0]:
         free = [w if not k else 0 for w, k in zip(weights, owner, strict=True)]
-        found = [range(*x) for x in stretches(texts, free, heads)]
-        found = [x for x in found if _surges([weights[i] for i in x])] or sorted(found, key=lambda x: sum(plain[i] for i in x))[-1:]
-        outside = [i for x in found for i in x] or per.get(0, [])  # a page of nothing but links
-        others = [at for at in (kept or outside, *(at for k, at in per.items() if k < 0)) if at]
-        kept = max(others, key=worth, default=[])
+        outside = [i for x in chosen(texts, plain, free, heads) for i in x]
+        best = max((at for at in (best, outside, *(at for k, at in per.items() if k < 0)) if at), key=worth, default=[])
+        if best is outside:
+            return free
+    inside = set(best)
+    return [SURGE if i in inside else 0 for i in range(len(texts))]
+
+
+def chosen(texts: list[str], plain: list[int], weights: list[int], heads: list[bool]) -> list[range]:
+    """The stretches that surge, or the longest."""
+    found = [range(*x) for x in stretches(texts, weights, heads)]
+    return [x for x in found if _surges([weights[i] for i in x])] or sorted(found, key=lambda x: sum(plain[i] for i in x))[-1:]
+
+
+def main_text(html: str | None) -> str:
+    if not html:
+        return ""
+    texts, plain, owner, heads = lines(html)
+    kept = chosen(texts, plain, tagged(texts, plain, owner, heads), heads)
+    kept = [i for x in kept for i in x] or [i for i, k in enumerate(owner) if not k]  # a page of nothing but links
     return "\n".join(texts[i] for i in kept if texts[i])
 
 

@@ -71,6 +71,40 @@ def test_plain_pages_are_cut_by_their_line_blocks():
     assert main_text(page("<p><a href=/>Only</a></p><p><a href=/>links</a></p>")) == "Only\nlinks"
 
 
+def test_comments_and_the_like_are_left_out():
+    said = f"<p>{LONG} Said a reader.</p>"
+    for added in (
+        f"<section id=comments><article class=comment>{said}</article><article>{said}</article></section>",
+        f"<div class=reader-comments>{said}</div>",
+        f"<div class=comments-section><div class=comment-body>{said}</div></div>",
+        f"<ul><li class=comment-content>{said}</li></ul>",
+        f"<div class=related-posts>{said}</div>",
+        f"<article class='comment depth-1'>{said}</article>",
+        f"<div class='articleComments'>{said}</div>",
+        f"<aside><article>{said}</article></aside>",
+    ):
+        for body in (f"<main><p>{LONG}</p>{added}</main>", f"<article><p>{LONG}</p>{added}</article>", f"<main><article><p>{LONG}</p></article>{added}</main>"):
+            assert main_text(page(body)) == LONG, added
+    for added in (f"<div class=reader-comments>{said}</div>", f"<div class=related-posts>{said}</div>", f"<section id=comments><article>{said}</article></section>"):
+        assert main_text(page(f"<div><p>{LONG}</p><p>Tail</p></div>{added}")) == f"{LONG}\nTail"
+    notice = "© 2024 A long notice that claims some rights of somebody in something, all of them reserved, and more."
+    assert main_text(page(f"<div><p>{LONG}</p><p>Tail</p></div><div>{notice}</div>")) == f"{LONG}\nTail"
+    for kept in ("content-header", "post-header", "entry-content", "commentary"):  # no marks
+        assert main_text(page(f"<article><div class={kept}><p>x</p></div><p>{LONG}</p></article>")) == f"x\n{LONG}"
+
+
+def test_the_sums_choose_the_lines(monkeypatch):
+    """Tags only change weights: with flat ones menus and tails stay."""
+    from clickweave.llm import html as H
+
+    menu = "".join(f"<div><a href=/{i}>Menu entry number {i} of the whole site</a></div>" for i in range(8))
+    plain = page(f"{menu}<div><p>{LONG}</p><p>Tail</p></div>{menu}")
+    marked = page(f"<p>Before</p><main><p>{LONG}</p><p>Tail</p></main><p>After</p>")
+    assert main_text(plain) == main_text(marked) == f"{LONG}\nTail"
+    monkeypatch.setattr(H, "tagged", lambda texts, *_: [1] * len(texts))
+    assert main_text(plain) != f"{LONG}\nTail" and main_text(marked) != f"{LONG}\nTail"
+
+
 def test_rows(spark):
     html = page(f"<article><p>{LONG}</p></article>")
     rows = [(1, "u", html), (1, "u", html), (2, None, None), (None, "v", "")]
