@@ -12,16 +12,21 @@ at most ``REGIONS`` regions), with base spans as labels, and on copies of them i
 patterns miss (a phone number without its plus and country, a card number with dots), so that the
 span features rather than the literal pattern carry the weight.
 
-Whole texts are read; work is linear in their length. Defined results: null or empty texts have no
+Whole texts are read; work is linear in their length. A region is as long as its digits go on (a table of
+numbers may be one region): beyond ``WINDOW`` atoms the sums run forwards once, keeping a row at each window's
+beginning, then backwards window by window, so that memory does not grow with the segments. Defined results: null or empty texts have no
 spans; repeated rows each get their row; a table without personal data fits nothing and adds
 nothing; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -35,6 +40,8 @@ KINDS = ("email", "ip", "card", "phone")
 LONGEST, CERTAIN = 20, 0.9
 SAMPLE, REGIONS, EPOCHS, RATE, L2 = 20_000, 1500, 6, 0.3, 1e-3
 _AROUND, _KEPT_SCORES = 24, 50_000
+#: Atoms of a region that are held at once; longer regions go through in windows.
+WINDOW = 2048
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -105,6 +112,11 @@ def atoms(text: str) -> list[int]:
     return [m.start() for m in _ATOM.finditer(text)] + [len(text)]
 
 
+def _starts(text: str, lo: int, hi: int) -> Iterator[int]:
+    """Places where the atoms of a region begin."""
+    return (m.start() for m in _ATOM.finditer(text, lo, hi))
+
+
 def _class(c: str) -> str:
     if not c:
         return "edge"
@@ -282,12 +294,86 @@ class SpanField:
             self.weights[key] += rate * g / math.sqrt(self.steps[key] + 1e-8)
         self._scores.clear()
 
+    def _in_windows(self, text: str, lo: int, hi: int, cuts: array, fixed: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """``added`` for one long region [lo, hi) whose atoms begin at ``cuts``: the same sums, with the rows of
+        one window of atoms at a time. The region stands alone: nothing beside it is looked at."""
+        part = text[lo:hi]
+        n, labels = len(cuts), len(KINDS) + 1
+        cuts = array("q", (c - lo for c in cuts))
+        cuts.append(hi - lo)
+        reach = list(itertools.accumulate((b for _, b in fixed), max))  # farthest end so far
+        move = [[self.weights.get((k, f"after{p}"), 0.0) for k in range(len(KINDS))] for p in range(labels)]
+
+        def window(first: int) -> list[list[tuple[int, int, float]]]:
+            """(end, kind, score) of the segments that begin at each atom of the window."""
+            last = min(n, first + WINDOW)
+            some = cuts[first : min(n, last + 2 * LONGEST) + 1].tolist()
+            near, far = bisect.bisect_right(reach, lo + some[0]), bisect.bisect_left(fixed, (lo + some[-1], 0))
+            taken = [a - lo for a, _ in fixed[near:far]]
+            upto = [b - lo for b in itertools.accumulate((b for _, b in fixed[near:far]), max)]
+            found: list[list[tuple[int, int, float]]] = [[] for _ in range(last - first)]
+            for i, j in segments(part, some):
+                if i >= last - first:
+                    break
+                a, b = some[i], some[j]
+                x = bisect.bisect_left(taken, b)
+                if x and upto[x - 1] > a:  # overlaps a base span
+                    continue
+                spans = features(part, a, b)
+                mail = "@" in spans
+                for k, score in enumerate(self.scores(spans)):
+                    if (k == 0) == mail:
+                        found[i].append((first + j, k, score))
+            return found
+
+        def forwards(first: int, row: list[float], ahead: dict, found: list) -> tuple[list[list[float]], list[float], dict]:
+            """The rows of the window, the row after it and what its segments leave to later places."""
+            ahead, rows = {at: {k: list(v) for k, v in kinds.items()} for at, kinds in ahead.items()}, []
+            for i, segs in enumerate(found):
+                rows.append(row)
+                into = {}
+                for j, k, score in segs:
+                    if k not in into:
+                        into[k] = _add([row[p] + move[p][k] for p in range(labels)])
+                    ahead.setdefault(j, {}).setdefault(k, []).append(score + into[k])
+                new = [_add(row), *[-math.inf] * len(KINDS)]
+                for k, values in ahead.pop(first + i + 1, {}).items():
+                    new[k + 1] = _add(values)
+                row = new
+            return rows, row, ahead
+
+        row, ahead, kept, likely = [0.0, *[-math.inf] * len(KINDS)], {}, [], False
+        for first in range(0, n, WINDOW):
+            kept.append((row, ahead))
+            found = window(first)
+            likely = likely or any(score >= 0 for segs in found for _, _, score in segs)
+            _, row, ahead = forwards(first, row, ahead, found)
+        if not likely:
+            return []
+        total = _add(row)
+        out, back = [], {n: [0.0] * labels}
+        for first in reversed(range(0, n, WINDOW)):
+            found = window(first)
+            rows, _, _ = forwards(first, *kept.pop(), found)
+            for i in range(len(found) - 1, -1, -1):
+                into = [(k, score + back[j][k + 1]) for j, k, score in found[i]]
+                back[first + i] = [_add([back[first + i + 1][0], *[v + move[p][k] for k, v in into]]) for p in range(labels)]
+                for j, k, score in found[i]:
+                    mass = sum(math.exp(v) for p in range(labels) if (v := rows[i][p] + move[p][k] + score + back[j][k + 1] - total) > -30)
+                    if mass >= CERTAIN:
+                        out.append((k, lo + cuts[first + i], lo + cuts[j]))
+            back = {at: back[at] for at in range(first, min(n, first + 2 * LONGEST) + 1)}
+        return out
+
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Spans of one text that the field adds to ``base``."""
         out = []
         fixed = sorted((a, b) for _, a, b in base)
         at = 0
         for lo, hi in regions(text):
+            if hi - lo > WINDOW and len(cuts := array("q", _starts(text, lo, hi))) > WINDOW:
+                out += self._in_windows(text, lo, hi, cuts, fixed)
+                continue
             while at < len(fixed) and fixed[at][1] <= lo:
                 at += 1
             here, x = [], at

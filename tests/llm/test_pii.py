@@ -117,3 +117,49 @@ def test_rows(spark, documents):
     assert P.find(none, P.fit(none)).count() == 0
     plain = documents([(1, "no data", "s")])
     assert P.find(plain, P.fit(plain)).first()["spans"] == ""
+
+
+def _field(seed=5):
+    """A field of arbitrary weights, some of them large, so that spans are found."""
+    field, rng = P.SpanField(), random.Random(seed)
+    for text in ("12 345 678 9012 ", "+1 23.4.5.6 a@b.cd 4539 5787 6362 1486 ", "(555) 123-4567; n 12"):
+        for i, j in P.segments(text, P.atoms(text)):
+            for f in P.features(text, P.atoms(text)[i], P.atoms(text)[j]):
+                for k in range(4):
+                    field.weights[k, f] = rng.uniform(-1.2, 1.6)
+    for p in range(5):
+        for k in range(4):
+            field.weights[k, f"after{p}"] = rng.uniform(-1, 1)
+    return field
+
+
+def test_windows_find_the_spans_of_the_whole_region(monkeypatch):
+    field, rng = _field(), random.Random(6)
+    found = 0
+    monkeypatch.setattr(P, "CERTAIN", 0.2)
+    for _ in range(30):
+        text = "".join(rng.choice(["12", "345 ", "678-", "9012 ", "+1 ", ".", "a@b.cd ", "x ", "(555) ", "10.2.3.4 ", "4539578763621486 ", "\n"]) for _ in range(150))
+        base = P.base_spans(text)
+        monkeypatch.setattr(P, "WINDOW", 1 << 30)
+        whole = sorted(field.added(text, base))
+        found += len(whole)
+        for window in (1, 7, 64):
+            monkeypatch.setattr(P, "WINDOW", window)
+            assert sorted(field.added(text, base)) == whole
+    assert found > 100
+
+
+def test_memory_does_not_grow_with_a_table_of_numbers(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(P, "WINDOW", 256)
+    field, peak = _field(), {}
+    for n in (100, 400):
+        text = "12 345 678 9012 " * n
+        base = P.base_spans(text)
+        field.added(text[:1600], [])
+        tracemalloc.start()
+        field.added(text, base)
+        peak[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert peak[400] < 30e6 and peak[400] < 1.5 * peak[100]
