@@ -22,7 +22,7 @@ rows is taken is arbitrary); extra columns are not read, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import bounded_broadcast, hash_order, running_total, stage, table
@@ -164,13 +164,36 @@ def _numbered(sized: DataFrame) -> DataFrame:
     return stage(once.unionByName(twice).drop("at"), "numbered")
 
 
+def write_mixed(documents: DataFrame, folder: str, **parameters) -> None:
+    """Write the mix for training: ``folder/shard=<n>/`` holds the shard's rows (``row``: the columns of
+    ``documents``, a row for each copy) in its shuffled order, the order of ``place``."""
+    cols = [F.col(f"`{c}`") for c in documents.columns]
+    sized = _numbered(stage(sizes(documents), "sizes"))
+    taken = stage(mixed(sized, **parameters).select(*_KEY, "shard", F.col("key").alias("place")), "mix")
+    docs = documents.select(F.struct(*cols).alias("row"), F.col("doc_id"), F.md5("text").alias("th"), F.col("source").cast("string").alias("source"))
+    again = _repeated(sized)
+    if not again.isEmpty():  # rows of equal key are given out as copies of one of them
+        twice = docs.alias("d").join(again.alias("x"), _on("d", "x"), "left_semi").dropDuplicates(_KEY)
+        docs = docs.alias("d").join(again.alias("x"), _on("d", "x"), "left_anti").unionByName(twice)
+    rows = taken.alias("m").join(docs.alias("d"), _on("m", "d")).select("d.row", "m.place", "m.shard")
+    rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(folder)
+
+
+def read_mixed(spark: SparkSession, folder: str, shard: int) -> DataFrame:
+    """The rows of one shard in their order, with the columns of the documents."""
+    return spark.read.parquet(folder).where(F.col("shard") == shard).orderBy("place").select("row.*")
+
+
 def op6_mix(spark, sf_dir):
+    """The contract's columns and ``shards``: the output shards that take the document's copies, first pass
+    first, comma-joined (empty if none does)."""
     sized = _numbered(stage(sizes(table(spark, sf_dir, "documents")), "sizes"))
     goal = stage(targets(sized), "goals").toDF("src", "source_size", "target")
-    per = mixed(sized).groupBy(*_KEY, "twin").agg(F.sum("size").alias("taken"))
+    dealt = F.transform(F.sort_array(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"].cast("string"))  # at most a copy a pass
+    per = mixed(sized).groupBy(*_KEY, "twin").agg(F.sum("size").alias("taken"), F.array_join(dealt, ",").alias("shards"))
     out = sized.alias("d").join(stage(per, "per-document").alias("x"), [*_on("d", "x"), F.col("d.twin") == F.col("x.twin")], "left")
-    out = out.select("d.doc_id", "d.size", "d.source", F.coalesce("x.taken", F.lit(0)).cast("long").alias("taken"))
-    return out.join(bounded_broadcast(goal), _same("source", "src")).select("doc_id", "size", "source_size", "target", "taken")
+    out = out.select("d.doc_id", "d.size", "d.source", F.coalesce("x.taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("x.shards", F.lit("")).alias("shards"))
+    return out.join(bounded_broadcast(goal), _same("source", "src")).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 OP6_SQL = r"""
@@ -186,7 +209,34 @@ water AS (SELECT min_by(level, ratio) AS water FROM levels WHERE ratio > level),
 t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), CAST(coalesce((SELECT water FROM water) * weight, cap) AS DOUBLE)) AS target FROM w),
 c AS (SELECT doc_id, source, size, p, md5('mix|' || p || '|' || doc_id || '|' || coalesce(md5(text), '')) AS k FROM d, (VALUES (0), (1)) v(p)),
 r AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY p, k ROWS UNBOUNDED PRECEDING) - size AS begin FROM c),
-taken AS (SELECT r.doc_id, sum(size) AS taken FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source WHERE size > 0 AND begin + size / 2 <= target GROUP BY 1)
-SELECT d.doc_id, d.size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+copies AS (
+  SELECT r.doc_id, r.source, size, p, begin FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source WHERE size > 0 AND begin + size / 2 <= target),
+cut AS (SELECT *, CAST(floor(begin / greatest(1, (SELECT sum(size) FROM copies) // 512)) AS BIGINT) AS block FROM copies),
+n0 AS (SELECT source, unnest(range(max(block) + 1)) AS block, 0 AS lo, 8 AS hi FROM cut GROUP BY source),
+k1 AS (
+  SELECT *, (lo + hi + 1) // 2 AS mid, row_number() OVER (PARTITION BY lo, hi ORDER BY md5('mix-1|' || coalesce(source, '') || '|' || block)) - 1 AS rank,
+         count(*) OVER (PARTITION BY lo, hi) AS n FROM n0),
+n1 AS (
+  SELECT source, block, CASE WHEN l THEN lo ELSE mid END AS lo, CASE WHEN l THEN mid ELSE hi END AS hi
+  FROM (SELECT *, rank < n * (mid - lo) // (hi - lo) AS l FROM k1)),
+k2 AS (
+  SELECT *, (lo + hi + 1) // 2 AS mid, row_number() OVER (PARTITION BY lo, hi ORDER BY md5('mix-2|' || coalesce(source, '') || '|' || block)) - 1 AS rank,
+         count(*) OVER (PARTITION BY lo, hi) AS n FROM n1),
+n2 AS (
+  SELECT source, block, CASE WHEN l THEN lo ELSE mid END AS lo, CASE WHEN l THEN mid ELSE hi END AS hi
+  FROM (SELECT *, rank < n * (mid - lo) // (hi - lo) AS l FROM k2)),
+k3 AS (
+  SELECT *, (lo + hi + 1) // 2 AS mid, row_number() OVER (PARTITION BY lo, hi ORDER BY md5('mix-3|' || coalesce(source, '') || '|' || block)) - 1 AS rank,
+         count(*) OVER (PARTITION BY lo, hi) AS n FROM n2),
+n3 AS (
+  SELECT source, block, CASE WHEN l THEN lo ELSE mid END AS lo, CASE WHEN l THEN mid ELSE hi END AS hi
+  FROM (SELECT *, rank < n * (mid - lo) // (hi - lo) AS l FROM k3)),
+quotas AS (SELECT source, lo AS shard, count(*) AS quota FROM n3 GROUP BY 1, 2),
+runs AS (
+  SELECT *, coalesce(sum(quota) OVER (PARTITION BY source ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM quotas),
+taken AS (
+  SELECT c.doc_id, sum(c.size) AS taken, string_agg(CAST(q.shard AS VARCHAR), ',' ORDER BY p) AS shards
+  FROM cut c JOIN runs q ON c.source IS NOT DISTINCT FROM q.source AND c.block >= q.first AND c.block < q.first + q.quota GROUP BY 1)
+SELECT d.doc_id, d.size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, coalesce(shards, '') AS shards
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN taken USING (doc_id)
 """

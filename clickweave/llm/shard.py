@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import running_total, stage, table
+from clickweave.llm.common import bounded_broadcast, running_total, stage, table
 
 BITS, SHARDS = 16, 8
 DIMENSIONS = ("lang", "source", "n_chars")
@@ -121,15 +121,35 @@ def curve_shards(
     return out.select("doc_id", "size", "text_crc32", *[F.col(a).alias(b) for a, b in zip(names, dimensions, strict=True)], "curve", "shard", "slot")
 
 
-def write_shards(df: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", **parameters) -> None:
-    """Write ``df`` to ``path/shard=<n>/``, rows of a file in curve order."""
-    assigned = stage(curve_shards(df, doc_id=doc_id, text=text, **parameters), "assigned")
-    key = assigned.groupBy("doc_id", "text_crc32").agg(F.min("shard").alias("shard"), F.min("curve").alias("_curve"))
-    key = key.select(F.col("doc_id").alias("_d"), F.col("text_crc32").alias("_c"), "shard", "_curve")
+def write_shards(df: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", dimensions: Sequence[str] = DIMENSIONS, **parameters) -> str:
+    """Write the rows of ``df`` to the shards ``curve_shards`` gives them, ``path/shard=<n>/``, rows of a file in
+    curve order; returns the partition column's name, ``shard`` with as many ``_`` as ``df`` forces. Rows
+    that are alike in id, text and dimensions change places at most among themselves."""
+    assigned = curve_shards(df, doc_id=doc_id, text=text, dimensions=dimensions, **parameters)
+    names = ["doc_id", "size", "text_crc32", *[f"dim{i}" for i in range(len(dimensions))]]
+    assigned = stage(assigned.toDF(*names, "curve", "shard", "slot"), "assigned")
     body = F.coalesce(F.col(text), F.lit(""))
-    on = F.col(doc_id).eqNullSafe(F.col("_d")) & (F.crc32(body) == F.col("_c"))
-    rows = df.join(key, on).drop("_d", "_c").repartitionByRange("shard", "_curve", doc_id)
-    rows.sortWithinPartitions("shard", "_curve").drop("_curve").write.partitionBy("shard").parquet(path)
+    values = [F.col(doc_id), F.octet_length(body).cast("long") + 1, F.crc32(body), *[F.col(d) for d in dimensions]]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[v.alias(k) for k, v in zip(names, values, strict=True)])
+    on = [F.col(f"d.{k}").eqNullSafe(F.col(f"x.{k}")) for k in names]
+    again = stage(assigned.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names), "again")
+    once, repeated = rows, not again.isEmpty()
+    if repeated:
+        few = bounded_broadcast(again).alias("x")
+        once = rows.alias("d").join(few, on, "left_anti")
+        marked = stage(rows.alias("d").join(few, on, "left_semi").withColumn("at", F.monotonically_increasing_id()), "repeated")
+        marked = running_total(marked, names, ["at"], {"twin": F.lit(1)}, name="row-twins")
+        places = running_total(assigned.alias("d").join(few, on, "left_semi"), names, ["shard", "slot"], {"twin": F.lit(1)}, name="place-twins")
+        twice = marked.alias("d").join(places.alias("x"), [*on, F.col("d.twin") == F.col("x.twin")]).select("d.row", "x.shard", "x.curve", "x.slot")
+        assigned = assigned.alias("d").join(few, on, "left_anti")
+    out = once.alias("d").join(assigned.alias("x"), on).select("d.row", "x.shard", "x.curve", "x.slot")
+    out = out.unionByName(twice) if repeated else out
+    name = "shard"
+    while name in df.columns:
+        name += "_"
+    out = out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    out.select("row.*", F.col("shard").alias(name)).write.partitionBy(name).parquet(path)
+    return name
 
 
 def shard_boxes(assigned: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:

@@ -105,3 +105,18 @@ def test_query_over_repeated_rows(spark, documents, tmp_path):
 def test_permutation_key_is_md5(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id bigint, th string")
     assert df.select(X.hash_order("mix", "doc_id", "th")).first()[0] == hashlib.md5(b"mix|1|x").hexdigest()
+
+
+def test_written_shards_hold_the_mix_in_its_order(spark, documents, tmp_path):
+    df = documents(_docs()).selectExpr("*", "1 AS shard", "2 AS place", "3 AS row")
+    X.write_mixed(df, str(tmp_path / "mix"), shards=3)
+    want = {}
+    for r in X.mixed(X.sizes(df), shards=3).collect():
+        want.setdefault(r["shard"], []).append((r["key"], r["doc_id"]))
+    quotas = []
+    for shard in range(3):
+        rows = X.read_mixed(spark, str(tmp_path / "mix"), shard)
+        assert rows.columns == df.columns
+        assert [r["doc_id"] for r in rows.collect()] == [d for _, d in sorted(want[shard], key=lambda x: x[0])]
+        quotas.append(sum(len(r["text"].split()) for r in rows.collect()))
+    assert max(quotas) < 1.3 * min(quotas)  # block quotas are even, blocks about equal

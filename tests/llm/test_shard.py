@@ -54,3 +54,30 @@ def test_written_shards_and_pruning(spark, documents, tmp_path):
     left = {r["shard"] for r in S.prune(S.shard_boxes(assigned), source=("s1", "s1"), n_chars=(0, 3)).collect()}
     need = {r["shard"] for r in assigned.where("source = 's1' AND n_chars <= 3").collect()}
     assert need <= left and len(left) < 8
+
+
+def test_every_row_goes_to_the_shard_it_was_given(spark, tmp_path):
+    """Repeated rows are dealt over shards too; columns may have any names."""
+    rows = [(i % 7, "same" if i % 3 else f"t{i}", "en", "s", i % 2) for i in range(90)] + [(None, None, None, None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df = df.selectExpr("*", "1 AS shard", "2 AS _c", "3 AS _d", "4 AS _curve", "5 AS row", "6 AS slot", "7 AS `a.b`")
+    assert S.write_shards(df, str(tmp_path / "out")) == "shard_"
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, back.drop("shard_").collect())) == sorted(map(repr, df.collect()))
+    key = lambda r: (r["doc_id"], len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()))
+    want = sorted(((r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in S.curve_shards(df).collect()), key=repr)
+    assert sorted(((*key(r), r["shard_"]) for r in back.collect()), key=repr) == want
+
+
+def test_the_curve_nests_in_sub_cubes(spark):
+    """Every aligned sub-cube is one run of the curve, as in the recursive definition, at every size."""
+    for n, bits in ((2, 4), (3, 3)):
+        cells = list(itertools.product(range(1 << bits), repeat=n))
+        df = spark.createDataFrame(cells, [f"x{i}" for i in range(n)])
+        place = {tuple(r)[:n]: r["h"] for r in df.withColumn("h", S.hilbert_index([F.col(f"x{i}") for i in range(n)], bits)).collect()}
+        for b in range(1, bits):
+            cubes = {}
+            for c in cells:
+                cubes.setdefault(tuple(v >> b for v in c), []).append(place[c])
+            for hs in cubes.values():
+                assert max(hs) - min(hs) + 1 == len(hs) == 1 << (n * b) and min(hs) % len(hs) == 0
