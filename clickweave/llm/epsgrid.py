@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import components, running_total, shuffle_parts, stage, table
+from clickweave.llm.common import components, lookup, running_total, ship_code, shuffle_parts, stage, table
 
 THRESHOLD = 0.98
 LEAD, BLOCK, BLOCK_BYTES, FANOUT, SAMPLE = 4, 256, 1 << 21, 8, 20_000
@@ -244,6 +244,7 @@ def _joined(blocks: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
 def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept (vec_id = component_id)."""
+    ship_code(vectors.sparkSession)
     eps = sqrt(2 - 2 * threshold) + 1e-6
     vec = F.col("vec")
     usable = F.coalesce(
@@ -262,14 +263,16 @@ def near_vectors(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "e
     found = _joined(blocks, _block_pairs(blocks, eps), threshold)
     counts = found.where("other IS NULL").groupBy("fp").agg(F.sum("links").alias("n_links"))
     comp = components(found.where("other IS NOT NULL").select(F.col("fp").alias("a"), F.col("other").alias("b")))
-    per = counts.join(comp.toDF("fp", "component"), "fp", "left").select("fp", "n_links", F.coalesce("component", "fp").alias("component"))
-    named = stage(ids.join(stage(per, "per-vector"), "fp", "left").select("vec_id", "n_links", "component"), "named")
-    low = stage(named.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("low")), "lowest")
-    out = named.join(low, "component", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("component").isNull(), F.col("vec_id")).otherwise(F.col("low")).alias("component_id"),
-    )
-    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    per = one.select("fp", "n").join(counts, "fp", "left").join(comp.toDF("fp", "component"), "fp", "left")
+    ids = stage(ids, "ids")
+    least = ids.where("fp IS NOT NULL").groupBy("fp").agg(F.min("vec_id").alias("least"))
+    per = per.join(least, "fp").select("fp", "n", "least", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "fp").alias("component"))
+    per = stage(per, "per-vector")  # a row for each different vector
+    low = stage(per.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("sets")), "lowest")
+    named = stage(lookup(per.drop("least"), low, ["component"], "sets"), "named")
+    out = lookup(ids.where("fp IS NOT NULL"), named, ["fp"], "n").select("vec_id", "n_links", "component_id")
+    alone = ids.where("fp IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op5_epsgrid(spark, sf_dir):

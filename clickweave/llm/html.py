@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import table
+from clickweave.llm.common import ship_code, table
 
 WINDOW, SURGE = 3, 80
 #: Longer tags are taken for stray characters, so that the scan stays linear.
@@ -340,6 +340,7 @@ def main_text(html: str | None) -> str:
 
 def extract(pages: DataFrame, *, html: str = "html") -> DataFrame:
     """page_id, url, text (empty if none), n_chars of each page."""
+    ship_code(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm import words as W
-from clickweave.llm.common import running_total, scratch, shuffle_parts, stage, table
+from clickweave.llm.common import running_total, scratch, ship_code, shuffle_parts, stage, table
 
 END_ID = 1
 _HEAD, _CRC, _OWN, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB"), struct.Struct("<QQq")
@@ -267,6 +267,7 @@ def write_records(documents: DataFrame, tokenizer_path: str, folder: str | None
     """Encode ``documents`` (doc_id, text) and write them as record files under ``folder`` (by
     default a new one in the shared scratch folder). Returns the manifest."""
     spark = documents.sparkSession
+    ship_code(spark)
     folder = folder or scratch(spark, "records")
     with open(tokenizer_path, encoding="utf-8") as f:
         model = spark.sparkContext.broadcast(f.read())  # one tokenizer file
@@ -309,6 +310,7 @@ def write_records(documents: DataFrame, tokenizer_path: str, folder: str | None
 def read_records(manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of every record, read back from the files; start
     counts the ids of all records before it. Checksums are verified."""
+    ship_code(manifest.sparkSession)
     files = running_total(manifest.select("part", "file", "tokens"), [], ["part"], {"first": F.col("tokens")}, name="files")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,6 +343,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_index(manifest: DataFrame) -> DataFrame:
     """(file, offset, length, doc_id) of every record, from the index files alone."""
+    ship_code(manifest.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

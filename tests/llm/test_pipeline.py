@@ -45,5 +45,5 @@ def test_oracles_match(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in catalog.QUERIES) == list(range(1, 14))
     assert os.path.exists(os.path.join(os.path.dirname(corpus_pipeline.__file__), "__spark_entry__.py"))
