@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickweave.sources.schema import ACCEPTED_EVENT_TYPES
@@ -95,6 +95,20 @@ def check_non_negative(df: DataFrame, column: str, table: str) -> DataFrame:
     return _summary(df, "non_negative", table, column, F.count_if(F.col(column) < 0))
 
 
+def _row_rules(
+    not_null: Sequence[str], accepted_values: dict[str, Sequence[str]] | None, non_negative: Sequence[str], min_value: dict[str, float] | None
+) -> list[tuple[str, str, F.Column]]:
+    """(check name, column, condition of a violation) of every row-level rule."""
+    rules: list[tuple[str, str, F.Column]] = []
+    rules += [("not_null", c, F.col(c).isNull()) for c in not_null]
+    for c, values in (accepted_values or {}).items():
+        rules.append(("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(list(values))))
+    rules += [("non_negative", c, F.col(c) < 0) for c in non_negative]
+    for c, low in (min_value or {}).items():
+        rules.append(("non_negative_duration" if c == "session_duration_sec" else "min_value", c, F.col(c) < low))
+    return rules
+
+
 # All row-level rules of one table in one scan --------------------------------------------------
 def check_table(
     df: DataFrame,
@@ -108,13 +122,7 @@ def check_table(
     """Q2, Q3, Q5, Q6 for one table from a single aggregate (one scan of the table however many
     rules), unpivoted to the summary shape. ``min_value`` = {column: lowest allowed value}, e.g.
     ``{"session_duration_sec": -60}`` for a clock-skew tolerance."""
-    rules: list[tuple[str, str, F.Column]] = []
-    rules += [("not_null", c, F.col(c).isNull()) for c in not_null]
-    for c, values in (accepted_values or {}).items():
-        rules.append(("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(list(values))))
-    rules += [("non_negative", c, F.col(c) < 0) for c in non_negative]
-    for c, low in (min_value or {}).items():
-        rules.append(("non_negative_duration" if c == "session_duration_sec" else "min_value", c, F.col(c) < low))
+    rules = _row_rules(not_null, accepted_values, non_negative, min_value)
     counts = df.agg(*[F.count_if(cond).alias(f"r{i}") for i, (_, _, cond) in enumerate(rules)])
     pairs = ", ".join(f"'{name}', '{col}', r{i}" for i, (name, col, _) in enumerate(rules))
     long = counts.selectExpr(f"stack({len(rules)}, {pairs}) AS (check_name, column_name, n_violations)")
@@ -124,6 +132,34 @@ def check_table(
     )
 
 
+class WriteChecks:
+    """The row-level rules of one table, counted by the job that writes it: ``watch`` the rows right before
+    the write, then read the ``summary`` after it, with no scan of what was written. ``watch`` must be
+    the last step, behind any exchange, so that each row passes it once."""
+
+    def __init__(
+        self, table: str, *, not_null: Sequence[str] = (), accepted_values: dict[str, Sequence[str]] | None = None,
+        non_negative: Sequence[str] = (), min_value: dict[str, float] | None = None,
+    ):
+        self.table, self.rules = table, _row_rules(not_null, accepted_values, non_negative, min_value)
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self.spark = df.sparkSession
+        counts = [F.count_if(cond).alias(f"r{i}") for i, (_, _, cond) in enumerate(self.rules)]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("n_rows"), *counts)
+
+    @property
+    def rows(self) -> int:
+        return self.observation.get["n_rows"]
+
+    def summary(self) -> DataFrame:
+        """Rows like those of ``check_table``."""
+        got = self.observation.get
+        rows = [(name, self.table, column, got[f"r{i}"]) for i, (name, column, _) in enumerate(self.rules)]
+        return self.spark.createDataFrame(rows, "check_name string, table_name string, column_name string, n_violations bigint")
+
+
 def run_checks(checks: Iterable[DataFrame]) -> DataFrame:
     """Union of summary rows; ``passed`` = no violation."""
     out = reduce(DataFrame.unionByName, list(checks))

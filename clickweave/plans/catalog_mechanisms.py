@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweave.plans import medallion as m
 from clickweave.plans import oracle as o
+from clickweave.plans import catalog as c
 from clickweave.plans.catalog import _BRONZE_COLS, _SILVER_COLS, _SILVER_SQL_COLS, ORACLE, query
 
 _LOADS = ("2024-01-11", "2024-01-21")
@@ -275,3 +276,82 @@ def l9_ks_distance(spark, sf_dir):
     from clickweave.operators.drift import ks_distance
 
     return ks_distance(_split_features(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# J1, J3, J4 over bucketed tables; Q2, Q3, Q5 counted by the write itself
+
+BUCKETS = 8
+
+
+def _bucketed(spark, df, key):
+    import uuid
+
+    from clickweave.sinks.bucketed import write_bucketed
+
+    (path,) = _scratch(spark, "bucketed")
+    return write_bucketed(df, f"bucketed_{uuid.uuid4().hex[:12]}", key, BUCKETS, path)
+
+
+@query("j1_bucketed_attach", ORACLE["j1_attach_sessions"])
+def j1_bucketed_attach(spark, sf_dir):
+    """J1 between staged events and silver, both written bucketed by event id: no exchange."""
+    from clickweave.sinks.bucketed import attach
+
+    staged = _bucketed(spark, m.staged(spark, sf_dir), "event_id")
+    return attach(staged, _bucketed(spark, m.silver(spark, sf_dir, m.TIMEOUT_SHORT, with_sequence=False), "event_id"))
+
+
+@query(
+    "j3_bucketed_orphans",
+    o.gold(1800, o.FCT)
+    + """SELECT f.event_id, f.computed_session_id FROM fct f
+WHERE NOT EXISTS (SELECT 1 FROM metrics s WHERE s.computed_session_id = f.computed_session_id AND s.total_events > 1)""",
+)
+def j3_bucketed_orphans(spark, sf_dir):
+    """J3 between events and the sessions of more than one event, both bucketed by session: the events whose
+    session is not among them."""
+    from clickweave.operators.metrics import session_metrics
+    from clickweave.operators.star import fact_events
+    from clickweave.sinks.bucketed import unmatched
+
+    silver = m.silver_table(spark, sf_dir)
+    fct = _bucketed(spark, fact_events(silver), "computed_session_id")
+    long = _bucketed(spark, session_metrics(silver).where("total_events > 1"), "computed_session_id")
+    return unmatched(fct, long, "computed_session_id").select("event_id", "computed_session_id")
+
+
+@query("k4_bucketed_upsert", ORACLE["k4_upsert"])
+def k4_bucketed_upsert(spark, sf_dir):
+    from clickweave.sinks.bucketed import merged
+
+    _, target, updates = c._loads(spark, sf_dir)
+    return merged(_bucketed(spark, target, "event_id"), _bucketed(spark, updates, "event_id"), "event_id")
+
+
+@query(
+    "q2_write_checks",
+    c._checks_sql(
+        c._not_null_sql("fct_events", c._FCT_NOT_NULL, "fct"),
+        c._Q3_SUMMARY_SQL.split("UNION ALL ")[1],
+        c._not_null_sql("mart_ml_features", c._FEAT_NOT_NULL, "features"),
+        c._Q5_SQL,
+    ),
+)
+def q2_write_checks(spark, sf_dir):
+    """The row-level data tests of facts and features, counted while the tables are written."""
+    from clickweave.operators import quality as q
+    from clickweave.operators.metrics import feature_store, session_metrics
+    from clickweave.operators.star import fact_events
+    from clickweave.plans.layers import FCT_LAYOUT, FCT_RULES, MART_LAYOUT, MART_RULES
+    from clickweave.sinks.tables import write_clustered
+
+    silver, out = m.silver_table(spark, sf_dir), []
+    for name, df, layout, rules in (
+        ("fct_events", fact_events(silver), FCT_LAYOUT, FCT_RULES),
+        ("mart_ml_features", feature_store(session_metrics(silver)), MART_LAYOUT, MART_RULES),
+    ):
+        checks = q.WriteChecks(name, **rules)
+        write_clustered(df, *_scratch(spark, name), **layout, checks=checks)
+        out.append(checks.summary())
+    return q.run_checks(out)

@@ -52,6 +52,11 @@ from clickweave.sources.schema import ACCEPTED_EVENT_TYPES
 SILVER_PARTITIONS = ("event_year", "event_month")
 FCT_LAYOUT = {"partition_cols": ["event_date"], "cluster_cols": ["event_type"]}
 MART_LAYOUT = {"partition_cols": ["data_partition"], "cluster_cols": ["is_purchased"]}
+FCT_RULES = {
+    "not_null": ("event_id", "event_timestamp", "user_id", "computed_session_id"),
+    "accepted_values": {"event_type": ACCEPTED_EVENT_TYPES},
+}
+MART_RULES = {"not_null": ("computed_session_id", "is_purchased"), "min_value": {"session_duration_sec": 0}}
 _LOG, _READY = "_refresh", "_READY"
 
 
@@ -84,14 +89,15 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str, *, timeout_s
     events, counts = staged_events(spark, bronze)
     tables.write_silver(sessionize(events, timeout_seconds), p["silver"])
     silver = spark.read.parquet(p["silver"])
-    tables.write_clustered(fact_events(silver), p["fct_events"], **FCT_LAYOUT)
-    tables.write_clustered(feature_store(session_metrics(silver)), p["mart_ml_features"], **MART_LAYOUT)
+    watched = q.WriteChecks("fct_events", **FCT_RULES), q.WriteChecks("mart_ml_features", **MART_RULES)
+    tables.write_clustered(fact_events(silver), p["fct_events"], **FCT_LAYOUT, checks=watched[0])
+    tables.write_clustered(feature_store(session_metrics(silver)), p["mart_ml_features"], **MART_LAYOUT, checks=watched[1])
     dim_users(silver).write.mode("overwrite").parquet(p["dim_users"])
     dim_products(silver, with_order_key=True).write.mode("overwrite").parquet(p["dim_products"])
     session_state(silver).write.mode("overwrite").parquet(p["session_state"])
     _log_run(counts, "build", p["run_log"])
     release(spark, events)
-    return data_tests(spark, root)
+    return data_tests(spark, root, row_rules=[w.summary() for w in watched])
 
 
 def _month() -> F.Column:
@@ -306,23 +312,19 @@ def _compute(spark: SparkSession, new_bronze: DataFrame, p: dict[str, str], log:
     return late_new
 
 
-def data_tests(spark: SparkSession, root: str) -> DataFrame:
-    """Q1-Q5 over the written gold tables."""
+def data_tests(spark: SparkSession, root: str, *, row_rules: list[DataFrame] | None = None) -> DataFrame:
+    """Q1-Q5 over the written gold tables. ``row_rules``: the summaries of the row-level rules where the
+    write has counted them; else the tables are scanned for them."""
     p = paths(root)
     fct = spark.read.parquet(p["fct_events"])
     feats = spark.read.parquet(p["mart_ml_features"])
+    if row_rules is None:
+        row_rules = [q.check_table(fct, "fct_events", **FCT_RULES), q.check_table(feats, "mart_ml_features", **MART_RULES)]
     return q.run_checks(
         [
             q.check_unique(fct, "event_id", "fct_events"),
-            q.check_table(
-                fct, "fct_events", not_null=("event_id", "event_timestamp", "user_id", "computed_session_id"),
-                accepted_values={"event_type": ACCEPTED_EVENT_TYPES},
-            ),
             q.check_relationship(fct, feats, "computed_session_id", "fct_events"),
             q.check_unique(feats, "computed_session_id", "mart_ml_features"),
-            q.check_table(
-                feats, "mart_ml_features", not_null=("computed_session_id", "is_purchased"),
-                min_value={"session_duration_sec": 0},
-            ),
+            *row_rules,
         ]
     )

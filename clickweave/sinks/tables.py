@@ -183,11 +183,13 @@ def write_clustered(
     num_partitions: int | None = None,
     mode: str = "overwrite",
     dynamic: bool = False,
+    checks=None,
 ) -> None:
     """K7: clustered layout: directory partitions on the low-cardinality column(s), rows range-
     partitioned and sorted inside each file on the clustering columns (tight min/max stats per
     file, so Parquet row-group skipping works for the clustered predicates). ``dynamic`` replaces
-    only the partitions that ``df`` has rows of. A deterministic row
+    only the partitions that ``df`` has rows of. ``checks`` (``operators.quality.WriteChecks``)
+    count their rules' violations in the write itself. A deterministic row
     hash ends the range key, so one hot (date, type) value is spread over several range
     partitions instead of landing in one task; files stay ordered by the clustering columns."""
     keys = list(partition_cols) + [c for c in cluster_cols if c not in partition_cols]
@@ -200,6 +202,7 @@ def write_clustered(
         else with_spread.repartitionByRange(*range_keys)
     )
     out = ranged.sortWithinPartitions(*keys).drop("_spread")
+    out = checks.watch(out) if checks is not None else out
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.partitionBy(*partition_cols).parquet(path)
 

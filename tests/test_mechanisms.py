@@ -168,3 +168,33 @@ def test_prefix_sums_over_a_hot_key(spark):
 
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     assert got.exceptAll(df.withColumn("run", F.sum("v").over(w))).isEmpty() and got.count() == 20_000
+
+
+def test_write_checks_equal_a_scan(spark, tmp_dir):
+    """Each row is counted once, also behind the range exchange of a clustered write."""
+    from clickweave.operators import quality as q
+    from clickweave.sinks.tables import write_clustered
+
+    df = spark.range(5000).selectExpr("id AS event_id", "IF(id % 7 = 0, NULL, id) AS user_id", "IF(id % 5 = 0, 'x', 'view') AS event_type", "id % 3 AS d", "id - 40 AS price")
+    rules = {"not_null": ("event_id", "user_id"), "accepted_values": {"event_type": ("view",)}, "non_negative": ("price",), "min_value": {"d": 1}}
+    checks = q.WriteChecks("t", **rules)
+    path = os.path.join(tmp_dir, "t")
+    write_clustered(df, path, ["d"], ["event_type"], num_partitions=4, checks=checks)
+    want = q.check_table(spark.read.parquet(path), "t", **rules)
+    assert sorted(map(tuple, checks.summary().collect())) == sorted(map(tuple, want.collect()))
+    assert checks.rows == 5000
+
+
+def test_bucketed_joins_by_brute_force(spark, tmp_dir):
+    from clickweave.sinks import bucketed as b
+
+    t = spark.range(200).selectExpr("IF(id % 10 = 3, NULL, id) AS k", "id AS a", "concat('s', id) AS computed_session_id")
+    u = spark.range(150, 260).selectExpr("id AS k", "-id AS a", "1 AS extra")
+    names = [f"t_bucket_{os.path.basename(tmp_dir).replace('-', '_')}_{i}" for i in range(2)]
+    left, right = (b.write_bucketed(df, n, "k", 4, os.path.join(tmp_dir, n)) for df, n in zip((t, u), names, strict=True))
+    assert sorted(r[0] for r in b.unmatched(left, right, "k").select("k").collect()) == [i for i in range(150) if i % 10 != 3]
+    got = {(r["k"], r["a"], r["extra"]) for r in b.merged(left, right, "k").collect()}
+    assert got == {(None if i % 10 == 3 else i, i, None) for i in range(200) if i < 150 or i % 10 == 3} | {(i, -i, 1) for i in range(150, 260)}
+    assert b.attach(right, left, "k").where("computed_session_id IS NULL").count() == 60 + 5
+    b.drop_bucketed(spark, *names)
+    assert not spark.catalog.tableExists(names[0])

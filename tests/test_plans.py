@@ -13,7 +13,7 @@ from clickweave.plans import catalog
 from testdata import SF_CHECK
 
 #: Queries with an oracle that are plans, not jobs that write tables or fit models first.
-_JOBS = ("s1_", "s3_", "k1_", "k3_", "k4_upsert_table", "k7", "k9", "k10", "k11", "k12", "t2", "e2", "e3", "l1", "l2", "l5", "l8")
+_JOBS = ("s1_", "s3_", "k1_", "k3_", "k4_upsert_table", "k7", "k9", "k10", "k11", "k12", "t2", "e2", "e3", "l1", "l2", "l5", "l8", "t1_running", "t1_late", "p16_stream", "a13_distinct", "q2_write")
 NON_ML = [k for k in catalog.ORACLE if not k.startswith(_JOBS)]
 
 
@@ -62,3 +62,10 @@ def test_scans_are_pruned_and_filtered(spark):
     assert part and all("p_retailprice" not in s and "p_size" not in s for s in part)
     events = [s for s in scans if "events.parquet" in s]
     assert events and all("PushedFilters" in s for s in events)
+
+
+@pytest.mark.parametrize("name,sides", [("j1_bucketed_attach", 2), ("j3_bucketed_orphans", 2), ("k4_bucketed_upsert", 2)])
+def test_bucketed_joins_move_no_rows(spark, name, sides):
+    text = plan_text(entry.queries()[name](spark, SF_CHECK))
+    assert not nodes(text, "Exchange") and not nodes(text, "BroadcastExchange"), text
+    assert len(nodes(text, "SortMergeJoin")) == 1 and text.count("Bucketed: true") >= sides
