@@ -355,3 +355,46 @@ def q2_write_checks(spark, sf_dir):
         write_clustered(df, *_scratch(spark, name), **layout, checks=checks)
         out.append(checks.summary())
     return q.run_checks(out)
+
+
+# ---------------------------------------------------------------------------------------------
+# A test period given as raw CSV
+
+
+_RAW_CLICK = """raw_click AS (
+    SELECT * REPLACE (date_trunc('second', event_timestamp) AS event_timestamp, CAST(CAST(price AS FLOAT) AS DOUBLE) AS price,
+                      CAST(user_id AS INTEGER) AS user_id) FROM click
+)"""
+#: Raw rows have no source id: rows alike in all raw columns are one event.
+_RAW_STG = """raw_stg AS (
+    SELECT DISTINCT event_timestamp, lower(trim(event_type)) AS event_type, product_id, category_id, lower(trim(category_code)) AS category_code,
+           lower(trim(brand)) AS brand, price, CAST(user_id AS BIGINT) AS user_id, user_session, 0 AS src_event_id
+    FROM raw_click WHERE user_id IS NOT NULL AND NOT coalesce(price < 0, false)
+)"""
+
+
+@query(
+    "s4_raw_features",
+    o.with_(o.CLICK, _RAW_CLICK, _RAW_STG, o.silver(43200, "raw_stg"), o.METRICS, o.FEATURE_STORE) + o.rounded("features"),
+)
+def s4_raw_features(spark, sf_dir):
+    """The features that an evaluation on raw CSV files scores."""
+    from clickweave.plans.training import features_from_raw
+    from clickweave.sources.driver_events import write_raw_csv
+
+    (folder,) = _scratch(spark, "raw-csv")
+    write_raw_csv(m.clicks(spark, sf_dir), folder)
+    return features_from_raw(spark, folder, timeout_seconds=m.TIMEOUT_LONG)
+
+
+@query("k11_raw_report")
+def k11_raw_report(spark, sf_dir):
+    """A model trained on the tables, evaluated on the later period's raw CSV files."""
+    from clickweave.plans.training import evaluate_raw, train
+    from clickweave.sources.driver_events import write_raw_csv
+
+    folder, model_dir, report_dir = _scratch(spark, "raw-csv", "model", "report")
+    later = F.col("event_timestamp") >= F.lit(m.OOT_CUTOFF).cast("timestamp_ntz")
+    write_raw_csv(m.clicks(spark, sf_dir).where(later), folder)
+    train(spark, c._oot_frames(spark, sf_dir)[0], model_dir)
+    return evaluate_raw(spark, folder, model_dir, report_dir, timeout_seconds=m.TIMEOUT_LONG)

@@ -7,10 +7,17 @@ ROC-AUC, PR-AUC and the ranked importances.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from clickweave.operators import ml
+from clickweave.operators.incremental import latest_per_key
+from clickweave.operators.metrics import feature_store, session_metrics
+from clickweave.operators.sessions import DEFAULT_TIMEOUT_SECONDS, sessionize
+from clickweave.operators.staging import stage_events
+from clickweave.plans.bronze import bronze_frames
 
 
 def train(
@@ -41,3 +48,18 @@ def evaluate(spark: SparkSession, features: DataFrame, model_dir: str, report_di
         return report
     ml.write_metrics(report, report_dir)
     return spark.read.schema(report.schema).json(report_dir)
+
+
+def features_from_raw(spark: SparkSession, sources: str | Sequence[str], *, timeout_seconds: int = DEFAULT_TIMEOUT_SECONDS) -> DataFrame:
+    """S4 for raw input: the feature store of CSV files, through the same steps as the tables (staged parse,
+    reject split, one row per event, sessions, features). A test period can so be given to ``evaluate`` as
+    it was delivered, without having been ingested."""
+    events = latest_per_key(stage_events(bronze_frames(spark, sources).clean), ["event_id"])
+    return feature_store(session_metrics(sessionize(events, timeout_seconds, with_sequence=False)))
+
+
+def evaluate_raw(
+    spark: SparkSession, sources: str | Sequence[str], model_dir: str, report_dir: str | None = None, *, timeout_seconds: int = DEFAULT_TIMEOUT_SECONDS
+) -> DataFrame:
+    """``evaluate`` on raw CSV files."""
+    return evaluate(spark, features_from_raw(spark, sources, timeout_seconds=timeout_seconds), model_dir, report_dir)
