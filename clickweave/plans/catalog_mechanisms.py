@@ -357,6 +357,23 @@ def q2_write_checks(spark, sf_dir):
     return q.run_checks(out)
 
 
+@query("k4_upsert_files", ORACLE["k4_upsert_table"])
+def k4_upsert_files(spark, sf_dir):
+    """K4 on disk, rewriting only the files that hold an updated key; every update comes twice and is merged
+    twice."""
+    from clickweave.sinks.tables import upsert_files
+
+    _, target, updates = c._loads(spark, sf_dir)
+    part = F.when(F.col("src_event_id") % 5 > 0, F.to_date("event_timestamp")).alias("part")
+    cols = ["event_id", "event_timestamp", "event_type", "product_id", "price", "user_id", "src_event_id"]
+    (path,) = _scratch(spark, "upserted")
+    updates = updates.unionByName(updates)
+    upsert_files(spark, path, target.select(*cols, part), "event_id", ["part"])
+    for _ in range(2):
+        upsert_files(spark, path, updates.select(*cols, part), "event_id", ["part"])
+    return spark.read.parquet(path).select(*cols[:-1])
+
+
 # ---------------------------------------------------------------------------------------------
 # A test period given as raw CSV
 

@@ -164,6 +164,44 @@ def upsert_table(
     release(spark, merged)
 
 
+def upsert_files(
+    spark: SparkSession, path: str, updates: DataFrame, key: str | Sequence[str], partition_cols: Sequence[str], *, name: str | None = None
+) -> int:
+    """K4 on disk, file by file: like ``upsert_table``, but of the touched partitions only the files that hold
+    an updated key are rewritten; the others keep their names. Returns how many files were replaced.
+
+    The files are found by reading the key column alone (row groups outside the updates' range of keys
+    are skipped). Their rows, merged, and the new keys are staged, appended as new files, and the old
+    files deleted. A run that stops in between leaves rows twice; running it again finds both files by
+    their keys and leaves each row once. A key must not change its partition."""
+    parts, keys = list(partition_cols), [key] if isinstance(key, str) else list(key)
+    one = stage(spark, latest_per_key(updates, keys), "updates")
+    if not _exists(spark, path):
+        replace_partitions(one, path, parts, name=name)
+        release(spark, one)
+        return 0
+    target = spark.read.option("mergeSchema", "true").parquet(path)
+    bounds = one.agg(*[f(k).alias(f"{i}_{n}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    near = F.lit(True)
+    for i, k in enumerate(keys):  # NULL keys are in no range
+        if bounds[f"{i}_lo"] is not None:
+            near = near & (F.col(k).between(bounds[f"{i}_lo"], bounds[f"{i}_hi"]) | F.col(k).isNull())
+    held = target.filter(near).select(*keys, *parts, F.col("_metadata.file_path").alias("_file")).alias("t")
+    held = held.join(one.select(*parts).distinct().alias("p"), null_safe("t", "p", parts), "left_semi")
+    files = held.alias("t").join(one.select(*keys).alias("u"), null_safe("t", "u", keys), "left_semi").select("_file").distinct()
+    files = stage(spark, files, "touched-files")  # a row a file
+    old = target.withColumn("_file", F.col("_metadata.file_path")).join(files, "_file", "left_semi").drop("_file")
+    merged = stage(spark, upsert(old.dropDuplicates(keys), one, keys), "upsert")
+    merged.write.mode("append").partitionBy(*parts).parquet(path)
+    n = 0
+    for row in files.toLocalIterator():
+        fs, gone = hadoop_path(spark, row["_file"])
+        n += bool(fs.delete(gone, False))
+    release(spark, one, files, merged)
+    refresh(spark, name)
+    return n
+
+
 def merged_partitions(
     spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str], partition_cols: Sequence[str]
 ) -> DataFrame:

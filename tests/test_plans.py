@@ -13,7 +13,7 @@ from clickweave.plans import catalog
 from testdata import SF_CHECK
 
 #: Queries with an oracle that are plans, not jobs that write tables or fit models first.
-_JOBS = ("s1_", "s3_", "s4_", "k1_", "k3_", "k4_upsert_table", "k7", "k9", "k10", "k11", "k12", "t2", "e2", "e3", "l1", "l2", "l5", "l8", "t1_running", "t1_late", "p16_stream", "a13_distinct", "q2_write")
+_JOBS = ("s1_", "s3_", "s4_", "k1_", "k3_", "k4_upsert_table", "k4_upsert_files", "k7", "k9", "k10", "k11", "k12", "t2", "e2", "e3", "l1", "l2", "l5", "l8", "t1_running", "t1_late", "p16_stream", "a13_distinct", "q2_write")
 NON_ML = [k for k in catalog.ORACLE if not k.startswith(_JOBS)]
 
 
