@@ -27,11 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm import words as W
-from clickweave.llm.common import stage, table
+from clickweave.llm.common import ship_code, stage, table
 
 #: Words longer than so many bytes also count by their first bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -41,6 +42,8 @@ GRADES = 3
 #: Shapes: first class x last class x length class x repeats the word before.
 _CLASSES, _LENGTHS = 7, 4
 SHAPES = _CLASSES * _CLASSES * _LENGTHS * 2
+#: What a row without text counts where batches are sliced: its shapes.
+_ROW_BYTES = SHAPES // 4
 _CLASS = np.full(256, 6, np.uint8)  # other ASCII
 _CLASS[[ord(c) for c in ".,;:'-)(\""]] = 5
 _CLASS[128:] = 4
@@ -93,7 +96,8 @@ def _shapes(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
             ends = _CLASS[part.raw[part.first]].astype(np.int64) * _CLASSES + _CLASS[part.raw[part.last]]
             shape = (ends * _LENGTHS + length) * 2 + again
             out[i:j] += np.bincount(row * SHAPES + shape, minlength=(j - i) * SHAPES).reshape(j - i, SHAPES)
-    return out / np.maximum(1, out.sum(axis=1, keepdims=True))
+    out /= np.maximum(1, out.sum(axis=1, keepdims=True))
+    return out
 
 
 @dataclass(frozen=True)
@@ -124,17 +128,29 @@ def _features(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, off = W.text_bytes(b.column(1))
-            shapes = _shapes(raw, off)
-            for i, j, row, found in _distinct(raw, off):
-                at = np.searchsorted(row, np.arange(j - i + 1))
+            for grade, raw, off in ((p.column(0), *W.text_bytes(p.column(1))) for p in _parts(b, 1)):
+                shapes, rows, buckets = _shapes(raw, off), [], []
+                for i, _, row, found in _distinct(raw, off):
+                    rows.append(row + i)
+                    buckets.append(found.astype(np.int32))
+                at = np.searchsorted(np.concatenate(rows), np.arange(len(off)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found)),
-                     pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SHAPES, pa.int32()), pa.array(shapes[i:j].reshape(-1)))],
+                    [grade, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(buckets))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(off)) * SHAPES, pa.int32()), pa.array(shapes.astype(np.float32).reshape(-1)))],
                     names=["grade", "words", "shapes"],
                 )
 
-    return rows.select(F.col("grade").cast("int"), "text").mapInArrow(run, "grade int, words array<bigint>, shapes array<double>")
+    return rows.select(F.col("grade").cast("int"), "text").mapInArrow(run, "grade int, words array<int>, shapes array<float>")
+
+
+def _parts(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``W.PIECE`` bytes of its column ``text`` and few rows, so that what
+    is held of a batch does not grow with it."""
+    col = batch.column(text)
+    size = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    off = np.concatenate([[0], np.cumsum(size + _ROW_BYTES)])
+    for i, j in W.groups(off):
+        yield batch.slice(i, j - i)
 
 
 def _loss(buckets: np.ndarray, thresholds: np.ndarray, weights: np.ndarray, shapes: np.ndarray, batch: pa.RecordBatch) -> tuple[float, np.ndarray]:
@@ -144,7 +160,7 @@ def _loss(buckets: np.ndarray, thresholds: np.ndarray, weights: np.ndarray, shap
     known = buckets[at] == flat if len(buckets) else np.zeros(len(flat), bool)
     row = np.repeat(np.arange(len(grade)), np.diff(lists.offsets.to_numpy()))[known]
     at = at[known]
-    x = batch.column(2).flatten().to_numpy().reshape(len(grade), -1)
+    x = batch.column(2).flatten().to_numpy().reshape(len(grade), -1).astype(np.float64)
     score = np.bincount(row, weights[at], minlength=len(grade)) + x @ shapes
     z = np.concatenate([[-np.inf], thresholds, [np.inf]])
     hi, lo = (1 / (1 + np.exp(-np.clip(z[g] - score, -500, 500))) for g in (grade + 1, grade))
@@ -160,6 +176,7 @@ def _loss(buckets: np.ndarray, thresholds: np.ndarray, weights: np.ndarray, shap
 
 def fit(documents: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_rows: int = MIN_ROWS, z_least: float = Z_LEAST, l2: float = L2, steps: int = STEPS, grades: int = GRADES) -> OrdinalModel:
     """Fit on the labelled documents; see the module's text."""
+    ship_code(documents.sparkSession)
     chosen = F.broadcast(sampled_labels(labels, sample).toDF("id", "grade"))  # bounded by ``sample``
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id") == F.col("id"))
     data = stage(_features(rows), "features")
@@ -174,7 +191,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_ro
     )
     apart = [F.abs(F.col(f"c{k}") - F.col("n") * p) >= z_least * F.sqrt(F.col("n") * p * (1 - p)) for k, p in enumerate(upto) if 0 < p < 1]
     words = words.where((F.col("n") >= min_rows) & F.greatest(*apart, F.lit(False))).select("w")
-    buckets = np.sort(np.array([r["w"] for r in words.toLocalIterator()], np.int64))  # at most 2^BITS numbers
+    buckets = np.sort(words.toArrow().column(0).to_numpy()).astype(np.int64)  # at most 2^BITS numbers
 
     share = np.cumsum([counts.get(k, 0) + 0.5 for k in range(grades)])[:-1] / (total + grades / 2)
     theta = np.log(share / (1 - share))
@@ -194,8 +211,8 @@ def fit(documents: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_ro
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             loss, grad = 0.0, np.zeros(len(v))
             for b in batches:
-                if b.num_rows:
-                    f, g = _loss(buckets, thresholds, weights, shapes, b)
+                for k in range(0, b.num_rows, 1000):
+                    f, g = _loss(buckets, thresholds, weights, shapes, b.slice(k, 1000))
                     loss, grad = loss + f, grad + g
             yield pa.RecordBatch.from_pydict({"loss": [loss], "grad": pa.array([grad.tobytes()], pa.binary())})
 
@@ -261,11 +278,12 @@ def _dense(model: OrdinalModel) -> tuple[np.ndarray, np.ndarray]:
 def score(documents: DataFrame, model: OrdinalModel, *, grade: int = GRADES - 1, least: float = 0.5) -> DataFrame:
     """doc_id, score, expected_grade, tail (probability of ``grade`` or more), keep (tail >= least)
     of every document."""
+    ship_code(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the hash space
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = _dense(held.value)
-        for b in batches:
+        for b in (part for whole in batches for part in _parts(whole, 1)):
             s, tails = _tails(b.column(1), held.value, *dense)
             tail = tails[:, grade - 1]
             yield pa.RecordBatch.from_arrays(
@@ -279,12 +297,13 @@ def score(documents: DataFrame, model: OrdinalModel, *, grade: int = GRADES - 1,
 
 def selected(documents: DataFrame, model: OrdinalModel, *, grade: int = GRADES - 1, least: float = 0.5) -> DataFrame:
     """The rows and columns of ``documents`` that the classifier keeps; no shuffle."""
+    ship_code(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = _dense(held.value)
-        for b in batches:
+        for b in (part for whole in batches for part in _parts(whole, at)):
             yield b.filter(pa.array(_tails(b.column(at), held.value, *dense)[1][:, grade - 1] >= least))
 
     return documents.mapInArrow(run, documents.schema)
