@@ -93,3 +93,18 @@ def test_quantile_drift(spark):
     real = ml.drift_psi(oot_split(feats, m.OOT_CUTOFF), binning="quantile").collect()
     assert len(real) == 9 and all(r.psi >= 0 for r in real)
     assert sum(r.n_base for r in real) == 9 * oot_split(feats, m.OOT_CUTOFF).filter("data_split = 'train'").count()
+
+
+@pytest.mark.parametrize("name, source", [("l5_validation_auc", "_validation")])
+def test_reports_are_recomputed_beside_their_figures(spark, monkeypatch, name, source):
+    from clickweave.plans import catalog
+
+    scored = spark.createDataFrame([("a", 1, 0.9, 1), ("b", 0, 0.4, 0), ("c", 1, 0.3, 0), ("d", 0, 0.1, 0)], "computed_session_id string, is_purchased int, score double, prediction int")
+    figures, weights = ml.evaluate(scored), [("x", 0.75), ("y", 0.25)]
+    for wrong in (False, True):
+        report = ml.metrics_report(spark, figures | ({"roc_auc": 0.5} if wrong else {}), weights)
+        monkeypatch.setattr(catalog, source, lambda spark, sf_dir, report=report: (report, scored))
+        row = catalog.QUERIES[name](spark, "").first()
+        assert row.roc_auc == (0.5 if wrong else pytest.approx(_brute_auc([(0.9, 1), (0.4, 0), (0.3, 1), (0.1, 0)])))
+        assert [tuple(x) for x in row.feature_importance] == weights
+        assert (row.n_features, row.auc_in_range, row.auc_recomputed, row.importances_sum_to_one, row.ranked) == (2, True, not wrong, True, True)
