@@ -95,7 +95,7 @@ def test_quantile_drift(spark):
     assert sum(r.n_base for r in real) == 9 * oot_split(feats, m.OOT_CUTOFF).filter("data_split = 'train'").count()
 
 
-@pytest.mark.parametrize("name, source", [("l5_validation_auc", "_validation")])
+@pytest.mark.parametrize("name, source", [("l5_validation_auc", "_validation"), ("k11_oot_report", "_oot_report")])
 def test_reports_are_recomputed_beside_their_figures(spark, monkeypatch, name, source):
     from clickweave.plans import catalog
 
