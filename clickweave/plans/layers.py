@@ -265,7 +265,7 @@ def _compute(spark: SparkSession, new_bronze: DataFrame, p: dict[str, str], log:
     months = redo.select(*SILVER_PARTITIONS).distinct()
     gone = (F.col("s.user_id") == F.col("r.user_id")) & (F.col("s.event_timestamp") >= F.col("r.redo_from"))
     whole = stored if low is None else stored.filter(_month() >= _month_number(low))  # months that may be rewritten
-    kept = whole.join(months, list(SILVER_PARTITIONS), "left_semi").alias("s").join(points.alias("r"), gone, "left_anti")
+    kept = whole.join(F.broadcast(months), list(SILVER_PARTITIONS), "left_semi").alias("s").join(points.alias("r"), gone, "left_anti")
     log.put("silver_swap", kept.select(*in_silver).unionByName(redo))
     log.put("silver_touched", months)
 
@@ -290,7 +290,7 @@ def _compute(spark: SparkSession, new_bronze: DataFrame, p: dict[str, str], log:
     )
     touched = feats.select("data_partition").unionByName(replaced.select("data_partition")).distinct()
     touched = log.put("mart_ml_features_touched", touched)
-    rest = mart.join(touched, "data_partition", "left_semi").alias("f")
+    rest = mart.join(F.broadcast(touched), "data_partition", "left_semi").alias("f")
     rest = rest.join(
         points.alias("r"), (F.col("f.user_id") == F.col("r.user_id")) & (F.col("f.session_start") >= F.col("r.redo_from")), "left_anti"
     )

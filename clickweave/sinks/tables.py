@@ -207,8 +207,8 @@ def merged_partitions(
 ) -> DataFrame:
     """The touched partitions of the table at ``path`` after ``updates``."""
     target = spark.read.option("mergeSchema", "true").parquet(path)
-    touched = updates.select(*partition_cols).distinct()
-    affected = target.alias("t").join(touched.alias("p"), null_safe("t", "p", partition_cols), "left_semi")
+    touched = updates.select(*partition_cols).distinct()  # a row a partition; shuffled, each would be one task's
+    affected = target.alias("t").join(F.broadcast(touched).alias("p"), null_safe("t", "p", partition_cols), "left_semi")
     return upsert(affected, updates, key)
 
 
@@ -266,8 +266,10 @@ def materialize(df: DataFrame, how: str, *, name: str | None = None, path: str |
 
 def write_silver(silver: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """K9: silver events partitioned by ``event_year``, ``event_month``. ``overwrite`` replaces the
-    whole table: months that the new data lacks are gone."""
-    out = with_year_month(silver).hint("rebalance", "event_year", "event_month")
+    whole table: months that the new data lacks are gone. A row hash deals each month over the tasks of
+    a shuffle, of which adaptive execution merges small ones; a month is never one task's."""
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in silver.columns]).alias("_spread")
+    out = with_year_month(silver).select("*", spread).repartition("event_year", "event_month", "_spread").drop("_spread")
     writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     writer.partitionBy("event_year", "event_month").parquet(path)
 

@@ -127,3 +127,19 @@ def test_clustered_write_spreads_a_hot_key(spark, tmp_dir):
     hot_files = glob.glob(os.path.join(path, "event_date=2024-01-01", "*.parquet"))
     assert len(hot_files) >= 4
     assert spark.read.parquet(path).count() == 20000
+
+
+def test_silver_write_spreads_a_month(spark, tmp_dir):
+    rows = spark.range(4000).selectExpr("id AS src_event_id", "id % 7 AS user_id", "timestamp_ntz'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, 0, id) AS event_timestamp")
+    path, merge = os.path.join(tmp_dir, "silver"), "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(merge)
+    try:
+        spark.conf.set(merge, "false")  # what a large month's tasks are
+        tables.write_silver(rows, path)
+    finally:
+        spark.conf.set(merge, old)
+    back = spark.read.parquet(path)
+    per_file = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) > 1 and max(per_file) < 2000
+    assert back.select("event_year", "event_month").distinct().collect() == [(2024, 1)]
+    assert back.drop("event_year", "event_month").exceptAll(rows).isEmpty() and back.count() == 4000
