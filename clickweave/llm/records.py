@@ -46,8 +46,10 @@ END_ID = 1
 _HEAD, _CRC, _OWN, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB"), struct.Struct("<QQq")
 _MASK = 0xA282EAD8
 MANIFEST = "part int, file string, index string, records bigint, tokens bigint, bytes bigint"
-#: Pieces that a worker keeps (about 30 bytes each).
-CACHE_PIECES = 2_000_000
+#: Pieces that a worker keeps (60 to 120 bytes each, and as many while they are merged), and their bytes.
+CACHE_PIECES, CACHE_BYTES = 500_000, 16 << 20
+#: Pieces encoded at a time, and how many of them are joined to a text.
+_AT_ONCE = 8000
 _GAP, _JOINED, _TAIL = "\x00", 1000, ".,;:!?%$&#*|\""
 _IS_TAIL = np.isin(np.arange(256), [ord(c) for c in _TAIL])
 _ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
@@ -144,10 +146,12 @@ class WordEncoder:
     def _add(self, raw: np.ndarray, view: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         """Encode these pieces and keep their ids and bytes; their places."""
         data, size = raw.tobytes(), stops - starts
-        found = self._encode_pieces([data[a:b].decode() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)])
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
-        n, more = self.n, len(found)
+        counts, flats = [], []
+        for k in range(0, len(starts), _AT_ONCE):
+            found = self._encode_pieces([data[a:b].decode() for a, b in zip(starts[k : k + _AT_ONCE].tolist(), stops[k : k + _AT_ONCE].tolist(), strict=True)])
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flats.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        flat, count, n, more = np.concatenate(flats), np.concatenate(counts), self.n, len(starts)
         self.ids = _room(self.ids, self.ends[n] + len(flat))
         self.text = _room(self.text, self.cuts[n] + int(size.sum()))
         self.ends, self.cuts, self.heads = (_room(x, n + more + 1) for x in (self.ends, self.cuts, self.heads))
@@ -213,14 +217,15 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with END_ID after each, offsets per text)."""
-        if self.n > CACHE_PIECES:
+        if self.n > CACHE_PIECES or self.cuts[self.n] > CACHE_BYTES:
             self._reset()
         raw, off = W.text_bytes(texts)
         folds = not ((raw == 0xCC) | (raw == 0xCD)).any()  # lead bytes of the combining marks
         scan = W.Scan(raw, off[:-1], W.SPACE)
         begin, end = scan.first, scan.last + 1
-        kept = np.where(_IS_TAIL[raw], -1, np.arange(len(raw)))
-        core = np.maximum.accumulate(kept)[scan.last] + 1 if len(raw) else end
+        kept = np.arange(len(raw), dtype=np.int32)  # a batch holds under 2 GB
+        kept[_IS_TAIL[raw]] = -1
+        core = np.maximum.accumulate(kept, out=kept)[scan.last].astype(np.int64) + 1 if len(raw) else end
         cut = (core > begin) & (core < end)
         cut[cut] = _ALNUM[raw[core[cut] - 1]]
         place = np.arange(len(begin)) + np.concatenate([[0], np.cumsum(cut)[:-1]]).astype(np.int64) if len(begin) else begin
@@ -279,7 +284,7 @@ def write_records(documents: DataFrame, tokenizer_path: str, folder: str | None
         records = tokens = at = 0
         for b in batches:
             _, text_off = W.text_bytes(b.column(1))
-            for i, j in W.groups(text_off, 2 * W.PIECE):
+            for i, j in W.groups(text_off):
                 if encoder is None:
                     encoder = worker_encoder(model.value)
                     store.create_dir(path.rsplit("/", 1)[0], recursive=True)

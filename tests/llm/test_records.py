@@ -105,3 +105,22 @@ def test_round_trip(spark, documents):
 
 def test_empty(spark, documents):
     assert R.read_records(R.write_records(documents([]), PATH)).count() == 0
+
+
+def test_kept_pieces_are_bounded_in_bytes_too(monkeypatch):
+    monkeypatch.setattr(R, "CACHE_BYTES", 1 << 16, raising=False)
+    encoder, whole = R.WordEncoder(open(PATH).read()), Tokenizer.from_file(PATH)
+    for k in range(8):
+        texts = [f"{k}é{i}" + "ab9é" * 1000 for i in range(8)]  # pieces of 5 KB, few of them
+        ids, off = encoder.encode(pa.array(texts, pa.string()))
+        assert encoder.cuts[encoder.n] < (1 << 16) + sum(len(t.encode()) for t in texts)
+        assert ids[off[0] : off[1]].tolist() == [*whole.encode(texts[0], add_special_tokens=False).ids, 1]
+
+
+def test_many_new_pieces_keep_their_order(monkeypatch):
+    monkeypatch.setattr(R, "_AT_ONCE", 7)
+    encoder, whole = R.WordEncoder(open(PATH).read()), Tokenizer.from_file(PATH)
+    text = " ".join(f"w{i}é q{i * 37}. zz" for i in range(50))
+    ids, off = encoder.encode(pa.array([text, None, text], pa.string()))
+    for k, t in enumerate([text, "", text]):
+        assert ids[off[k] : off[k + 1]].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 1]
