@@ -356,22 +356,26 @@ def _groups(documents: DataFrame, size: int, threshold: float, miss: float) -> D
     )
     reps = stage(held.select("fp", "n", "least.doc_id", "least.th", "n_bytes", "n_shingles", "sig", "bands"), "sets")
 
-    entries = reps.select("fp", "n_shingles", "n_bytes", F.posexplode("bands").alias("band", "key"))
-    buckets = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"))
-    buckets = stage(buckets.where("n > 1"), "buckets")
-    members = stage(lookup(entries, buckets, ["key"], "n"), "members")
-    sizes = reps.select(F.col("fp").alias("a"), F.col("n_shingles").alias("na"))
+    # most sets meet no other: of them only fingerprints and buckets move, their signatures once
+    entries = reps.select("fp", F.posexplode("bands").alias("band", "key"))
+    buckets = stage(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    sharing = stage(lookup(entries, buckets, ["key"], "n"), "sharing")
+    least_fp = stage(sharing.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a")), "least")
+    met = stage(reps.drop("n", "bands").join(sharing.select("fp").distinct(), "fp", "left_semi"), "met")
+    members = lookup(sharing, least_fp, ["key"], "n").join(met.select("fp", "n_shingles", "n_bytes"), "fp")
+    members = stage(members, "members")
+    sizes = met.select(F.col("fp").alias("a"), F.col("n_shingles").alias("na"))
     stars = members.where("fp <> a").select("a", F.col("fp").alias("b"), "n_shingles").distinct().join(sizes, "a")
     stars = stage(stars.where(_length_bound("na", "n_shingles", percent)).select("a", "b"), "stars")
-    pairs = _prune(stars, reps, least)
-    links = _confirmed_stars(documents, pairs, reps, size, percent)
+    pairs = _prune(stars, met, least)
+    links = _confirmed_stars(documents, pairs, met, size, percent)
     comp = stage(components(links), "components")
 
     open_ = members.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
         "key", "band", "fp", "n_shingles", "n_bytes", F.coalesce("component", "fp").alias("component")
     )
     open_ = stage(open_, "open")
-    more = _second_pass(documents, open_, reps, size, percent, least)
+    more = _second_pass(documents, open_, met, size, percent, least)
     if not more.isEmpty():
         comp = stage(components(links.unionByName(more)), "components")
 
@@ -381,7 +385,7 @@ def _groups(documents: DataFrame, size: int, threshold: float, miss: float) -> D
     named = stage(lookup(sets.drop("doc_id"), lowest, ["component"], "sets"), "groups")
     out = lookup(docs.select("doc_id", "th", "n_shingles", "fp").where("fp IS NOT NULL"), named, ["fp"], "n").drop("fp")
     alone = docs.where("fp IS NULL").select("doc_id", "th", "n_shingles", F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id"))
-    release(members, buckets, stars, pairs, open_, links, more, comp, reps, sets, lowest)
+    release(members, buckets, sharing, least_fp, met, stars, pairs, open_, links, more, comp, reps, sets, lowest)
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

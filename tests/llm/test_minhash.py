@@ -159,3 +159,17 @@ def test_rows_given_out_grow_with_the_members_not_their_pairs(spark, documents,
         assert counts[n]["forest"] <= n * M.BANDS and counts[n]["likely"] <= n * M.BANDS
     for name in ("likely", "forest", "links", "star-ends"):
         assert counts[120][name] <= 2.6 * max(40, counts[60][name]), name
+
+
+def test_signatures_of_sets_without_a_bucket_mate_stay(spark, documents, monkeypatch):
+    rng = random.Random(5)
+    text = [f"w{rng.randrange(10**9)}" for _ in range(60)]
+    docs = [(0, " ".join(text)), (1, " ".join(text[:-1])), *((k, " ".join(f"v{rng.randrange(10**9)}" for _ in range(40))) for k in range(2, 30))]
+    staged = {}
+    real = M.stage
+    monkeypatch.setattr(M, "stage", lambda df, name: staged.setdefault(name, real(df, name)) if name in ("buckets", "met") else real(df, name))
+    monkeypatch.setattr(M, "release", lambda *frames: None)
+    got = {r["doc_id"]: r["component_id"] for r in M.near_duplicates(documents([(i, t, "s") for i, t in docs]), size=4).collect()}
+    assert got == {i: 0 if i == 1 else i for i, _ in docs}
+    assert staged["buckets"].columns == ["key", "n"]
+    assert staged["met"].count() == 2 and "sig" in staged["met"].columns
