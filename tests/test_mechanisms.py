@@ -221,3 +221,77 @@ def test_upsert_rewrites_only_files_with_updated_keys(spark, tmp_dir):
     hit.write.mode("append").partitionBy("d").parquet(path)
     tables.upsert_files(spark, path, upd, "k", ["d"])
     assert got() == sorted(map(repr, want))
+
+
+def test_running_state_is_one_value_read_and_written_once_a_batch():
+    import pandas as pd
+
+    class Handle:
+        value, calls, timers = None, 0, set()
+
+        def getValueState(self, name, schema, ttl=None):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Clock:
+        now = 0
+
+        def getCurrentProcessingTimeInMs(self):
+            self.now += 1
+            return self.now
+
+    handle, clock = Handle(), Clock()
+    machine = stateful._processor(1800, 10**12, 5, None)
+    machine.init(handle)
+    batch = lambda ids: iter([pd.DataFrame({"event_us": [1_000_000 * (i % 97) for i in ids], "event_order": list(ids)})])
+    for k in range(4):
+        assert list(machine.handleInputRows((7,), batch(range(500 * k, 500 * k + 500)), clock)) == []
+    assert handle.calls == 8 and handle.timers == {9}  # 4 + idle
+    (out,) = machine.handleExpiredTimer((7,), clock, None)
+    assert len(out) == 2000 and out["event_seq"].tolist() == list(range(1, 2001)) and not out["late"].any()
+    assert list(zip(out["event_us"], out["event_order"])) == sorted((1_000_000 * (i % 97), i) for i in range(2000))
+    (out,) = machine.handleInputRows((7,), batch([0]), clock)
+    assert out["late"].tolist() == [True] and out[["session_index", "idle_seconds", "session_flag", "event_seq"]].isna().all(axis=None)
+
+
+def test_a_stream_that_works_is_waited_for(spark, tmp_dir):
+    spark.range(3).write.mode("overwrite").parquet(tmp_dir)
+
+    class Query:
+        looks = stopped = 0
+
+        @property
+        def status(self):
+            self.looks += 1
+            if self.looks == 3:
+                spark.range(2).write.mode("append").parquet(tmp_dir)
+            return {"isTriggerActive": True}
+
+        def exception(self):
+            return None
+
+        def stop(self):
+            self.stopped += 1
+
+    query = Query()
+    stateful.run_out(query, spark, [tmp_dir], 5, wait_seconds=0.5)
+    assert query.stopped == 1
+
+    class Idle(Query):
+        status = {"isTriggerActive": False}
+
+    with pytest.raises(RuntimeError):
+        stateful.run_out(Idle(), spark, [tmp_dir], 6, wait_seconds=0.5)
