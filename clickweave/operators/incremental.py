@@ -22,16 +22,21 @@ def null_safe(left: str, right: str, columns: Sequence[str]) -> list:
     return [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in columns]
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str] | None = None, *, copies: str | None = None
+) -> DataFrame:
     """One row per key (NULL is a key): the one with the largest ``order_by``, by default event
-    time and source id where the frame has them; ties go to the largest row."""
+    time and source id where the frame has them; ties go to the largest row. ``copies`` names a column
+    to add: how many rows the key had."""
     rest = [c for c in df.columns if c not in key]
+    n = [F.count(F.lit(1)).alias(copies)] if copies else []
     if not rest:
-        return df.distinct()
+        return df.groupBy(*key).agg(*n).select(*df.columns, copies) if n else df.distinct()
     order = list(order_by) if order_by is not None else [c for c in ("event_timestamp", "src_event_id") if c in rest]
     order = [*order, *[c for c in rest if c not in order]]
-    best = df.groupBy(*key).agg(F.max(F.struct(*order)).alias("_best"))
-    return best.select(*[F.col(c) if c in key else F.col(f"_best.`{c}`").alias(c) for c in df.columns])
+    best = df.groupBy(*key).agg(F.max(F.struct(*order)).alias("_best"), *n)
+    columns = [F.col(c) if c in key else F.col(f"_best.`{c}`").alias(c) for c in df.columns]
+    return best.select(*columns, *([copies] if copies else []))
 
 
 def upsert(

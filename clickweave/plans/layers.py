@@ -67,12 +67,13 @@ def paths(root: str) -> dict[str, str]:
 
 def staged_events(spark: SparkSession, bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, counts): the batch's events, one row per ``event_id`` (P16), staged; and one row of
-    counts: ``rows_in``, ``repeated``, ``unsessionizable`` (no user or time, D10)."""
-    every = tables.stage(spark, stage_events(bronze), "staged-batch")
-    events = tables.stage(spark, latest_per_key(every, ["event_id"]), "staged-events")
+    counts: ``rows_in``, ``repeated``, ``unsessionizable`` (no user or time, D10). Each event carries
+    how many copies it had into the staged table, so the batch itself is read and staged once."""
+    staged = tables.stage(spark, latest_per_key(stage_events(bronze), ["event_id"], copies="_copies"), "staged-events")
+    events = staged.drop("_copies")
+    events._scratch = staged._scratch  # for ``release``
     left_out = unsessionizable(events).first()["unsessionizable_rows"]
-    rows, kept = every.count(), events.count()
-    release(spark, every)
+    rows, kept = staged.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.count(F.lit(1))).first()
     counts = spark.createDataFrame([(rows, rows - kept, left_out)], "rows_in bigint, repeated bigint, unsessionizable bigint")
     return events, counts
 
@@ -87,7 +88,7 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str, *, timeout_s
     p = paths(root)
     _discard(spark, os.path.join(root, _LOG))
     events, counts = staged_events(spark, bronze)
-    tables.write_silver(sessionize(events, timeout_seconds), p["silver"])
+    tables.write_silver(sessionize(events, timeout_seconds), p["silver"], dealt=True)
     silver = spark.read.parquet(p["silver"])
     watched = q.WriteChecks("fct_events", **FCT_RULES), q.WriteChecks("mart_ml_features", **MART_RULES)
     tables.write_clustered(fact_events(silver), p["fct_events"], **FCT_LAYOUT, checks=watched[0])

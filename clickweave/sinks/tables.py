@@ -264,12 +264,16 @@ def materialize(df: DataFrame, how: str, *, name: str | None = None, path: str |
     raise ValueError(f"unknown materialisation {how!r}")
 
 
-def write_silver(silver: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+def write_silver(silver: DataFrame, path: str, *, mode: str = "overwrite", dealt: bool = False) -> None:
     """K9: silver events partitioned by ``event_year``, ``event_month``. ``overwrite`` replaces the
     whole table: months that the new data lacks are gone. A row hash deals each month over the tasks of
-    a shuffle, of which adaptive execution merges small ones; a month is never one task's."""
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in silver.columns]).alias("_spread")
-    out = with_year_month(silver).select("*", spread).repartition("event_year", "event_month", "_spread").drop("_spread")
+    a shuffle, of which adaptive execution merges small ones; a month is never one task's. ``dealt``: a
+    shuffle on something finer than a month, such as ``sessionize``'s on user and chunk, has just dealt
+    the rows, and they are written from there without a second one."""
+    out = with_year_month(silver)
+    if not dealt:
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in silver.columns]).alias("_spread")
+        out = out.select("*", spread).repartition("event_year", "event_month", "_spread").drop("_spread")
     writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     writer.partitionBy("event_year", "event_month").parquet(path)
 

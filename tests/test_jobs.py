@@ -150,6 +150,20 @@ def test_a_batch_with_repeated_events_counts_them_once(spark, tmp_dir):
     assert log["refresh"].repeated * 2 == log["refresh"].rows_in
 
 
+def test_build_stages_its_batch_once(spark, tmp_dir, monkeypatch):
+    bronze, names, stage = m.clicks(spark, SF_SMALL, with_duplicates=True), [], tables.stage
+    monkeypatch.setattr(tables, "stage", lambda spark, df, name: names.append(name) or stage(spark, df, name))
+    events, counts = layers.staged_events(spark, bronze)
+    rows = layers.stage_events(bronze)
+    got, n, kept = counts.first(), rows.count(), rows.select("event_id").distinct().count()
+    assert names == ["staged-events"]
+    assert (got.rows_in, got.repeated) == (n, n - kept) and n > kept == events.count()
+    assert events.columns == rows.columns and events.exceptAll(rows).isEmpty()
+    layers.release(spark, events)
+    assert not os.path.exists(events._scratch)
+    assert tuple(layers.staged_events(spark, bronze.limit(0))[1].first()) == (0, 0, 0)
+
+
 def test_rows_without_time_are_counted(spark, tmp_dir):
     bronze = m.clicks(spark, SF_SMALL).limit(200)
     gone = bronze.withColumn("event_timestamp", F.when(F.col("src_event_id") % 2 == 0, F.col("event_timestamp")))

@@ -8,7 +8,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from clickweave.operators.sessions import sessionize
 from clickweave.plans import catalog
+from clickweave.plans.medallion import staged
 
 from testdata import SF_CHECK
 
@@ -63,6 +65,22 @@ def test_no_user_only_window_over_events(spark, name):
             assert "_chunk" in args, w
 
 
+def test_event_sequence_sorts_events_once(spark):
+    """One sort of the events by (user, chunk, time) serves the window and the join with the chunks."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        text = plan_text(sessionize(staged(spark, SF_CHECK), 1800))
+    finally:
+        spark.conf.set(key, old)
+    of_events = lambda name: [n for n in nodes(text, name) if "event_type" in n.split("Arguments")[0]]
+    by_chunk = [n for n in of_events("Sort") if "_chunk" in n]
+    assert len(by_chunk) == 1, by_chunk
+    assert len([n for n in of_events("Exchange") if "_chunk" in n]) == 1
+    assert len(of_events("Window")) == 1 and "_chunk" in of_events("Window")[0]
+
+
 def test_scans_are_pruned_and_filtered(spark):
     text = plan_text(entry.queries()["a1_session_metrics"](spark, SF_CHECK))
     scans = nodes(text, "Scan parquet")

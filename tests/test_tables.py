@@ -5,7 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from clickweave.operators import quality as q
-from clickweave.operators.incremental import evolve_union, high_water_mark, incremental_filter, upsert
+from clickweave.operators.incremental import evolve_union, high_water_mark, incremental_filter, latest_per_key, upsert
+from clickweave.operators.sessions import sessionize
 from clickweave.operators.staging import keep_first
 from clickweave.operators.star import attach_sessions, fact_events
 from clickweave.plans import medallion as m
@@ -143,3 +144,31 @@ def test_silver_write_spreads_a_month(spark, tmp_dir):
     assert len(per_file) > 1 and max(per_file) < 2000
     assert back.select("event_year", "event_month").distinct().collect() == [(2024, 1)]
     assert back.drop("event_year", "event_month").exceptAll(rows).isEmpty() and back.count() == 4000
+
+
+def test_dealt_silver_is_written_without_a_second_shuffle(spark, tmp_dir):
+    """The staged events move once, by user and chunk, and are written from there; a month is in several files."""
+    rows = spark.range(4000).selectExpr(
+        "id AS src_event_id", "id % 7 AS user_id", "timestamp_ntz'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, 0, id) AS event_timestamp"
+    )
+    path, keys = os.path.join(tmp_dir, "silver"), ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], "-1")
+        tables.write_silver(sessionize(rows, 1800), path, dealt=True)
+    finally:
+        for k, v in zip(keys, old, strict=True):
+            spark.conf.set(k, v)
+    back = spark.read.parquet(path)
+    per_file = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) > 1 and max(per_file) < 4000
+    want = sessionize(rows, 1800)
+    assert back.drop("event_year", "event_month").exceptAll(want).isEmpty() and back.count() == want.count() == 4000
+
+
+def test_latest_per_key_counts_copies(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (None, "c"), (None, None), (2, "d")], "k int, v string")
+    got = latest_per_key(df, ["k"], copies="n").collect()
+    assert {(r.k, r.v, r.n) for r in got} == {(1, "b", 3), (None, "c", 2), (2, "d", 1)}
+    assert {(r.k, r.n) for r in latest_per_key(df.select("k"), ["k"], copies="n").collect()} == {(1, 3), (None, 2), (2, 1)}
