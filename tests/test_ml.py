@@ -108,3 +108,32 @@ def test_reports_are_recomputed_beside_their_figures(spark, monkeypatch, name, s
         assert row.roc_auc == (0.5 if wrong else pytest.approx(_brute_auc([(0.9, 1), (0.4, 0), (0.3, 1), (0.1, 0)])))
         assert [tuple(x) for x in row.feature_importance] == weights
         assert (row.n_features, row.auc_in_range, row.auc_recomputed, row.importances_sum_to_one, row.ranked) == (2, True, not wrong, True, True)
+
+
+@pytest.mark.parametrize("name", ["l5_validation_auc"])
+def test_reports_rest_on_every_row_of_their_period(spark, monkeypatch, name):
+    from clickweave.plans import catalog
+    from clickweave.sources.schema import FEATURE_COLUMNS
+
+    rows = [(f"{i}_1", f"2024-01-{20 + i % 8}", i * 37 % 100 < 30 + i % 9 * 5, *(float((i * (c + 3)) % 11 + i % 9) for c in range(9))) for i in range(240)]
+    schema = "computed_session_id string, day string, is_purchased boolean, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    rows = spark.createDataFrame(rows, schema).withColumn("session_start", F.col("day").cast("timestamp_ntz"))
+    rows = ml.prepare(rows)
+    fit, build, fits = ml.fit, ml.build_gbt, []
+
+    def kept(pipeline, train):
+        fits.append((fit(pipeline, train), sorted(r.computed_session_id for r in train.collect())))
+        return fits[-1][0]
+
+    monkeypatch.setattr(catalog, "_model_input", lambda spark, sf_dir, timeout=None: rows)
+    monkeypatch.setattr(ml, "build_gbt", lambda **kw: build(max_iter=2, max_depth=2, **kw))
+    monkeypatch.setattr(ml, "fit", kept)
+    row = catalog.QUERIES[name](spark, "").first()
+    period, oot = ml.temporal_split(rows, m.OOT_CUTOFF)
+    train, held_out = ml.hash_split(period)
+    [(model, ids)] = fits
+    assert ids == sorted(r.computed_session_id for r in train.collect())
+    scored = [(r.score, r.is_purchased) for r in ml.score(model, oot if name == "k11_oot_report" else held_out).collect()]
+    assert row.roc_auc == pytest.approx(_brute_auc(scored), abs=1e-8)
+    assert [tuple(x) for x in row.feature_importance] == ml.feature_importance(model)
+    assert (row.n_features, row.auc_in_range, row.auc_recomputed, row.importances_sum_to_one, row.ranked) == (9, True, True, True, True)
