@@ -110,7 +110,7 @@ def test_reports_are_recomputed_beside_their_figures(spark, monkeypatch, name, s
         assert (row.n_features, row.auc_in_range, row.auc_recomputed, row.importances_sum_to_one, row.ranked) == (2, True, not wrong, True, True)
 
 
-@pytest.mark.parametrize("name", ["l5_validation_auc"])
+@pytest.mark.parametrize("name", ["l5_validation_auc", "k11_oot_report"])
 def test_reports_rest_on_every_row_of_their_period(spark, monkeypatch, name):
     from clickweave.plans import catalog
     from clickweave.sources.schema import FEATURE_COLUMNS
