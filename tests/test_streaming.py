@@ -82,7 +82,7 @@ def test_watermark_drops_late_events(spark, tmp_dir):
     src = os.path.join(tmp_dir, "wm")
     batch1 = [(1, 1, t0, "view", 1, "a", 1.0), (2, 9, t0 + dt.timedelta(days=1), "view", 1, "a", 1.0)]
     batch2 = [(3, 1, t0 + dt.timedelta(minutes=5), "view", 2, "a", 1.0)]  # 1 day behind the watermark
-    spark.createDataFrame(batch1, schema).write.mode("append").parquet(src)
+    spark.createDataFrame(batch1, schema).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = (
         session_window_metrics(stream, "30 minutes", watermark="1 hour")
